@@ -1,4 +1,7 @@
-"""Column expressions for fixed binary layouts. Everything here runs in the JVM."""
+"""Column expressions for fixed binary layouts. Everything here runs in the JVM.
+
+Inputs named ``data``, ``bits`` and so on are SQL expressions, mostly just a column name.
+"""
 
 from __future__ import annotations
 
@@ -7,51 +10,50 @@ from pyspark.sql import Column, functions as F
 FILETIME_EPOCH_MICROS = 11_644_473_600_000_000  # 1601-01-01 to 1970-01-01
 
 
-def _unsigned(data: Column, offset: int | Column, width: int) -> Column:
-    position = offset + 1 if isinstance(offset, int) else offset + F.lit(1)
-    digits = F.hex(F.substring(data, position, width))
+def _unsigned(data: str, offset: int | str, width: int, kind: str) -> str:
+    digits = f"hex(substring({data}, {offset} + 1, {width}))"
     # Byte order is swapped on the hex text: reverse() on BINARY would corrupt the bytes.
-    swapped = F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(width))])
-    return F.conv(swapped, 16, 10)
+    swapped = ", ".join(f"substring({digits}, {2 * i + 1}, 2)" for i in reversed(range(width)))
+    return f"cast(conv(concat({swapped}), 16, 10) as {kind})"
+
+
+def u32_sql(data: str, offset: int | str) -> str:
+    return _unsigned(data, offset, 4, "bigint")
 
 
-def u16(data: Column, offset: int | Column) -> Column:
-    return _unsigned(data, offset, 2).cast("int")
+def u16(data: str, offset: int | str) -> Column:
+    return F.expr(_unsigned(data, offset, 2, "int"))
 
 
-def u32(data: Column, offset: int | Column) -> Column:
-    return _unsigned(data, offset, 4).cast("bigint")
+def u32(data: str, offset: int | str) -> Column:
+    return F.expr(u32_sql(data, offset))
 
 
-def u64(data: Column, offset: int | Column) -> Column:
-    return _unsigned(data, offset, 8).cast("decimal(20,0)")
+def u64(data: str, offset: int | str) -> Column:
+    return F.expr(_unsigned(data, offset, 8, "decimal(20,0)"))
 
 
-def u32_array(data: Column, offset: int, count: int) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(count - 1)), lambda i: u32(data, F.lit(offset) + i * 4)
-    )
+def u32_array(data: str, offset: int, count: int) -> Column:
+    return F.expr(f"transform(sequence(0, {count - 1}), i -> {u32_sql(data, f'{offset} + 4 * i')})")
 
 
-def flag(bits: Column, mask: int) -> Column:
-    return bits.bitwiseAND(F.lit(mask)) != 0
+def flag(bits: str, mask: int) -> Column:
+    return F.expr(f"({bits} & {mask}) != 0")
 
 
-def hex_encode(data: Column, prefix: str = "0x") -> Column:
+def hex_encode(data: str, prefix: str = "0x") -> Column:
     """Lower-case hex; modern logs prefix it with ``0x``, legacy logs do not."""
-    digits = F.lower(F.hex(data))
-    return F.concat(F.lit(prefix), digits) if prefix else digits
+    return F.expr(f"concat('{prefix}', lower(hex({data})))")
 
 
-def filetime_to_timestamp(ticks: Column) -> Column:
+def filetime_to_timestamp(ticks: str) -> Column:
     """100 ns ticks since 1601 to TIMESTAMP. Dividing first keeps dates before 1970 right."""
-    micros = F.call_function("div", ticks, F.lit(10))
-    return F.timestamp_micros(micros - F.lit(FILETIME_EPOCH_MICROS))
+    return F.expr(f"timestamp_micros({ticks} div 10 - {FILETIME_EPOCH_MICROS})")
 
 
-def timestamp_to_filetime(instant: Column) -> Column:
-    return (F.unix_micros(instant) + F.lit(FILETIME_EPOCH_MICROS)) * F.lit(10)
+def timestamp_to_filetime(instant: str) -> Column:
+    return F.expr(f"(unix_micros({instant}) + {FILETIME_EPOCH_MICROS}) * 10")
 
 
-def unix_seconds_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+def unix_seconds_to_timestamp(seconds: str) -> Column:
+    return F.expr(f"timestamp_seconds({seconds})")

@@ -48,6 +48,7 @@ _LEAF, _OPEN, _CLOSE, _TEXT, _SLOT, _INSTANCE, _SPAN = range(7)
 MAX_NESTING = 64
 MAX_WORK = 1 << 24  # characters of output; a step counts as _STEP_COST
 _STEP_COST = 64
+_NO_ATTRIBUTES: list = []
 
 
 def frame_records(chunk: bytes):
@@ -172,6 +173,8 @@ class ChunkDecoder:
         buf = self.buf
         pos += 6 if in_template else 4  # dependency id only in templates; data size unused
         name, pos = self._name(pos)
+        if token & 0x40 == 0 and buf[pos] == CLOSE_START:
+            return name, _NO_ATTRIBUTES, True, pos + 1
         attrs, fixed = [], True
         if token & 0x40:
             list_end = pos + 4 + self._uint(pos, 4)
@@ -209,6 +212,8 @@ class ChunkDecoder:
         at = int.from_bytes(self.buf[pos : pos + 4], "little")
         pos += 4
         entry = self.names.get(at)
+        if entry is not None and at != pos:
+            return entry, pos
         if entry is None:
             size = 2 * self._uint(at + 6, 2)
             if at + 8 + size > len(self.buf):
@@ -260,66 +265,71 @@ class ChunkDecoder:
     # -- filling ---------------------------------------------------------------------------
 
     def _fill(self, steps: list[tuple], values: list | None, frame: list, depth: int):
-        """Runs the steps inside ``frame``: [path prefix, ordinals by label, texts, row, ...]."""
+        """Runs the steps inside ``frame``: [path prefix, ordinals by label, texts, row]."""
         if depth > MAX_NESTING:
             raise BadRecord("fragments nested too deep")
         nodes, stack = self.nodes, []
-        self.work -= _STEP_COST * (len(steps) + 1)
+        prefix, ordinals, texts, row = frame
+        work = self.work - _STEP_COST * (len(steps) + 1)
         for kind, a, b, c in steps:
-            if kind == _LEAF:
+            if kind <= _OPEN:  # a leaf or the start of any other element
                 if type(c) is tuple:
-                    slot, optional = c
-                    c = self._slot(slot, values)
+                    c = self._slot(c[0], values)
                     if type(c) is tuple:  # the slot holds elements: no leaf after all
-                        whole = [(_OPEN, a, b, None), (_SLOT, slot, optional, None), (_CLOSE, None, None, None)]
-                        self._fill(whole, values, frame, depth + 1)
+                        steps_inside = self._steps(*c, False, depth)
+                        whole = [(_OPEN, a, b, None), *steps_inside, (_CLOSE, None, None, None)]
+                        self.work = work
+                        self._fill(whole, values, [prefix, ordinals, texts, row], depth + 1)
+                        work = self.work
                         continue
                     if c is None:
                         c = ""
                 name, label = a
-                ordinals = frame[1]
-                ordinal = ordinals.get(label, 0)
-                ordinals[label] = ordinal + 1
-                if frame[3] < 0:
+                if label in ordinals:
+                    path = f"{prefix}{label}[{ordinals[label]}]"
+                    ordinals[label] += 1
+                else:
+                    path = f"{prefix}{label}[0]"
+                    ordinals[label] = 1
+                if row < 0:
                     self.roots.append(len(nodes))
-                path = f"{frame[0]}{label}[{ordinal}]"
-                self.work -= len(path) + len(c)
-                nodes.append((path, name, self._attributes(b, values) if type(b) is tuple else b, c, True))
-            elif kind == _OPEN:
-                name, label = a
-                ordinals = frame[1]
-                ordinal = ordinals.get(label, 0)
-                ordinals[label] = ordinal + 1
-                row = len(nodes)
-                if frame[3] < 0:
-                    self.roots.append(row)
-                path = f"{frame[0]}{label}[{ordinal}]"
-                self.work -= len(path)
-                attrs = self._attributes(b, values) if type(b) is tuple else b
-                nodes.append((path, name, attrs, "", True))
-                stack.append(frame)
-                frame = [path + "/", {}, [], row]
+                if type(b) is tuple:
+                    b = self._attributes(b, values)
+                    work -= sum(len(value) for _, value in b)
+                work -= len(path)
+                if kind == _OPEN:
+                    stack.append((prefix, ordinals, texts, row))
+                    prefix, ordinals, texts, row = path + "/", {}, [], len(nodes)
+                    nodes.append((path, name, b, "", True))
+                else:
+                    work -= len(c)
+                    nodes.append((path, name, b, c, True))
             elif kind == _CLOSE:
-                row = frame[3]
                 path, name, attrs, _, _ = nodes[row]
-                nodes[row] = (path, name, attrs, "".join(frame[2]), not frame[1])
-                frame = stack.pop()
+                nodes[row] = (path, name, attrs, "".join(texts), not ordinals)
+                prefix, ordinals, texts, row = stack.pop()
             elif kind == _TEXT:
-                self.work -= len(a)
-                frame[2].append(a)
-            elif kind == _SLOT:
-                value = self._slot(a, values)
-                if type(value) is tuple:
-                    self._fill(self._steps(*value, False, depth), values, frame, depth + 1)
-                elif value is not None:
-                    self.work -= len(value)
-                    frame[2].append(value)
-            elif kind == _INSTANCE:
-                self._fill(a, b, frame, depth + 1)
+                work -= len(a)
+                texts.append(a)
             else:
-                self._fill(self._steps(a, b, False, depth), values, frame, depth + 1)
-            if self.work < 0:
+                if kind == _SLOT:
+                    inner, scope = self._slot(a, values), values
+                    if type(inner) is not tuple:
+                        if inner is not None:
+                            work -= len(inner)
+                            texts.append(inner)
+                        continue
+                    inner = self._steps(*inner, False, depth)
+                elif kind == _INSTANCE:
+                    inner, scope = a, b
+                else:
+                    inner, scope = self._steps(a, b, False, depth), values
+                self.work = work
+                self._fill(inner, scope, [prefix, ordinals, texts, row], depth + 1)
+                work = self.work
+            if work < 0:
                 raise BadRecord("record expands without bound")
+        self.work = work
 
     def _slot(self, index: int, values: list | None):
         if values is None:
@@ -336,6 +346,5 @@ class ChunkDecoder:
                     continue
                 if type(value) is not str:
                     value = ""
-            self.work -= _STEP_COST + len(value)
             found.setdefault(name, value)  # the first attribute of a name counts
         return list(found.items())

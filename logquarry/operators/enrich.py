@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.levels import lookup_sql
+
 # Channels with an artifact of their own. All others are Other(channel).
 ARTIFACTS = {
     "Application": "Application",
@@ -32,19 +34,15 @@ CHANNEL_DEFINITIONS = {
 }
 
 
-def _lookup(column: Column, table: dict[str, str]) -> Column:
-    return F.coalesce(*[F.when(column == key, value) for key, value in table.items()])
-
-
-def artifact_of(channel: Column) -> Column:
+def artifact_of(channel: str = "channel") -> Column:
     """Artifact name of a channel; the match is exact and case-sensitive."""
-    other = F.concat(F.lit("Other("), channel, F.lit(")"))
-    return F.concat(F.lit(_PREFIX), F.coalesce(_lookup(channel, ARTIFACTS), other))
+    known = lookup_sql(channel, ARTIFACTS)
+    return F.expr(f"concat('{_PREFIX}', coalesce({known}, concat('Other(', {channel}, ')')))")
 
 
 def classify_channel(records: DataFrame) -> DataFrame:
     """Adds ``artifact``; the channel itself stays as it is."""
-    return records.withColumn("artifact", artifact_of(F.col("channel")))
+    return records.withColumn("artifact", artifact_of("channel"))
 
 
 def with_provenance(
@@ -102,15 +100,15 @@ def enrich(records: DataFrame, host: str, acquisition: str = "ImageRead") -> Dat
     )
 
 
-def channel_definition(channel: Column) -> Column:
+def channel_definition(channel: str = "channel") -> Column:
     """The definition a record's own channel belongs to, NULL if none."""
-    return _lookup(channel, CHANNEL_DEFINITIONS)
+    return F.expr(lookup_sql(channel, CHANNEL_DEFINITIONS))
 
 
 def mismatched_attribution(records: DataFrame) -> DataFrame:
     """Records whose channel belongs to another definition than the path they were found at: renamed
     or planted logs. Undecodable records name no channel and are left out."""
-    by_channel = channel_definition(F.col("channel"))
+    by_channel = channel_definition("channel")
     return records.withColumn("channel_definition", by_channel).where(
         (F.col("channel") != "") & ~F.col("channel_definition").eqNullSafe(F.col("definition"))
     )

@@ -1,15 +1,15 @@
-"""Decoded nodes and raw legacy fields to the columns of one event record."""
+"""Decoded nodes and raw legacy fields to the columns of one event record.
+
+All of it is SQL over the ``nodes`` array: array lookups for the System fields, array functions for
+the event data. Nothing here leaves the JVM.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.binary import (
-    filetime_to_timestamp,
-    hex_encode,
-    unix_seconds_to_timestamp,
-)
-from ..functions.levels import display_event_id, normalise_level, parse_unsigned
+from ..functions.binary import FILETIME_EPOCH_MICROS
+from ..functions.levels import level_sql, parse_unsigned_sql
 
 RECORD_COLUMNS = [
     "record_id", "event_id", "timestamp", "filetime", "provider", "channel", "computer", "level",
@@ -18,147 +18,117 @@ RECORD_COLUMNS = [
 ]
 
 _SYSTEM = "Event[0]/System[0]/"
-_EVENT_DATA = "Event[0]/EventData[0]/"
+_DATA = "Event[0]/EventData[0]/Data["
+_BINARY = "Event[0]/EventData[0]/Binary[0]"
 _USER_DATA = "Event[0]/UserData[0]/"
 
 
-def _node(nodes: Column, field: str, path: str) -> Column:
-    """A field of the node at ``path``; NULL if there is none. Compiles to one array lookup."""
-    at = F.array_position(nodes["path"], path)
-    return F.get(nodes[field], at.cast("int") - 1)
+def _node(field: str, element: str) -> str:
+    """A field of one System child; NULL if there is none. Compiles to one array lookup."""
+    at = f"cast(array_position(nodes.path, '{_SYSTEM}{element}[0]') as int) - 1"
+    return f"get(nodes.{field}, {at})"
+
+
+_SYSTEM_COLUMNS = {
+    "event_id": f"coalesce({parse_unsigned_sql(_node('text', 'EventID'), 0xFFFFFFFF)}, 0L)",
+    "timestamp": f"timestamp_micros(filetime div 10 - {FILETIME_EPOCH_MICROS})",
+    "provider": f"coalesce({_node('attrs', 'Provider')}['Name'], '')",
+    "channel": f"coalesce({_node('text', 'Channel')}, '')",
+    "computer": f"coalesce({_node('text', 'Computer')}, '')",
+    "level": level_sql(_node("text", "Level")),
+    "user_sid": f"{_node('attrs', 'Security')}['UserID']",
+}
+
+# (k, v) of each EventData/Data in order: by its Name, else by its position among them.
+_DATA_TAIL = f"substring(n.path, {len(_DATA) + 1})"
+_EVENT_DATA_PAIRS = f"""concat(
+  transform(
+    filter(nodes, n -> startswith(n.path, '{_DATA}') and instr({_DATA_TAIL}, '/') = 0),
+    n -> struct(
+      concat('winlog.event_data.', coalesce(n.attrs['Name'], rtrim(']', {_DATA_TAIL}))) as k,
+      n.text as v)),
+  transform(
+    filter(nodes, n -> n.path = '{_BINARY}'),
+    n -> struct('winlog.event_data.binary' as k, n.text as v)))"""
+
+# (dotted key, v) of each non-blank leaf under UserData. The escapes of node paths are undone last.
+_DOTTED = rf"replace(regexp_replace(substring(n.path, {len(_USER_DATA) + 1}), r'\[[0-9]+\]', ''), '/', '.')"
+_USER_DATA_PAIRS = rf"""transform(
+  filter(nodes, n -> startswith(n.path, '{_USER_DATA}') and n.is_leaf and n.text rlike r'(?U)\S'),
+  n -> struct(
+    concat('winlog.user_data.',
+      replace(replace(replace({_DOTTED}, '%5B', '['), '%2F', '/'), '%25', '%')) as k,
+    n.text as v))"""
 
+# Of equal keys the last one counts. Rows without duplicates skip the check of every pair.
+_LAST_WINS = """map_from_entries(if(
+  size(array_distinct(_pairs.k)) = size(_pairs),
+  _pairs,
+  filter(_pairs, (x, i) -> not exists(slice(_pairs, i + 2, size(_pairs)), y -> y.k = x.k))))"""
 
-def _system_text(nodes: Column, element: str) -> Column:
-    return _node(nodes, "text", f"{_SYSTEM}{element}[0]")
+
+def _with_sql(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return frame.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+
+
+def _with_data(decoded: DataFrame, pairs: str) -> DataFrame:
+    return _with_sql(_with_sql(decoded, {"_pairs": pairs}), {"data": _LAST_WINS}).drop("_pairs")
 
 
 def map_system(decoded: DataFrame) -> DataFrame:
     """Adds the System fields. Absent ones get defaults, so undecodable records keep their row."""
-    nodes = F.col("nodes")
-    return decoded.withColumns(
-        {
-            "event_id": F.coalesce(parse_unsigned(_system_text(nodes, "EventID"), 0xFFFFFFFF), F.lit(0)),
-            "timestamp": filetime_to_timestamp(F.col("filetime")),
-            "provider": F.coalesce(_node(nodes, "attrs", f"{_SYSTEM}Provider[0]")["Name"], F.lit("")),
-            "channel": F.coalesce(_system_text(nodes, "Channel"), F.lit("")),
-            "computer": F.coalesce(_system_text(nodes, "Computer"), F.lit("")),
-            "level": normalise_level(_system_text(nodes, "Level")),
-            "user_sid": _node(nodes, "attrs", f"{_SYSTEM}Security[0]")["UserID"],
-        }
-    )
-
-
-def _after(path: Column, prefix: str) -> Column:
-    return F.substring(path, F.lit(len(prefix) + 1), F.length(path))
-
-
-def _pair(key: Column, value: Column) -> Column:
-    return F.struct(key.alias("k"), value.alias("v"))
-
-
-def event_data_pairs(nodes: Column) -> Column:
-    """(key, value) of each EventData/Data in order, then of EventData/Binary."""
-    prefix = _EVENT_DATA + "Data["
-    is_data = lambda n: n["path"].startswith(prefix) & (F.instr(_after(n["path"], prefix), "/") == 0)
-    data = F.transform(
-        F.filter(nodes, is_data),
-        lambda n: _pair(
-            F.concat(
-                F.lit("winlog.event_data."),
-                F.coalesce(n["attrs"]["Name"], F.rtrim(_after(n["path"], prefix), F.lit("]"))),
-            ),
-            n["text"],
-        ),
-    )
-    binary = F.transform(
-        F.filter(nodes, lambda n: n["path"] == _EVENT_DATA + "Binary[0]"),
-        lambda n: _pair(F.lit("winlog.event_data.binary"), n["text"]),
-    )
-    return F.concat(data, binary)
-
-
-def user_data_pairs(nodes: Column) -> Column:
-    """(dotted key, value) of each non-blank leaf under UserData."""
-    is_field = lambda n: n["path"].startswith(_USER_DATA) & n["is_leaf"] & n["text"].rlike(r"(?U)\S")
-
-    def key(path: Column) -> Column:
-        dotted = F.replace(
-            F.regexp_replace(_after(path, _USER_DATA), r"\[[0-9]+\]", ""), F.lit("/"), F.lit(".")
-        )
-        for mark in "[/%":  # undo the escapes of node paths
-            dotted = F.replace(dotted, F.lit(f"%{ord(mark):02X}"), F.lit(mark))
-        return F.concat(F.lit("winlog.user_data."), dotted)
-
-    return F.transform(F.filter(nodes, is_field), lambda n: _pair(key(n["path"]), n["text"]))
-
-
-def last_wins(pairs: Column) -> Column:
-    """Map of the pairs; of equal keys the last one counts. Rows without duplicates skip the check
-    of every pair against all later ones."""
-    kept = F.filter(
-        pairs,
-        lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["k"] == x["k"]),
-    )
-    distinct = F.size(F.array_distinct(pairs["k"])) == F.size(pairs)
-    return F.map_from_entries(F.when(distinct, pairs).otherwise(kept))
+    return _with_sql(decoded, _SYSTEM_COLUMNS)
 
 
 def map_event_data(decoded: DataFrame) -> DataFrame:
     """Adds ``data`` with the EventData fields."""
-    return decoded.withColumn("data", last_wins(event_data_pairs(F.col("nodes"))))
+    return _with_data(decoded, _EVENT_DATA_PAIRS)
 
 
 def map_user_data(decoded: DataFrame) -> DataFrame:
     """Adds ``data`` with the UserData fields."""
-    return decoded.withColumn("data", last_wins(user_data_pairs(F.col("nodes"))))
+    return _with_data(decoded, _USER_DATA_PAIRS)
+
+
+_EVTX_NULLS = {
+    "strings": "cast(null as array<string>)",
+    "raw_data": "cast(null as string)",
+    "time_written": "cast(null as timestamp)",
+    "category": "cast(null as int)",
+}
 
 
 def map_event(decoded: DataFrame) -> DataFrame:
     """All record columns of decoded evtx records."""
-    nodes = F.col("nodes")
-    body = F.filter(
-        nodes, lambda n: n["path"].startswith(_EVENT_DATA) | n["path"].startswith(_USER_DATA)
-    )
-    pairs = map_system(decoded).withColumn("_body", body)
-    pairs = pairs.withColumn(
-        "_pairs", F.concat(event_data_pairs(F.col("_body")), user_data_pairs(F.col("_body")))
-    )
-    mapped = pairs.withColumns(
-        {
-            "data": last_wins(F.col("_pairs")),
-            "strings": F.lit(None).cast("array<string>"),
-            "raw_data": F.lit(None).cast("string"),
-            "time_written": F.lit(None).cast("timestamp"),
-            "category": F.lit(None).cast("int"),
-        }
-    )
-    return mapped.drop("nodes", "_body", "_pairs")
+    pairs = {"_pairs": f"concat({_EVENT_DATA_PAIRS}, {_USER_DATA_PAIRS})"}
+    mapped = _with_sql(decoded, {**_SYSTEM_COLUMNS, **pairs})
+    return _with_sql(mapped, {"data": _LAST_WINS, **_EVTX_NULLS}).drop("nodes", "_pairs")
+
+
+_EVT_COLUMNS = {
+    "chunk_index": "0",
+    "record_id": "evt.record_number",
+    "event_id": "evt.event_id_raw & 65535",
+    "timestamp": "timestamp_seconds(evt.time_generated)",
+    "filetime": "cast(null as bigint)",
+    "provider": "evt.source",
+    "computer": "evt.computer",
+    "level": level_sql("evt.event_type", "evt"),
+    "user_sid": "evt.user_sid",
+    "data": "cast(map() as map<string,string>)",
+    "strings": "if(size(evt.strings) > 0, evt.strings, null)",
+    "raw_data": "nullif(lower(hex(evt.data)), '')",
+    "time_written": "timestamp_seconds(evt.time_written)",
+    "category": "evt.category",
+    "file_checksum_valid": "cast(null as boolean)",
+    "chunk_checksum_valid": "cast(null as boolean)",
+    "decode_error": "cast(null as string)",
+}
 
 
 def map_evt(raw: DataFrame) -> DataFrame:
     """All record columns of raw legacy records; ``channel`` comes with the file."""
-    evt = F.col("evt")
-    return raw.withColumns(
-        {
-            "chunk_index": F.lit(0),
-            "record_id": evt["record_number"],
-            "event_id": display_event_id(evt["event_id_raw"]),
-            "timestamp": unix_seconds_to_timestamp(evt["time_generated"]),
-            "filetime": F.lit(None).cast("bigint"),
-            "provider": evt["source"],
-            "computer": evt["computer"],
-            "level": normalise_level(evt["event_type"], "evt"),
-            "user_sid": evt["user_sid"],
-            "data": F.create_map().cast("map<string,string>"),
-            "strings": F.when(F.size(evt["strings"]) > 0, evt["strings"]),
-            "raw_data": F.nullif(hex_encode(evt["data"], ""), F.lit("")),
-            "time_written": unix_seconds_to_timestamp(evt["time_written"]),
-            "category": evt["category"],
-            "file_checksum_valid": F.lit(None).cast("boolean"),
-            "chunk_checksum_valid": F.lit(None).cast("boolean"),
-            "decode_error": F.lit(None).cast("string"),
-        }
-    ).drop("evt")
+    return _with_sql(raw, _EVT_COLUMNS).drop("evt")
 
 
 def record_columns(mapped: DataFrame, carried: list[str]) -> DataFrame:

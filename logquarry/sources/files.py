@@ -10,13 +10,14 @@ from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.binary import u32
+from ..functions.binary import u32_sql
+from ..functions.levels import lookup_sql
 from .storage import FileCursor, repeat_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Fixed values of the formats.
-EVTX_FILE_MAGIC = b"ElfFile\0"
+# Fixed values of the formats. The magic is the text ElfFile and a NUL.
+EVTX_FILE_MAGIC_HEX = "456C6646696C6500"
 EVTX_HEADER_SIZE = 4096
 EVTX_CHUNK_SIZE = 65536
 EVT_HEADER_SIZE = 48
@@ -63,22 +64,20 @@ def list_roots(spark: SparkSession, roots: Sequence[str]) -> tuple[DataFrame, Da
     return listing, spark.createDataFrame(failed, ERROR_SCHEMA)
 
 
-def _format_of(head: Column) -> Column:
-    evt = (
-        (F.octet_length(head) >= EVT_HEADER_SIZE)
-        & (u32(head, 0) == EVT_HEADER_SIZE)
-        & (u32(head, 4) == EVT_SIGNATURE)
-    )
-    return F.when(F.substring(head, 1, 8) == F.lit(EVTX_FILE_MAGIC), "evtx").when(evt, "evt")
+def _format_sql(head: str) -> str:
+    return f"""case
+      when substring({head}, 1, 8) = X'{EVTX_FILE_MAGIC_HEX}' then 'evtx'
+      when octet_length({head}) >= {EVT_HEADER_SIZE} and {u32_sql(head, 0)} = {EVT_HEADER_SIZE}
+        and {u32_sql(head, 4)} = {EVT_SIGNATURE} then 'evt'
+    end"""
 
 
 def detect_format(files: DataFrame) -> DataFrame:
     """Adds ``format`` (evtx, evt or NULL) from the first bytes, never from the file name."""
-    source = "head" if "head" in files.columns else "content"
-    if source == "head":
-        return files.withColumn("format", _format_of(F.col("head")))
+    if "head" in files.columns:
+        return files.withColumn("format", F.expr(_format_sql("head")))
     probe = files.withColumn("_probe", F.substring("content", 1, EVT_HEADER_SIZE))
-    return probe.withColumn("format", _format_of(F.col("_probe"))).drop("_probe")
+    return probe.withColumn("format", F.expr(_format_sql("_probe"))).drop("_probe")
 
 
 def heads_of(files: DataFrame) -> DataFrame:
@@ -225,5 +224,6 @@ def with_channel(files: DataFrame, channel: str | None = None) -> DataFrame:
     if channel is not None:
         return files.withColumn("channel", F.lit(channel))
     name = F.lower(base_name(F.col("path")))
-    by_name = F.coalesce(*[F.when(name == file, value) for file, value in EVT_CHANNELS.items()])
-    return files.withColumn("channel", F.coalesce(by_name, F.lit("")))
+    by_name = F.expr(lookup_sql("_name", EVT_CHANNELS))
+    named = files.withColumn("_name", name)
+    return named.withColumn("channel", F.coalesce(by_name, F.lit(""))).drop("_name")

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.binary import flag, u16, u32, u32_array, u64
+from ..functions.binary import flag, u16, u32, u32_array, u32_sql, u64
 from .files import EVTX_CHUNK_SIZE, EVTX_HEADER_SIZE, EVT_HEADER_SIZE, detect_format
 
-# Fixed values of the formats.
-EVTX_CHUNK_MAGIC = b"ElfChnk\0"
+# Fixed values of the formats. The magic is the text ElfChnk and a NUL.
+EVTX_CHUNK_MAGIC_HEX = "456C6643686E6B00"
 CHUNK_HEADER_SIZE = 512
 FLAG_DIRTY = 0x1
 FLAG_FULL = 0x2
 EVT_FLAG_WRAP = 0x2
 EVT_FLAG_ARCHIVED = 0x8
 
+_EVTX_READABLE = f"format = 'evtx' and octet_length(head) = {EVTX_HEADER_SIZE}"
+_EVT_READABLE = f"format = 'evt' and {u32_sql('head', 44)} = {EVT_HEADER_SIZE}"
+_FILE_CHECKSUM = f"crc32(substring(head, 1, 120)) = {u32_sql('head', 124)}"
+
 
 def _with_head(files: DataFrame) -> DataFrame:
     if "head" in files.columns:
@@ -26,18 +30,10 @@ def _file_columns(files: DataFrame) -> list[str]:
     return [c for c in files.columns if c not in ("content", "head", "read_error", "modificationTime", "format")]
 
 
-def _evtx_readable():
-    return (F.col("format") == "evtx") & (F.octet_length("head") == EVTX_HEADER_SIZE)
-
-
-def _evt_readable():
-    return (F.col("format") == "evt") & (u32(F.col("head"), 44) == EVT_HEADER_SIZE)
-
-
 def evtx_log_headers(files: DataFrame) -> DataFrame:
     """Header fields of every readable evtx file. A wrong checksum is a flag, not an error."""
-    head = F.col("head")
-    return detect_format(_with_head(files)).where(_evtx_readable()).select(
+    head, flags = "head", u32_sql("head", 120)
+    return detect_format(_with_head(files)).where(_EVTX_READABLE).select(
         *_file_columns(files),
         u64(head, 8).alias("first_chunk_number"),
         u64(head, 16).alias("last_chunk_number"),
@@ -47,19 +43,18 @@ def evtx_log_headers(files: DataFrame) -> DataFrame:
         u16(head, 38).alias("major_version"),
         u16(head, 40).alias("header_block_size"),
         u16(head, 42).alias("chunk_count"),
-        u32(head, 120).alias("flags"),
-        flag(u32(head, 120), FLAG_DIRTY).alias("is_dirty"),
-        flag(u32(head, 120), FLAG_FULL).alias("is_full"),
+        F.expr(flags).alias("flags"),
+        flag(flags, FLAG_DIRTY).alias("is_dirty"),
+        flag(flags, FLAG_FULL).alias("is_full"),
         u32(head, 124).alias("checksum"),
-        (F.crc32(F.substring(head, 1, 120)) == u32(head, 124)).alias("checksum_valid"),
+        F.expr(_FILE_CHECKSUM).alias("checksum_valid"),
     )
 
 
 def evt_log_headers(files: DataFrame) -> DataFrame:
     """Header fields of every readable legacy file."""
-    head = F.col("head")
-    flags = u32(head, 36)
-    return detect_format(_with_head(files)).where(_evt_readable()).select(
+    head, flags = "head", u32_sql("head", 36)
+    return detect_format(_with_head(files)).where(_EVT_READABLE).select(
         *_file_columns(files),
         u32(head, 8).alias("major_version"),
         u32(head, 12).alias("minor_version"),
@@ -68,7 +63,7 @@ def evt_log_headers(files: DataFrame) -> DataFrame:
         u32(head, 24).alias("last_record_number"),
         u32(head, 28).alias("first_record_number"),
         u32(head, 32).alias("max_size"),
-        flags.alias("flags"),
+        F.expr(flags).alias("flags"),
         flag(flags, FLAG_DIRTY).alias("is_dirty"),
         flag(flags, EVT_FLAG_WRAP).alias("is_wrapped"),
         flag(flags, EVT_FLAG_ARCHIVED).alias("is_archived"),
@@ -78,46 +73,44 @@ def evt_log_headers(files: DataFrame) -> DataFrame:
 
 def readable_evtx(files: DataFrame) -> DataFrame:
     """evtx files whose header parses, with ``format`` and ``file_checksum_valid`` added."""
-    head = F.col("head")
-    valid = F.crc32(F.substring(head, 1, 120)) == u32(head, 124)
     return (
         detect_format(_with_head(files))
-        .where(_evtx_readable())
-        .withColumn("file_checksum_valid", valid)
+        .where(_EVTX_READABLE)
+        .withColumn("file_checksum_valid", F.expr(_FILE_CHECKSUM))
         .drop("head", "read_error")
     )
 
 
 def readable_evt(files: DataFrame) -> DataFrame:
     """Legacy files whose header parses, with ``format`` added."""
-    return detect_format(_with_head(files)).where(_evt_readable()).drop("head", "read_error")
+    return detect_format(_with_head(files)).where(_EVT_READABLE).drop("head", "read_error")
 
 
 def header_errors(files: DataFrame) -> DataFrame:
     """One row for each file that cannot be read as a log: unreadable, no log, or a bad header."""
-    return _errors(files, {"evtx", "evt"})
+    return _errors(files, ("evtx", "evt"))
 
 
 def evtx_errors(files: DataFrame) -> DataFrame:
     """Same where only evtx logs are expected: any other file is an error."""
-    return _errors(files, {"evtx"})
+    return _errors(files, ("evtx",))
 
 
-def _errors(files: DataFrame, expected: set[str]) -> DataFrame:
-    head, fmt = F.col("head"), F.col("format")
+def _errors(files: DataFrame, expected: tuple[str, ...]) -> DataFrame:
     probed = detect_format(_with_head(files))
-    failed = F.col("read_error") if "read_error" in probed.columns else F.lit(None).cast("string")
-    message = (
-        F.when(failed.isNotNull(), failed)
-        .when(fmt.isNull() | ~fmt.isin(*expected), "not an event log")
-        .when((fmt == "evtx") & (F.octet_length(head) < EVTX_HEADER_SIZE), "file is shorter than its header")
-        .when((fmt == "evt") & (u32(head, 44) != EVT_HEADER_SIZE), "file header size copies differ")
-    )
-    return probed.select(
+    failed = "read_error" if "read_error" in probed.columns else "cast(null as string)"
+    known = ", ".join(f"'{name}'" for name in expected)
+    message = f"""case
+      when {failed} is not null then {failed}
+      when format is null or format not in ({known}) then 'not an event log'
+      when format = 'evtx' and octet_length(head) < {EVTX_HEADER_SIZE} then 'file is shorter than its header'
+      when format = 'evt' and {u32_sql('head', 44)} != {EVT_HEADER_SIZE} then 'file header size copies differ'
+    end"""
+    return probed.selectExpr(
         "path",
-        F.when(failed.isNotNull(), "read").otherwise("header").alias("stage"),
-        F.concat(F.col("path"), F.lit(": "), message).alias("message"),
-    ).where(F.col("message").isNotNull())
+        f"if({failed} is not null, 'read', 'header') as stage",
+        f"concat(path, ': ', {message}) as message",
+    ).where("message is not null")
 
 
 def _chunk_header(chunks: DataFrame) -> DataFrame:
@@ -125,33 +118,29 @@ def _chunk_header(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("_header", F.substring("chunk", 1, CHUNK_HEADER_SIZE))
 
 
-def _events_checksum_valid():
-    free = u32(F.col("_header"), 48)
-    span = F.substring(F.col("chunk"), F.lit(CHUNK_HEADER_SIZE + 1), (free - CHUNK_HEADER_SIZE).cast("int"))
-    in_range = (free >= CHUNK_HEADER_SIZE) & (free <= EVTX_CHUNK_SIZE)
-    return F.when(in_range, F.crc32(span) == u32(F.col("_header"), 52)).otherwise(False)
-
+_FREE = u32_sql("_header", 48)
+_EVENTS_CHECKSUM = f"""if({_FREE} between {CHUNK_HEADER_SIZE} and {EVTX_CHUNK_SIZE},
+  crc32(substring(chunk, {CHUNK_HEADER_SIZE + 1}, cast({_FREE} - {CHUNK_HEADER_SIZE} as int)))
+    = {u32_sql('_header', 52)},
+  false)"""
+_HEADER_CHECKSUM = f"""crc32(concat(substring(_header, 1, 120), substring(_header, 129, {CHUNK_HEADER_SIZE - 128})))
+  = {u32_sql('_header', 124)}"""
 
-def _header_checksum_valid():
-    head = F.col("_header")
-    covered = F.concat(F.substring(head, 1, 120), F.substring(head, 129, CHUNK_HEADER_SIZE - 128))
-    return F.crc32(covered) == u32(head, 124)
 
-
-def _is_written():
-    return F.substring(F.col("_header"), 1, 8) == F.lit(EVTX_CHUNK_MAGIC)
+def _written(column: str) -> Column:
+    return F.expr(f"substring({column}, 1, 8) = X'{EVTX_CHUNK_MAGIC_HEX}'")
 
 
 def skip_unwritten(chunks: DataFrame) -> DataFrame:
     """Drops slots that were allocated but never written."""
-    return chunks.where(F.substring("chunk", 1, 8) == F.lit(EVTX_CHUNK_MAGIC))
+    return chunks.where(_written("chunk"))
 
 
 def chunk_headers(chunks: DataFrame) -> DataFrame:
     """Header fields and both checksums of every written chunk."""
-    head = F.col("_header")
+    head = "_header"
     carried = [c for c in chunks.columns if c != "chunk"]
-    return _chunk_header(chunks).where(_is_written()).select(
+    return _chunk_header(chunks).where(_written(head)).select(
         *carried,
         u64(head, 8).alias("first_record_number"),
         u64(head, 16).alias("last_record_number"),
@@ -160,10 +149,10 @@ def chunk_headers(chunks: DataFrame) -> DataFrame:
         u32(head, 44).alias("last_record_offset"),
         u32(head, 48).alias("free_space_offset"),
         u32(head, 52).alias("events_checksum"),
-        _events_checksum_valid().alias("events_checksum_valid"),
+        F.expr(_EVENTS_CHECKSUM).alias("events_checksum_valid"),
         u32(head, 120).alias("flags"),
         u32(head, 124).alias("header_checksum"),
-        _header_checksum_valid().alias("header_checksum_valid"),
+        F.expr(_HEADER_CHECKSUM).alias("header_checksum_valid"),
         u32_array(head, 128, 64).alias("name_buckets"),
         u32_array(head, 384, 32).alias("template_buckets"),
     )
@@ -171,14 +160,11 @@ def chunk_headers(chunks: DataFrame) -> DataFrame:
 
 def flag_integrity(chunks: DataFrame) -> DataFrame:
     """Written chunks with ``chunk_checksum_valid``; bad chunks are flagged and kept."""
-    return (
-        _chunk_header(chunks)
-        .where(_is_written())
-        .withColumn("chunk_checksum_valid", _events_checksum_valid() & _header_checksum_valid())
-        .drop("_header")
-    )
+    valid = F.expr(f"{_EVENTS_CHECKSUM} and {_HEADER_CHECKSUM}")
+    flagged = _chunk_header(chunks).where(_written("_header"))
+    return flagged.withColumn("chunk_checksum_valid", valid).drop("_header")
 
 
 def slot_states(chunks: DataFrame) -> DataFrame:
     """Adds ``is_written`` to every slot."""
-    return _chunk_header(chunks).withColumn("is_written", _is_written()).drop("_header")
+    return chunks.withColumn("is_written", _written("chunk"))

@@ -274,7 +274,7 @@ def s8_frame_records(spark, sf):
         F.col("chunk_index").cast("bigint").alias("chunk_index"),
         F.col("record_index").cast("bigint").alias("record_index"),
         "record_id",
-        filetime_to_timestamp(F.col("filetime")).cast("timestamp_ntz").alias("timestamp"),
+        filetime_to_timestamp("filetime").cast("timestamp_ntz").alias("timestamp"),
     )
 
 
@@ -386,8 +386,8 @@ def d2_hostile_records(spark, sf):
 
 
 @check(f"""{EV} SELECT path, max(chunk_index) + 1 AS chunk_count, max(chunk_index) AS last_chunk_number,
-  max(record_id) + 1 AS next_record_id, 128 AS header_size, 3 AS major_version, 1 AS minor_version,
-  4096 AS header_block_size, TRUE AS is_dirty, FALSE AS is_full, TRUE AS checksum_valid FROM ev GROUP BY path""")
+  max(record_id) + 1 AS next_record_id, CAST(128 AS BIGINT) AS header_size, CAST(3 AS BIGINT) AS major_version, CAST(1 AS BIGINT) AS minor_version,
+  CAST(4096 AS BIGINT) AS header_block_size, TRUE AS is_dirty, FALSE AS is_full, TRUE AS checksum_valid FROM ev GROUP BY path""")
 def h1_evtx_log_headers(spark, sf):
     headers = lq.evtx_log_headers(evtx_logs(events(spark, sf), "dirty"))
     numbers = ("chunk_count", "last_chunk_number", "next_record_id", "header_size", "major_version",
@@ -397,9 +397,9 @@ def h1_evtx_log_headers(spark, sf):
     )
 
 
-@check(f"""{EVT} SELECT path, 1 AS major_version, 1 AS minor_version, 4096 AS start_offset, 48 AS end_offset,
+@check(f"""{EVT} SELECT path, CAST(1 AS BIGINT) AS major_version, CAST(1 AS BIGINT) AS minor_version, CAST(4096 AS BIGINT) AS start_offset, CAST(48 AS BIGINT) AS end_offset,
   min(record_id) AS first_record_number, min(record_id) + count(*) - 1 AS last_record_number,
-  2 AS flags, FALSE AS is_dirty, TRUE AS is_wrapped, FALSE AS is_archived FROM evt GROUP BY path""")
+  CAST(2 AS BIGINT) AS flags, FALSE AS is_dirty, TRUE AS is_wrapped, FALSE AS is_archived FROM evt GROUP BY path""")
 def h2_evt_log_headers(spark, sf):
     headers = lq.evt_log_headers(evt_logs(events(spark, sf), "wrapped"))
     return headers.select(
@@ -409,9 +409,9 @@ def h2_evt_log_headers(spark, sf):
 
 
 @check(f"""{EV} SELECT path, chunk_index, min(record_id) AS first_record_id, max(record_id) AS last_record_id,
-  chunk_index * 60 + 1 AS first_record_number, chunk_index * 60 + count(*) AS last_record_number, 0 AS flags,
-  chunk_index % 2 = 0 AS events_checksum_valid, TRUE AS header_checksum_valid, 64 AS name_buckets,
-  32 AS template_buckets, 1 AS used_templates FROM ev GROUP BY path, chunk_index""")
+  chunk_index * 60 + 1 AS first_record_number, chunk_index * 60 + count(*) AS last_record_number, CAST(0 AS BIGINT) AS flags,
+  chunk_index % 2 = 0 AS events_checksum_valid, TRUE AS header_checksum_valid, CAST(64 AS BIGINT) AS name_buckets,
+  CAST(32 AS BIGINT) AS template_buckets, CAST(1 AS BIGINT) AS used_templates FROM ev GROUP BY path, chunk_index""")
 def h3_chunk_headers(spark, sf):
     headers = lq.chunk_headers(lq.split_chunks(evtx_logs(events(spark, sf), "templated", "bad_checksums")))
     numbers = ("chunk_index", "first_record_id", "last_record_id", "first_record_number", "last_record_number", "flags")
@@ -458,7 +458,7 @@ def flat_audit(audit: DataFrame) -> DataFrame:
 
 
 @check(f"""{EV} SELECT path, max(chunk_index) + 2 AS chunk_count_declared, max(chunk_index) + 2 AS slots_by_length,
-  max(chunk_index) + 1 AS slots_parsed, 1 AS slots_skipped, 0 AS truncated_bytes, count(*) AS records,
+  max(chunk_index) + 1 AS slots_parsed, CAST(1 AS BIGINT) AS slots_skipped, CAST(0 AS BIGINT) AS truncated_bytes, count(*) AS records,
   CAST(sum(CASE WHEN record_id % 50 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS decode_errors,
   TRUE AS is_dirty, FALSE AS is_full, TRUE AS is_incomplete FROM ev GROUP BY path""")
 def h6_log_audit(spark, sf):
@@ -467,16 +467,16 @@ def h6_log_audit(spark, sf):
 
 
 @check(f"""{EV} SELECT path, max(chunk_index) + 1 AS chunk_count_declared, max(chunk_index) AS slots_by_length,
-  max(chunk_index) AS slots_parsed, 0 AS slots_skipped, 35536 AS truncated_bytes,
+  max(chunk_index) AS slots_parsed, CAST(0 AS BIGINT) AS slots_skipped, CAST(35536 AS BIGINT) AS truncated_bytes,
   CAST(sum(CASE WHEN chunk_index * 60 < ((in_log - 1) // 60) * 60 THEN 1 ELSE 0 END) AS BIGINT) AS records,
-  0 AS decode_errors, FALSE AS is_dirty, FALSE AS is_full, TRUE AS is_incomplete FROM ev GROUP BY path""")
+  CAST(0 AS BIGINT) AS decode_errors, FALSE AS is_dirty, FALSE AS is_full, TRUE AS is_incomplete FROM ev GROUP BY path""")
 def h6_log_audit_truncated(spark, sf):
     """Logs cut inside their last chunk: its records are missing, and the audit says so."""
     return flat_audit(lq.log_audit(evtx_logs(events(spark, sf), "cut")))
 
 
 @check(f"""{EVT} SELECT path, FALSE AS is_dirty, TRUE AS is_wrapped, FALSE AS is_archived, TRUE AS end_before_start,
-  0 AS records_declared, 0 AS records FROM evt GROUP BY path""")
+  CAST(0 AS BIGINT) AS records_declared, CAST(0 AS BIGINT) AS records FROM evt GROUP BY path""")
 def h6_evt_audit(spark, sf):
     return lq.evt_audit(evt_logs(events(spark, sf), "wrapped")).select(
         "path", "is_dirty", "is_wrapped", "is_archived", "end_before_start",
@@ -501,7 +501,7 @@ def p1_map_system(spark, sf):
 
 
 @check(f"""{EV} SELECT record_id, cents AS a, props AS unnamed, '0x' || printf('%08x', record_id) AS "binary",
-  3 AS fields FROM ev""")
+  CAST(3 AS BIGINT) AS fields FROM ev""")
 def p2_map_event_data(spark, sf):
     """A repeated name keeps the last value; a Data without name gets its position."""
     data = F.col("data")
@@ -514,7 +514,7 @@ def p2_map_event_data(spark, sf):
     )
 
 
-@check(f"{EV} SELECT record_id, k, 1 AS fields FROM ev")
+@check(f"{EV} SELECT record_id, k, CAST(1 AS BIGINT) AS fields FROM ev")
 def p3_map_user_data(spark, sf):
     data = F.col("data")
     return lq.map_user_data(decoded(spark, sf, "templated")).select(
@@ -533,20 +533,20 @@ def p4_map_evt(spark, sf):
 def p5_normalise_level(spark, sf):
     return events(spark, sf).select(
         "event_id",
-        normalise_level((F.col("event_id") % 7).cast("string")).alias("evtx_level"),
-        normalise_level(F.pow(F.lit(2), F.col("event_id") % 5).cast("int"), "evt").alias("evt_level"),
+        normalise_level("cast(event_id % 7 as string)").alias("evtx_level"),
+        normalise_level("shiftleft(1, cast(event_id % 5 as int))", "evt").alias("evt_level"),
     )
 
 
 @check("SELECT event_id, (4624 + event_id) % 65536 AS shown_id FROM events")
 def p6_display_event_id(spark, sf):
-    raw = F.lit(0x40000000) + F.lit(4624) + F.col("event_id")
-    return events(spark, sf).select("event_id", display_event_id(raw.cast("bigint")).alias("shown_id"))
+    raw = f"{0x40000000 + 4624} + event_id"
+    return events(spark, sf).select("event_id", display_event_id(raw).alias("shown_id"))
 
 
 @check("""SELECT event_id, '0x' || lower(hex(props)) AS evtx_hex, lower(hex(props)) AS evt_hex FROM events""")
 def p7_hex_encode(spark, sf):
-    data = F.col("props").cast("binary")
+    data = "cast(props as binary)"
     return events(spark, sf).select(
         "event_id", hex_encode(data).alias("evtx_hex"), hex_encode(data, "").alias("evt_hex")
     )
@@ -554,11 +554,15 @@ def p7_hex_encode(spark, sf):
 
 @check("SELECT event_id, ts AS from_filetime, date_trunc('second', ts) AS from_seconds FROM events")
 def p8_to_timestamp(spark, sf):
-    instant = F.col("ts").cast("timestamp")
-    return events(spark, sf).select(
+    timed = events(spark, sf).select(
+        "event_id",
+        timestamp_to_filetime("cast(ts as timestamp)").alias("ticks"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("seconds"),
+    )
+    return timed.select(
         "event_id",
-        filetime_to_timestamp(timestamp_to_filetime(instant)).cast("timestamp_ntz").alias("from_filetime"),
-        unix_seconds_to_timestamp(F.unix_seconds(instant)).cast("timestamp_ntz").alias("from_seconds"),
+        filetime_to_timestamp("ticks").cast("timestamp_ntz").alias("from_filetime"),
+        unix_seconds_to_timestamp("seconds").cast("timestamp_ntz").alias("from_seconds"),
     )
 
 
@@ -762,7 +766,7 @@ def o1_canonical_order(spark, sf):
     )
 
 
-@check(f"""{EV} SELECT 0 AS part, count(*) AS items FROM (
+@check(f"""{EV} SELECT CAST(0 AS BIGINT) AS part, count(*) AS items FROM (
     SELECT DISTINCT path FROM ev WHERE channel = 'System' UNION ALL SELECT DISTINCT path FROM ev WHERE channel = 'System')
 UNION ALL SELECT 1, 2 * count(*) FROM ev""")
 def u1_errors_ahead_of_records(spark, sf):

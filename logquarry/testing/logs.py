@@ -78,7 +78,7 @@ def event_records(events: DataFrame) -> DataFrame:
         "provider",
         "channel",
         "computer",
-        normalise_level(F.col("level_text")).alias("level"),
+        normalise_level("level_text").alias("level"),
         "level_text",
         "user_sid",
         F.create_map(
@@ -249,7 +249,7 @@ def evtx_logs(events: DataFrame, *variant: str) -> DataFrame:
     options = frozenset(variant)
     rows = events.select(
         *[c.alias(n) for n, c in _event_columns().items() if n != "timestamp"],
-        timestamp_to_filetime(F.col("ts").cast("timestamp")).alias("filetime"),
+        timestamp_to_filetime("cast(ts as timestamp)").alias("filetime"),
     )
 
     def encode(group: pd.DataFrame) -> pd.DataFrame:
