@@ -102,6 +102,11 @@ class ChunkDecoder:
             del nodes[first : self.roots[wanted]]
         return None
 
+    @property
+    def work_done(self) -> int:
+        """Work of the last record: grows with the text it gave."""
+        return MAX_WORK - self.work
+
     # -- reading ---------------------------------------------------------------------------
 
     def _uint(self, pos: int, width: int) -> int:

@@ -14,8 +14,10 @@ from ..sources.files import (
     list_logs,
     list_roots,
     read_chunks,
+    range_partitions,
     read_heads,
     split_chunks,
+    task_count,
     with_channel,
 )
 from ..sources.headers import (
@@ -66,9 +68,10 @@ def read_stored_records(
 ) -> DataFrame:
     """Records of stored logs, given ``read_heads`` of their listing. Reads byte ranges: no log
     travels through a shuffle and one huge log is shared by many tasks."""
+    partitions = partitions or range_partitions(heads.sparkSession)
     evtx = records_of_chunks(read_chunks(readable_evtx(heads), partitions))
     logs = with_channel(readable_evt(heads), channel).drop("length", "modificationTime")
-    evt = record_columns(map_evt(decode_evt(logs)), _carried(logs))
+    evt = record_columns(map_evt(decode_evt(logs.repartition(partitions))), _carried(logs))
     return log_files_union(evtx, evt)
 
 
@@ -91,12 +94,6 @@ def scan_logs(
     )
 
 
-def task_count(listing: DataFrame, bytes_per_task: int = 128 << 20) -> int:
-    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    cores = listing.sparkSession.sparkContext.defaultParallelism
-    return max(cores, -(-int(total) // bytes_per_task))
-
-
 def collect_logs(
     spark: SparkSession,
     roots: Sequence[str],
@@ -114,7 +111,7 @@ def collect_logs(
     patterns, pattern_errors = expand_patterns(catalog, system_root)
     located = locate_logs(listing, patterns)
     heads = read_heads(located)
-    tasks = task_count(listing, bytes_per_task)
+    tasks = task_count(located, bytes_per_task)
     records = records_of_chunks(read_chunks(readable_evtx(heads), tasks))
     errors = root_errors.unionByName(pattern_errors).unionByName(evtx_errors(heads))
     return enrich(records, host, acquisition), errors

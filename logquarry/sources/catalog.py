@@ -67,26 +67,29 @@ def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None
         "definition", "location", F.substring_index("location", "/", -1).alias("_name")
     )
     lowered = F.translate(F.lower("path"), "\\", "/")
+    carried = [c for c in listing.columns if c != "path"]
     named = listing.select(
         "path",
+        F.struct(*carried, F.lit(True).alias("_listed")).alias("_file"),
         (evidence if evidence is not None else F.lit("")).alias("_evidence"),
         F.lower(base_name(F.col("path"))).alias("_name"),
         F.concat(F.lit("/"), F.ltrim(lowered, F.lit("/"))).alias("_lower"),
     )
     matches = named.join(patterns, "_name").select(
         "path",
+        "_file",
         "_evidence",
         "definition",
-        F.col("_lower").endswith(F.concat(F.lit("/"), F.col("location"))).alias("_at_location"),
+        F.expr("endswith(_lower, concat('/', location))").alias("_at_location"),
     )
     placed = matches.where("_at_location").select("_evidence", "definition").distinct()
-    placed = placed.withColumn("_placed", F.lit(True))
-    kept = matches.join(placed, ["_evidence", "definition"], "left").where(
-        F.col("_at_location") | F.col("_placed").isNull()
+    kept = matches.join(placed.withColumn("_placed", F.lit(True)), ["_evidence", "definition"], "left").where(
+        "_at_location or _placed is null"
     )
-    located_by = F.when(F.col("_at_location"), "location").otherwise("file_name")
+    # From here on only files some definition names are left; the rest is never shuffled.
+    located_by = F.expr("if(_at_location, 'location', 'file_name')").alias("located_by")
     first = kept.groupBy("path").agg(
-        F.min(F.struct("definition", (~F.col("_at_location")).alias("_by_name"), located_by.alias("located_by"))).alias("_first")
+        F.min(F.struct("definition", F.expr("not _at_location").alias("_by_name"), located_by)).alias("_first"),
+        F.any_value("_file").alias("_file"),
     )
-    found = first.select("path", "_first.definition", "_first.located_by")
-    return listing.dropDuplicates(["path"]).join(found, "path")
+    return first.select("path", *[F.col(f"_file.{c}") for c in carried], "_first.definition", "_first.located_by")

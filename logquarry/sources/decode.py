@@ -48,6 +48,8 @@ EVT_TYPE = T.StructType(
 
 _TEXT = pa.string()
 _ROWS_PER_BATCH = 4096
+_WORK_PER_BATCH = 1 << 26  # bounds the memory of a batch of unusually large records
+_BYTES_PER_BATCH = 1 << 25
 _LARGEST_SIGNED = (1 << 63) - 1
 
 
@@ -84,19 +86,14 @@ def decode_chunks(chunks: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             keep, column = batch.select(names), batch.column("chunk")
-            rows, indexes, ids, times, errors = [], [], [], [], []
-            nodes, offsets = [], [0]
+            found, nodes, offsets, size = [], [], [0], 0
 
             def flush():
+                rows, *columns = zip(*found)
+                kinds = (pa.int32(), pa.int64(), pa.int64(), _TEXT)
+                *headers, errors = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
                 return pa.RecordBatch.from_arrays(
-                    [
-                        *repeat_rows(keep, rows),
-                        pa.array(indexes, pa.int32()),
-                        pa.array(ids, pa.int64()),
-                        pa.array(times, pa.int64()),
-                        _node_array(nodes, offsets),
-                        pa.array(errors, _TEXT),
-                    ],
+                    [*repeat_rows(keep, rows), *headers, _node_array(nodes, offsets), errors],
                     names=[*names, "record_index", "record_id", "filetime", "nodes", "decode_error"],
                 )
 
@@ -107,17 +104,16 @@ def decode_chunks(chunks: DataFrame) -> DataFrame:
                     error = decoder.decode(start, end)
                     if record_id > _LARGEST_SIGNED or ticks > _LARGEST_SIGNED:
                         error = error or f"header value out of range: id {record_id}, time {ticks}"
-                    rows.append(row)
-                    indexes.append(index)
-                    ids.append(record_id if record_id <= _LARGEST_SIGNED else None)
-                    times.append(ticks if ticks <= _LARGEST_SIGNED else None)
-                    errors.append(error)
+                        record_id = record_id if record_id <= _LARGEST_SIGNED else None
+                        ticks = ticks if ticks <= _LARGEST_SIGNED else None
+                    found.append((row, index, record_id, ticks, error))
                     offsets.append(len(nodes))
-                if len(rows) >= _ROWS_PER_BATCH:
-                    yield flush()
-                    rows, indexes, ids, times, errors = [], [], [], [], []
-                    nodes, offsets = [], [0]
-            if rows:
+                    size += decoder.work_done
+                    if len(found) >= _ROWS_PER_BATCH or size > _WORK_PER_BATCH:
+                        yield flush()
+                        nodes.clear()
+                        found, offsets, size = [], [0], 0
+            if found:
                 yield flush()
 
     schema = T.StructType(
@@ -206,14 +202,14 @@ def decode_evt(files: DataFrame) -> DataFrame:
                 if data is None:
                     with open_file(path) as file:
                         data = file.read()
-                pending = []
-                start = 0
-                for record in evt_records(data):
+                pending, start, held_bytes = [], 0, 0
+                for record, size in evt_records(data):
                     pending.append(record)
-                    if len(pending) == _ROWS_PER_BATCH:
+                    held_bytes += size
+                    if len(pending) == _ROWS_PER_BATCH or held_bytes > _BYTES_PER_BATCH:
                         yield _evt_batch(keep, row, start, pending, names)
                         start += len(pending)
-                        pending = []
+                        pending, held_bytes = [], 0
                 if pending:
                     yield _evt_batch(keep, row, start, pending, names)
 

@@ -33,8 +33,13 @@ def _reader(spark: SparkSession, glob: str | None):
 
 
 def list_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """(path, length, modificationTime). Column pruning keeps file contents unread."""
-    return _reader(spark, glob).load(path).select("path", "length", "modificationTime")
+    """(path, length, modificationTime). Column pruning keeps file contents unread.
+
+    Spark plans one task per 128 MiB of the files listed, although none is opened; merging the tasks
+    keeps a listing of many terabytes at one task per core.
+    """
+    listing = _reader(spark, glob).load(path).select("path", "length", "modificationTime")
+    return listing.coalesce(spark.sparkContext.defaultParallelism)
 
 
 def read_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -85,7 +90,7 @@ def heads_of(files: DataFrame) -> DataFrame:
     return files.withColumn("head", F.substring("content", 1, EVTX_HEADER_SIZE)).drop("content")
 
 
-def read_heads(listing: DataFrame, partitions: int | None = None) -> DataFrame:
+def read_heads(listing: DataFrame) -> DataFrame:
     """Adds ``head`` (first 4096 bytes) and ``read_error`` by reading only those bytes."""
 
     def run(batches):
@@ -109,8 +114,6 @@ def read_heads(listing: DataFrame, partitions: int | None = None) -> DataFrame:
     schema = T.StructType(
         [*listing.schema.fields, T.StructField("head", T.BinaryType()), T.StructField("read_error", T.StringType())]
     )
-    if partitions:
-        listing = listing.repartition(partitions)
     return listing.mapInArrow(run, schema)
 
 
@@ -156,7 +159,7 @@ def read_chunks(
         F.explode(F.sequence(F.lit(0), slots - 1, F.lit(range_chunks))).alias("_first"),
     )
     # AQE would merge these tiny rows into one task; an explicit count keeps them spread.
-    ranges = ranges.repartition(partitions or _range_partitions(heads.sparkSession))
+    ranges = ranges.repartition(partitions or range_partitions(heads.sparkSession))
 
     def run(batches):
         cursor = FileCursor()
@@ -199,12 +202,18 @@ def read_chunks(
     return ranges.mapInArrow(run, schema)
 
 
-def _range_partitions(spark: SparkSession) -> int:
-    """Tasks for range reads: several per core, and never fewer than the shuffle setting."""
-    return max(
-        3 * spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
+def range_partitions(spark: SparkSession) -> int:
+    """Tasks for range reads where no size is known: never fewer than the shuffle setting."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def task_count(listing: DataFrame, bytes_per_task: int = 128 << 20) -> int:
+    """Tasks for reading the listed files: a small job over their sizes. The upper bound keeps the
+    shuffle of range descriptors cheap; tasks stream, so more bytes each do not need more memory."""
+    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cores = listing.sparkSession.sparkContext.defaultParallelism
+    return min(max(cores, -(-int(total) // bytes_per_task)), max(20_000, 4 * cores))
 
 
 # The channel a legacy log belongs to, by its file name.

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.ingest import read_records
+from ..plans.ingest import read_records, read_stored_records
+from ..sources.files import read_heads
 from ..sources.headers import header_errors
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def watch_logs(spark: SparkSession, folder: str, glob: str | None = None, max_files: int = 1000) -> DataFrame:
-    """Stream of newly arriving files. A file already seen is not read again when it grows."""
+    """Stream of newly arriving files: (path, length), contents unread. A file already seen is not
+    read again when it grows."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -20,7 +22,7 @@ def watch_logs(spark: SparkSession, folder: str, glob: str | None = None, max_fi
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder)
+    return reader.load(folder).select("path", "length")
 
 
 def stream_logs(
@@ -29,8 +31,9 @@ def stream_logs(
     """Starts two queries over a stream of ``files``: records into ``target``/records, unreadable
     files into ``target``/errors, both Parquet and exactly once.
 
-    ``target`` and ``checkpoint`` must lie in storage that all executors share. The default trigger
-    takes what is there and ends.
+    ``files`` comes from ``watch_logs`` and is read by byte ranges; a stream with a ``content`` column
+    (log bytes out of a table) works too. ``target`` and ``checkpoint`` must lie in storage that all
+    executors share. The default trigger takes what is there and ends.
     """
     trigger = trigger or {"availableNow": True}
 
@@ -44,4 +47,9 @@ def stream_logs(
             .start()
         )
 
-    return start(read_records(files, channel), "records"), start(header_errors(files), "errors")
+    if "content" in files.columns:
+        records, errors = read_records(files, channel), header_errors(files)
+    else:
+        heads = read_heads(files)
+        records, errors = read_stored_records(heads, channel), header_errors(heads)
+    return start(records, "records"), start(errors, "errors")

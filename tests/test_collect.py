@@ -173,7 +173,8 @@ def test_decode_does_not_shuffle_log_bytes(spark, store):
     records, _ = lq.scan_logs(spark, root)
     plan = records._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
-    assert len(exchanges) == 1 and "REPARTITION_BY_NUM" in exchanges[0]
+    assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in line for line in exchanges)
+    assert "chunk#" not in "".join(exchanges) and "content" not in plan
     whole = lq.read_records(lq.read_logs(spark, root))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in whole
 
