@@ -68,19 +68,20 @@ def main():
         "log_audit": audit,
         "collect_and_enrich": collect,
     }
-    runs["evtx_decode_ranges"]()  # starts the JVM's and the Python workers' warm state
-    seconds = {}
-    for name, run in runs.items():
-        started = time.perf_counter()
-        run()
-        seconds[name] = round(time.perf_counter() - started, 3)
+    first, seconds = {}, {}
+    for times in (first, seconds):  # the first round compiles the plans and starts the workers
+        for name, run in runs.items():
+            started = time.perf_counter()
+            run()
+            times[name] = round(time.perf_counter() - started, 3)
     print(
         json.dumps(
             {
-                "metric": "total seconds of the headline queries",
+                "metric": "total seconds of the headline queries, second run",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "first_run": first,
                 "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
                 "records": record_count,
                 "evtx_bytes": log_bytes,

@@ -8,7 +8,14 @@ from .operators.enrich import (
     mismatched_attribution,
     with_provenance,
 )
-from .operators.mapping import map_event, map_event_data, map_evt, map_system, map_user_data
+from .operators.mapping import (
+    map_event,
+    map_event_data,
+    map_evt,
+    map_system,
+    map_user_data,
+    typed_value,
+)
 from .operators.query import (
     canonical_order,
     channels,
@@ -40,6 +47,7 @@ from .sources.files import (
     read_heads,
     read_logs,
     split_chunks,
+    task_count,
     with_channel,
 )
 from .sources.headers import (

@@ -12,7 +12,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from .values import BadRecord, read_value, utf16_text
+from .values import WSTRING, BadRecord, read_value, utf16_text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -247,8 +247,12 @@ class ChunkDecoder:
             raise BadRecord("more substitutions than the record has room for")
         values = []
         for size, kind in struct.iter_unpack(_DESCRIPTOR, buf[pos + 4 : values_at]):
-            value, values_at = read_value(buf, values_at, kind, size, end)
-            values.append(value)
+            if kind == WSTRING and not size & 1 and values_at + size <= end:  # the usual case
+                values.append(utf16_text(buf[values_at : values_at + size]))
+                values_at += size
+            else:
+                value, values_at = read_value(buf, values_at, kind, size, end)
+                values.append(value)
         return (_INSTANCE, at, values, None), values_at
 
     def _body(self, at: int, depth: int) -> list[tuple]:

@@ -6,7 +6,7 @@ the event data. Nothing here leaves the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binary import FILETIME_EPOCH_MICROS
 from ..functions.levels import level_sql, parse_unsigned_sql
@@ -90,6 +90,28 @@ def map_user_data(decoded: DataFrame) -> DataFrame:
     return _with_data(decoded, _USER_DATA_PAIRS)
 
 
+# How the text of a value becomes its typed form. Text that is none of the kind gives NULL.
+_TYPED = {
+    "text": "{v}",
+    "signed": "try_cast({v} as bigint)",
+    "unsigned": "try_cast({v} as decimal(20,0))",
+    "float": "try_cast({v} as double)",
+    "bool": "case {v} when 'true' then true when 'false' then false end",
+    "binary": "if({v} rlike '^0x([0-9a-f]{{2}})*$', unhex(substring({v}, 3)), null)",
+    "date": "try_cast({v} as timestamp)",
+    "array": "if({v} = '', array(), split({v}, ','))",
+}
+
+
+def typed_value(key: str, kind: str) -> Column:
+    """A ``data`` value in typed form: text, signed, unsigned, float, bool, binary, date or array.
+
+    Dates keep microseconds. The map itself holds text, as the logs' own renderers show it.
+    """
+    quoted = key.replace("\\", "\\\\").replace("'", "\\'")
+    return F.expr(_TYPED[kind].format(v=f"data['{quoted}']"))
+
+
 _EVTX_NULLS = {
     "strings": "cast(null as array<string>)",
     "raw_data": "cast(null as string)",

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .files import base_name
 
 _ROOT_TOKEN = "%%environ_systemroot%%"
+_BROADCAST_PATTERNS = 10_000  # about 2 MB
 _LOGS = _ROOT_TOKEN + r"\System32\winevt\Logs" + "\\"
 
 # The definitions that name modern event logs, in reading order, and their files.
@@ -60,12 +61,15 @@ def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None
     ``catalog`` comes from ``expand_patterns``. A definition's logs are taken from its locations; in
     a body of evidence that has none of them, by the file names the locations end in. ``evidence``
     tells the bodies of evidence apart (default: the listing is one). Each path appears once, for
-    the first definition by name. The catalog joins by file name, so its size decides the join
-    strategy and no pair of rows is compared without a common name.
+    the first definition by name. The catalog joins by file name, so no pair of rows is compared
+    without a common name. It is broadcast if it is known to be small; a larger one is shuffled.
     """
     patterns = catalog.select(
         "definition", "location", F.substring_index("location", "/", -1).alias("_name")
     )
+    small = catalog.limit(_BROADCAST_PATTERNS + 1).count() <= _BROADCAST_PATTERNS
+    if small:
+        patterns = F.broadcast(patterns)
     lowered = F.translate(F.lower("path"), "\\", "/")
     carried = [c for c in listing.columns if c != "path"]
     named = listing.select(
@@ -83,13 +87,16 @@ def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None
         F.expr("endswith(_lower, concat('/', location))").alias("_at_location"),
     )
     placed = matches.where("_at_location").select("_evidence", "definition").distinct()
-    kept = matches.join(placed.withColumn("_placed", F.lit(True)), ["_evidence", "definition"], "left").where(
+    placed = placed.withColumn("_placed", F.lit(True))
+    if small and evidence is None:  # then there are no more of them than patterns
+        placed = F.broadcast(placed)
+    kept = matches.join(placed, ["_evidence", "definition"], "left").where(
         "_at_location or _placed is null"
     )
     # From here on only files some definition names are left; the rest is never shuffled.
     located_by = F.expr("if(_at_location, 'location', 'file_name')").alias("located_by")
     first = kept.groupBy("path").agg(
         F.min(F.struct("definition", F.expr("not _at_location").alias("_by_name"), located_by)).alias("_first"),
-        F.any_value("_file").alias("_file"),
+        F.max("_file").alias("_file"),
     )
     return first.select("path", *[F.col(f"_file.{c}") for c in carried], "_first.definition", "_first.located_by")

@@ -600,6 +600,27 @@ def p9_render_values(spark, sf):
     return records.select("record_id", *[data[f"winlog.event_data.{c}"].alias(f"t_{c}") for c in TYPED])
 
 
+@check(f"""{EV} SELECT record_id, -record_id AS t_int32, CAST(record_id AS DOUBLE) * 1000000007 AS t_uint64,
+  CAST(cents AS DOUBLE) / 100 AS t_real64, record_id % 2 = 1 AS t_bool, printf('%08X', record_id) AS t_binary,
+  "timestamp" AS t_filetime, CAST(NULL AS BIGINT) AS no_number FROM ev""")
+def p9_typed_values(spark, sf):
+    records = lq.read_evtx(evtx_logs(events(spark, sf), "templated", "typed"))
+
+    def typed(name: str, kind: str) -> Column:
+        return lq.typed_value(f"winlog.event_data.{name}", kind)
+
+    return records.select(
+        "record_id",
+        typed("int32", "signed").alias("t_int32"),
+        typed("uint64", "unsigned").cast("double").alias("t_uint64"),
+        typed("real64", "float").alias("t_real64"),
+        typed("bool", "bool").alias("t_bool"),
+        F.hex(typed("binary", "binary")).alias("t_binary"),
+        typed("filetime", "date").cast("timestamp_ntz").alias("t_filetime"),
+        typed("ansi", "signed").alias("no_number"),
+    )
+
+
 _ARTIFACT = """'Windows::WinEvt::' || CASE channel WHEN 'Windows PowerShell' THEN 'PowerShell'
   WHEN 'Microsoft-Windows-Sysmon/Operational' THEN 'Sysmon' ELSE channel END"""
 

@@ -232,3 +232,24 @@ def test_prepared_templates_give_what_the_general_way_gives(body, records):
     finally:
         ChunkDecoder._prepare = original
     assert all(error is None for _, error, _ in prepared)
+
+
+def sample_chunk():
+    body = El("Event", El("System", El("EventID", Slot(0)), El("Channel", Slot(1))), Slot(2), El("U", El("K", Slot(3))))
+    data = El("EventData", El("Data", text("v"), Name=text("n")), El("Data", Value(0x08, bytes(4))))
+    numbers = Value(0x88, struct.pack("<3I", 1, 2, 3))
+    return chunk_of(*[instance(body, Value(0x06, b"\x07\x00"), text("Ch"), data, numbers) for _ in range(3)], event("A"))
+
+
+SAMPLE = sample_chunk()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.integers(48, 2000), st.integers(0, 255)), min_size=1, max_size=12))
+def test_damaged_bytes_never_break_the_chunk(changes):
+    chunk = bytearray(SAMPLE)
+    for at, value in changes:
+        chunk[at] = value
+    for _, error, nodes in decode(bytes(chunk)):
+        assert (error is None) == bool(nodes)
+        assert all(isinstance(shown, str) for _, _, _, shown, _ in nodes)

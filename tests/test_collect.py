@@ -78,6 +78,15 @@ def test_errors_name_what_could_not_be_read(spark, store):
     assert records[1]["evtx.record.decode_error"] and records[1]["@timestamp"] is not None
 
 
+def test_a_file_that_cannot_be_opened_is_one_error(spark, store):
+    root = store({"/a.evtx": log_of(event("A"))})
+    gone = spark.createDataFrame([(root + "/gone.evtx", 69632)], "path string, length bigint")
+    heads = lq.read_heads(lq.list_logs(spark, root).select("path", "length").union(gone))
+    (error,) = lq.header_errors(heads).collect()
+    assert error.stage == "read" and "gone.evtx" in error.message
+    assert [r.channel for r in lq.read_stored_records(heads).collect()] == ["A"]
+
+
 def test_nothing_there_is_no_error(spark, store):
     assert collect(spark, store({"/other/file.txt": b"x"})) == ([], [])
 
@@ -94,6 +103,22 @@ def test_unresolved_patterns_are_errors(spark):
     assert unknown.where("definition = 'A'").first().location == "a.evtx"
 
 
+def test_a_large_catalog_is_not_broadcast(spark, monkeypatch):
+    from logquarry.sources import catalog as module
+
+    listing = spark.range(50).selectExpr("concat('/copies/', id, '/System', id % 7, '.evtx') as path", "id as length")
+    patterns, _ = lq.expand_patterns(
+        spark.createDataFrame([(f"D{i}", rf"\logs\System{i}.evtx") for i in range(5)], "definition string, pattern string")
+    )
+    small = lq.locate_logs(listing, patterns)
+    monkeypatch.setattr(module, "_BROADCAST_PATTERNS", 3)
+    large = lq.locate_logs(listing, patterns)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    assert sorted(small.collect()) == sorted(large.collect())
+    assert small.count() == 36
+
+
 def test_a_path_is_taken_once_by_the_first_definition(spark):
     catalog = spark.createDataFrame(
         [("B", r"\logs\x.evtx"), ("A", r"\logs\x.evtx")], "definition string, pattern string"

@@ -212,3 +212,17 @@ def test_a_templated_log_reads_like_a_plain_one(spark):
 
     records = rows(lq.read_evtx(files(spark, {"/a": log_of(record, record)})))
     assert [(r.event_id, r.channel, r.data) for r in records] == [(1, "Ch", {"winlog.event_data.n": "v"})] * 2
+
+
+def test_typed_values(spark):
+    shown = {"i": "-5", "u": str(2**64 - 1), "f": "2.5", "b": "true", "x": "0x00ab", "d": "2024-02-03T14:10:23.5959706Z",
+             "a": "1,2", "e": "", "t": "it's"}
+    records = spark.createDataFrame([(shown,)], "data map<string,string>")
+    kinds = {"i": "signed", "u": "unsigned", "f": "float", "b": "bool", "x": "binary", "d": "date", "a": "array", "e": "array", "t": "text"}
+    row = records.select(*[lq.typed_value(k, kind).alias(k) for k, kind in kinds.items()]).first()
+    assert (row.i, int(row.u), row.f, row.b, bytes(row.x), row.a, row.e, row.t) == (
+        -5, 2**64 - 1, 2.5, True, b"\x00\xab", ["1", "2"], [], "it's")
+    assert str(row.d) == "2024-02-03 14:10:23.595970"
+    wrong = records.select(*[lq.typed_value("t", k).alias(k) for k in ("signed", "unsigned", "float", "bool", "binary", "date")])
+    assert set(wrong.first()) == {None}
+    assert records.select(lq.typed_value("it's", "text").alias("v")).first().v is None
