@@ -27,9 +27,16 @@ def query_all(records: DataFrame) -> DataFrame:
 
 
 def first_positions(records: DataFrame, *by: str) -> DataFrame:
-    """``by`` columns and the (path, chunk_index, record_index) where each value appears first."""
-    first = F.min(F.struct("path", "chunk_index", "record_index")).alias("first")
-    return records.groupBy(*by).agg(first)
+    """(path, ``by`` columns, first): where each value appears first in each log.
+
+    The position is one number, so the partial aggregate hashes; a struct would sort every record.
+    """
+    position = F.expr("shiftleft(cast(chunk_index as bigint), 32) + record_index")
+    per_log = records.groupBy("path", *by).agg(F.min(position).alias("_at"))
+    first = F.expr(
+        "struct(path, cast(_at div 4294967296 as int) as chunk_index, cast(_at % 4294967296 as int) as record_index)"
+    )
+    return per_log.select("path", *by, first.alias("first"))
 
 
 def channels(records: DataFrame, logs: DataFrame | None = None) -> DataFrame:
@@ -37,19 +44,19 @@ def channels(records: DataFrame, logs: DataFrame | None = None) -> DataFrame:
 
     ``logs(path, channel)`` adds the channels of legacy logs, which exist without any record.
     """
-    seen = first_positions(records, "channel")
+    seen = first_positions(records, "channel").drop("path")
     if logs is not None:
         empty = logs.select(
             "channel",
             F.struct("path", F.lit(0).alias("chunk_index"), F.lit(0).alias("record_index")).alias("first"),
         )
-        seen = seen.unionByName(empty).groupBy("channel").agg(F.min("first").alias("first"))
-    return seen.orderBy("first")
+        seen = seen.unionByName(empty)
+    return seen.groupBy("channel").agg(F.min("first").alias("first")).orderBy("first")
 
 
 def channels_per_log(records: DataFrame) -> DataFrame:
     """(path, channel, first) of each log on its own."""
-    return first_positions(records, "path", "channel")
+    return first_positions(records, "channel")
 
 
 def event_count(records: DataFrame, channel: str) -> DataFrame:

@@ -228,11 +228,13 @@ def base_name(path: Column) -> Column:
     return F.substring_index(F.translate(path, "\\", "/"), "/", -1)
 
 
-def with_channel(files: DataFrame, channel: str | None = None) -> DataFrame:
-    """Adds the ``channel`` of legacy logs: the given one, else by file name, else empty."""
+def with_channel(
+    files: DataFrame, channel: str | None = None, names: dict[str, str] = EVT_CHANNELS
+) -> DataFrame:
+    """Adds the ``channel`` of legacy logs: the given one, else by lower-cased file name, else empty."""
     if channel is not None:
         return files.withColumn("channel", F.lit(channel))
     name = F.lower(base_name(F.col("path")))
-    by_name = F.expr(lookup_sql("_name", EVT_CHANNELS))
+    by_name = F.expr(lookup_sql("_name", names))
     named = files.withColumn("_name", name)
     return named.withColumn("channel", F.coalesce(by_name, F.lit(""))).drop("_name")

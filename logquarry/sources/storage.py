@@ -10,18 +10,24 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def open_file(path: str):
-    """Random-access file. Paths stay as Spark lists them: ``%`` and blanks are literal."""
+def resolve(path: str):
+    """File system and path on it. Paths stay as Spark lists them: ``%`` and blanks are literal."""
     from pyarrow import fs
 
     scheme, mark, rest = path.partition("://")
     if not mark or scheme == "file":
-        local = path[len("file:"):] if path.startswith("file:") else path
-        return fs.LocalFileSystem().open_input_file("/" + local.lstrip("/"))
+        local = path.removeprefix("file:")
+        return fs.LocalFileSystem(), "/" + local.lstrip("/")
     authority, _, key = rest.partition("/")
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
     system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return system.open_input_file(f"{base.rstrip('/')}/{key}")
+    return system, f"{base.rstrip('/')}/{key}"
+
+
+def open_file(path: str):
+    """Random-access file."""
+    system, location = resolve(path)
+    return system.open_input_file(location)
 
 
 def read_range(file, offset: int, size: int) -> bytes:

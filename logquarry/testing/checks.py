@@ -726,6 +726,24 @@ def f3_header_errors(spark, sf):
     return lq.header_errors(mixed_files(spark, sf))
 
 
+@check(f"""{EV} SELECT DISTINCT path, 'header' AS stage, path || CASE channel
+  WHEN 'System' THEN ': file is shorter than its header' ELSE ': not an event log' END AS message
+FROM ev WHERE host % 2 = 0 AND channel IN ('System', 'Application')""")
+def f3_collect_errors(spark, sf):
+    """Located logs that cannot be read: one error each, naming the log. The others are still read."""
+    files = evtx_logs(events(spark, sf))
+    broken = files.withColumn(
+        "content",
+        F.when(F.col("path").endswith("/System.evtx"), F.substring("content", 1, 16))
+        .when(F.col("path").endswith("/Application.evtx"), F.unhex(F.repeat(F.lit("AA"), 4096)))
+        .otherwise(F.col("content")),
+    )
+    folder = stored(spark, broken)
+    _, errors = lq.collect_logs(spark, [folder], lq.default_catalog(spark), "TEST-HOST", r"C:\Windows")
+    shown = F.regexp_replace("message", "^.*?(/evidence/)", "/evidence/")
+    return errors.select(below(F.col("path")).alias("path"), "stage", shown.alias("message"))
+
+
 # -- aggregates and order ------------------------------------------------------------------------------
 
 
@@ -752,6 +770,15 @@ def a1_channels_evt(spark, sf):
     return lq.channels(lq.read_evt(files), logs).select("channel", "first.path")
 
 
+@check(f"""{EV}, marked AS (
+  SELECT path, chunk_index, record_index, CASE WHEN record_id % 50 = 0 THEN '' ELSE channel END AS channel FROM ev
+) SELECT path, channel, min(chunk_index * 60 + record_index) AS first_position FROM marked GROUP BY path, channel""")
+def a1_channels_per_log(spark, sf):
+    found = lq.channels_per_log(lq.read_evtx(evtx_logs(events(spark, sf), "bad_records")))
+    position = F.col("first.chunk_index").cast("bigint") * 60 + F.col("first.record_index")
+    return found.select("path", "channel", position.alias("first_position"))
+
+
 @check(f"{EV} SELECT count(*) AS event_count FROM ev WHERE channel = 'Microsoft-Windows-Sysmon/Operational'")
 def a2_event_count(spark, sf):
     records = lq.read_evtx(evtx_logs(events(spark, sf), "templated"))
@@ -809,3 +836,12 @@ def t1_stream_logs(spark, sf):
     for query in queries:
         query.awaitTermination()
     return plain(spark.read.parquet(target + "/records"))
+
+
+@check(f"""{EV} SELECT DISTINCT replace(path, 'System.evtx', name || '.evtx') AS path, 'header' AS stage
+FROM ev, (VALUES ('Cut'), ('Garbage')) t(name) WHERE channel = 'System'""")
+def t1_stream_errors(spark, sf):
+    folder, target = stored(spark, mixed_files(spark, sf)), scratch(spark)
+    for query in lq.stream_logs(lq.watch_logs(spark, folder), target, target + "/checkpoint"):
+        query.awaitTermination()
+    return spark.read.parquet(target + "/errors").select(below(F.col("path")).alias("path"), "stage")

@@ -6,11 +6,13 @@ import struct
 import sys
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.binary import timestamp_to_filetime
 from ..functions.levels import normalise_level
+from ..sources.storage import resolve
 from .writer import ChunkWriter, El, Slot, Value, evt_file, evt_record, evtx_file, sid_bytes, text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -63,8 +65,6 @@ def _event_columns() -> dict[str, Column]:
 
 def event_records(events: DataFrame) -> DataFrame:
     """``events`` in the columns of decoded records, without any log bytes."""
-    from pyspark.sql import Window
-
     base = events.select([c.alias(n) for n, c in _event_columns().items()])
     position = F.row_number().over(Window.partitionBy("path").orderBy("record_id")) - 1
     return base.select(
@@ -314,18 +314,15 @@ def evt_logs(events: DataFrame, *variant: str) -> DataFrame:
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:
     """Writes ``content`` under ``folder`` (a folder all executors share) and lists what it wrote."""
-    import pyarrow as pa
 
     def run(batches):
-        from pyarrow import fs
-
         for batch in batches:
             written = []
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                system, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-                target = f"{base.rstrip('/')}/{path.lstrip('/')}"
-                system.create_dir(target.rpartition("/")[0], recursive=True)
-                with system.open_output_stream(target) as out:
+                target = f"{folder.rstrip('/')}/{path.lstrip('/')}"
+                system, location = resolve(target)
+                system.create_dir(location.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(location) as out:
                     out.write(content.as_buffer())
                 written.append(target)
             yield pa.RecordBatch.from_arrays([pa.array(written, pa.string())], names=["path"])
