@@ -78,7 +78,6 @@ class ChunkDecoder:
         self.nodes = nodes
         self.names: dict[int, tuple[str, str]] = {}
         self.bodies: dict[int, list | None] = {}
-        self.prepared: dict[tuple[int, str], tuple | None] = {}
 
     def decode(self, start: int, end: int) -> str | None:
         """Appends the nodes of the record's Event element; returns what went wrong, if anything."""
@@ -241,7 +240,7 @@ class ChunkDecoder:
             pos += 24 + self._uint(pos + 20, 4)
         if pos + 4 > end:
             raise BadRecord("template ends beyond its record")
-        self._body(at, depth)
+        steps = self._body(at, depth)
         values_at = pos + 4 + 4 * self._uint(pos, 4)
         if values_at > end:
             raise BadRecord("more substitutions than the record has room for")
@@ -253,7 +252,7 @@ class ChunkDecoder:
             else:
                 value, values_at = read_value(buf, values_at, kind, size, end)
                 values.append(value)
-        return (_INSTANCE, at, values, None), values_at
+        return (_INSTANCE, steps, values, None), values_at
 
     def _body(self, at: int, depth: int) -> list[tuple]:
         steps = self.bodies.get(at)
@@ -331,12 +330,7 @@ class ChunkDecoder:
                         continue
                     inner = self._steps(*inner, False, depth)
                 elif kind == _INSTANCE:
-                    self.work = work
-                    done = self._fill_prepared(a, b, prefix, ordinals, row, depth)
-                    work = self.work
-                    if done:
-                        continue
-                    inner, scope = self.bodies[a], b
+                    inner, scope = a, b
                 else:
                     inner, scope = self._steps(a, b, False, depth), values
                 self.work = work
@@ -346,99 +340,6 @@ class ChunkDecoder:
                 raise BadRecord("record expands without bound")
         self.work = work
 
-    def _prepare(self, at: int, prefix: str):
-        """Rows of a template body with one root element below ``prefix``, split where a slot may
-        hold elements: (root label, leaf slots, cost, [(rows, patches, opening)]). A patch fills one
-        row: (index, slot or None, attributes or None). None if the body has no such form."""
-        segments, rows, patches, leaf_slots = [], [], [], set()
-        cost, stack, roots = 0, [], []
-        path, ordinals = prefix, {}
-        for kind, a, b, c in self.bodies[at]:
-            if kind <= _OPEN:
-                name, label = a
-                ordinal = ordinals.get(label, 0)
-                ordinals[label] = ordinal + 1
-                here = f"{path}{label}[{ordinal}]"
-                cost += len(here) + _STEP_COST
-                slot = c[0] if type(c) is tuple else None
-                if slot is not None:
-                    leaf_slots.add(slot)
-                if slot is not None or type(b) is tuple:
-                    patches.append((len(rows), slot, b if type(b) is tuple else None))
-                if not stack:
-                    roots.append(label)
-                rows.append((here, name, b, "" if kind == _OPEN or slot is not None else c, kind == _LEAF))
-                if kind == _OPEN:
-                    stack.append((path, ordinals))
-                    path, ordinals = here + "/", {}
-            elif kind == _CLOSE:
-                if not ordinals:
-                    return None  # only texts or slots inside
-                for *_, opening in segments:
-                    if opening[2] is ordinals:
-                        opening[3] = {x for x in ordinals if ordinals[x] != opening[1].get(x)}
-                path, ordinals = stack.pop()
-            elif kind == _SLOT and stack and ordinals:
-                if any(opening[2] is ordinals for *_, opening in segments):
-                    return None  # ordinals would depend on two slots
-                segments.append((rows, patches, [a, dict(ordinals), ordinals, set(), path]))
-                rows, patches = [], []
-            else:
-                return None
-        if len(roots) != 1 or stack:
-            return None
-        segments.append((rows, patches, None))
-        return roots[0], leaf_slots, cost, segments
-
-    def _fill_prepared(self, at, values, prefix, ordinals, row, depth) -> bool:
-        """Appends the rows of a template instance from its prepared form, if that applies."""
-        if (at, prefix) not in self.prepared:
-            self.prepared[at, prefix] = self._prepare(at, prefix)
-        form = self.prepared[at, prefix]
-        if form is None or form[0] in ordinals:
-            return False
-        label, leaf_slots, cost, segments = form
-        count = len(values)
-        for slot in leaf_slots:
-            if slot < count and type(values[slot]) is tuple:
-                return False
-        nodes = self.nodes
-        first, work = len(nodes), self.work - cost
-        for rows, patches, opening in segments:
-            base = len(nodes)
-            nodes += rows
-            for index, slot, attrs in patches:
-                path, name, fixed, text, leaf = rows[index]
-                if slot is not None:
-                    text = (values[slot] if slot < count else None) or ""
-                    work -= len(text)
-                if attrs is not None:
-                    fixed = self._attributes(attrs, values)
-                    work -= sum(len(value) for _, value in fixed)
-                nodes[base + index] = (path, name, fixed, text, leaf)
-            if work < 0:
-                raise BadRecord("record expands without bound")
-            if opening is not None:
-                slot, before, _, later, inside = opening
-                value = values[slot] if slot < count else None
-                if value is None:
-                    continue
-                if type(value) is tuple:
-                    frame = [inside, dict(before), [], 0]
-                    self.work = work
-                    self._fill(self._steps(*value, False, depth), values, frame, depth + 1)
-                    work = self.work
-                    if not frame[2] and not any(frame[1].get(x) != before.get(x) for x in later):
-                        continue
-                # Text between elements, or elements that shift later ordinals: the general way.
-                del nodes[first:]
-                return False
-        self.work = work
-        ordinals[label] = 1
-        if row < 0:
-            self.roots.append(first)
-        return True
-
     def _slot(self, index: int, values: list | None):
         if values is None:
             raise BadRecord("substitution outside of a template")

@@ -176,19 +176,13 @@ def s1_scan_logs_by_range(spark, sf):
 def mixed_files(spark, sf) -> DataFrame:
     """Both formats, and per host one file that is no log and one cut to 16 bytes."""
     table = events(spark, sf)
-    evtx, evt = evtx_logs(table), evt_logs(table)
-    is_system = F.col("path").endswith("/System.evtx")
-    cut = evtx.where(is_system).select(
-        F.replace("path", F.lit("System.evtx"), F.lit("Cut.evtx")).alias("path"),
-        F.lit(16).cast("bigint").alias("length"),
-        F.substring("content", 1, 16).alias("content"),
-    )
-    garbage = evtx.where(is_system).select(
-        F.replace("path", F.lit("System.evtx"), F.lit("Garbage.evtx")).alias("path"),
-        F.lit(256).cast("bigint").alias("length"),
-        F.unhex(F.repeat(F.lit("AA"), 256)).alias("content"),
-    )
-    return evtx.unionByName(evt).unionByName(cut).unionByName(garbage)
+    added = """inline(if(endswith(path, '/System.evtx'), array(
+        struct(path, length, content),
+        struct(replace(path, 'System.evtx', 'Cut.evtx') as path, 16L as length, substring(content, 1, 16) as content),
+        struct(replace(path, 'System.evtx', 'Garbage.evtx') as path, 256L as length, unhex(repeat('AA', 256)) as content)),
+      array(struct(path, length, content))))"""
+    evtx = evtx_logs(table).select(F.expr(added))
+    return evtx.unionByName(evt_logs(table))
 
 
 _EVT_FILES = """SELECT DISTINCT '/evidence/host' || (event_id // 3000) || '/Windows/System32/config/' ||
