@@ -37,7 +37,7 @@ from .plans.ingest import (
     scan_logs,
 )
 from .sources.catalog import default_catalog, expand_patterns, locate_logs
-from .sources.decode import chunk_totals, decode_chunks, decode_evt, frame_chunks
+from .sources.decode import chunk_totals, decode_chunks, decode_evt, decode_units, frame_chunks
 from .sources.files import (
     detect_format,
     heads_of,
@@ -57,6 +57,7 @@ from .sources.headers import (
     evtx_log_headers,
     flag_integrity,
     header_errors,
+    log_units,
     skip_unwritten,
 )
 from .streaming.ingest import stream_logs, watch_logs

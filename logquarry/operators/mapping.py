@@ -153,6 +153,15 @@ def map_evt(raw: DataFrame) -> DataFrame:
     return _with_sql(raw, _EVT_COLUMNS).drop("evt")
 
 
+def map_units(decoded: DataFrame) -> DataFrame:
+    """All record columns of both formats decoded in one pass; ``channel`` is that of legacy files."""
+    modern = {**_SYSTEM_COLUMNS, **_EVTX_NULLS, "data": _LAST_WINS, "record_id": "record_id"}
+    legacy = {**_EVT_COLUMNS, "channel": "channel"}
+    pairs = {"_pairs": f"concat({_EVENT_DATA_PAIRS}, {_USER_DATA_PAIRS})"}
+    columns = {name: f"if(format = 'evt', {legacy[name]}, {sql})" for name, sql in modern.items()}
+    return _with_sql(_with_sql(decoded, pairs), columns).drop("nodes", "evt", "_pairs")
+
+
 def record_columns(mapped: DataFrame, carried: list[str]) -> DataFrame:
     """One column order for both formats."""
     first = ["path", "format", "chunk_index", "record_index"]

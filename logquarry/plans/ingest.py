@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.enrich import enrich
-from ..operators.mapping import map_event, map_evt, record_columns
+from ..operators.mapping import map_event, map_evt, map_units, record_columns
 from ..sources.catalog import expand_patterns, locate_logs
-from ..sources.decode import decode_chunks, decode_evt
+from ..sources.decode import decode_chunks, decode_evt, decode_units
 from ..sources.files import (
     list_logs,
     list_roots,
@@ -24,6 +24,7 @@ from ..sources.headers import (
     evtx_errors,
     flag_integrity,
     header_errors,
+    log_units,
     readable_evt,
     readable_evtx,
 )
@@ -59,8 +60,9 @@ def log_files_union(evtx: DataFrame, evt: DataFrame) -> DataFrame:
 
 
 def read_records(files: DataFrame, channel: str | None = None) -> DataFrame:
-    """Records of all logs among ``files(path, content, ...)``, whatever their format."""
-    return log_files_union(read_evtx(files), read_evt(files, channel))
+    """Records of all logs among ``files(path, content, ...)``, whatever their format, in one scan."""
+    units = with_channel(log_units(files), channel)
+    return record_columns(map_units(decode_units(units)), _carried(units))
 
 
 def read_stored_records(

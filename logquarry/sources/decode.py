@@ -5,8 +5,10 @@ from __future__ import annotations
 import sys
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.binxml import ChunkDecoder, frame_records
 from ..functions.evtrecords import evt_records
@@ -30,6 +32,10 @@ RECORD_FIELDS = [
     T.StructField("record_id", T.LongType()),
     T.StructField("filetime", T.LongType()),
 ]
+DECODED_FIELDS = [
+    T.StructField("nodes", NODE_TYPE),
+    T.StructField("decode_error", T.StringType()),
+]
 EVT_TYPE = T.StructType(
     [
         T.StructField("record_number", T.LongType()),
@@ -74,6 +80,73 @@ def _node_array(nodes: list[tuple], offsets: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
+def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array):
+    """Batches of (kept columns, record_index, record_id, filetime, nodes, decode_error)."""
+    found, nodes, offsets, size = [], [], [0], 0
+
+    def flush():
+        rows, *columns = zip(*found)
+        kinds = (pa.int32(), pa.int64(), pa.int64(), _TEXT)
+        *headers, errors = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+        return pa.RecordBatch.from_arrays(
+            [*repeat_rows(keep, rows), *headers, _node_array(nodes, offsets), errors],
+            names=[*keep.schema.names, "record_index", "record_id", "filetime", "nodes", "decode_error"],
+        )
+
+    for row in range(len(chunks)):
+        chunk = chunks[row].as_py()
+        decoder = ChunkDecoder(chunk, nodes)
+        for index, (record_id, ticks, start, end) in enumerate(frame_records(chunk)):
+            error = decoder.decode(start, end)
+            if record_id > _LARGEST_SIGNED or ticks > _LARGEST_SIGNED:
+                error = error or f"header value out of range: id {record_id}, time {ticks}"
+                record_id = record_id if record_id <= _LARGEST_SIGNED else None
+                ticks = ticks if ticks <= _LARGEST_SIGNED else None
+            found.append((row, index, record_id, ticks, error))
+            offsets.append(len(nodes))
+            size += decoder.work_done
+            if len(found) >= _ROWS_PER_BATCH or size > _WORK_PER_BATCH:
+                yield flush()
+                nodes.clear()
+                found, offsets, size = [], [0], 0
+    if found:
+        yield flush()
+
+
+def _decode_evt_rows(keep: pa.RecordBatch, paths: list[str], contents: pa.Array | None):
+    """Batches of (kept columns, record_index, evt)."""
+    for row, path in enumerate(paths):
+        data = contents[row].as_py() if contents is not None else None
+        if data is None:
+            with open_file(path) as file:
+                data = file.read()
+        pending, start, held_bytes = [], 0, 0
+        for record, used in evt_records(data):
+            pending.append(record)
+            held_bytes += used
+            if len(pending) == _ROWS_PER_BATCH or held_bytes > _BYTES_PER_BATCH:
+                yield _evt_batch(keep, row, start, pending)
+                start += len(pending)
+                pending, held_bytes = [], 0
+        if pending:
+            yield _evt_batch(keep, row, start, pending)
+
+
+def _evt_batch(keep: pa.RecordBatch, row: int, start: int, records: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [_TEXT] * 3 + [pa.list_(_TEXT), pa.binary()]
+    labels = ["record_number", "time_generated", "time_written", "event_id_raw", "event_type",
+              "category", "source", "computer", "user_sid", "strings", "data"]
+    columns = [pa.array(values, kind) for values, kind in zip(zip(*records), kinds)]
+    return pa.RecordBatch.from_arrays(
+        [
+            *repeat_rows(keep, [row] * len(records)),
+            pa.array(range(start, start + len(records)), pa.int32()),
+            pa.StructArray.from_arrays(columns, names=labels),
+        ],
+        names=[*keep.schema.names, "record_index", "evt"],
+    )
+
+
 def decode_chunks(chunks: DataFrame) -> DataFrame:
     """Decodes every record of every chunk: (..., record_index, record_id, filetime, nodes,
     decode_error), where ... are all columns of ``chunks`` but the bytes.
@@ -85,41 +158,44 @@ def decode_chunks(chunks: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep, column = batch.select(names), batch.column("chunk")
-            found, nodes, offsets, size = [], [], [0], 0
-
-            def flush():
-                rows, *columns = zip(*found)
-                kinds = (pa.int32(), pa.int64(), pa.int64(), _TEXT)
-                *headers, errors = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
-                return pa.RecordBatch.from_arrays(
-                    [*repeat_rows(keep, rows), *headers, _node_array(nodes, offsets), errors],
-                    names=[*names, "record_index", "record_id", "filetime", "nodes", "decode_error"],
-                )
+            yield from _decode_chunk_rows(batch.select(names), batch.column("chunk"))
 
-            for row in range(len(column)):
-                chunk = column[row].as_py()
-                decoder = ChunkDecoder(chunk, nodes)
-                for index, (record_id, ticks, start, end) in enumerate(frame_records(chunk)):
-                    error = decoder.decode(start, end)
-                    if record_id > _LARGEST_SIGNED or ticks > _LARGEST_SIGNED:
-                        error = error or f"header value out of range: id {record_id}, time {ticks}"
-                        record_id = record_id if record_id <= _LARGEST_SIGNED else None
-                        ticks = ticks if ticks <= _LARGEST_SIGNED else None
-                    found.append((row, index, record_id, ticks, error))
-                    offsets.append(len(nodes))
-                    size += decoder.work_done
-                    if len(found) >= _ROWS_PER_BATCH or size > _WORK_PER_BATCH:
-                        yield flush()
-                        nodes.clear()
-                        found, offsets, size = [], [0], 0
-            if found:
-                yield flush()
+    return chunks.mapInArrow(run, T.StructType([*carried, *RECORD_FIELDS, *DECODED_FIELDS]))
 
-    schema = T.StructType(
-        [*carried, *RECORD_FIELDS, T.StructField("nodes", NODE_TYPE), T.StructField("decode_error", T.StringType())]
-    )
-    return chunks.mapInArrow(run, schema)
+
+def decode_units(units: DataFrame) -> DataFrame:
+    """Both formats in one pass: chunks of evtx files and whole evt files, both in ``chunk``, told apart
+    by ``format``. Gives the columns of ``decode_chunks`` and ``evt``; each format leaves the other's NULL.
+    """
+    carried = _carried(units, "chunk")
+    names = [f.name for f in carried]
+    added = [*RECORD_FIELDS, *DECODED_FIELDS, T.StructField("evt", EVT_TYPE)]
+    out_names = [*names, *[f.name for f in added]]
+
+    def complete(part: pa.RecordBatch, like: dict[str, pa.DataType]) -> pa.RecordBatch:
+        columns = [
+            part.column(name) if name in part.schema.names else pa.nulls(part.num_rows, like[name])
+            for name in out_names
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=out_names)
+
+    kinds = {f.name: to_arrow_type(f.dataType) for f in added}
+
+    def run(batches):
+        for batch in batches:
+            is_evt = pc.equal(batch.column("format"), "evt")
+            for part, decode in ((batch.filter(pc.invert(is_evt)), None), (batch.filter(is_evt), "evt")):
+                if not part.num_rows:
+                    continue
+                keep, data = part.select(names), part.column("chunk")
+                if decode is None:
+                    rows = _decode_chunk_rows(keep, data)
+                else:
+                    rows = _decode_evt_rows(keep, part.column("path").to_pylist(), data)
+                for decoded in rows:
+                    yield complete(decoded, kinds)
+
+    return units.mapInArrow(run, T.StructType([*carried, *added]))
 
 
 def frame_chunks(chunks: DataFrame) -> DataFrame:
@@ -195,40 +271,9 @@ def decode_evt(files: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             contents = batch.column("content") if held else None
-            paths = batch.column("path").to_pylist()
-            keep = batch.select(names)
-            for row, path in enumerate(paths):
-                data = contents[row].as_py() if held else None
-                if data is None:
-                    with open_file(path) as file:
-                        data = file.read()
-                pending, start, held_bytes = [], 0, 0
-                for record, size in evt_records(data):
-                    pending.append(record)
-                    held_bytes += size
-                    if len(pending) == _ROWS_PER_BATCH or held_bytes > _BYTES_PER_BATCH:
-                        yield _evt_batch(keep, row, start, pending, names)
-                        start += len(pending)
-                        pending, held_bytes = [], 0
-                if pending:
-                    yield _evt_batch(keep, row, start, pending, names)
+            yield from _decode_evt_rows(batch.select(names), batch.column("path").to_pylist(), contents)
 
     schema = T.StructType(
         [*carried, T.StructField("record_index", T.IntegerType()), T.StructField("evt", EVT_TYPE)]
     )
     return files.mapInArrow(run, schema)
-
-
-def _evt_batch(keep: pa.RecordBatch, row: int, start: int, records: list[tuple], names: list[str]):
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [_TEXT] * 3 + [pa.list_(_TEXT), pa.binary()]
-    labels = ["record_number", "time_generated", "time_written", "event_id_raw", "event_type",
-              "category", "source", "computer", "user_sid", "strings", "data"]
-    columns = [pa.array(values, kind) for values, kind in zip(zip(*records), kinds)]
-    return pa.RecordBatch.from_arrays(
-        [
-            *repeat_rows(keep, [row] * len(records)),
-            pa.array(range(start, start + len(records)), pa.int32()),
-            pa.StructArray.from_arrays(columns, names=labels),
-        ],
-        names=[*names, "record_index", "evt"],
-    )

@@ -86,6 +86,28 @@ def readable_evt(files: DataFrame) -> DataFrame:
     return detect_format(_with_head(files)).where(_EVT_READABLE).drop("head", "read_error")
 
 
+def log_units(files: DataFrame) -> DataFrame:
+    """Decode units of all readable in-memory files: one row per written evtx chunk and one per evt
+    file, bytes in ``chunk``, told apart by ``format``. One scan serves both formats."""
+    carried = [c for c in files.columns if c not in ("content", "head", "length", "modificationTime")]
+    slots = f"greatest((octet_length(content) - {EVTX_HEADER_SIZE}) div {EVTX_CHUNK_SIZE}, 0L)"
+    start = f"chunk_index * {EVTX_CHUNK_SIZE} + {EVTX_HEADER_SIZE + 1}"
+    readable = detect_format(_with_head(files)).where(f"({_EVTX_READABLE}) or ({_EVT_READABLE})")
+    indexed = readable.where(f"format = 'evt' or {slots} > 0").selectExpr(
+        *carried,
+        "content",
+        "format",
+        f"if(format = 'evtx', {_FILE_CHECKSUM}, null) as file_checksum_valid",
+        f"explode(sequence(0, if(format = 'evtx', cast({slots} as int) - 1, 0))) as chunk_index",
+    )
+    units = indexed.withColumn(
+        "chunk", F.expr(f"if(format = 'evtx', substring(content, {start}, {EVTX_CHUNK_SIZE}), content)")
+    ).drop("content")
+    valid = f"if(format = 'evtx', {_EVENTS_CHECKSUM} and {_HEADER_CHECKSUM}, null)"
+    written = _chunk_header(units).where((F.col("format") == "evt") | _written("_header"))
+    return written.withColumn("chunk_checksum_valid", F.expr(valid)).drop("_header")
+
+
 def header_errors(files: DataFrame) -> DataFrame:
     """One row for each file that cannot be read as a log: unreadable, no log, or a bad header."""
     return _errors(files, ("evtx", "evt"))

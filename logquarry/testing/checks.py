@@ -290,7 +290,12 @@ SELECT 'evtx' AS format, path, chunk_index, record_index, record_id, event_id, "
 UNION ALL SELECT 'evt', path, 0, record_index, record_id, event_id, "timestamp", channel, level FROM evt""")
 def s9_log_files_union(spark, sf):
     """One DataFrame over both formats; the files that are no logs do not stop the others."""
-    return lq.read_records(mixed_files(spark, sf)).select(
+    files = mixed_files(spark, sf)
+    return both_formats(lq.log_files_union(lq.read_evtx(files), lq.read_evt(files)))
+
+
+def both_formats(records: DataFrame) -> DataFrame:
+    return records.select(
         "format",
         "path",
         F.col("chunk_index").cast("bigint").alias("chunk_index"),
@@ -303,6 +308,11 @@ def s9_log_files_union(spark, sf):
     )
 
 
+@check(ORACLES["s9_log_files_union"])
+def s9_read_records_in_one_scan(spark, sf):
+    return both_formats(lq.read_records(mixed_files(spark, sf)))
+
+
 # -- decoding --------------------------------------------------------------------------------------
 
 
