@@ -41,7 +41,9 @@ NORMAL_SUBSTITUTION = 0x0D
 CONDITIONAL_SUBSTITUTION = 0x0E
 FRAGMENT_HEADER = 0x0F
 
-# Step kinds. A leaf is an element with nothing but texts and slots inside.
+_VALUE_TOKENS = (VALUE, NORMAL_SUBSTITUTION, CONDITIONAL_SUBSTITUTION)
+
+# Step kinds. A leaf is an element with nothing but one text or slot inside.
 _LEAF, _OPEN, _CLOSE, _TEXT, _SLOT, _INSTANCE, _SPAN = range(7)
 
 # Guards against records built to never end. Real records stay far below: a record has 64 KiB.
@@ -114,23 +116,33 @@ class ChunkDecoder:
     def _steps(self, pos: int, end: int, in_template: bool, depth: int) -> list[tuple]:
         if depth > MAX_NESTING:
             raise BadRecord("fragments nested too deep")
-        buf, steps, opened = self.buf, [], []
+        buf, steps, opened = self.buf, [], 0
         while pos < end:
             token = buf[pos]
             pos += 1
             kind = token & 0x0F
             if kind == OPEN_ELEMENT:
                 name, attrs, is_open, pos = self._element(token, pos, end, in_template)
-                if is_open:
-                    opened.append(len(steps))
-                    steps.append((_OPEN, name, attrs, None))
-                else:
+                if not is_open:
                     steps.append((_LEAF, name, attrs, ""))
-            elif kind in (VALUE, NORMAL_SUBSTITUTION, CONDITIONAL_SUBSTITUTION):
+                elif buf[pos] & 0x0F in _VALUE_TOKENS:  # one value and nothing else makes a leaf
+                    step, pos = self._value(buf[pos] & 0x0F, pos + 1, end)
+                    if buf[pos] & 0x0F == END_ELEMENT and step[0] != _SPAN:
+                        text = step[1] if step[0] == _TEXT else step[1:3]
+                        steps.append((_LEAF, name, attrs, text))
+                        pos += 1
+                    else:
+                        opened += 1
+                        steps += (_OPEN, name, attrs, None), step
+                else:
+                    opened += 1
+                    steps.append((_OPEN, name, attrs, None))
+            elif kind in _VALUE_TOKENS:
                 step, pos = self._value(kind, pos, end)
                 steps.append(step)
             elif kind == END_ELEMENT and opened:
-                self._close(steps, opened.pop())
+                steps.append((_CLOSE, None, None, None))
+                opened -= 1
             elif kind == TEMPLATE_INSTANCE:
                 step, pos = self._instance(pos, end, depth)
                 steps.append(step)
@@ -162,18 +174,6 @@ class ChunkDecoder:
             raise BadRecord("fragment ends inside an element")
         return steps
 
-    def _close(self, steps: list[tuple], at: int):
-        """Ends the element opened by step ``at``; a plain one becomes a single leaf step."""
-        inner = steps[at + 1 :]
-        _, name, attrs, _ = steps[at]
-        if len(inner) == 1 and inner[0][0] in (_TEXT, _SLOT):
-            kind, a, b, _ = inner[0]
-            steps[at:] = [(_LEAF, name, attrs, a if kind == _TEXT else (a, b))]
-        elif not inner:
-            steps[at:] = [(_LEAF, name, attrs, "")]
-        else:
-            steps.append((_CLOSE, None, None, None))
-
     def _element(self, token: int, pos: int, end: int, in_template: bool):
         buf = self.buf
         pos += 6 if in_template else 4  # dependency id only in templates; data size unused
@@ -189,7 +189,7 @@ class ChunkDecoder:
                     raise BadRecord("attribute expected")
                 (attr, _), pos = self._name(pos + 1)
                 kind = buf[pos] & 0x0F
-                if kind not in (VALUE, NORMAL_SUBSTITUTION, CONDITIONAL_SUBSTITUTION):
+                if kind not in _VALUE_TOKENS:
                     raise BadRecord("attribute without a value")
                 (kind, a, b, _), pos = self._value(kind, pos + 1, end)
                 if kind == _SLOT:
