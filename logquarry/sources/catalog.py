@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .files import base_name
 
 _ROOT_TOKEN = "%%environ_systemroot%%"
-_BROADCAST_PATTERNS = 10_000  # about 2 MB
+_BROADCAST_PATTERNS, _BROADCAST_BYTES = 10_000, 8 << 20
 _LOGS = _ROOT_TOKEN + r"\System32\winevt\Logs" + "\\"
 
 # The definitions that name modern event logs, in reading order, and their files.
@@ -55,6 +55,15 @@ def expand_patterns(catalog: DataFrame, system_root: str | None = None) -> tuple
     return expanded.where(~unresolved), errors
 
 
+def _is_small(patterns: DataFrame) -> bool:
+    """Whether rows and bytes stay within what every executor can hold without notice."""
+    width = sum((F.octet_length(column) for column in patterns.columns), F.lit(0))
+    probe = patterns.limit(_BROADCAST_PATTERNS + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return probe.rows <= _BROADCAST_PATTERNS and probe.bytes <= _BROADCAST_BYTES
+
+
 def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None = None) -> DataFrame:
     """Listing rows some definition names, with ``definition`` and ``located_by``.
 
@@ -67,7 +76,7 @@ def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None
     patterns = catalog.select(
         "definition", "location", F.substring_index("location", "/", -1).alias("_name")
     )
-    small = catalog.limit(_BROADCAST_PATTERNS + 1).count() <= _BROADCAST_PATTERNS
+    small = _is_small(patterns)
     if small:
         patterns = F.broadcast(patterns)
     lowered = F.translate(F.lower("path"), "\\", "/")

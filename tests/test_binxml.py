@@ -4,7 +4,7 @@ import pytest
 from builders import FILETIME, UNDECODABLE, chunk_of, decode, event, raw
 from hypothesis import given, settings, strategies as st
 
-from logquarry.functions.binxml import NO_ROOT, ChunkDecoder, frame_records
+from logquarry.functions.binxml import NO_ROOT, frame_records
 from logquarry.testing.writer import ChunkWriter, El, Slot, Value, text
 
 

@@ -115,7 +115,11 @@ def test_a_large_catalog_is_not_broadcast(spark, monkeypatch):
     large = lq.locate_logs(listing, patterns)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
-    assert sorted(small.collect()) == sorted(large.collect())
+    monkeypatch.undo()
+    monkeypatch.setattr(module, "_BROADCAST_BYTES", 30)
+    wide = lq.locate_logs(listing, patterns)
+    assert "ResolvedHint" not in wide._jdf.queryExecution().analyzed().toString()
+    assert sorted(small.collect()) == sorted(large.collect()) == sorted(wide.collect())
     assert small.count() == 36
 
 
