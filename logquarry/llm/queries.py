@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
+from .near_dedup import near_duplicates
 from .token_counts import count_tokens
 from .token_files import token_digests, write_token_files
 
@@ -28,3 +29,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, write_token_files(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
