@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
+from .decontaminate import contaminated
 from .near_dedup import near_duplicates
 from .token_counts import count_tokens
 from .token_files import token_digests, write_token_files
@@ -34,3 +35,8 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
