@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import table
 from .decontaminate import contaminated
 from .near_dedup import near_duplicates
+from .personal_data import personal_data
 from .token_counts import count_tokens
 from .token_files import token_digests, write_token_files
 
@@ -40,3 +41,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents")).drop("found")
