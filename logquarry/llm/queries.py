@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import contaminated
 from .near_dedup import near_duplicates
 from .personal_data import personal_data
+from .quality_rules import quality
 from .token_counts import count_tokens
 from .token_files import token_digests, write_token_files
 
@@ -46,3 +47,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return scored.select("doc_id", *base, "base_failed", "kept")
