@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .decontaminate import contaminated
+from .licenses import licenses
 from .near_dedup import near_duplicates
 from .personal_data import personal_data
 from .quality_rules import quality
@@ -54,3 +55,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return scored.select("doc_id", *base, "base_failed", "kept")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents")).drop("found")
