@@ -13,6 +13,7 @@ from .licenses import licenses
 from .near_dedup import near_duplicates
 from .personal_data import personal_data
 from .quality_rules import quality
+from .secrets import scan
 from .token_counts import count_tokens
 from .token_files import token_digests, write_token_files
 
@@ -60,3 +61,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents")).drop("found")
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("secret_sha256", F.sha2("secret", 256)).drop("secret")
