@@ -32,11 +32,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{folder}"
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes the rows to shared storage and reads them again: lost executors cost no recomputation."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -69,7 +69,8 @@ class Split:
         lists = lists.fill_null([]) if lists.null_count else lists
         encoded = lists.flatten().dictionary_encode()
         ids = encoded.indices.to_numpy(zero_copy_only=False)
-        self.distinct: list[str] = encoded.dictionary.to_pylist()
+        self.dictionary: pa.Array = encoded.dictionary
+        self.distinct: list[str] = self.dictionary.to_pylist()
         lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         self.ids, self.bounds = ids, np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
 
@@ -86,7 +87,11 @@ def split_words(texts: pa.Array, lower: bool = False) -> Split:
     if lower:
         texts = pc.ascii_lower(texts)
     split = Split(pc.ascii_split_whitespace(texts))
-    split.keep(np.fromiter((word != "" for word in split.distinct), bool, len(split.distinct)))
+    empty = pc.index(split.dictionary, "").as_py()
+    if empty >= 0:
+        wanted = np.ones(len(split.distinct), bool)
+        wanted[empty] = False
+        split.keep(wanted)
     return split
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import gather, per_text, shared_folder, split_words, text_slices, worker_state
+from .common import gather, per_text, shared_folder, split_words, stored, text_slices, worker_state
 
 CACHE_SIZE = 1_000_000
 BLOCKS = (
@@ -71,15 +72,19 @@ class Encoder:
         """Index of each word in ``starts`` and ``lengths``."""
         if len(self.known) > CACHE_SIZE:
             self.clear()
-        missing = [word for word in distinct if word not in self.known]
-        if missing:
+        found = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            missing = [distinct[i] for i in unknown.tolist()]
             ids = [x.ids for x in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             starts = len(self.flat) + np.cumsum(lengths) - lengths
-            self.known.update(zip(missing, range(len(self.starts), len(self.starts) + len(missing))))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))])
+            found[unknown] = np.arange(len(self.starts), len(self.starts) + len(missing))
+            self.known.update(zip(missing, found[unknown].tolist()))
+            inner = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+            self.flat = np.concatenate([self.flat, inner])
             self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
-        return np.fromiter((self.known[word] for word in distinct), np.int64, len(distinct))
+        return found
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with ``end_id`` after it, and their numbers."""
@@ -89,16 +94,6 @@ class Encoder:
         inner = gather(self.flat, self.starts[index], self.lengths[index])
         return np.insert(inner, np.cumsum(counts), np.uint32(end_id)), counts + 1
 
-    def count(self, texts: pa.Array, into: np.ndarray) -> None:
-        """Adds the frequencies of the texts' ids."""
-        split = split_words(texts)
-        if not len(split.ids):
-            return
-        times = np.bincount(split.ids, minlength=len(split.distinct))
-        index = self.words(split.distinct)
-        ids = gather(self.flat, self.starts[index], self.lengths[index])
-        into += np.bincount(ids, np.repeat(times, self.lengths[index]), len(into)).astype(np.int64)
-
 
 def encoder(path: str) -> Encoder:
     import os
@@ -107,25 +102,40 @@ def encoder(path: str) -> Encoder:
     return worker_state(f"encoder {path}", lambda: Encoder(path))
 
 
-def id_counts(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """How often each token id stands in all texts."""
+def encoded(documents: DataFrame, path: str, size: int, end_id: int, order: list[Column]) -> DataFrame:
+    """``doc_id``, the keys of ``order`` and the ids of every row, as short as the vocabulary allows."""
+    kind = short(size)
 
-    def count(batches):
-        own, total = encoder(path), None
+    def encode(batches):
+        own = encoder(path)
         for part in text_slices(batches):
-            if total is None:
-                total = np.zeros(own.tokenizer.get_vocab_size(), np.int64)
-            own.count(part.column("text"), total)
-        if total is not None:
-            ids = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
+            ids, counts = own.encode(part.column("text"), end_id)
+            ends = np.concatenate(([0], np.cumsum(counts))) * np.dtype(kind).itemsize
+            offsets = pa.py_buffer(ends.astype(np.int32))
+            binary = pa.Array.from_buffers(pa.binary(), len(counts), [None, offsets, pa.py_buffer(ids.astype(kind))])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], binary], [*part.schema.names[:-1], "ids"])
 
-    return (
-        documents.select(F.col(text).alias("text"))
-        .mapInArrow(count, "id long, n long")
-        .groupBy("id")
-        .agg(F.sum("n").alias("n"))
-    )
+    keys = [key.alias(f"__key{i}") for i, key in enumerate(order)]
+    given = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, "text")
+    return given.mapInArrow(encode, given.drop("text").schema.add("ids", "binary"))
+
+
+def short(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def id_counts(coded: DataFrame, size: int) -> DataFrame:
+    """How often each token id stands in all rows of ``ids``."""
+
+    def count(batches):
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), short(size))
+            total += np.bincount(ids, minlength=size)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    return coded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -154,17 +164,18 @@ def write_token_files(
 ) -> TokenFiles:
     """Encodes ``text`` of every row, ``end_id`` after each, and writes a file set in shared storage.
 
-    Rows stand in ``order``, else by ``doc_id`` (nulls first; equal ones by text). The vocabulary's
-    frequencies are counted over all texts first. A null or empty text is its end id alone.
+    Rows stand in ``order``, else by ``doc_id`` (nulls first; equal ones by their ids). The vocabulary's
+    frequencies are counted over all rows. A null or empty text is its end id alone.
     """
+    from tokenizers import Tokenizer
+
     spark = documents.sparkSession
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    counted = {row.id: row.n for row in id_counts(documents, path).collect()}
-    counted[end_id] = counted.get(end_id, 0) + documents.count()
-    from tokenizers import Tokenizer
-
     size = max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1)
+    order = order or [F.col("doc_id")]
+    coded = stored(encoded(documents, path, size, end_id, order), "encoded", "zstd")
+    counted = {row.id: row.n for row in id_counts(coded, size).collect()}
     by_rank = sorted(range(size), key=lambda i: (-counted.get(i, 0), i))
     spark.createDataFrame(list(enumerate(by_rank)), "rank int, id int").coalesce(1).write.parquet(f"{folder}/ranks")
     rank_of = np.empty(size, np.uint32)
@@ -172,30 +183,36 @@ def write_token_files(
     ranks = spark.sparkContext.broadcast(rank_of)
 
     def write(batches):
-        own, file, first, block = encoder(path), TaskContext.get().partitionId(), 0, 0
-        for part in text_slices(batches):
-            ids, counts = own.encode(part.column("text"), end_id)
-            bounds = np.concatenate(([0], np.cumsum(counts)))
-            row = 0
-            while row < part.num_rows:  # as many rows as fit the block, one at least
-                stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + block_tokens, "right")) - 1)
-                control, codes = encode_ranks(ranks.value[ids[bounds[row] : bounds[stop]]])
-                lists = [part.column("doc_id")[row:stop].to_pylist(), counts[row:stop].tolist()]
-                values = [file, block, first, *lists, control, codes]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
-                first, block, row = first + int(bounds[stop] - bounds[row]), block + 1, stop
+        file, first, block = TaskContext.get().partitionId(), 0, 0
+        for doc_ids, lists in blocks_of(batches, block_tokens):
+            joined = np.frombuffer(b"".join(lists), short(size))
+            counts = [len(x) // joined.itemsize for x in lists]
+            values = [file, block, first, doc_ids, counts, *encode_ranks(ranks.value[joined])]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+            first, block = first + len(joined), block + 1
+
+    def blocks_of(batches, tokens):
+        doc_ids, lists, held = [], [], 0
+        for batch in batches:
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if held and held + len(ids) > 2 * tokens:
+                    yield doc_ids, lists
+                    doc_ids, lists, held = [], [], 0
+                doc_ids.append(doc_id)
+                lists.append(ids)
+                held += len(ids)
+        if lists:
+            yield doc_ids, lists
 
     longs = pa.list_(pa.int64())
     types = [pa.int32(), pa.int32(), pa.int64(), longs, longs, pa.binary(), pa.binary()]
     names = ["file", "block", "first_token", "doc_ids", "n_tokens", "control", "codes"]
-    keys = order or [F.col("doc_id"), F.xxhash64("text")]
-    keyed = documents.select("doc_id", "text", *[k.alias(f"__key{i}") for i, k in enumerate(keys)])
-    by = [f"__key{i}" for i in range(len(keys))]
+    by = [f"__key{i}" for i in range(len(order))]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        keyed.repartitionByRange(parts, *by)
-        .sortWithinPartitions(*by, "text")
-        .select("doc_id", "text")
+        coded.repartitionByRange(parts, *by, F.xxhash64("ids"))
+        .sortWithinPartitions(*by, F.xxhash64("ids"), "ids")
+        .select("doc_id", "ids")
         .mapInArrow(write, BLOCKS)
         .write.option("compression", "uncompressed")
         .parquet(f"{folder}/blocks")
