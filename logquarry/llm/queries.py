@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .decontaminate import contaminated
+from .html_text import extract
 from .licenses import licenses
+from .mixing import mix
 from .near_dedup import near_duplicates
 from .personal_data import personal_data
 from .quality_rules import quality
@@ -67,3 +69,18 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     return found.withColumn("secret_sha256", F.sha2("secret", 256)).drop("secret")
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+#: Target weights of the mix; sources that aren't named weigh as their mean.
+WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
+
+
+@query
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mix(documents, WEIGHTS, order=["doc_id"])
