@@ -208,38 +208,44 @@ def item_words(text: str) -> tuple[np.ndarray, list[int]]:
     return word_hashes(words), list(map(len, words))
 
 
-def passages(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, item_id, first_word, end_word, edits, item_words``: every passage of ``documents`` within
-    the allowed edits of an item that the tables find. The items are taken in blocks of bounded size, each
-    in a pass over all documents. Empty texts, null texts and null items have no passage."""
-    spark = documents.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).where("item_id is not null and text is not null")
+def item_blocks(benchmark: DataFrame, settings: Settings):
+    """Broadcast items of one block after another, each within ``ITEMS`` and ``ITEM_CHARS``."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null")
     n, chars = items.agg(F.count("*"), F.sum(F.length("text"))).first()
     blocks = max(1, -(-n // ITEMS), -(-(chars or 0) // ITEM_CHARS))
-    schema = "doc_id long, item_id long, first_word long, end_word long, edits long, item_words long"
-    found = None
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text")
         words = [(row.item_id, *item_words(row.text)) for row in own.collect()]
         words = [x for x in words if len(x[1]) >= settings.least_words]
-        given = spark.sparkContext.broadcast(words)
+        yield benchmark.sparkSession.sparkContext.broadcast(words), f"index {uuid.uuid4().hex}"
+
+
+def hits_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, int]]:
+    split = split_words(texts)
+    if not len(split.ids):
+        return []
+    hashes = word_hashes(split.distinct)
+    split.keep(hashes != 0)
+    return index.search(hashes[split.ids], split.bounds, index.classes(hashes)[split.ids])
+
+
+def passages(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, item_id, first_word, end_word, edits, item_words``: every passage of ``documents`` within
+    the allowed edits of an item that the tables find. The items are taken in blocks of bounded size, each
+    in a pass over all documents. Empty texts, null texts and null items have no passage."""
+    names = ["doc_id", "item_id", "first_word", "end_word", "edits", "item_words"]
+    found = None
+    for given, key in item_blocks(benchmark, settings):
 
-        def search(batches, given=given, key=f"index {uuid.uuid4().hex}"):
+        def search(batches, given=given, key=key):
             index = worker_state(key, lambda: Index(given.value, settings))
             sizes = {i: len(w) for i, w in index.items}
             for part in text_slices(batches):
-                split = split_words(part.column("text"))
-                if not len(split.ids):
-                    continue
-                hashes = word_hashes(split.distinct)
-                split.keep(hashes != 0)
-                hits = index.search(hashes[split.ids], split.bounds, index.classes(hashes)[split.ids])
                 ids = part.column("doc_id")
-                rows = [(ids[hit[0]].as_py(), *hit[1:], sizes[hit[1]]) for hit in hits]
-                columns = [pa.array([x[i] for x in rows], pa.int64()) for i in (0, 1, 2, 3, 4, 5)]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
+                rows = [(ids[x[0]].as_py(), *x[1:], sizes[x[1]]) for x in hits_of(part.column("text"), index)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in range(6)], names)
 
-        hits = documents.select("doc_id", "text").mapInArrow(search, schema)
+        hits = documents.select("doc_id", "text").mapInArrow(search, ", ".join(f"{x} long" for x in names))
         found = hits if found is None else found.unionByName(hits)
     return found
 
@@ -259,8 +265,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, settings: Settings
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents without any passage of an item; rows and columns stay as they are. Passages are
-    searched in every text, so a row goes if its own ``doc_id`` has one; rows without ``doc_id`` stay
-    unless their text has one."""
-    bad = contaminated(documents, benchmark, settings).select(F.col("doc_id").alias("__bad"))
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """The rows whose ``text`` has no passage of any item, all columns as they are; without a shuffle."""
+    for given, key in item_blocks(benchmark, settings):
+
+        def clean(batches, given=given, key=key):
+            index = worker_state(key, lambda: Index(given.value, settings))
+            for part in text_slices(batches):
+                keep = np.ones(part.num_rows, bool)
+                keep[[x[0] for x in hits_of(part.column("text"), index)]] = False
+                yield part.filter(pa.array(keep))
+
+        documents = documents.mapInArrow(clean, documents.schema)
+    return documents
