@@ -46,13 +46,23 @@ _VALUE_TOKENS = (VALUE, NORMAL_SUBSTITUTION, CONDITIONAL_SUBSTITUTION)
 # Step kinds. A leaf is an element with nothing but one text or slot inside.
 _LEAF, _OPEN, _CLOSE, _TEXT, _SLOT, _INSTANCE, _SPAN = range(7)
 
-# Guards against records built to never end. Real records stay far below: a record has 64 KiB.
-MAX_NESTING = 64
-MAX_WORK = 1 << 24  # characters of output; a step counts as _STEP_COST
+# What one row can hold: characters of output, a step counted as _STEP_COST. A record has 64 KiB, but
+# templates can multiply it. Nesting has no limit of its own: it ends, or a fragment contains itself.
+MAX_WORK = 1 << 27
 _STEP_COST = 64
 _NO_ATTRIBUTES: list = []
 
 
+class RowFull(BadRecord):
+    """The record gives more than one row can hold."""
+
+
+class Values(list):
+    """Substitution values, told apart by where they were read."""
+
+    at = -1
+
+
 def frame_records(chunk: bytes):
     """(record id, filetime, start, end) of each record until the first broken frame."""
     scan_end = min(int.from_bytes(chunk[48:52], "little"), len(chunk))
@@ -84,9 +94,14 @@ class ChunkDecoder:
     def decode(self, start: int, end: int) -> str | None:
         """Appends the nodes of the record's Event element; returns what went wrong, if anything."""
         nodes, first = self.nodes, len(self.nodes)
-        self.work, self.roots = MAX_WORK, []
+        self.work, self.roots, self.open = MAX_WORK, [], set()
+        # Frames of plain functions lie on the heap; a chunk's bytes bound their number.
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 1 << 20))
+        partial = None
         try:
-            self._fill(self._steps(start, end, False, 0), None, ["", {}, [], -1], 0)
+            self._fill(self._steps(start, end, False), None, ["", {}, [], -1])
+        except RowFull as problem:
+            partial = str(problem)
         except BadRecord as problem:
             del nodes[first:]
             return str(problem)
@@ -101,7 +116,7 @@ class ChunkDecoder:
             if wanted + 1 < len(self.roots):
                 del nodes[self.roots[wanted + 1] :]
             del nodes[first : self.roots[wanted]]
-        return None
+        return partial
 
     @property
     def work_done(self) -> int:
@@ -113,9 +128,7 @@ class ChunkDecoder:
     def _uint(self, pos: int, width: int) -> int:
         return int.from_bytes(self.buf[pos : pos + width], "little")
 
-    def _steps(self, pos: int, end: int, in_template: bool, depth: int) -> list[tuple]:
-        if depth > MAX_NESTING:
-            raise BadRecord("fragments nested too deep")
+    def _steps(self, pos: int, end: int, in_template: bool) -> list[tuple]:
         buf, steps, opened = self.buf, [], 0
         while pos < end:
             token = buf[pos]
@@ -144,7 +157,7 @@ class ChunkDecoder:
                 steps.append((_CLOSE, None, None, None))
                 opened -= 1
             elif kind == TEMPLATE_INSTANCE:
-                step, pos = self._instance(pos, end, depth)
+                step, pos = self._instance(pos, end)
                 steps.append(step)
             elif kind in (CDATA, PI_DATA):
                 size = 2 * self._uint(pos, 2)
@@ -232,7 +245,7 @@ class ChunkDecoder:
             pos += 10 + 2 * self._uint(at + 6, 2)
         return entry, pos
 
-    def _instance(self, pos: int, end: int, depth: int):
+    def _instance(self, pos: int, end: int):
         buf = self.buf
         at = self._uint(pos + 5, 4)
         pos += 9
@@ -240,11 +253,12 @@ class ChunkDecoder:
             pos += 24 + self._uint(pos + 20, 4)
         if pos + 4 > end:
             raise BadRecord("template ends beyond its record")
-        steps = self._body(at, depth)
+        steps = self._body(at)
         values_at = pos + 4 + 4 * self._uint(pos, 4)
         if values_at > end:
             raise BadRecord("more substitutions than the record has room for")
-        values = []
+        values = Values()
+        values.at = pos
         for size, kind in struct.iter_unpack(_DESCRIPTOR, buf[pos + 4 : values_at]):
             if kind == WSTRING and not size & 1 and values_at + size <= end:  # the usual case
                 values.append(utf16_text(buf[values_at : values_at + size]))
@@ -254,7 +268,7 @@ class ChunkDecoder:
                 values.append(value)
         return (_INSTANCE, steps, values, None), values_at
 
-    def _body(self, at: int, depth: int) -> list[tuple]:
+    def _body(self, at: int) -> list[tuple]:
         steps = self.bodies.get(at)
         if steps is None:
             if at in self.bodies:
@@ -265,7 +279,7 @@ class ChunkDecoder:
             end = min(start + self._uint(at + 20, 4), len(self.buf))
             self.bodies[at] = None
             try:
-                steps = self._steps(start, end, True, depth + 1)
+                steps = self._steps(start, end, True)
             finally:
                 del self.bodies[at]
             self.bodies[at] = steps
@@ -273,10 +287,20 @@ class ChunkDecoder:
 
     # -- filling ---------------------------------------------------------------------------
 
-    def _fill(self, steps: list[tuple], values: list | None, frame: list, depth: int):
+    def _span(self, span: tuple[int, int], values: Values | None, around, frame: list):
+        """Fills a nested fragment. One that is open already with the same values would never end."""
+        key = (*span, values.at if values is not None else -1)
+        if key in self.open:
+            raise BadRecord("fragment contains itself")
+        self.open.add(key)
+        steps = self._steps(*span, False)
+        if around is not None:
+            steps = [(_OPEN, *around, None), *steps, (_CLOSE, None, None, None)]
+        self._fill(steps, values, frame)
+        self.open.remove(key)
+
+    def _fill(self, steps: list[tuple], values: Values | None, frame: list):
         """Runs the steps inside ``frame``: [path prefix, ordinals by label, texts, row]."""
-        if depth > MAX_NESTING:
-            raise BadRecord("fragments nested too deep")
         nodes, stack = self.nodes, []
         prefix, ordinals, texts, row = frame
         work = self.work - _STEP_COST * (len(steps) + 1)
@@ -285,10 +309,8 @@ class ChunkDecoder:
                 if type(c) is tuple:
                     c = self._slot(c[0], values)
                     if type(c) is tuple:  # the slot holds elements: no leaf after all
-                        steps_inside = self._steps(*c, False, depth)
-                        whole = [(_OPEN, a, b, None), *steps_inside, (_CLOSE, None, None, None)]
                         self.work = work
-                        self._fill(whole, values, [prefix, ordinals, texts, row], depth + 1)
+                        self._span(c, values, (a, b), [prefix, ordinals, texts, row])
                         work = self.work
                         continue
                     if c is None:
@@ -321,26 +343,27 @@ class ChunkDecoder:
                 work -= len(a)
                 texts.append(a)
             else:
+                inner = a
                 if kind == _SLOT:
-                    inner, scope = self._slot(a, values), values
+                    inner = self._slot(a, values)
                     if type(inner) is not tuple:
                         if inner is not None:
                             work -= len(inner)
                             texts.append(inner)
                         continue
-                    inner = self._steps(*inner, False, depth)
-                elif kind == _INSTANCE:
-                    inner, scope = a, b
-                else:
-                    inner, scope = self._steps(a, b, False, depth), values
+                elif kind == _SPAN:
+                    inner = (a, b)
                 self.work = work
-                self._fill(inner, scope, [prefix, ordinals, texts, row], depth + 1)
+                if kind == _INSTANCE:
+                    self._fill(a, b, [prefix, ordinals, texts, row])
+                else:
+                    self._span(inner, values, None, [prefix, ordinals, texts, row])
                 work = self.work
             if work < 0:
-                raise BadRecord("record expands without bound")
+                raise RowFull("record gives more than a row can hold")
         self.work = work
 
-    def _slot(self, index: int, values: list | None):
+    def _slot(self, index: int, values: Values | None):
         if values is None:
             raise BadRecord("substitution outside of a template")
         return values[index] if index < len(values) else None

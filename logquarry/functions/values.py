@@ -5,7 +5,7 @@ from __future__ import annotations
 import codecs
 import struct
 import sys
-from datetime import datetime, timedelta
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark import cloudpickle
@@ -45,6 +45,9 @@ BINXML = 0x21
 ARRAY_FLAG = 0x80
 
 
+_FIRST_DAY = date(1601, 1, 1).toordinal()
+
+
 def float_text(value: float) -> str:
     """Shortest round-trip digits, never an exponent, no ``.0`` on whole numbers."""
     if value != value:
@@ -56,13 +59,17 @@ def float_text(value: float) -> str:
 
 
 def filetime_text(ticks: int) -> str:
-    """ISO-8601 UTC with seven fractional digits."""
+    """ISO-8601 UTC with seven fractional digits. Any 64-bit value has one: years beyond 9999 are written
+    with all their digits."""
     seconds, fraction = divmod(ticks, 10_000_000)
-    try:
-        instant = datetime(1601, 1, 1) + timedelta(seconds=seconds)
-    except OverflowError:
-        raise BadRecord(f"FILETIME {ticks} is beyond year 9999") from None
-    return f"{instant.isoformat()}.{fraction:07d}Z"
+    days, second = divmod(seconds, 86_400)
+    # The calendar repeats every 146,097 days; within one period, ``date`` knows it.
+    periods, day = divmod(days, 146_097)
+    at = date.fromordinal(_FIRST_DAY + day)
+    return (
+        f"{at.year + 400 * periods:04d}-{at.month:02d}-{at.day:02d}"
+        f"T{second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d}.{fraction:07d}Z"
+    )
 
 
 def systime_text(parts: tuple[int, ...]) -> str:

@@ -19,6 +19,8 @@ def watch_logs(spark: SparkSession, folder: str, glob: str | None = None, max_fi
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        # Copied evidence keeps its old times; by default, files a week older than the newest are passed over.
+        .option("maxFileAge", "36500d")
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
