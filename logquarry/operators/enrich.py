@@ -81,9 +81,9 @@ _COMMON_NAMES = {
 _PROVENANCE = ["source_id", "acquisition", "recovery"]
 
 
-def enrich(records: DataFrame, host: str, acquisition: str = "ImageRead") -> DataFrame:
-    """Records under common-schema names. ``artifact.host`` is the host of the run, ``host.name`` the
-    computer the record names. ``definition`` and ``located_by`` are taken over where present."""
+def enrich(records: DataFrame, host: str | Column, acquisition: str = "ImageRead") -> DataFrame:
+    """Records under common-schema names. ``artifact.host`` is the host the log comes from (a name, or a
+    column where the records are of many), ``host.name`` the computer the record names. ``definition`` and ``located_by`` are taken over where present."""
     source = with_provenance(classify_channel(records), acquisition)
     common = [F.col(old).alias(new) for new, old in _COMMON_NAMES.items() if old in source.columns]
     located = [
@@ -91,7 +91,7 @@ def enrich(records: DataFrame, host: str, acquisition: str = "ImageRead") -> Dat
     ]
     return source.select(
         *common,
-        F.lit(host).alias("artifact.host"),
+        (F.lit(host) if isinstance(host, str) else host).alias("artifact.host"),
         F.col("artifact").alias("artifact.name"),
         F.col("path").alias("artifact.path"),
         *located,

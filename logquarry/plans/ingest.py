@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.enrich import enrich
 from ..operators.mapping import map_event, map_evt, map_units, record_columns
@@ -29,6 +29,7 @@ from ..sources.headers import (
     readable_evtx,
 )
 
+_HOST = "_evidence_host"
 _NOT_CARRIED = ("content", "head", "read_error", "modificationTime", "length", "chunk")
 
 
@@ -100,20 +101,28 @@ def collect_logs(
     spark: SparkSession,
     roots: Sequence[str],
     catalog: DataFrame,
-    host: str,
+    host: str | Column,
     system_root: str | None = None,
     acquisition: str = "ImageRead",
     bytes_per_task: int = 128 << 20,
 ) -> tuple[DataFrame, DataFrame]:
     """(enriched records, errors) of every evtx log the catalog finds below ``roots``.
 
-    Only located files are opened: first their headers, then their chunks by byte range.
+    Evidence of many hosts is one run: ``host`` is then an expression of ``path``, each of whose values is
+    a body of evidence of its own. Only located files are opened: first their headers, by as many tasks
+    as their number asks for, then their chunks by byte range.
     """
     listing, root_errors = list_roots(spark, roots)
     patterns, pattern_errors = expand_patterns(catalog, system_root)
-    located = locate_logs(listing, patterns)
-    heads = read_heads(located)
-    tasks = task_count(located, bytes_per_task)
+    if isinstance(host, Column):
+        listing, key = listing.withColumn(_HOST, host), F.col(_HOST)
+    else:
+        key = None
+    located = locate_logs(listing, patterns, evidence=key)
+    files, size = located.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    # An explicit number: the planner would merge these few bytes into one task.
+    heads = read_heads(located.repartition(max(1, min(files, max(range_partitions(spark), files // 64)))))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-int(size) // bytes_per_task))
     records = records_of_chunks(read_chunks(readable_evtx(heads), tasks))
     errors = root_errors.unionByName(pattern_errors).unionByName(evtx_errors(heads))
-    return enrich(records, host, acquisition), errors
+    return enrich(records, F.col(_HOST) if key is not None else host, acquisition), errors

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
 import sys
 from collections.abc import Sequence
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.binary import u32_sql
 from ..functions.levels import lookup_sql
-from .storage import FileCursor, repeat_rows
+from .storage import FileCursor, list_folder, repeat_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,46 +29,134 @@ ERROR_SCHEMA = "path string, stage string, message string"
 RANGE_CHUNKS = 256  # 16 MiB of log per task unit
 
 
-def _reader(spark: SparkSession, glob: str | None):
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", glob) if glob else reader
+LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
+
+
+def _folders(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[tuple[str, bool]], list[tuple[str, str]]]:
+    """Units of a listing, and the given paths that match nothing, each with what is wrong.
+
+    A unit is a file or folder and whether to go below it. Folders are split into their subfolders until
+    there are enough for the tasks; the driver only ever sees the names of those upper folders.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    wanted = 4 * spark.sparkContext.defaultParallelism
+    units, missing, folders = [], [], []
+    for given in [path] if isinstance(path, str) else path:
+        try:
+            pattern = jvm.org.apache.hadoop.fs.Path(given)
+            found = pattern.getFileSystem(conf).globStatus(pattern)
+        except Py4JJavaError as problem:
+            found, reason = None, str(problem.java_exception)
+        else:
+            reason = f"Path does not exist: {given}"
+        if not found:
+            missing.append((given, reason))
+        for status in found or []:
+            (folders if status.isDirectory() else units).append((status.getPath().toString(), False))
+    for _ in range(4):
+        if not folders or len(folders) >= wanted:
+            break
+        below = []
+        for folder, _ in folders:
+            units.append((folder, False))  # the files right in it, or the error that lists none
+            try:
+                at = jvm.org.apache.hadoop.fs.Path(folder)
+                entries = at.getFileSystem(conf).listStatusIterator(at)
+                while entries.hasNext():
+                    entry = entries.next()
+                    if entry.isDirectory():
+                        below.append((entry.getPath().toString(), False))
+            except Py4JJavaError:
+                continue
+        folders = below
+    return units + [(folder, True) for folder, _ in folders], missing
+
+
+def _name_pattern(glob: str | None):
+    """The glob of a file name as a regular expression; ``{a,b}`` are alternatives."""
+    if glob is None:
+        return re.compile("", re.S)
+    choice = re.search(r"\{([^{}]*)\}", glob)
+    if choice is None:
+        return re.compile(fnmatch.translate(glob))
+    parts = [_name_pattern(glob[: choice.start()] + x + glob[choice.end() :]).pattern for x in choice[1].split(",")]
+    return re.compile("|".join(parts))
+
+
+def _walk(spark: SparkSession, units: list[tuple[str, bool]], glob: str | None) -> DataFrame:
+    """``LISTING_SCHEMA`` and ``problem`` of all files of the units, whatever their names. A folder that
+    cannot be listed is one row with its problem. Links to folders are not followed."""
+
+    def run(batches):
+        matches = _name_pattern(glob)
+        for batch in batches:
+            for unit, below in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                open_, rows = [unit], []
+                while open_:
+                    folder = open_.pop()
+                    try:
+                        for found, is_folder, size, time in list_folder(folder):
+                            if is_folder:
+                                if below:
+                                    open_.append(found)
+                            elif matches.match(found.rpartition("/")[2]):
+                                rows.append((found, size, time, None))
+                    except OSError as problem:
+                        rows.append((folder, None, None, str(problem)))
+                    if len(rows) >= 10_000 or not open_:
+                        types = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.string()]
+                        columns = [pa.array(x, t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
+                        yield pa.RecordBatch.from_arrays(columns, ["path", "length", "modificationTime", "problem"])
+                        rows = []
+
+    given = spark.createDataFrame(units, "unit string, below boolean")
+    parts = max(1, min(len(units), 4 * spark.sparkContext.defaultParallelism))
+    return given.repartition(parts).mapInArrow(run, f"{LISTING_SCHEMA}, problem string")
 
 
 def list_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """(path, length, modificationTime). Column pruning keeps file contents unread.
+    """(path, length, modificationTime) of every file below ``path``, whatever its name; none is opened.
 
-    Spark plans one task per 128 MiB of the files listed, although none is opened; merging the tasks
-    keeps a listing of many terabytes at one task per core.
+    Tasks walk the folders. Fails on a path that matches nothing; folders below it that cannot be listed
+    are left out here, see ``list_roots``.
     """
-    listing = _reader(spark, glob).load(path).select("path", "length", "modificationTime")
-    return listing.coalesce(spark.sparkContext.defaultParallelism)
+    units, missing = _folders(spark, path)
+    if missing:
+        raise FileNotFoundError(missing[0][1])
+    return _walk(spark, units, glob).where("problem is null").drop("problem")
 
 
 def read_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """(path, length, modificationTime, content), one row per file of up to 2 GiB.
 
-    Use it for collections of ordinary logs; ``list_logs`` with ``read_heads`` and ``read_units``
-    reads byte ranges instead and has no size limit.
+    Use it for collections of ordinary logs; ``list_logs`` with ``read_heads`` and ``read_chunks`` reads byte
+    ranges instead and has no size limit. A file that cannot be read, or is larger, has no content: one
+    row of ``header_errors``.
     """
-    columns = ("path", "length", "modificationTime", "content")
-    return _reader(spark, glob).load(path).select(*columns)
+
+    def run(batches):
+        cursor = FileCursor()
+        for batch in batches:
+            for row, (file, size) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                try:
+                    content = cursor.read(file, 0, size) if size < 1 << 31 else None
+                except OSError:
+                    cursor.close()
+                    content = None
+                columns = [*batch.slice(row, 1).columns, pa.array([content], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "content"])
+        cursor.close()
+
+    return list_logs(spark, path, glob).mapInArrow(run, f"{LISTING_SCHEMA}, content binary")
 
 
 def list_roots(spark: SparkSession, roots: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Listing of all roots, and one error row for each root that cannot be listed."""
-    found, failed = [], []
-    for root in roots:
-        try:
-            list_logs(spark, root)
-            found.append(root)
-        except AnalysisException as problem:
-            failed.append((root, "locate", str(problem).splitlines()[0]))
-    listing = (
-        list_logs(spark, found)
-        if found
-        else spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
-    )
-    return listing, spark.createDataFrame(failed, ERROR_SCHEMA)
+    """Listing of all roots, and one error row for each root and each folder below that cannot be listed."""
+    units, missing = _folders(spark, roots)
+    walked = _walk(spark, units, None)
+    failed = spark.createDataFrame([(root, "locate", reason) for root, reason in missing], ERROR_SCHEMA)
+    unlisted = walked.where("problem is not null").select("path", F.lit("locate").alias("stage"), F.col("problem").alias("message"))
+    return walked.where("problem is null").drop("problem"), failed.unionByName(unlisted)
 
 
 def _format_sql(head: str) -> str:
@@ -127,7 +217,7 @@ def split_chunks(files: DataFrame) -> DataFrame:
     """One row per 64 KiB slot of in-memory evtx files: (..., chunk_index, chunk).
 
     Only slot numbers are exploded; the slice happens in the same codegen stage, so no array of
-    chunk copies is built. No shuffle: spread large single files with ``read_units`` instead.
+    chunk copies is built. No shuffle: spread large single files with ``read_chunks`` instead.
     """
     carried = [c for c in files.columns if c != "content"]
     slots = F.octet_length("content") if "length" not in files.columns else F.col("length")
@@ -209,11 +299,10 @@ def range_partitions(spark: SparkSession) -> int:
 
 
 def task_count(listing: DataFrame, bytes_per_task: int = 128 << 20) -> int:
-    """Tasks for reading the listed files: a small job over their sizes. The upper bound keeps the
-    shuffle of range descriptors cheap; tasks stream, so more bytes each do not need more memory."""
+    """Tasks for reading the listed files: a small job over their sizes. Their number follows the bytes."""
     total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     cores = listing.sparkSession.sparkContext.defaultParallelism
-    return min(max(cores, -(-int(total) // bytes_per_task)), max(20_000, 4 * cores))
+    return max(cores, -(-int(total) // bytes_per_task))
 
 
 # The channel a legacy log belongs to, by its file name.

@@ -24,6 +24,26 @@ def resolve(path: str):
     return system, f"{base.rstrip('/')}/{key}"
 
 
+def list_folder(path: str):
+    """(path, is folder, length, modification time) of each entry, or of the file itself. Paths have the
+    form of the given one. A linked folder is no entry."""
+    import os
+
+    from pyarrow import fs
+
+    system, location = resolve(path)
+    start = path.removesuffix(location) if path.endswith(location) else f"{path[: len(path) - len(location.lstrip('/'))]}"
+    own = system.get_file_info(location.rstrip("/") or "/")
+    if own.type == fs.FileType.NotFound:
+        raise FileNotFoundError(f"{path} does not exist")
+    local = isinstance(system, fs.LocalFileSystem)
+    entries = [own] if own.type == fs.FileType.File else system.get_file_info(fs.FileSelector(own.path))
+    for entry in entries:
+        folder = entry.type == fs.FileType.Directory
+        if not (folder and local and os.path.islink(entry.path)):
+            yield start + entry.path, folder, entry.size if not folder else 0, entry.mtime
+
+
 def open_file(path: str):
     """Random-access file."""
     system, location = resolve(path)

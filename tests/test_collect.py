@@ -204,10 +204,33 @@ def test_decode_does_not_shuffle_log_bytes(spark, store):
     records, _ = lq.scan_logs(spark, root)
     plan = records._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
-    assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in line for line in exchanges)
+    assert len(exchanges) == 4 and all("REPARTITION_BY_NUM" in line for line in exchanges)  # listing, ranges
     assert "chunk#" not in "".join(exchanges) and "content" not in plan
     whole = lq.read_records(lq.read_logs(spark, root))._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in whole and whole.count("FileScan") == 1
+    assert whole.count("Exchange") == 1 and "content" not in whole[whole.index("Exchange") :]  # the listing
+
+
+def test_hidden_names_and_patterns_of_names(spark, store):
+    names = ["/_x/a.evtx", "/.x/b.evtx", "/y/_c.evtx", "/y/d.evt", "/y/e.txt", "/y/f %20{.evtx"]
+    root = store({name: b"x" for name in names})
+    found = {r.path[r.path.index(root.rpartition("/")[2]) + len(root.rpartition("/")[2]) :] for r in lq.list_logs(spark, root).collect()}
+    assert found == set(names)
+    assert lq.list_logs(spark, root, "*.{evt,evtx}").count() == 5 and lq.list_logs(spark, root + "/y").count() == 4
+    assert lq.list_logs(spark, root + "/y/d.evt").count() == 1
+    listing, errors = lq.list_roots(spark, [root, root + "/none"])
+    assert listing.count() == 6 and [r.stage for r in errors.collect()] == ["locate"]
+
+
+def test_located_logs_are_read_by_several_tasks(spark, store):
+    from pyspark.sql import functions as F
+
+    logs = {f"/h{i}/Windows/System32/winevt/Logs/System.evtx": log_of(event("System")) for i in range(24)}
+    logs |= {f"/h{i}/copied/System.evtx": log_of(event("System")) for i in range(24, 30)}
+    host = F.regexp_extract("path", "/(h[0-9]+)/", 1)
+    enriched, errors = lq.collect_logs(spark, [store(logs)], lq.default_catalog(spark), host, r"C:\Windows")
+    rows = enriched.select("`artifact.host`", "`artifact.located_by`").collect()
+    assert sorted(r[0] for r in rows) == sorted(f"h{i}" for i in range(30)) and errors.count() == 0
+    assert sum(r[1] == "file_name" for r in rows) == 6
 
 
 def test_mismatched_attribution(spark):
