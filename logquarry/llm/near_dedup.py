@@ -11,17 +11,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import split_words, stored, text_slices
+from .common import split_words, stored, text_slices, worker_state
 
 WORDS = 5
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 45, 5  # at a similarity of 0.75 one link in 190,000 is in no common bucket
 HASHES = BANDS * ROWS
 PERCENT = 75
-#: Signatures that agree in fewer of the minima cannot be of linked sets (chance below 1e-9 at 0.75).
-LEAST_AGREEING = 64
-#: Rounds of pivots end when the pairs left are at most so many for each document.
-PAIRS_PER_DOCUMENT = 2
-MAX_ROUNDS = 12
+#: Signatures that agree in fewer of the minima cannot be of linked sets (chance below 1e-12 at 0.75).
+LEAST_AGREEING = 120
+#: Rounds of pivots end when the pairs left are at most so many for each document, or hardly fewer than
+#: before: what is left then are chance meetings, no groups.
+PAIRS_PER_DOCUMENT = 4
+LEAST_DROP = 0.1
 
 _SEED = np.random.Generator(np.random.PCG64(9_241_755))
 _A = _SEED.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
@@ -29,6 +30,7 @@ _B = _SEED.integers(0, 1 << 32, HASHES, np.uint32)
 _BAND = _SEED.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
+MARKS = ("size", "common", "short")
 SIGNED = "doc_id long, n_shingles long, set_key binary, minima binary, bands array<long>"
 
 
@@ -78,13 +80,14 @@ def signatures(documents: DataFrame, text: str = "text") -> DataFrame:
     import hashlib
 
     def sign(batches):
+        worker_state("near-duplicates")
         for part in text_slices(batches):
             n, keys, least, bands = [], [], [], []
             for hashes in shingle_sets(part.column("text")):
                 n.append(len(hashes))
                 keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 low = minima(hashes)
-                least.append((mixed(low.astype(np.uint64)) >> np.uint64(48)).astype("<u2").tobytes())
+                least.append((mixed(low.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8).tobytes())
                 mix = mixed((low.reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64))
                 bands.append(mix.view(np.int64).tolist() if len(hashes) else [])
             columns = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary())]
@@ -96,13 +99,12 @@ def signatures(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` (its least node) of every node in ``edges(a, b)``, by alternating large
-    and small stars until neither changes a link. Links are spread by node; hubs only ever keep their
+    and small stars until all are stars. Links are spread by node; hubs only ever keep their
     least neighbour, and skewed joins are split by the adaptive planner."""
     edges = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
-    before = None
-    while True:
+    while unsettled(edges):
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # Large star: each larger neighbour to the least of the neighbourhood.
@@ -112,12 +114,15 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         edges = stored(small.where("a <> b").distinct(), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                edges.select("b", "b").distinct()
-            )
-        before = state
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+
+
+def unsettled(edges: DataFrame) -> int:
+    """Nodes that have two links, or one while others have theirs to them: no stars yet."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or up = 1 and down = 1").count()
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -129,8 +134,8 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -159,33 +164,25 @@ def near_duplicates(documents: DataFrame, text: str = "text") -> DataFrame:
     candidates = stored(member.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
     least = exact.select("rep", "minima")
     sets = stored(full_sets(documents, candidates, text), "hashes")
-
-    links = group = None
-    n = candidates.count()
-    for round_ in range(MAX_ROUNDS + 1):
+    common = stored(commons(sets), "commons")
+    member = stored(linkable(member, common), "members")
+    # Of each band as much as tells two buckets apart.
+    short = F.transform("bands", lambda band: F.shiftright(band, 32).cast("int")).alias("short")
+    marks = exact.select("rep", short).join(common, "rep")
+
+    links = group = before = None
+    n, round_, last = candidates.count(), 0, False
+    while not last:
         placed = member.withColumn("g", F.col("rep")) if group is None else grouped(member, group)
-        if round_:
-            left = placed.groupBy("band", "bucket", "g").agg(F.count("*").cast("decimal(38,0)").alias("n"))
-            left = left.groupBy("band", "bucket").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"))
-            left = int(left.agg(F.sum("p")).first()[0] or 0)
-            if not left:
-                break
-            last = left <= PAIRS_PER_DOCUMENT * n or round_ == MAX_ROUNDS
-        else:
-            last = False
-        if last:
-            pairs = cross_pairs(placed)
-        else:
-            draw = F.struct(F.xxhash64(F.lit(round_), "g"), F.xxhash64(F.lit(round_), "rep"), "rep", "g")
-            pivot = placed.groupBy("band", "bucket").agg(F.min(draw).alias("p"))
-            pivot = pivot.select("band", "bucket", F.col("p.rep").alias("b"), F.col("p.g").alias("h"))
-            pairs = placed.withColumnRenamed("rep", "a").join(pivot, ["band", "bucket"]).where("g <> h")
-        pairs = agreeing(pairs.select("a", "b").distinct(), least)
-        found = stored(confirm(pairs, sets), "links")
+        left = pairs_left(placed)
+        if not left:
+            break
+        last = left <= PAIRS_PER_DOCUMENT * n or (before is not None and left > (1 - LEAST_DROP) * before)
+        pairs = cross_pairs(placed, marks) if last else pivot_pairs(placed, round_)
+        found = stored(confirm(agreeing(pairs.distinct(), least), sets), "links")
         links = found if links is None else links.unionByName(found)
         group = stored(components(links), "groups")
-        if last:
-            break
+        before, round_ = left, round_ + 1
     rep = exact.select("set_key", F.col("rep").alias("node"))
     if group is not None:
         rep = rep.join(group, "node", "left")
@@ -204,22 +201,72 @@ def near_duplicates(documents: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def cross_pairs(placed: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose members are in different groups. Members outside the bucket's largest
-    group are joined with all of it, so pairs of one group are at most as many as those wanted."""
+def commons(sets: DataFrame) -> DataFrame:
+    """``rep``, the ``size`` of its set and how many of it are ``common``: in another candidate's set too.
+    All hashes are counted. A ``doc_id`` with several sets counts as common throughout."""
+    alone = sets.select("doc_id", F.explode("hashes").alias("h")).groupBy("h")
+    alone = alone.agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1")
+    alone = alone.groupBy("doc_id").agg(F.count("*").alias("alone"))
+    own = sets.groupBy("doc_id").agg(F.min(F.size("hashes")).alias("size"), F.count("*").alias("sets"))
+    common = F.when(F.col("sets") == 1, F.col("size") - F.coalesce("alone", F.lit(0)))
+    return own.join(alone, "doc_id", "left").select(F.col("doc_id").alias("rep"), "size", common.alias("common"))
+
+
+def linkable(member: DataFrame, common: DataFrame) -> DataFrame:
+    """The members that can have a link in their bucket, exactly: an intersection is at most what a set has
+    in common with any other, and a union at least the rest of it and the smallest set it could meet."""
+    placed = member.join(common, "rep")
+    smallest = placed.groupBy("band", "bucket").agg(F.min("size").alias("m"))
+    met = F.greatest("m", F.ceil(F.col("size") * (PERCENT / 100)))
+    possible = F.col("common").isNull() | (100 * F.col("common") >= PERCENT * (F.col("size") + met - F.col("common")))
+    placed = placed.join(smallest, ["band", "bucket"]).where(possible)
+    return placed.select("band", "bucket", "rep", (1 - F.coalesce(F.col("common") / F.col("size"), F.lit(1.0))).alias("alone"))
+
+
+def pairs_left(placed: DataFrame) -> int:
+    """Pairs in one bucket and different groups, counted by bucket, not listed."""
+    own = placed.groupBy("band", "bucket", "g").agg(F.count("*").cast("decimal(38,0)").alias("n"))
+    own = own.groupBy("band", "bucket").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("p"))
+    return int(own.agg(F.sum("p")).first()[0] or 0)
+
+
+def pivot_pairs(placed: DataFrame, round_: int) -> DataFrame:
+    """One pair for each member: with the pivot that comes first among those of its buckets, of another
+    group. First come, in all buckets, those with least of their own, the middle of a group of copies;
+    later the order is drawn anew each round."""
+    first = F.col("alone") if round_ == 0 else F.xxhash64(F.lit(round_), "g").cast("double")
+    draw = F.struct(first, F.xxhash64(F.lit(round_), "rep"), "rep", "g")
+    pivot = placed.groupBy("band", "bucket").agg(F.min(draw).alias("p"))
+    pairs = placed.join(pivot, ["band", "bucket"]).where("g <> p.g").groupBy("rep").agg(F.min("p").alias("p"))
+    return pairs.select(F.col("rep").alias("a"), F.col("p.rep").alias("b"))
+
+
+def cross_pairs(placed: DataFrame, marks: DataFrame) -> DataFrame:
+    """All pairs of a bucket whose members are in different groups and can be linked, once each.
+
+    Members outside the bucket's largest group are joined with all of it, so that what is compared in vain
+    is at most as much as what is wanted. A pair that shares several buckets is taken in the first.
+    """
     bucket = ["band", "bucket"]
     largest = placed.groupBy(*bucket, "g").agg(F.count("*").alias("n"))
-    largest = largest.groupBy(*bucket).agg(F.max(F.struct("n", "g")).alias("top"))
-    minor = placed.join(largest, bucket).where("g <> top.g").select(*bucket, F.col("rep").alias("x"), "g")
-    other = placed.select(*bucket, F.col("rep").alias("y"), F.col("g").alias("h"))
-    pairs = minor.join(other, bucket).where("g <> h")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    largest = largest.groupBy(*bucket).agg(F.max(F.struct("n", "g")).alias("top"), F.count("*").alias("groups"))
+    # Only what stands in a bucket of several groups is compared.
+    marked = placed.join(largest.where("groups > 1"), bucket).join(marks, "rep")
+    marked = marked.withColumn("minor", F.col("g") != F.col("top.g")).select(*bucket, "rep", "g", "minor", *MARKS)
+    x = marked.where("minor").select(*bucket, *[F.col(c).alias(f"x_{c}") for c in ("rep", "g", *MARKS)])
+    y = marked.select(*bucket, *[F.col(c).alias(f"y_{c}") for c in ("rep", "g", "minor", *MARKS)])
+    common = F.least("x_common", "y_common")
+    possible = common.isNull() | (100 * common >= PERCENT * (F.col("x_size") + F.col("y_size") - common))
+    earlier = F.expr("band > 0 AND exists(sequence(0, band - 1), i -> x_short[i] = y_short[i])")
+    once = ~F.col("y_minor") | (F.col("x_rep") < F.col("y_rep"))
+    pairs = x.join(y, bucket).where((F.col("x_g") != F.col("y_g")) & once & possible & ~earlier)
+    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
 
 
 def grouped(member: DataFrame, group: DataFrame) -> DataFrame:
     return (
         member.join(group.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("band", "bucket", "rep", F.coalesce("component", "rep").alias("g"))
+        .select("band", "bucket", "rep", "alone", F.coalesce("component", "rep").alias("g"))
     )
 
 
@@ -228,7 +275,7 @@ def agreeing(pairs: DataFrame, least: DataFrame) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, HASHES) for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in (2, 3))
             keep = (x == y).sum(axis=1) >= LEAST_AGREEING
             yield batch.select([0, 1]).filter(pa.array(keep))
 
@@ -241,9 +288,12 @@ def full_sets(documents: DataFrame, candidates: DataFrame, text: str) -> DataFra
     """``doc_id`` and the ``hashes`` of the full set, of the candidates only."""
 
     def hashes(batches):
+        worker_state("near-duplicates")
         for part in text_slices(batches):
-            sets = [x.tobytes() for x in shingle_sets(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "hashes"])
+            sets = [x.view(np.int64) for x in shingle_sets(part.column("text"))]
+            bounds = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "hashes"])
 
     wanted = documents.select("doc_id", F.col(text).alias("text")).join(candidates, "doc_id", "left_semi")
-    return wanted.mapInArrow(hashes, "doc_id long, hashes binary")
+    return wanted.mapInArrow(hashes, "doc_id long, hashes array<long>")
