@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -40,12 +41,14 @@ def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFram
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def worker_state(key: str, make):
-    """A value that a Python worker keeps from task to task. It only saves time: losing it is harmless."""
+def worker_state(operator: str) -> dict:
+    """What an operator keeps in a Python worker from task to task. It only saves time. Another operator's
+    state is dropped, so a worker never holds the caches of two."""
     held = sys.modules.setdefault("llm_worker_state", types.ModuleType("llm_worker_state")).__dict__
-    if key not in held:
-        held[key] = make()
-    return held[key]
+    if held.get("operator") != operator:
+        held["operator"], held["state"] = operator, {}
+        gc.collect()
+    return held["state"]
 
 
 def text_slices(batches, column: str = "text"):

@@ -22,7 +22,7 @@ from .near_dedup import mixed
 
 #: Items that one pass over the documents takes, and characters of their texts: what a worker holds.
 ITEMS, ITEM_CHARS = 20_000, 32 << 20
-CACHE_SIZE = 1_000_000
+CACHE_SIZE = 300_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,7 +48,7 @@ def word_hashes(distinct: list[str]) -> np.ndarray:
     """Hash of each word without its punctuation; 0 for one of punctuation alone."""
     import xxhash
 
-    known = worker_state("normal words", dict)
+    known = worker_state("decontamination").setdefault("words", {})
     if len(known) > CACHE_SIZE:
         known.clear()
     for word in distinct:
@@ -220,6 +220,14 @@ def item_blocks(benchmark: DataFrame, settings: Settings):
         yield benchmark.sparkSession.sparkContext.broadcast(words), f"index {uuid.uuid4().hex}"
 
 
+def index_of(key: str, given, settings: Settings) -> Index:
+    """The worker's index of a block of items; it holds one."""
+    state = worker_state("decontamination")
+    if state.get("key") != key:
+        state["key"], state["index"] = key, Index(given.value, settings)
+    return state["index"]
+
+
 def hits_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, int]]:
     split = split_words(texts)
     if not len(split.ids):
@@ -238,7 +246,7 @@ def passages(documents: DataFrame, benchmark: DataFrame, settings: Settings = Se
     for given, key in item_blocks(benchmark, settings):
 
         def search(batches, given=given, key=key):
-            index = worker_state(key, lambda: Index(given.value, settings))
+            index = index_of(key, given, settings)
             sizes = {i: len(w) for i, w in index.items}
             for part in text_slices(batches):
                 ids = part.column("doc_id")
@@ -269,7 +277,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, settings: Settings
     for given, key in item_blocks(benchmark, settings):
 
         def clean(batches, given=given, key=key):
-            index = worker_state(key, lambda: Index(given.value, settings))
+            index = index_of(key, given, settings)
             for part in text_slices(batches):
                 keep = np.ones(part.num_rows, bool)
                 keep[[x[0] for x in hits_of(part.column("text"), index)]] = False

@@ -126,7 +126,8 @@ def personal_data(documents: DataFrame, text: str = "text") -> DataFrame:
     returned. Digits count as spelt: a quad's parts are at most 255 whatever zeros stand before."""
 
     def find(batches):
-        anchors = worker_state("personal data anchors", automaton)
+        state = worker_state("personal data")
+        anchors = state["anchors"] if "anchors" in state else state.setdefault("anchors", automaton())
         for part in text_slices(batches):
             rows = []
             for doc_id, value in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):

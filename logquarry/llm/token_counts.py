@@ -20,7 +20,10 @@ CACHE_SIZE = 1_000_000
 def _processor(path: str):
     import sentencepiece
 
-    return worker_state(f"processor {path}", lambda: sentencepiece.SentencePieceProcessor(model_file=path))
+    state = worker_state("token counts")
+    if path not in state:
+        state[path] = sentencepiece.SentencePieceProcessor(model_file=path)
+    return state[path]
 
 
 def _whole(texts: pa.Array) -> np.ndarray:
@@ -88,7 +91,7 @@ def count_tokens(
     rest = [c for c in documents.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
 
     def count(batches):
-        processor, first, second = _processor(path), table.value, worker_state(f"lengths {path}", dict)
+        processor, first, second = _processor(path), table.value, worker_state("token counts").setdefault(f"lengths {path}", {})
         for part in text_slices(batches, "__text"):
             texts = part.column("__text").fill_null("")
             whole = _whole(texts)

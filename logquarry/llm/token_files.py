@@ -99,7 +99,10 @@ def encoder(path: str) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return worker_state(f"encoder {path}", lambda: Encoder(path))
+    state = worker_state("token files")
+    if path not in state:
+        state[path] = Encoder(path)
+    return state[path]
 
 
 def encoded(documents: DataFrame, path: str, size: int, end_id: int, order: list[Column]) -> DataFrame:
