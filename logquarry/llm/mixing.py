@@ -2,21 +2,29 @@
 
 Every source is a row of blocks. With a share ``w`` of the slots, its block ``j`` may not run before
 ``floor(j / w)`` and must by ``ceil((j + 1) / w)``; running the released block of earliest deadline in each
-slot keeps every source within one block of its share at every slot. Shares are whole parts of a cycle,
-so the schedule repeats after it: one cycle is scheduled, whatever the number of documents.
+slot keeps every source within one block of its share at every slot. Shares are exact fractions. Where all
+are whole parts of a cycle that is short enough, the schedule repeats after it: one cycle is scheduled,
+whatever the number of documents. Otherwise every slot is: the driver walks through them and keeps where
+each source stands from time to time, tasks write down the slots from there.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
+from math import gcd, lcm
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-#: Documents of a block, slots of a cycle, and rows that are numbered in one task.
+#: Documents of a block, slots of a cycle at most, and rows that are numbered in one task.
 BLOCK_DOCUMENTS = 32
 CYCLE = 2_520
 BUCKET_ROWS = 20_000
+#: Slots that one row of the plan stands for where the schedule doesn't repeat.
+SEGMENT = 20_000
 #: Sources at most. It bounds what is scheduled on the driver and broadcast: a cycle for each source that ends.
 MAX_SOURCES = 500
 
@@ -36,25 +44,36 @@ def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
     return given
 
 
-def schedule(parts: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """``source, block, release, deadline, slot`` of one cycle of ``sum(parts)`` slots. Of equal deadlines the
-    block goes first whose window overlaps the next (it leaves its source less room), then the larger share."""
+def whole_parts(weights: dict[str, Fraction]) -> dict[str, int]:
+    """The least whole numbers in the proportion of ``weights``. Their sum is the shortest exact cycle."""
+    scale = lcm(*(w.denominator for w in weights.values()))
+    parts = {s: int(w * scale) for s, w in weights.items()}
+    least = gcd(*parts.values())
+    return {s: n // least for s, n in parts.items()}
+
+
+def slots_from(parts: dict[str, int], ran: dict[str, int], slot: int) -> Iterator[tuple[str, int, int, int, int]]:
+    """``source, block, release, deadline, slot`` of every slot from ``slot`` on, where ``ran`` blocks of each
+    source went before it. Of equal deadlines the block goes first whose window overlaps the next (it leaves
+    its source less room), then the larger share."""
     cycle = sum(parts.values())
-    waiting: list[tuple[int, str, int]] = [(0, s, 0) for s in parts]
+    waiting = [(ran[s] * cycle // n, s, ran[s]) for s, n in parts.items()]
     heapq.heapify(waiting)
-    ready: list[tuple[int, int, int, str, int, int]] = []
-    plan = []
-    for slot in range(cycle):
+    ready: list[tuple[int, bool, int, str, int]] = []
+    while True:
         while waiting and waiting[0][0] <= slot:
-            release, s, j = heapq.heappop(waiting)
+            _, s, j = heapq.heappop(waiting)
             deadline = -(-(j + 1) * cycle // parts[s])
-            overlap = (j + 1) * cycle % parts[s] != 0
-            heapq.heappush(ready, (deadline, -overlap, -parts[s], s, j, release))
-        deadline, _, _, s, j, release = heapq.heappop(ready)
-        plan.append((s, j, release, deadline, slot))
-        if j + 1 < parts[s]:
-            heapq.heappush(waiting, (max(slot + 1, (j + 1) * cycle // parts[s]), s, j + 1))
-    return plan
+            heapq.heappush(ready, (deadline, (j + 1) * cycle % parts[s] == 0, -parts[s], s, j))
+        deadline, _, _, s, j = heapq.heappop(ready)
+        yield s, j, j * cycle // parts[s], deadline, slot
+        slot += 1
+        heapq.heappush(waiting, ((j + 1) * cycle // parts[s], s, j + 1))
+
+
+def schedule(parts: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """One cycle of ``sum(parts)`` slots."""
+    return list(islice(slots_from(parts, dict.fromkeys(parts, 0), 0), sum(parts.values())))
 
 
 def numbered(documents: DataFrame, source: str, order: list[Column]) -> DataFrame:
@@ -73,25 +92,71 @@ def numbered(documents: DataFrame, source: str, order: list[Column]) -> DataFram
     return ranked.join(sizes, [source, "__bucket"]).withColumn("__n", F.col("__before") + F.col("__in"))
 
 
-def phases(blocks: dict[str, int], target: dict[str, float], cycle: int):
-    """Rows ``(source, phase, from_block, to_block, parts, first_slot)`` and ``(phase, source, k, release,
+def phases(blocks: dict[str, int], target: dict[str, Fraction], cycle: int):
+    """Rows ``(source, phase, from_block, to_block, parts, first_slot, cycle)`` and ``(phase, source, k, release,
     deadline, slot)``, the latter within a cycle. A phase is as many whole cycles as the source that ends
-    first needs; in its last cycle the slots of ended sources stay empty. The next goes without them."""
+    first needs; in its last cycle the slots of ended sources stay empty. The next goes without them.
+    None if the exact cycle of a phase has more than ``cycle`` slots."""
     runs, plans = [], []
-    done, first = dict.fromkeys(blocks, 0), 0
+    done, first, phase = dict.fromkeys(blocks, 0), 0, 0
     while left := {s: blocks[s] - done[s] for s in sorted(blocks) if blocks[s] > done[s]}:
-        phase = len(runs) and runs[-1][1] + 1
-        parts = shares({s: target[s] for s in left}, cycle)
+        parts = whole_parts({s: target[s] for s in left})
+        slots = sum(parts.values())
+        if slots > cycle:
+            return None
         cycles = min(-(-n // parts[s]) for s, n in left.items())
         for s, n in left.items():
             to = done[s] + min(n, cycles * parts[s])
-            runs.append((s, phase, done[s], to, parts[s], first))
+            runs.append((s, phase, done[s], to, parts[s], first, slots))
             done[s] = to
         plans += [(phase, *x) for x in schedule(parts)]
-        first += cycles * cycle
+        first += cycles * slots
+        phase += 1
     return runs, plans
 
 
+def stands(blocks: dict[str, int], target: dict[str, Fraction], every: int) -> Iterator[tuple]:
+    """``(first_slot, slot, slots, sources, done, ran)``: where the sources of a phase stand (blocks before
+    the phase and in it) at its ``slot``, for each ``every`` slots. A phase ends with the last block of the
+    source that ends first."""
+    done, first = dict.fromkeys(blocks, 0), 0
+    while left := {s: blocks[s] - done[s] for s in sorted(blocks) if blocks[s] > done[s]}:
+        ran, began, at = dict.fromkeys(left, 0), list(left), 0
+        before = [0] * len(left)
+        for s, j, _, _, slot in slots_from(whole_parts({s: target[s] for s in left}), ran, 0):
+            ran[s] = j + 1
+            ends = ran[s] == left[s]
+            if ends or slot + 1 - at == every:
+                yield first, at, slot + 1 - at, began, [done[x] for x in began], before
+                at, before = slot + 1, [ran[x] for x in began]
+            if ends:
+                break
+        first += at
+        for s in left:
+            done[s] += ran[s]
+
+
+def every_slot(spark: SparkSession, blocks: dict[str, int], target: dict[str, Fraction], every: int) -> DataFrame:
+    """``__source, block, __r, __d, __t`` of all slots, for shares of any cycle. Tasks write them from where
+    the sources stand each ``every`` slots; the driver keeps no more than that."""
+
+    def run(batches):
+        for batch in batches:
+            for first, at, slots, sources, done, ran in zip(*(c.to_pylist() for c in batch.columns)):
+                before = dict(zip(sources, done))
+                parts = whole_parts({s: target[s] for s in sources})
+                rows = islice(slots_from(parts, dict(zip(sources, ran)), at), slots)
+                rows = [(s, before[s] + j, first + r, first + d, first + t) for s, j, r, d, t in rows]
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), [pa.string(), *[pa.int64()] * 4])]
+                yield pa.RecordBatch.from_arrays(columns, ["__source", "block", "__r", "__d", "__t"])
+
+    schema = "first long, at long, slots long, sources array<string>, done array<long>, ran array<long>"
+    given = spark.createDataFrame(list(stands(blocks, target, every)), schema)
+    return given.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
+        run, "__source string, block long, __r long, __d long, __t long"
+    )
+
+
 def mix(
     documents: DataFrame,
     weights: dict[str, float] | None = None,
@@ -112,21 +177,28 @@ def mix(
     counts = {r["__source"]: r["count"] for r in given.groupBy("__source").count().limit(MAX_SOURCES + 1).collect()}
     if len(counts) > min(MAX_SOURCES, cycle):
         raise ValueError(f"more than {min(MAX_SOURCES, cycle)} sources")
-    named = {s: float(w) for s, w in (weights or {}).items() if w > 0}
-    mean = sum(named.values()) / len(named) if named else 1.0
+    # A weight is the number as it is written: 0.1 is a tenth.
+    named = {s: Fraction(str(w)) for s, w in (weights or {}).items() if w > 0}
+    mean = sum(named.values()) / len(named) if named else Fraction(1)
     blocks = {s: -(-n // block_documents) for s, n in counts.items()}
-    runs, plans = phases(blocks, {s: named.get(s, mean) for s in counts}, cycle)
+    target = {s: named.get(s, mean) for s in counts}
     spark = documents.sparkSession
-    # Bounded by MAX_SOURCES: a row for each source and phase, and for each phase and slot of a cycle.
-    run = spark.createDataFrame(runs, "__source string, __phase int, __from long, __to long, __parts int, __first long")
-    plan = spark.createDataFrame(plans, "__phase int, __source string, __k long, __r long, __d long, __t long")
     keys = [F.col(c) for c in order or ["doc_id", "text"] if c in documents.columns]
     placed = numbered(given, "__source", keys).withColumn("block", F.expr(f"__n div {block_documents}"))
-    placed = placed.join(F.broadcast(run), "__source").where("block >= __from and block < __to")
-    own = F.col("block") - F.col("__from")
-    placed = placed.withColumn("__k", own % F.col("__parts"))
-    placed = placed.join(F.broadcast(plan), ["__phase", "__source", "__k"])
-    base = F.col("__first") + F.expr("(block - __from) div __parts") * cycle
+    if (repeated := phases(blocks, target, cycle)) is None:
+        placed = placed.join(every_slot(spark, blocks, target, SEGMENT), ["__source", "block"])
+        base = F.lit(0)
+    else:
+        runs, plans = repeated
+        # Bounded by MAX_SOURCES: a row for each source and phase, and for each phase and slot of a cycle.
+        run = spark.createDataFrame(
+            runs, "__source string, __phase int, __from long, __to long, __parts int, __first long, __cycle int"
+        )
+        plan = spark.createDataFrame(plans, "__phase int, __source string, __k long, __r long, __d long, __t long")
+        placed = placed.join(F.broadcast(run), "__source").where("block >= __from and block < __to")
+        placed = placed.withColumn("__k", F.expr("(block - __from) % __parts"))
+        placed = placed.join(F.broadcast(plan), ["__phase", "__source", "__k"])
+        base = F.expr("__first + (block - __from) div __parts * __cycle")
     return placed.select(
         *[f"`{c}`" for c in documents.columns if c not in ("block", "release", "deadline", "slot", "place")],
         "block",

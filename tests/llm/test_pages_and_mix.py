@@ -8,7 +8,7 @@ from fractions import Fraction
 
 import corpus_pipeline
 import pytest
-from logquarry.llm import queries
+from logquarry.llm import mixing, queries
 from logquarry.llm.common import stored
 from logquarry.llm.html_text import PRIOR, blocks, cut, extract, features, main_text, maximum_flow
 from logquarry.llm.mixing import mix, mixed_rows, schedule, shares
@@ -123,6 +123,28 @@ def test_mix(spark, documents, frame):
     assert mixed_rows(odd).columns == odd.columns and mixed_rows(odd).count() == 4
 
 
+def test_slots_follow_the_unrounded_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SEGMENT", 700)  # several rows of the plan
+    uneven = {"a": 0.1234567, "b": 1.7071068, "c": 3.1415926, "d": 0.9}
+    for weights, sizes in ((queries.WEIGHTS, dict.fromkeys(queries.WEIGHTS, 600)), (uneven, {"a": 300, "b": 2900, "c": 5400, "d": 1700})):
+        numbers = spark.createDataFrame([*sizes.items()], "source string, n int")
+        rows = numbers.selectExpr("source", "explode(sequence(1, n)) doc_id")
+        got = mix(rows, weights, order=["doc_id"], block_documents=1).collect()
+        assert len(got) == sum(sizes.values()) == len({r.slot for r in got})
+        assert all(r.release <= r.slot < r.deadline for r in got)
+        slots = {r.slot: r.source for r in got}
+        total = sum(Fraction(str(w)) for w in weights.values())
+        share = {x: Fraction(str(w)) / total for x, w in weights.items()}
+        ends = min(max(s for s, x in slots.items() if x == name) for name in sizes)
+        assert ends > 5_000
+        ran = Counter()
+        for slot in range(ends + 1):
+            ran[slots[slot]] += 1
+            assert all(abs(ran[x] - w * (slot + 1)) < 1 for x, w in share.items())
+        for x, n in sizes.items():
+            assert sorted(r.block for r in got if r.source == x) == list(range(n))
+
+
 def test_pipeline(spark, texts):
     stages, given = {}, spark.read.parquet(f"{SF}/documents.parquet")
     docs = given
