@@ -20,6 +20,8 @@ RUN = r"(?<![A-Za-z0-9_+/=~-])(?=[A-Za-z_+/=~-]*[0-9])[A-Za-z0-9_+/=~-]{16,}"
 PATH = r"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?\s*(?:=|:|=>|:=)\s*[\"']?$"
 SECRET_WORDS = r"(?i)(token|secret|passw|api.?key|access.?key|private|credential|auth|bearer|login|pwd)"
 HARMLESS_WORDS = r"(?i)(sha1|sha256|md5|checksum|commit|revision|uuid|guid|etag|digest|example|sample|dummy)"
+#: A name that is part of a candidate, up to its value; what ends a run is padding.
+LEADING = r"^(?:[^=:\"'\s]*/)?([A-Za-z0-9_.-]+)[\"']?[ \t]*(?:=>|:=|={1,3}|:)[ \t]*(?:(?i:bearer|basic|token)[ \t]+)?[\"']?(?=[^=\s])"
 #: Characters kept on each side of a candidate.
 CONTEXT = 64
 #: Pieces that ordinary words are made of: a vowel between consonants.
@@ -80,7 +82,15 @@ def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
         F.lead("next").over(along).alias("after"),
         F.sum(F.col("gap") + length).over(along).alias("stop"),
     ).where("secret is not null")
-    return placed.select(
+    # NAME=value without blanks is one run: the name is no part of the secret.
+    leading = F.regexp_extract("secret", LEADING, 0)
+    named = placed.withColumns({"name": F.regexp_extract("secret", LEADING, 1), "leading": leading}).withColumns(
+        {
+            "secret": F.expr("substring(secret, length(leading) + 1)"),
+            "before": F.expr(f"right(concat(before, leading), {CONTEXT})"),
+        }
+    )
+    return named.select(
         "doc_id",
         "row",
         (F.col("stop") - F.length("secret")).alias("start"),
@@ -88,7 +98,7 @@ def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
         "secret",
         "before",
         "after",
-        F.regexp_extract("before", PATH, 1).alias("path"),
+        F.when(F.col("name") != "", F.col("name")).otherwise(F.regexp_extract("before", PATH, 1)).alias("path"),
     )
 
 

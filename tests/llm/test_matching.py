@@ -206,6 +206,28 @@ def test_secrets(documents, texts, frame):
     assert [r.is_secret for r in scan(frame([(1, "password: abcdefgh12345678")])).collect()] == [True]
 
 
+def test_names_inside_runs(frame):
+    key = "9f8e7d6c5b4a39281706f5e4"
+    texts = {
+        f"API_KEY={key}": "API_KEY",
+        f"export AWS_SECRET_ACCESS_KEY={key}== x": "AWS_SECRET_ACCESS_KEY",
+        f"https://a.org/b?page=2&token={key}&x=1": "token",
+        f"https://a.org/b?token={key}": "token",
+        f"--auth-token={key}": "--auth-token",
+        f"/api/v1/token={key}": "token",
+        f"app:\n  api_key: {key}\n": "api_key",
+        f"app:\n  api_key:{key}\n": "api_key",
+        f"in prose {key}= alone": "",
+    }
+    rows = scan(frame([*enumerate(texts)])).collect()
+    named = {r.doc_id: r for r in rows if r.secret.rstrip("=") == key}
+    assert {i: named[i].path for i in named} == dict(enumerate(texts.values()))
+    for i, text in enumerate(texts):
+        assert text[named[i].start : named[i].stop] == named[i].secret
+        assert named[i].is_secret == (named[i].path != "")
+    assert named[1].secret == key + "==" and named[8].secret == key + "="
+
+
 def test_forest_on_held_out_findings(frame):
     draw = random.Random(6)
     rows = []
