@@ -14,14 +14,30 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: A candidate: a whole run of 16 or more of the characters keys are written in, with a digit.
-RUN = r"(?<![A-Za-z0-9_+/=~-])(?=[A-Za-z_+/=~-]*[0-9])[A-Za-z0-9_+/=~-]{16,}"
+SECRET_WORDS = r"(?i)(token|secret|passw|api.?key|access.?key|private|credential|auth(?!or(?!i))|bearer|login|pwd)"
+HARMLESS_WORDS = r"(?i)(sha1|sha256|md5|checksum|commit|revision|uuid|guid|etag|digest|example|sample|dummy)"
+# Repeated groups are of one character each: Java matches those in a loop, any others by recursion.
+_KEY, _NAME = "A-Za-z0-9_+/=~-", "A-Za-z0-9_.-"
+_SIGN = r"[\"'`]?[ \t]*(?:=>|:=|={1,3}|:)[ \t]*(?:(?i:bearer|basic|token)[ \t]+)?"
+_SECRET_NAME = rf"(?=[{_NAME}]*?{SECRET_WORDS.replace('(?i)(', '(?i:').replace('.?', '[_.-]?')})[{_NAME}]++"
+#: What ends an unquoted value: the next assignment, a closing quote, punctuation at the end of a word.
+_ENDS = rf"[,;?&][{_NAME}]{{1,64}}+=|[\"'`][,;:)\]}}]|[,;:.)\]}}>\"'`]{{1,8}}+(?:\s|$)|</"
+_VALUE = "|".join([rf"{q}(?:(?!(?<!\\){q})[^\r\n])++(?={q})" for q in "\"'`"] + [rf"[\"'`]?(?:(?!{_ENDS})\S)++"])
+#: A candidate: the whole value assigned to the name of a secret, of any length and characters ...
+ASSIGNED = rf"(?<![{_NAME}]){_SECRET_NAME}{_SIGN}(?:{_VALUE})"
+#: ... or a whole run of the characters keys are written in, with a digit. Dots join runs; one of 16 or more
+#: must be among them, else it is the name of a host or file.
+_INSIDE = rf"(?!\.(?![{_KEY}]))"
+RUN = (
+    rf"(?<![{_KEY}])(?<![{_KEY}]\.)(?=(?:{_INSIDE}[A-Za-z_+/=~.-])*+[0-9])"
+    rf"(?=(?:(?![{_KEY}]{{16}}){_INSIDE}[.{_KEY}])*+[{_KEY}]{{16}})"
+    rf"(?![.{_KEY}]*?[/+~=]{_SECRET_NAME}=[^=\s])(?=[{_KEY}])(?:{_INSIDE}[.{_KEY}])++"
+)
+CANDIDATE = f"{ASSIGNED}|{RUN}"
 #: The name a candidate is assigned to, at the end of what stands before it.
 PATH = r"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?\s*(?:=|:|=>|:=)\s*[\"']?$"
-SECRET_WORDS = r"(?i)(token|secret|passw|api.?key|access.?key|private|credential|auth|bearer|login|pwd)"
-HARMLESS_WORDS = r"(?i)(sha1|sha256|md5|checksum|commit|revision|uuid|guid|etag|digest|example|sample|dummy)"
 #: A name that is part of a candidate, up to its value; what ends a run is padding.
-LEADING = r"^(?:[^=:\"'\s]*/)?([A-Za-z0-9_.-]+)[\"']?[ \t]*(?:=>|:=|={1,3}|:)[ \t]*(?:(?i:bearer|basic|token)[ \t]+)?[\"']?(?=[^=\s])"
+LEADING = rf"^(?:[^=:\"'\s]*/)?([{_NAME}]+){_SIGN}[\"'`]?(?=.)(?!=*$)"
 #: Characters kept on each side of a candidate.
 CONTEXT = 64
 #: Pieces that ordinary words are made of: a vowel between consonants.
@@ -59,8 +75,8 @@ def candidates(documents: DataFrame, text: str = "text") -> DataFrame:
     A text is split at its candidates; the pieces between them, summed up in order, give the places.
     """
     given = documents.select("doc_id", F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").alias("t"))
-    cut = given.where(F.col("t").rlike(RUN)).select(
-        "doc_id", "row", F.split("t", RUN).alias("gap"), F.regexp_extract_all("t", F.lit(RUN), F.lit(0)).alias("run")
+    cut = given.where(F.col("t").rlike(CANDIDATE)).select(
+        "doc_id", "row", F.split("t", CANDIDATE).alias("gap"), F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0)).alias("run")
     )
     pieces = cut.select("doc_id", "row", F.posexplode(F.arrays_zip("gap", "run")).alias("i", "piece")).select(
         "doc_id",

@@ -228,6 +228,30 @@ def test_names_inside_runs(frame):
     assert named[1].secret == key + "==" and named[8].secret == key + "="
 
 
+def test_assigned_values_of_any_form(frame):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+    texts = [
+        ("password: hunter2secret", "hunter2secret"),
+        ('my password = "Tr0ub4dor&3xyz!q", and', "Tr0ub4dor&3xyz!q"),
+        ("api_key='QwErTyUiOpAsDfGhJkLz'", "QwErTyUiOpAsDfGhJkLz"),
+        ('{"password":"a b\\"c","user":"me"}', 'a b\\"c'),
+        ("DB_PASSWORD=p&w;d,9!", "p&w;d,9!"),
+        ("Server=x;Password=a1;User=b", "a1"),
+        ("https://h/api/v1/token=Tr0ub4dor!3&user=x1", "Tr0ub4dor!3"),
+        ("The password is (pwd: x7).", "x7"),
+        (f"Authorization: Bearer {jwt}", jwt),
+        (f"see {jwt}.", jwt),
+    ]
+    rows = scan(frame([(i, x) for i, (x, _) in enumerate(texts)])).collect()
+    assert sorted((r.doc_id, r.secret) for r in rows) == [(i, x) for i, (_, x) in enumerate(texts)]
+    assert all(texts[r.doc_id][0][r.start : r.stop] == r.secret for r in rows)
+    assert all(r.path for r in rows if r.doc_id < 9)
+    none = ["Author: Jane Doe", 'password = ""', "mail3.example.com and file-12.name.txt", "abcdefghijklmnop..5"]
+    assert scan(frame([*enumerate(none)])).count() == 0
+    long = ["a.1" * 60_000, "password=" + "a,b" * 60_000, "token = '" + "\\'" * 60_000 + "'", "pwd:" + ")" * 60_000 + "x", "/token1" * 30_000]
+    assert sorted(r.doc_id for r in scan(frame([*enumerate(long)])).collect()) == [1, 2, 3, 4]
+
+
 def test_forest_on_held_out_findings(frame):
     draw = random.Random(6)
     rows = []
