@@ -7,6 +7,7 @@ words beside it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -55,6 +56,14 @@ FEATURES = (
     "harmless_beside",
     "words_beside",
 )
+#: Left out where the forest labels its findings itself: what the labels are made of, or follows from it.
+LABELLING = ("digit_share", "assigned", "secret_path", "harmless_beside")
+#: Values that stand for a secret, and such of plain words, which may be one.
+PLACEHOLDER = (
+    r"(?i)^(?:[*x.]+|true|false|null|none|nil|undefined|string|str|required|optional|redacted|[<$%{\[(].*|"
+    r".*(?:your|change.?me|placeholder|example|sample|dummy|insert|replace|to.?do).*)$"
+)
+PLAIN = r"^(?!.*\p{L}\p{Lu})[\p{L}_. -]+$"
 
 
 @dataclass(frozen=True)
@@ -128,6 +137,8 @@ def features(found: DataFrame) -> DataFrame:
         return condition.cast("double")
 
     beside = F.concat_ws(" ", "before", "after")
+    # The name it is assigned to is no word beside it.
+    around = F.concat_ws(" ", F.regexp_replace("before", PATH, ""), "after")
     # Where a letter meets a digit, or lower case meets upper case: one sign between both.
     marked = F.regexp_replace("secret", r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])", "\u0001")
     return found.select(
@@ -140,27 +151,36 @@ def features(found: DataFrame) -> DataFrame:
         (1 - share(PIECES)).alias("dictionary_share"),
         flag(F.col("path") != "").alias("assigned"),
         flag(F.col("path").rlike(SECRET_WORDS)).alias("secret_path"),
-        flag(beside.rlike(SECRET_WORDS)).alias("secret_beside"),
+        flag(around.rlike(SECRET_WORDS)).alias("secret_beside"),
         flag(beside.rlike(HARMLESS_WORDS)).alias("harmless_beside"),
-        F.size(F.regexp_extract_all(beside, F.lit(r"\p{L}{3,}"), F.lit(0))).cast("double").alias("words_beside"),
+        F.size(F.regexp_extract_all(around, F.lit(r"\p{L}{3,}"), F.lit(0))).cast("double").alias("words_beside"),
     )
 
 
 def labelled_findings(found: DataFrame) -> DataFrame:
-    """Candidates with a ``label`` that needs no model: assigned to the name of a secret (1); digits alone,
-    or named as a checksum or example, and assigned to no such name (0). Others have no label."""
-    secret = (F.col("secret_path") == 1) & (F.col("harmless_beside") == 0)
-    harmless = (F.col("secret_path") == 0) & ((F.col("digit_share") == 1) | (F.col("harmless_beside") == 1))
-    label = F.when(secret, 1.0).when(harmless, 0.0)
-    return found.withColumn("label", label).where(label.isNotNull())
+    """Candidates with a ``label`` that needs no model: assigned to the name of a secret (1), but a placeholder
+    (0) or a plain word (none); digits alone, or named as a checksum or example, and assigned to no such name
+    (0). Others have no label."""
+    return found.withColumn("label", _label()).where("label is not null")
+
+
+def _label() -> Column:
+    named = F.col("secret_path") == 1
+    stands_for_one = named & F.col("secret").rlike(PLACEHOLDER)
+    secret = named & (F.col("harmless_beside") == 0) & ~F.col("secret").rlike(PLAIN)
+    harmless = ~named & ((F.col("digit_share") == 1) | (F.col("harmless_beside") == 1))
+    return F.when(stands_for_one, 0.0).when(secret, 1.0).when(harmless, 0.0)
 
 
-def _vectors(found: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(found)
+def _vectors(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(columns), outputCol="vector").transform(found)
 
 
-def train(labelled: DataFrame, forest: Forest = Forest()) -> RandomForestClassificationModel | None:
-    """The forest, or None where the labelled findings are not of both kinds."""
+def train(
+    labelled: DataFrame, forest: Forest = Forest(), columns: Sequence[str] = FEATURES
+) -> RandomForestClassificationModel | None:
+    """The forest, or None where the labelled findings are not of both kinds. Each split sees a third of the
+    ``columns``, so that no single one decides all trees."""
     chosen = labelled.select(*FEATURES, "label").orderBy(F.xxhash64(*FEATURES, "label")).limit(forest.sample_rows)
     # Bounded by sample_rows: a table of the driver, so that each tree's passes don't search the texts anew.
     rows = chosen.collect()
@@ -168,9 +188,9 @@ def train(labelled: DataFrame, forest: Forest = Forest()) -> RandomForestClassif
         return None
     sample = labelled.sparkSession.createDataFrame(rows, chosen.schema)
     learner = RandomForestClassifier(
-        featuresCol="vector", numTrees=forest.trees, maxDepth=forest.depth, seed=forest.seed, featureSubsetStrategy="all"
+        featuresCol="vector", numTrees=forest.trees, maxDepth=forest.depth, seed=forest.seed, featureSubsetStrategy="onethird"
     )
-    return learner.fit(_vectors(sample).coalesce(2))
+    return learner.fit(_vectors(sample, columns).coalesce(2))
 
 
 def scan(
@@ -178,14 +198,18 @@ def scan(
 ) -> DataFrame:
     """Every candidate: ``doc_id, start, stop, path, secret, score`` (share of the forest for a secret) and
     ``is_secret``. ``labelled`` has ``FEATURES`` and ``label``; by default the findings of the documents
-    themselves that ``labelled_findings`` labels. With findings of one kind only no forest is trained, and
-    a candidate is a secret if it is assigned to the name of one."""
+    themselves that ``labelled_findings`` labels. That forest goes by the value and the words beside it, not by
+    what made the labels (``LABELLING``); findings labelled as no secrets stay that. With findings of one
+    kind only no forest is trained, and a candidate is a secret if it is assigned to the name of one."""
     found = features(candidates(documents, text))
-    model = train(labelled_findings(found) if labelled is None else labelled, forest)
+    columns = FEATURES if labelled is not None else [c for c in FEATURES if c not in LABELLING]
+    model = train(labelled_findings(found) if labelled is None else labelled, forest, columns)
     if model is None:
         scored = found.withColumn("score", F.col("secret_path"))
     else:
-        scored = model.transform(_vectors(found)).withColumn("score", vector_to_array("probability")[1])
+        scored = model.transform(_vectors(found, columns)).withColumn("score", vector_to_array("probability")[1])
+    if labelled is None:
+        scored = scored.withColumn("score", F.when(_label() == 0, 0.0).otherwise(F.col("score")))
     return scored.select(
         "doc_id", "start", "stop", "path", "secret", "score", (F.col("score") >= forest.threshold).alias("is_secret")
     )

@@ -252,6 +252,27 @@ def test_assigned_values_of_any_form(frame):
     assert sorted(r.doc_id for r in scan(frame([*enumerate(long)])).collect()) == [1, 2, 3, 4]
 
 
+def test_forest_does_not_repeat_its_labels(frame):
+    draw = random.Random(8)
+    key = lambda n: "".join(draw.choice("0123456789abcdefghijkmnpqrstuvwxyzABCDEFGHKLMNPQRST") for _ in range(n))
+    words = ["your", "sample", "value", "insert", "here", "changeme", "placeholder", "example"]
+    rows = []
+    for i in range(300):
+        rows.append((i, f'call it with token = "{key(draw.randrange(20, 60))}" and pay'))
+        rows.append((1000 + i, f"the number {draw.randrange(10**15, 10**draw.randrange(16, 40))} on the card"))
+        rows.append((2000 + i, f'set api_key = "{"-".join(draw.choices(words, k=draw.randrange(2, 6)))}" before'))
+    plain = ["garden-house-window", "summer_evening_in_town", "nobody-will-ever-remember", "the.quick.brown.fox"]
+    rows += [(3000 + i, f"he sent {key(40)} by mail") for i in range(100)]  # no label: assigned to nothing
+    rows += [(4000 + i, f'password = "{plain[i % 4]}" it said') for i in range(20)]  # labelled a secret, but reads as none
+    rows += [(5000 + i, f"sha256: {key(40)} of it") for i in range(20)]
+    rows = [(i, f"{'some words ' * draw.randrange(8)}{x}{' more words' * draw.randrange(8)}") for i, x in rows]
+    found = {r.doc_id: r for r in scan(frame(rows)).collect()}
+    share = lambda a, b: sum(found[i].is_secret for i in range(a, b) if i in found) / sum(i in found for i in range(a, b))
+    assert share(0, 300) > 0.97 and share(3000, 3100) > 0.9
+    assert share(1000, 1300) == share(2000, 2300) == share(5000, 5020) == 0
+    assert share(4000, 4020) < 0.3
+
+
 def test_forest_on_held_out_findings(frame):
     draw = random.Random(6)
     rows = []
