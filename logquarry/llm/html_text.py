@@ -24,6 +24,8 @@ TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|
 HIDDEN = frozenset(
     "script style noscript template svg math iframe object canvas audio video head title select option textarea button datalist".split()
 )
+#: Searched in the page itself: its lower case may have other places.
+END_TAGS = {name: re.compile(f"</{name}", re.I | re.A) for name in HIDDEN}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
@@ -68,7 +70,6 @@ def blocks(html: str) -> list[Block]:
     opened = links = 0
     current: Block | None = None
     at, size = 0, len(html)
-    lower = None
 
     def add(text: str) -> None:
         nonlocal current
@@ -111,9 +112,8 @@ def blocks(html: str) -> list[Block]:
             if name == "head":
                 continue
             if not match[3].endswith("/"):
-                lower = lower if lower is not None else html.lower()
-                end = lower.find(f"</{name}", at)
-                at = size if end < 0 and name in ("script", "style") else max(at, end)
+                end = END_TAGS[name].search(html, at)
+                at = end.start() if end else size if name in ("script", "style") else at
             continue
         if name in VOID:
             if name == "hr":

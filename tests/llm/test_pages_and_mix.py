@@ -45,6 +45,11 @@ def test_boilerplate():
     assert len(blocks("<div>" * 20_000 + "x")) == 1
 
 
+def test_text_after_scripts_of_turkish_pages():
+    page = f"<article><p>{'İ' * 300} one. Two.</p><SCRIPT>x</Script><p>After it. All of it.</p><button>b</button><p>Last. One.</p></article>"
+    assert main_text(page) == f"{'İ' * 300} one. Two.\nAfter it. All of it.\nLast. One."
+
+
 def test_extract_odd_pages(spark):
     odd = spark.createDataFrame([(1, None, 5, 6), (1, "", 5, 6), (2, PAGE, 5, 6)], "page_id long, html string, text int, n_chars int")
     assert sorted(r.n_chars for r in extract(odd).collect()) == [0, 0, len(main_text(PAGE))]
