@@ -22,17 +22,19 @@ from .common import text_slices
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 #: Elements whose whole content is no text of the page.
 HIDDEN = frozenset(
-    "script style noscript template svg math iframe object canvas audio video head title select option textarea button datalist".split()
+    "script style noscript template svg iframe object canvas audio video head title select option textarea button datalist".split()
 )
 #: Searched in the page itself: its lower case may have other places.
 END_TAGS = {name: re.compile(f"</{name}", re.I | re.A) for name in HIDDEN}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var "
+    "math semantics mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mstyle".split()
 )
 #: A new one of these ends an open one of the same group.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
-BAD_TAGS = frozenset("nav footer aside form header menu dialog figcaption".split())
+BAD_TAGS = frozenset("nav footer aside form header menu dialog".split())
+ARTICLE = re.compile(r"<article\b", re.I | re.A)
 GOOD_TAGS = frozenset("article main".split())
 BAD_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu|breadcrumbs?|footer|header|masthead|sidebar|side|widget|"
@@ -40,6 +42,8 @@ BAD_NAMES = re.compile(
     r"tags|toolbar|login|signup|copyright|pagination|pager|hidden)(?:$|[\s_-])",
     re.I,
 )
+#: Names that tell how a page is laid out, not what an element is.
+LAYOUT = re.compile(r"(?<!\S)(?:(?:no|has|with|without|left|right)-\S+|\S+-(?:open|closed|enabled|disabled|left|right))(?!\S)", re.I)
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|body|main|text)(?:$|[\s_-])", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
@@ -65,8 +69,9 @@ def blocks(html: str) -> list[Block]:
     """Text blocks in page order, with what the elements around them say. Any string is read: unknown,
     unclosed and unmatched tags are taken as they come."""
     found: list[Block] = []
-    # Open elements: name, number, bad, good.
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # Open elements: name, number, bad by a tag, good, bad by a name.
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    lone_article = len(ARTICLE.findall(html)) == 1
     opened = links = 0
     current: Block | None = None
     at, size = 0, len(html)
@@ -79,9 +84,9 @@ def blocks(html: str) -> list[Block]:
             depth = len(stack) - 1
             while depth and stack[depth][0] in INLINE:
                 depth -= 1
-            name, number, _, _ = stack[depth]
+            name, number, *_ = stack[depth]
             # Siblings are blocks of one grandparent: each paragraph is an element of its own.
-            current = Block(parent=stack[max(0, depth - 1)][1], tag=name, bad=stack[-1][2], good=stack[-1][3])
+            current = Block(parent=stack[max(0, depth - 1)][1], tag=name, bad=stack[-1][2] or stack[-1][4], good=stack[-1][3])
             found.append(current)
         current.parts.append(text)
         if links:
@@ -133,12 +138,17 @@ def blocks(html: str) -> list[Block]:
         elif name == "a":
             links += 1
         opened += 1
-        bad, good = stack[-1][2], stack[-1][3]
+        _, _, bad, good, misnamed = stack[-1]
         named = " ".join(x for y in NAMES.findall(match[3]) for x in y if x) if match[3] else ""
+        # Names of what is around the page's own article say nothing of it.
+        central = not good and (name == "main" or name == "article" and lone_article)
+        misnamed = misnamed and not central
+        if not (central or name in ("html", "body")):
+            misnamed = misnamed or bool(named and BAD_NAMES.search(LAYOUT.sub(" ", named)))
         good = good or name in GOOD_TAGS or bool(named and GOOD_NAMES.search(named))
-        bad = bad or name in BAD_TAGS or bool(named and BAD_NAMES.search(named))
+        bad = bad or name in BAD_TAGS
         if not match[3].endswith("/"):
-            stack.append((name, opened, bad, good))
+            stack.append((name, opened, bad, good, misnamed))
     kept = []
     for block in found:
         block.text = " ".join("".join(block.parts).split())

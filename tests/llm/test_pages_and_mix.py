@@ -50,6 +50,17 @@ def test_text_after_scripts_of_turkish_pages():
     assert main_text(page) == f"{'İ' * 300} one. Two.\nAfter it. All of it.\nLast. One."
 
 
+def test_names_around_the_article():
+    inner = "<p>It is one. It is two.</p><figure><figcaption>What it shows.</figcaption></figure><p>Sum <math><mi>x</mi></math> it. End.</p>"
+    text = "It is one. It is two.\nWhat it shows.\nSum x it. End."
+    boiler = '<div class="right-sidebar-box sidebar"><p>Rel.</p></div>'
+    for around in ('<body class="home no-sidebar">', '<body class="right-sidebar">', '<div class="has-header">', '<div id="sidebar">'):
+        assert main_text(f"{around}<article class='post comments-open'>{inner}<div class='comments'><p>Nice. Yes.</p></div></article>{boiler}") == text
+    assert main_text(f"<body class=sidebar><div class='with-nav'><article>{inner}</article><nav><p>No. No.</p></nav></div>") == text
+    cards = "<main><p>It is one. It is two.</p><div class='related'><article><p>Other.</p></article></div></main>"
+    assert main_text(cards) == "It is one. It is two."
+
+
 def test_extract_odd_pages(spark):
     odd = spark.createDataFrame([(1, None, 5, 6), (1, "", 5, 6), (2, PAGE, 5, 6)], "page_id long, html string, text int, n_chars int")
     assert sorted(r.n_chars for r in extract(odd).collect()) == [0, 0, len(main_text(PAGE))]
