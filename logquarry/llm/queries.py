@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 from .decontaminate import contaminated
+from .hard_negatives import hard_negatives
 from .html_text import extract
 from .licenses import licenses
 from .mixing import mix
@@ -18,6 +19,8 @@ from .quality_rules import quality
 from .secrets import scan
 from .token_counts import count_tokens
 from .token_files import token_digests, write_token_files
+from .url_filter import url_verdicts
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +87,42 @@ WEIGHTS = {f"src{i}": 1.0 + i % 4 for i in range(20)}
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mix(documents, WEIGHTS, order=["doc_id"])
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=moved)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH valid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS k,
+        list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scores AS (
+    SELECT a.k, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+        CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+    FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND a.k <> b.k AND len(a.x) = len(b.x)
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, other) AS place
+    FROM scores WHERE same QUALIFY place <= 5
+)
+SELECT p.anchor_id, p.other AS positive_id, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.k, p.place ORDER BY s.score DESC, s.other) AS INTEGER) AS rank
+FROM positives p JOIN scores s ON p.k = s.k AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages")).drop("blocked_probability")
