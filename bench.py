@@ -44,15 +44,14 @@ def main():
     def consume(frame):
         frame.write.format("noop").mode("overwrite").save()
 
-    def scan(folder):
-        return lq.scan_logs(spark, folder)[0]
+    def scan(folder, **wanted):
+        return lq.scan_logs(spark, folder, **wanted)[0]
 
     def ingest():
         scan(evtx_dir).write.mode("overwrite").parquet(f"{tables}/records")
 
     def audit():
-        heads = lq.read_heads(lq.list_logs(spark, evtx_dir))
-        consume(lq.audit_slots(heads, lq.read_chunks(heads.drop("head", "read_error"))))
+        consume(lq.audit_stored(lq.read_heads(lq.list_logs(spark, evtx_dir))))
 
     def collect():
         consume(lq.collect_logs(spark, [evtx_dir], lq.default_catalog(spark), "BENCH-HOST", r"C:\Windows")[0])
@@ -62,9 +61,9 @@ def main():
         "evtx_decode_whole_files": lambda: consume(lq.read_evtx(lq.read_logs(spark, evtx_dir))),
         "evt_decode": lambda: consume(scan(evt_dir)),
         "ingest_to_parquet": ingest,
-        "failed_logons_from_logs": lambda: lq.failed_logons(scan(evtx_dir)).collect(),
+        "failed_logons_from_logs": lambda: lq.failed_logons_of(spark, evtx_dir).collect(),
         "failed_logons_ingested": lambda: lq.failed_logons(spark.read.parquet(f"{tables}/records")).collect(),
-        "channels_from_logs": lambda: lq.channels(scan(evtx_dir)).collect(),
+        "channels_from_logs": lambda: lq.channels(scan(evtx_dir, columns=["channel"])).collect(),
         "log_audit": audit,
         "collect_and_enrich": collect,
     }

@@ -1,6 +1,6 @@
 """Windows event logs as Spark DataFrames: distributed reading, record operators, audit."""
 
-from .operators.audit import audit_slots, evt_audit, log_audit
+from .operators.audit import audit_slots, audit_stored, evt_audit, log_audit
 from .operators.enrich import (
     artifact_of,
     classify_channel,
@@ -28,13 +28,20 @@ from .operators.query import (
 )
 from .plans.ingest import (
     collect_logs,
+    count_in_logs,
+    failed_logons_of,
+    failures_of,
+    ingest_logs,
     log_files_union,
+    read_errors,
     read_evt,
     read_evtx,
     read_records,
     read_stored_records,
+    records_of,
     records_of_chunks,
     scan_logs,
+    tagged_records,
 )
 from .sources.catalog import default_catalog, expand_patterns, locate_logs
 from .sources.decode import chunk_totals, decode_chunks, decode_evt, decode_units, frame_chunks
@@ -54,12 +61,14 @@ from .sources.headers import (
     chunk_headers,
     evt_log_headers,
     evtx_errors,
+    examine,
     evtx_log_headers,
     flag_integrity,
     header_errors,
     log_units,
     skip_unwritten,
 )
+from .sources.units import Wanted, log_ranges, read_units
 from .streaming.ingest import stream_logs, watch_logs
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -90,6 +90,7 @@ class ChunkDecoder:
         self.nodes = nodes
         self.names: dict[int, tuple[str, str]] = {}
         self.bodies: dict[int, list | None] = {}
+        self.places: dict[int, dict | None] = {}
 
     def decode(self, start: int, end: int) -> str | None:
         """Appends the nodes of the record's Event element; returns what went wrong, if anything."""
@@ -123,6 +124,74 @@ class ChunkDecoder:
         """Work of the last record: grows with the text it gave."""
         return MAX_WORK - self.work
 
+    # -- single fields ---------------------------------------------------------------------
+
+    def system_texts(self, start: int, end: int, wanted: tuple) -> list | None:
+        """What ``decode`` would give for some System fields if it finds no error, without reading the rest of the
+        record. None where only ``decode`` can tell. A field is an element or (element, attribute)."""
+        buf = self.buf
+        try:
+            pos = start + 5
+            if buf[start] & 0x0F != FRAGMENT_HEADER or buf[pos - 1] & 0x0F != TEMPLATE_INSTANCE:
+                return None
+            at = self._uint(pos + 5, 4)
+            pos += 9
+            if at == pos:
+                pos += 24 + self._uint(pos + 20, 4)
+            if at not in self.places:
+                self.places[at] = self._system_places(self._body(at))
+            places = self.places[at]
+            if places is None:
+                return None
+            count = self._uint(pos, 4)
+            values_at = pos + 4 + 4 * count
+            if values_at > end:
+                return None
+            declared = struct.unpack_from(f"<{2 * count}H", buf, pos + 4)
+            after = values_at + sum(declared[::2])
+            if after > end or after < end and buf[after] & 0x0F != END_OF_FRAGMENT:
+                return None  # something follows the template
+            texts = []
+            for field in wanted:
+                text = places.get(field)
+                if type(text) is tuple:
+                    slot, absent = text
+                    value = None
+                    if slot < count:
+                        value_at = values_at + sum(declared[: 2 * slot : 2])
+                        value, _ = read_value(buf, value_at, declared[2 * slot + 1] & 0xFF, declared[2 * slot], end)
+                    if type(value) is tuple:
+                        return None
+                    text = absent if value is None else value
+                texts.append(text)
+            return texts
+        except (BadRecord, IndexError, struct.error):
+            return None
+
+    def _system_places(self, steps: list[tuple]) -> dict | None:
+        """Text, or (slot, text without a value), of each plain child of Event/System in a template; the first of a
+        name counts. None where what fills the slots could change the document around them."""
+        if [kind == _OPEN and a[1] for kind, a, _, _ in steps[:2]] != ["Event", "System"]:
+            return None
+        places, depth, inside = {}, 2, True
+        for kind, a, b, text in steps[2:]:
+            if kind == _CLOSE:
+                depth -= 1
+                inside = inside and depth > 1
+            elif kind == _TEXT:
+                continue
+            elif depth == 0 or kind > _OPEN and inside and depth == 2:
+                return None
+            elif kind <= _OPEN:
+                if inside and depth == 2 and a[1] not in places:
+                    if kind == _OPEN or len({name for name, _ in b}) < len(b):
+                        return None
+                    places[a[1]] = (text[0], "") if type(text) is tuple else text
+                    for name, value in b:
+                        places[a[1], name] = (value[0], None if value[1] else "") if type(value) is tuple else value
+                depth += kind == _OPEN
+        return places
+
     # -- reading ---------------------------------------------------------------------------
 
     def _uint(self, pos: int, width: int) -> int:

@@ -10,10 +10,12 @@ from ..sources.files import (
     EVTX_HEADER_SIZE,
     EVT_HEADER_SIZE,
     heads_of,
+    range_partitions,
     slot_count,
     split_chunks,
 )
-from ..sources.headers import evt_log_headers, evtx_log_headers, readable_evt, readable_evtx, slot_states
+from ..sources.headers import evt_log_headers, evtx_log_headers, examine, readable_evt, readable_evtx, slot_states
+from ..sources.units import log_ranges, slot_totals
 
 
 def audit_slots(heads: DataFrame, slots: DataFrame) -> DataFrame:
@@ -21,17 +23,6 @@ def audit_slots(heads: DataFrame, slots: DataFrame) -> DataFrame:
 
     The decode pass returns two numbers per chunk, which are summed on the map side first.
     """
-    declared = evtx_log_headers(heads)
-    length = F.col("length")
-    tail = F.pmod(length - EVTX_HEADER_SIZE, F.lit(EVTX_CHUNK_SIZE))
-    logs = declared.select(
-        "path",
-        F.col("chunk_count").alias("chunk_count_declared"),
-        slot_count(length).alias("slots_by_length"),
-        tail.alias("truncated_bytes"),
-        "is_dirty",
-        "is_full",
-    )
     states = slot_states(slots.select("path", "chunk_index", "chunk"))
     # Slots never written travel without their bytes: they hold no records.
     totals = chunk_totals(
@@ -43,13 +34,41 @@ def audit_slots(heads: DataFrame, slots: DataFrame) -> DataFrame:
         F.sum("records").alias("records"),
         F.sum("decode_errors").alias("decode_errors"),
     )
-    counted = ("slots_parsed", "slots_skipped", "records", "decode_errors")
+    return _declared_against(heads, per_log)
+
+
+_COUNTED = ("slots_parsed", "slots_skipped", "records", "decode_errors")
+
+
+def _declared_against(heads: DataFrame, per_log: DataFrame) -> DataFrame:
+    declared = evtx_log_headers(heads)
+    length = F.col("length")
+    tail = F.pmod(length - EVTX_HEADER_SIZE, F.lit(EVTX_CHUNK_SIZE))
+    logs = declared.select(
+        "path",
+        F.col("chunk_count").alias("chunk_count_declared"),
+        slot_count(length).alias("slots_by_length"),
+        tail.alias("truncated_bytes"),
+        "is_dirty",
+        "is_full",
+    )
     joined = logs.join(per_log, "path", "left")
-    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counted}).withColumn(
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in _COUNTED}).withColumn(
         "is_incomplete", F.col("chunk_count_declared") > F.col("slots_parsed")
     )
 
 
+def audit_stored(heads: DataFrame, partitions: int | None = None) -> DataFrame:
+    """One row per stored evtx log, given ``read_heads`` of the listing: as ``audit_slots``, with ``read_error`` for a
+    log that could not be read to its end. Four numbers per byte range leave the tasks, and no log bytes."""
+    logs = examine(heads, ("evtx",)).where("problem is null").drop("problem")
+    units = log_ranges(logs).repartition(partitions or range_partitions(heads.sparkSession))
+    totals = slot_totals(units).groupBy("path").agg(
+        *[F.sum(c).alias(c) for c in _COUNTED], F.min("read_error").alias("read_error")
+    )
+    return _declared_against(heads, totals)
+
+
 def log_audit(files: DataFrame) -> DataFrame:
     """Audit of the evtx logs among in-memory ``files``."""
     return audit_slots(heads_of(files), split_chunks(readable_evtx(files)))

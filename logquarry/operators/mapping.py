@@ -6,10 +6,13 @@ the event data. Nothing here leaves the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binary import FILETIME_EPOCH_MICROS
 from ..functions.levels import level_sql, parse_unsigned_sql
+from ..sources.units import SYSTEM_FIELDS, TEXT
 
 RECORD_COLUMNS = [
     "record_id", "event_id", "timestamp", "filetime", "provider", "channel", "computer", "level",
@@ -23,21 +26,26 @@ _BINARY = "Event[0]/EventData[0]/Binary[0]"
 _USER_DATA = "Event[0]/UserData[0]/"
 
 
-def _node(field: str, element: str) -> str:
-    """A field of one System child; NULL if there is none. Compiles to one array lookup."""
+def _node(element: str, attribute: str | None) -> str:
+    """Text or attribute of one System child; NULL if there is none. Compiles to one array lookup."""
     at = f"cast(array_position(nodes.path, '{_SYSTEM}{element}[0]') as int) - 1"
-    return f"get(nodes.{field}, {at})"
+    return f"get(nodes.text, {at})" if attribute is None else f"get(nodes.attrs, {at})['{attribute}']"
 
 
-_SYSTEM_COLUMNS = {
-    "event_id": f"coalesce({parse_unsigned_sql(_node('text', 'EventID'), 0xFFFFFFFF)}, 0L)",
-    "timestamp": f"timestamp_micros(filetime div 10 - {FILETIME_EPOCH_MICROS})",
-    "provider": f"coalesce({_node('attrs', 'Provider')}['Name'], '')",
-    "channel": f"coalesce({_node('text', 'Channel')}, '')",
-    "computer": f"coalesce({_node('text', 'Computer')}, '')",
-    "level": level_sql(_node("text", "Level")),
-    "user_sid": f"{_node('attrs', 'Security')}['UserID']",
-}
+def _system_columns(text) -> dict[str, str]:
+    """The System columns; ``text`` gives the SQL of the text of a field."""
+    return {
+        "event_id": f"coalesce({parse_unsigned_sql(text('event_id'), 0xFFFFFFFF)}, 0L)",
+        "timestamp": f"timestamp_micros(filetime div 10 - {FILETIME_EPOCH_MICROS})",
+        "provider": f"coalesce({text('provider')}, '')",
+        "channel": f"coalesce({text('channel')}, '')",
+        "computer": f"coalesce({text('computer')}, '')",
+        "level": level_sql(text("level")),
+        "user_sid": text("user_sid"),
+    }
+
+
+_SYSTEM_COLUMNS = _system_columns(lambda field: _node(*SYSTEM_FIELDS[field]))
 
 # (k, v) of each EventData/Data in order: by its Name, else by its position among them.
 _DATA_TAIL = f"substring(n.path, {len(_DATA) + 1})"
@@ -162,6 +170,15 @@ def map_units(decoded: DataFrame) -> DataFrame:
     return _with_sql(_with_sql(decoded, pairs), columns).drop("nodes", "evt", "_pairs")
 
 
+def map_texts(decoded: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """As ``map_units``, from the texts of some System fields; the other columns of modern records are NULL."""
+    modern = _system_columns(lambda field: f"`{TEXT}{field}`" if field in fields else "cast(null as string)")
+    modern |= _EVTX_NULLS | {"record_id": "record_id", "data": "cast(null as map<string,string>)"}
+    legacy = {**_EVT_COLUMNS, "channel": "channel"}
+    columns = {name: f"if(format = 'evt', {legacy[name]}, {sql})" for name, sql in modern.items()}
+    return _with_sql(decoded, columns).drop("evt", *[TEXT + f for f in fields])
+
+
 def record_columns(mapped: DataFrame, carried: list[str]) -> DataFrame:
     """One column order for both formats."""
     first = ["path", "format", "chunk_index", "record_index"]

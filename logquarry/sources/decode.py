@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.binxml import ChunkDecoder, frame_records
-from ..functions.evtrecords import evt_records
-from .storage import open_file, repeat_rows
+from ..functions.evtrecords import Window, evt_records, log_bounds, walk
+from .storage import open_file, read_range, repeat_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -63,7 +63,7 @@ def _carried(frame: DataFrame, dropped: str) -> list[T.StructField]:
     return [f for f in frame.schema.fields if f.name != dropped]
 
 
-def _node_array(nodes: list[tuple], offsets: list[int]) -> pa.Array:
+def node_array(nodes: list[tuple], offsets: list[int]) -> pa.Array:
     paths, names, attributes, texts, leaves = zip(*nodes) if nodes else ((),) * 5
     counts, pairs = [0], []
     for attrs in attributes:
@@ -89,7 +89,7 @@ def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array):
         kinds = (pa.int32(), pa.int64(), pa.int64(), _TEXT)
         *headers, errors = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
         return pa.RecordBatch.from_arrays(
-            [*repeat_rows(keep, rows), *headers, _node_array(nodes, offsets), errors],
+            [*repeat_rows(keep, rows), *headers, node_array(nodes, offsets), errors],
             names=[*keep.schema.names, "record_index", "record_id", "filetime", "nodes", "decode_error"],
         )
 
@@ -114,14 +114,11 @@ def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array):
 
 
 def _decode_evt_rows(keep: pa.RecordBatch, paths: list[str], contents: pa.Array | None):
-    """Batches of (kept columns, record_index, evt)."""
+    """Batches of (kept columns, record_index, evt). A file that cannot be read gives what was read of it."""
     for row, path in enumerate(paths):
         data = contents[row].as_py() if contents is not None else None
-        if data is None:
-            with open_file(path) as file:
-                data = file.read()
         pending, start, held_bytes = [], 0, 0
-        for record, used in evt_records(data):
+        for record, used in evt_records(data) if data is not None else _stored_evt_records(path):
             pending.append(record)
             held_bytes += used
             if len(pending) == _ROWS_PER_BATCH or held_bytes > _BYTES_PER_BATCH:
@@ -132,16 +129,33 @@ def _decode_evt_rows(keep: pa.RecordBatch, paths: list[str], contents: pa.Array
             yield _evt_batch(keep, row, start, pending)
 
 
+def _stored_evt_records(path: str):
+    try:
+        with open_file(path) as file:
+            window = Window(file.size(), lambda pos, size: read_range(file, pos, size))
+            bounds = log_bounds(window)
+            for _, record, used in walk(window, *bounds) if bounds is not None else ():
+                yield record, used
+    except OSError:
+        return  # ``read_units`` reports it; here the other files go on
+
+
+def evt_struct(records: list[tuple | None]) -> pa.Array:
+    """Raw legacy records as one column; None is a row without one."""
+    kind = to_arrow_type(EVT_TYPE)
+    if not any(records):
+        return pa.nulls(len(records), kind)
+    nothing = (None,) * kind.num_fields
+    columns = [pa.array(values, field.type) for values, field in zip(zip(*(r or nothing for r in records)), kind)]
+    return pa.StructArray.from_arrays(columns, fields=list(kind), mask=pa.array([r is None for r in records]))
+
+
 def _evt_batch(keep: pa.RecordBatch, row: int, start: int, records: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [_TEXT] * 3 + [pa.list_(_TEXT), pa.binary()]
-    labels = ["record_number", "time_generated", "time_written", "event_id_raw", "event_type",
-              "category", "source", "computer", "user_sid", "strings", "data"]
-    columns = [pa.array(values, kind) for values, kind in zip(zip(*records), kinds)]
     return pa.RecordBatch.from_arrays(
         [
             *repeat_rows(keep, [row] * len(records)),
             pa.array(range(start, start + len(records)), pa.int32()),
-            pa.StructArray.from_arrays(columns, names=labels),
+            evt_struct(records),
         ],
         names=[*keep.schema.names, "record_index", "evt"],
     )
@@ -261,8 +275,8 @@ def chunk_totals(chunks: DataFrame) -> DataFrame:
 def decode_evt(files: DataFrame) -> DataFrame:
     """Raw records of legacy logs: (..., record_index, evt struct).
 
-    ``content`` may be NULL or missing: the task then reads the file itself. Records of this format
-    have no fixed boundaries, so one file is one unit; the format limits it to 4 GiB.
+    ``content`` may be NULL or missing: the task then reads the file itself, through a window. Here one file is one
+    unit; ``log_ranges`` with ``read_units`` divides large ones and reports those that cannot be read.
     """
     held = "content" in files.columns
     carried = _carried(files, "content")

@@ -6,6 +6,7 @@ import fnmatch
 import re
 import sys
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -32,15 +33,10 @@ RANGE_CHUNKS = 256  # 16 MiB of log per task unit
 LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
 
 
-def _folders(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[tuple[str, bool]], list[tuple[str, str]]]:
-    """Units of a listing, and the given paths that match nothing, each with what is wrong.
-
-    A unit is a file or folder and whether to go below it. Folders are split into their subfolders until
-    there are enough for the tasks; the driver only ever sees the names of those upper folders.
-    """
+def _given(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[str], list[tuple[str, str]]]:
+    """The files and folders that the given paths name, and those that match nothing, each with what is wrong."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    wanted = 4 * spark.sparkContext.defaultParallelism
-    units, missing, folders = [], [], []
+    units, missing = [], []
     for given in [path] if isinstance(path, str) else path:
         try:
             pattern = jvm.org.apache.hadoop.fs.Path(given)
@@ -51,79 +47,101 @@ def _folders(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[tuple
             reason = f"Path does not exist: {given}"
         if not found:
             missing.append((given, reason))
-        for status in found or []:
-            (folders if status.isDirectory() else units).append((status.getPath().toString(), False))
-    for _ in range(4):
-        if not folders or len(folders) >= wanted:
-            break
-        below = []
-        for folder, _ in folders:
-            units.append((folder, False))  # the files right in it, or the error that lists none
-            try:
-                at = jvm.org.apache.hadoop.fs.Path(folder)
-                entries = at.getFileSystem(conf).listStatusIterator(at)
-                while entries.hasNext():
-                    entry = entries.next()
-                    if entry.isDirectory():
-                        below.append((entry.getPath().toString(), False))
-            except Py4JJavaError:
-                continue
-        folders = below
-    return units + [(folder, True) for folder, _ in folders], missing
-
-
-def _name_pattern(glob: str | None):
+        units += [status.getPath().toString() for status in found or []]
+    return units, missing
+
+
+def name_pattern(glob: str | None):
     """The glob of a file name as a regular expression; ``{a,b}`` are alternatives."""
     if glob is None:
         return re.compile("", re.S)
     choice = re.search(r"\{([^{}]*)\}", glob)
     if choice is None:
         return re.compile(fnmatch.translate(glob))
-    parts = [_name_pattern(glob[: choice.start()] + x + glob[choice.end() :]).pattern for x in choice[1].split(",")]
+    parts = [name_pattern(glob[: choice.start()] + x + glob[choice.end() :]).pattern for x in choice[1].split(",")]
     return re.compile("|".join(parts))
 
 
-def _walk(spark: SparkSession, units: list[tuple[str, bool]], glob: str | None) -> DataFrame:
-    """``LISTING_SCHEMA`` and ``problem`` of all files of the units, whatever their names. A folder that
-    cannot be listed is one row with its problem. Links to folders are not followed."""
+_LISTED = f"{LISTING_SCHEMA}, problem string, is_folder boolean"
+
+
+def _list(folders: DataFrame, glob: str | None, below: bool) -> DataFrame:
+    """``_LISTED`` rows of what lies in each of ``folders(path)``, and with ``below`` of all that lies below. A folder
+    that cannot be listed, and a link to one, is a row with its problem: links are followed nowhere."""
 
     def run(batches):
-        matches = _name_pattern(glob)
+        matches = name_pattern(glob)
+        types = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.string(), pa.bool_()]
         for batch in batches:
-            for unit, below in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for unit in batch.column(0).to_pylist():
                 open_, rows = [unit], []
                 while open_:
                     folder = open_.pop()
                     try:
-                        for found, is_folder, size, time in list_folder(folder):
-                            if is_folder:
-                                if below:
-                                    open_.append(found)
-                            elif matches.match(found.rpartition("/")[2]):
-                                rows.append((found, size, time, None))
+                        for found, kind, size, time in list_folder(folder):
+                            if kind == "file":
+                                if matches.match(found.rpartition("/")[2]):
+                                    rows.append((found, size, time, None, False))
+                            elif kind == "link":
+                                rows.append((found, None, None, "a link to a folder is not followed", False))
+                            elif below:
+                                open_.append(found)
+                            else:
+                                rows.append((found, None, None, None, True))
                     except OSError as problem:
-                        rows.append((folder, None, None, str(problem)))
+                        rows.append((folder, None, None, str(problem), False))
                     if len(rows) >= 10_000 or not open_:
-                        types = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.string()]
                         columns = [pa.array(x, t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
-                        yield pa.RecordBatch.from_arrays(columns, ["path", "length", "modificationTime", "problem"])
+                        yield pa.RecordBatch.from_arrays(columns, ["path", "length", "modificationTime", "problem", "is_folder"])
                         rows = []
 
-    given = spark.createDataFrame(units, "unit string, below boolean")
-    parts = max(1, min(len(units), 4 * spark.sparkContext.defaultParallelism))
-    return given.repartition(parts).mapInArrow(run, f"{LISTING_SCHEMA}, problem string")
+    return folders.mapInArrow(run, _LISTED)
+
+
+def _walk(spark: SparkSession, units: list[str], glob: str | None) -> DataFrame:
+    """``LISTING_SCHEMA`` and ``problem`` of all files of the units, whatever their names.
+
+    Folders are opened in rounds, each a job over those the last one found, until there are enough of them for the
+    tasks; these then walk what lies below. The driver sees the numbers of folders, not their names.
+    """
+    wanted = 4 * spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([(unit,) for unit in units], "path string").repartition(max(1, min(len(units), wanted)))
+    parts = []
+    for _ in range(4):
+        level = held(_list(folders, glob, below=False))
+        parts.append(level.where("not is_folder"))
+        folders = level.where("is_folder").select("path")
+        count = folders.count()
+        if not count or count >= wanted:
+            break
+        folders = folders.repartition(count)
+    if count:
+        parts.append(_list(folders.repartition(wanted), glob, below=True))
+    return reduce(DataFrame.unionByName, parts).drop("is_folder")
 
 
 def list_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """(path, length, modificationTime) of every file below ``path``, whatever its name; none is opened.
 
-    Tasks walk the folders. Fails on a path that matches nothing; folders below it that cannot be listed
-    are left out here, see ``list_roots``.
+    Tasks walk the folders. Fails on a path that matches nothing; folders below it that cannot be listed,
+    and links to folders, are left out here, see ``list_roots``.
     """
-    units, missing = _folders(spark, path)
+    return list_below(spark, path, glob)[0]
+
+
+def list_below(
+    spark: SparkSession, path: str | Sequence[str], glob: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``list_logs``, and one error row for each folder below that cannot be listed and each link to a folder."""
+    units, missing = _given(spark, path)
     if missing:
         raise FileNotFoundError(missing[0][1])
-    return _walk(spark, units, glob).where("problem is null").drop("problem")
+    return _listing_and_errors(held(_walk(spark, units, glob)))
+
+
+def _listing_and_errors(walked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    unlisted = walked.where("problem is not null").select("path", F.lit("locate").alias("stage"), F.col("problem").alias("message"))
+    return walked.where("problem is null").drop("problem"), unlisted
 
 
 def read_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
@@ -151,12 +169,12 @@ def read_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None =
 
 
 def list_roots(spark: SparkSession, roots: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Listing of all roots, and one error row for each root and each folder below that cannot be listed."""
-    units, missing = _folders(spark, roots)
-    walked = _walk(spark, units, None)
+    """Listing of all roots, and one error row for each root and each folder below that cannot be listed, and for
+    each link to a folder."""
+    units, missing = _given(spark, roots)
+    listing, unlisted = _listing_and_errors(held(_walk(spark, units, None)))
     failed = spark.createDataFrame([(root, "locate", reason) for root, reason in missing], ERROR_SCHEMA)
-    unlisted = walked.where("problem is not null").select("path", F.lit("locate").alias("stage"), F.col("problem").alias("message"))
-    return walked.where("problem is null").drop("problem"), failed.unionByName(unlisted)
+    return listing, failed.unionByName(unlisted)
 
 
 def _format_sql(head: str) -> str:
@@ -207,6 +225,14 @@ def read_heads(listing: DataFrame) -> DataFrame:
     return listing.mapInArrow(run, schema)
 
 
+def held(frame: DataFrame) -> DataFrame:
+    """The rows, worked out once: as a checkpoint where the session names a folder for them, else kept by the
+    executors, which work lost ones out again."""
+    if frame.sparkSession.sparkContext.getCheckpointDir() is not None:
+        return frame.checkpoint()
+    return frame.persist()
+
+
 def slot_count(length: Column) -> Column:
     """Chunk slots of a log by its length; a trailing part of a chunk does not count."""
     slots = F.call_function("div", length - EVTX_HEADER_SIZE, F.lit(EVTX_CHUNK_SIZE))

@@ -86,6 +86,16 @@ def readable_evt(files: DataFrame) -> DataFrame:
     return detect_format(_with_head(files)).where(_EVT_READABLE).drop("head", "read_error")
 
 
+def examine(files: DataFrame, expected: tuple[str, ...] = ("evtx", "evt")) -> DataFrame:
+    """Files with what their heads say: ``format``, ``file_checksum_valid`` and ``problem``, which is NULL for a
+    log that can be read; the heads themselves are left out."""
+    probed = detect_format(_with_head(files))
+    checksum = f"if(format = 'evtx' and octet_length(head) >= 128, {_FILE_CHECKSUM}, null)"
+    return probed.withColumns({"file_checksum_valid": F.expr(checksum), "problem": F.expr(_problem(probed, expected))}).drop(
+        "head", "read_error", "content", "modificationTime"
+    )
+
+
 def log_units(files: DataFrame) -> DataFrame:
     """Decode units of all readable in-memory files: one row per written evtx chunk and one per evt
     file, bytes in ``chunk``, told apart by ``format``. One scan serves both formats."""
@@ -120,19 +130,26 @@ def evtx_errors(files: DataFrame) -> DataFrame:
 
 def _errors(files: DataFrame, expected: tuple[str, ...]) -> DataFrame:
     probed = detect_format(_with_head(files))
-    failed = "read_error" if "read_error" in probed.columns else "cast(null as string)"
-    known = ", ".join(f"'{name}'" for name in expected)
-    message = f"""case
+    failed = _failed(probed)
+    return probed.selectExpr(
+        "path",
+        f"if({failed} is not null, 'read', 'header') as stage",
+        f"concat(path, ': ', {_problem(probed, expected)}) as message",
+    ).where("message is not null")
+
+
+def _failed(probed: DataFrame) -> str:
+    return "read_error" if "read_error" in probed.columns else "cast(null as string)"
+
+
+def _problem(probed: DataFrame, expected: tuple[str, ...]) -> str:
+    failed, known = _failed(probed), ", ".join(f"'{name}'" for name in expected)
+    return f"""case
       when {failed} is not null then {failed}
       when format is null or format not in ({known}) then 'not an event log'
       when format = 'evtx' and octet_length(head) < {EVTX_HEADER_SIZE} then 'file is shorter than its header'
       when format = 'evt' and {u32_sql('head', 44)} != {EVT_HEADER_SIZE} then 'file header size copies differ'
     end"""
-    return probed.selectExpr(
-        "path",
-        f"if({failed} is not null, 'read', 'header') as stage",
-        f"concat(path, ': ', {message}) as message",
-    ).where("message is not null")
 
 
 def _chunk_header(chunks: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+_SYSTEMS: dict = {}  # of this worker, by authority
+
+
 def resolve(path: str):
     """File system and path on it. Paths stay as Spark lists them: ``%`` and blanks are literal."""
     from pyarrow import fs
@@ -20,13 +23,15 @@ def resolve(path: str):
         return fs.LocalFileSystem(), "/" + local.lstrip("/")
     authority, _, key = rest.partition("/")
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    if (scheme, authority) not in _SYSTEMS:
+        _SYSTEMS[scheme, authority] = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    system, base = _SYSTEMS[scheme, authority]
     return system, f"{base.rstrip('/')}/{key}"
 
 
 def list_folder(path: str):
-    """(path, is folder, length, modification time) of each entry, or of the file itself. Paths have the
-    form of the given one. A linked folder is no entry."""
+    """(path, kind, length, modification time) of each entry, or of the file itself. Paths have the form of the given
+    one; the kind is file, folder, or link: a link to a folder."""
     import os
 
     from pyarrow import fs
@@ -39,9 +44,10 @@ def list_folder(path: str):
     local = isinstance(system, fs.LocalFileSystem)
     entries = [own] if own.type == fs.FileType.File else system.get_file_info(fs.FileSelector(own.path))
     for entry in entries:
-        folder = entry.type == fs.FileType.Directory
-        if not (folder and local and os.path.islink(entry.path)):
-            yield start + entry.path, folder, entry.size if not folder else 0, entry.mtime
+        kind = "folder" if entry.type == fs.FileType.Directory else "file"
+        if kind == "folder" and local and os.path.islink(entry.path):
+            kind = "link"
+        yield start + entry.path, kind, entry.size if kind == "file" else 0, entry.mtime
 
 
 def open_file(path: str):

@@ -260,6 +260,19 @@ def s5_read_evt_until_bad_record(spark, sf):
     return plain_evt(lq.read_evt(evt_logs(events(spark, sf), "bad_signature")))
 
 
+@check(f"{EVT} SELECT {_EVT_RECORD} FROM evt")
+def s5_read_evt_in_pieces(spark, sf):
+    """Stored legacy logs, each read in ranges of 8 KiB by tasks of their own."""
+    heads = lq.read_heads(lq.list_logs(spark, stored(spark, evt_logs(events(spark, sf)))))
+    return plain_evt(lq.read_stored_records(heads, evt_range=8192))
+
+
+@check(ORACLES["s5_read_evt_until_bad_record"])
+def s5_read_evt_in_pieces_until_bad_record(spark, sf):
+    heads = lq.read_heads(lq.list_logs(spark, stored(spark, evt_logs(events(spark, sf), "bad_signature"))))
+    return plain_evt(lq.read_stored_records(heads, evt_range=8192))
+
+
 @check(f"{EVT} SELECT path, any_value(channel) AS channel FROM evt GROUP BY path")
 def s6_with_channel(spark, sf):
     files = evt_logs(events(spark, sf)).select("path")
@@ -503,6 +516,14 @@ def h6_evt_audit(spark, sf):
     )
 
 
+@check(ORACLES["h6_log_audit"])
+def h6_audit_stored(spark, sf):
+    """The same from stored logs: tasks hand over four numbers a byte range."""
+    folder = stored(spark, evtx_logs(events(spark, sf), "unwritten", "bad_records", "dirty"))
+    audit = flat_audit(lq.audit_stored(lq.read_heads(lq.list_logs(spark, folder))))
+    return audit.withColumn("path", below(F.col("path")))
+
+
 # -- projections -----------------------------------------------------------------------------------
 
 
@@ -741,6 +762,47 @@ def f2_query_all(spark, sf):
     return plain(lq.query_all(lq.read_evtx(evtx_logs(events(spark, sf), "templated"))))
 
 
+@check(f"""{EV} SELECT {_RECORD} FROM ev WHERE channel IN ('Security', 'System') AND event_id = 4625""")
+def f1_scan_filtered(spark, sf):
+    """Both predicates are tested in the decoder; records that fail them are not decoded."""
+    folder = stored(spark, evtx_logs(events(spark, sf), "templated"))
+    return plain(lq.scan_logs(spark, folder, channels=["Security", "System"], event_ids=[4625])[0])
+
+
+@check(f"{EVT} SELECT path, record_index, record_id, level FROM evt WHERE channel = 'Application' AND event_id = 4625")
+def f1_scan_filtered_evt(spark, sf):
+    folder = stored(spark, evt_logs(events(spark, sf)))
+    wanted = {"columns": ["record_id", "level"], "channels": ["Application"], "event_ids": [4625]}
+    records, _ = lq.scan_logs(spark, folder, **wanted)
+    index = F.col("record_index").cast("bigint").alias("record_index")
+    return records.select(below(F.col("path")).alias("path"), index, "record_id", "level")
+
+
+@check(f"""{EV} SELECT path, 'record' AS kind, count(*) AS n, NULL AS message FROM ev GROUP BY path
+UNION ALL SELECT DISTINCT path, 'error', 1, path || ': file became shorter while it was read' FROM ev WHERE channel = 'System'""")
+def f3_read_failures(spark, sf):
+    """Logs that are shorter than they were when listed: one error each, and all records that are there."""
+    heads = lq.read_heads(lq.list_logs(spark, stored(spark, evtx_logs(events(spark, sf), "templated"))))
+    longer = F.when(F.col("path").endswith("/System.evtx"), F.col("length") + 3 * 65536).otherwise(F.col("length"))
+    tagged = lq.tagged_records(lq.examine(heads.withColumn("length", longer)))
+    records = lq.records_of(tagged).groupBy("path").agg(F.count("*").alias("n"))
+    records = records.select("path", F.lit("record").alias("kind"), "n", F.lit(None).cast("string").alias("message"))
+    failures = lq.failures_of(tagged).select("path", F.lit("error").alias("kind"), F.lit(1).cast("long").alias("n"), "message")
+    shown = F.regexp_replace("message", "^.*?(/evidence/)", "/evidence/").alias("message")
+    return records.unionByName(failures).select(below(F.col("path")).alias("path"), "kind", "n", shown)
+
+
+@check(f"""{EV} SELECT 'record' AS kind, path, count(*) AS n FROM ev GROUP BY path
+UNION ALL SELECT DISTINCT 'error', replace(path, 'System.evtx', name || '.evtx'), 1
+FROM ev, (VALUES ('Cut'), ('Garbage')) t(name) WHERE channel = 'System'""")
+def u1_ingest_logs(spark, sf):
+    """One pass over stored logs into one table, from which records and errors are read."""
+    files = mixed_files(spark, sf).where("path like '%.evtx'")
+    records, errors = lq.ingest_logs(spark, stored(spark, files), scratch(spark) + "/lake")
+    found = records.select(F.lit("record").alias("kind"), "path").unionByName(errors.select(F.lit("error").alias("kind"), "path"))
+    return found.groupBy("kind", below(F.col("path")).alias("path")).agg(F.count("*").alias("n"))
+
+
 @check(f"""{EV}, hosts AS (SELECT DISTINCT path FROM ev WHERE channel = 'System')
 SELECT replace(path, 'System.evtx', 'Cut.evtx') AS path, 'header' AS stage,
   replace(path, 'System.evtx', 'Cut.evtx') || ': file is shorter than its header' AS message FROM hosts
@@ -786,6 +848,19 @@ def a1_channels(spark, sf):
     )
 
 
+@check(ORACLES["a1_channels"])
+def a1_channels_from_logs(spark, sf):
+    """Only the channel leaves the tasks."""
+    folder = stored(spark, evtx_logs(events(spark, sf), "bad_records"))
+    found = lq.channels(lq.scan_logs(spark, folder, columns=["channel"])[0])
+    return found.select(
+        "channel",
+        below(F.col("first.path")).alias("path"),
+        F.col("first.chunk_index").cast("bigint").alias("chunk_index"),
+        F.col("first.record_index").cast("bigint").alias("record_index"),
+    )
+
+
 @check(f"""{EVT} SELECT channel, min(path) AS path FROM evt GROUP BY channel""")
 def a1_channels_evt(spark, sf):
     """Wrapped logs hold no readable record and still name their channel."""
@@ -819,6 +894,13 @@ def a3_failed_logons(spark, sf):
     return lq.failed_logons(lq.read_evtx(evtx_logs(events(spark, sf), "templated")))
 
 
+@check(f"{EV} SELECT count(*) AS event_count FROM ev WHERE channel = 'Security' AND event_id = 4625")
+def a3_failed_logons_from_logs(spark, sf):
+    """The usual first question to stored logs: records of other channels and ids are not decoded."""
+    folder = stored(spark, evtx_logs(events(spark, sf), "templated"))
+    return lq.failed_logons_of(spark, folder)
+
+
 @check(f"{EV} SELECT count(*) AS event_count FROM ev WHERE channel = 'Security' AND event_id = 4625")
 def a3_failed_logons_ingested(spark, sf):
     """Same on records written to a table first: both predicates reach the Parquet scan."""
@@ -856,7 +938,7 @@ def u1_errors_ahead_of_records(spark, sf):
 def t1_stream_logs(spark, sf):
     """Files arriving in a folder, ingested by Structured Streaming; read back from its sink."""
     folder, target = stored(spark, evtx_logs(events(spark, sf), "templated")), scratch(spark)
-    queries = lq.stream_logs(lq.watch_logs(spark, folder), target, target + "/checkpoint")
+    queries = lq.stream_logs(lq.watch_logs(spark, folder, target + "/seen"), target, target + "/checkpoint")
     for query in queries:
         query.awaitTermination()
     return plain(spark.read.parquet(target + "/records"))
@@ -866,6 +948,32 @@ def t1_stream_logs(spark, sf):
 FROM ev, (VALUES ('Cut'), ('Garbage')) t(name) WHERE channel = 'System'""")
 def t1_stream_errors(spark, sf):
     folder, target = stored(spark, mixed_files(spark, sf)), scratch(spark)
-    for query in lq.stream_logs(lq.watch_logs(spark, folder), target, target + "/checkpoint"):
+    for query in lq.stream_logs(lq.watch_logs(spark, folder, target + "/seen"), target, target + "/checkpoint"):
         query.awaitTermination()
     return spark.read.parquet(target + "/errors").select(below(F.col("path")).alias("path"), "stage")
+
+
+@check(ORACLES["s1_hidden_names"])
+def t1_stream_hidden_names(spark, sf):
+    files = evtx_logs(events(spark, sf), "templated")
+    host = F.regexp_extract("path", "^/evidence/host([0-9]+)", 1).cast("int") % 3
+    folder = F.when(host == 0, "/evidence/_export/").when(host == 1, "/evidence/.hidden/").otherwise("/evidence/")
+    placed = files.withColumn("path", F.concat(folder, F.substring_index("path", "/evidence/", -1)))
+    source, target = stored(spark, placed), scratch(spark)
+    for query in lq.stream_logs(lq.watch_logs(spark, source, target + "/seen"), target, target + "/checkpoint"):
+        query.awaitTermination()
+    records = spark.read.parquet(target + "/records")
+    return records.groupBy(below(F.col("path")).alias("path")).agg(F.count("*").alias("records"))
+
+
+@check(EV_RECORDS)
+def t1_stream_growing_logs(spark, sf):
+    """Logs whose last chunks are written after a first run: every record arrives once."""
+    files, target = evtx_logs(events(spark, sf), "templated"), scratch(spark)
+    folder = scratch(spark)
+    half = F.expr("4096 + 65536 * ((octet_length(content) - 4096) div 65536 div 2)")
+    for content in (F.substring("content", F.lit(1), half.cast("int")), F.col("content")):
+        write_files(files.withColumn("content", content), folder).count()
+        for query in lq.stream_logs(lq.watch_logs(spark, folder, target + "/seen"), target, target + "/checkpoint"):
+            query.awaitTermination()
+    return plain(spark.read.parquet(target + "/records"))
