@@ -9,6 +9,8 @@ and ``block``; tokens run on from one to the next.
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -53,6 +55,28 @@ def decode_ranks(control: bytes, codes: bytes, count: int) -> np.ndarray:
     return ranks
 
 
+#: Lower-case letters, and signs after them that are tokens of their own (no apostrophe: it may begin one
+#: with letters).
+PLAIN_WORD = re.compile(r"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def letters_alone(path: str) -> bool:
+    """Whether the tokenizer lowers A-Z first and makes every run of letters a token source of its own, so that
+    its model alone encodes plain words."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    kinds = {
+        key: [step["type"] for step in (parts[key] or {}).get(steps, [parts[key]]) if step]
+        for key, steps in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))
+    }
+    if "Lowercase" not in kinds["normalizer"] or not {"NFC", "Replace", "Lowercase"}.issuperset(kinds["normalizer"]):
+        return False
+    if kinds["pre_tokenizer"] != ["Split", "ByteLevel"]:
+        return False
+    pattern = parts["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", "")
+    return "[\\p{L}]+" in pattern.split("|") and "[^\\s\\p{L}\\p{N}]+" in pattern.split("|")
+
+
 class Encoder:
     """Encodes texts word by word: white space ends every token, so words can be encoded alone. The ids
     of each word are kept from task to task in ``flat[starts[i]:starts[i] + lengths[i]]``."""
@@ -61,6 +85,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.lower = self.tokenizer.model, letters_alone(path)
+        self.signs: dict[str, list[int]] = {"": []}
         self.clear()
 
     def clear(self) -> None:
@@ -76,7 +102,7 @@ class Encoder:
         unknown = np.flatnonzero(found < 0)
         if len(unknown):
             missing = [distinct[i] for i in unknown.tolist()]
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)]
+            ids = self.ids_of(missing)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             starts = len(self.flat) + np.cumsum(lengths) - lengths
             found[unknown] = np.arange(len(self.starts), len(self.starts) + len(missing))
@@ -86,9 +112,25 @@ class Encoder:
             self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
         return found
 
+    def ids_of(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word. Plain ones need neither normalizer nor pattern, which take most of the time."""
+        found = [PLAIN_WORD.fullmatch(word) if self.lower else None for word in words]
+        if len(self.signs) > CACHE_SIZE:
+            self.signs = {"": []}
+        odd = [word for word, plain in zip(words, found) if plain is None]
+        new = list({plain[2] for plain in found if plain is not None} - self.signs.keys())
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(odd + new, add_special_tokens=False)]
+        self.signs.update(zip(new, ids[len(odd) :]))
+        others, tokenize = iter(ids), self.model.tokenize
+        result = [
+            next(others) if plain is None else [token.id for token in tokenize(plain[1])] + self.signs[plain[2]]
+            for plain in found
+        ]
+        return result
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with ``end_id`` after it, and their numbers."""
-        split = split_words(texts)
+        split = split_words(texts, lower=self.lower)
         index = self.words(split.distinct)[split.ids] if len(split.ids) else np.zeros(0, np.int64)
         counts = per_text(self.lengths[index], split.bounds)
         inner = gather(self.flat, self.starts[index], self.lengths[index])
