@@ -30,7 +30,9 @@ _B = _SEED.integers(0, 1 << 32, HASHES, np.uint32)
 _BAND = _SEED.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-MARKS = ("size", "common", "short")
+MARKS = ("size", "common", "bits")
+#: Members of a block that are compared at once.
+BLOCK = 256
 SIGNED = "doc_id long, n_shingles long, set_key binary, minima binary, bands array<long>"
 
 
@@ -125,6 +127,26 @@ def unsettled(edges: DataFrame) -> int:
     return ends.where("up > 1 or up = 1 and down = 1").count()
 
 
+def marked(hashes: np.ndarray) -> bytes:
+    """A bit for each low end of a hash of the set, 8 to 16 times as many bits as hashes."""
+    size = max(64, 1 << (8 * len(hashes) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[hashes & np.uint64(size - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, nx: int, y: bytes, ny: int) -> bool:
+    """Whether two sets of nx and ny hashes with these bits can be linked. Exact: a hash whose bit the other
+    set lacks is not in the other set, so an intersection is at most what is left."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(x) > len(y):  # fewer low bits: the halves fall together
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    common = min(nx - int(np.bitwise_count(x & ~y).sum()), ny - int(np.bitwise_count(y & ~x).sum()))
+    return 100 * common >= PERCENT * (nx + ny - common)
+
+
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are linked: 100 |intersection| >= 75 |union|."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
@@ -162,13 +184,14 @@ def near_duplicates(documents: DataFrame, text: str = "text") -> DataFrame:
     shared = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     member = stored(member.join(shared, ["band", "bucket"]), "members")
     candidates = stored(member.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
-    least = exact.select("rep", "minima")
     sets = stored(full_sets(documents, candidates, text), "hashes")
+    # Rows of one doc_id may have several sets; no bits speak for all of them.
+    bits = sets.groupBy("doc_id").agg(F.when(F.count("*") == 1, F.first("bits")).alias("bits"))
+    least = exact.join(bits, F.col("rep") == F.col("doc_id"))
+    least = stored(least.select("rep", "minima", F.col("n_shingles").alias("n"), "bits"), "verify")
     common = stored(commons(sets), "commons")
     member = stored(linkable(member, common), "members")
-    # Of each band as much as tells two buckets apart.
-    short = F.transform("bands", lambda band: F.shiftright(band, 32).cast("int")).alias("short")
-    marks = exact.select("rep", short).join(common, "rep")
+    marks = common.join(bits, F.col("rep") == F.col("doc_id")).select("rep", *MARKS)
 
     links = group = before = None
     n, round_, last = candidates.count(), 0, False
@@ -242,25 +265,86 @@ def pivot_pairs(placed: DataFrame, round_: int) -> DataFrame:
 
 
 def cross_pairs(placed: DataFrame, marks: DataFrame) -> DataFrame:
-    """All pairs of a bucket whose members are in different groups and can be linked, once each.
+    """The pairs of a bucket whose members are in different groups and can be linked by their sizes and bits.
 
-    Members outside the bucket's largest group are joined with all of it, so that what is compared in vain
-    is at most as much as what is wanted. A pair that shares several buckets is taken in the first.
+    Members outside the bucket's largest group meet all of it. They do so in blocks of about ``BLOCK``: near
+    misses of a large group are many, and only what may be a link becomes a row.
     """
     bucket = ["band", "bucket"]
     largest = placed.groupBy(*bucket, "g").agg(F.count("*").alias("n"))
-    largest = largest.groupBy(*bucket).agg(F.max(F.struct("n", "g")).alias("top"), F.count("*").alias("groups"))
+    largest = largest.groupBy(*bucket).agg(
+        F.max(F.struct("n", "g")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("groups")
+    )
     # Only what stands in a bucket of several groups is compared.
     marked = placed.join(largest.where("groups > 1"), bucket).join(marks, "rep")
-    marked = marked.withColumn("minor", F.col("g") != F.col("top.g")).select(*bucket, "rep", "g", "minor", *MARKS)
-    x = marked.where("minor").select(*bucket, *[F.col(c).alias(f"x_{c}") for c in ("rep", "g", *MARKS)])
-    y = marked.select(*bucket, *[F.col(c).alias(f"y_{c}") for c in ("rep", "g", "minor", *MARKS)])
-    common = F.least("x_common", "y_common")
-    possible = common.isNull() | (100 * common >= PERCENT * (F.col("x_size") + F.col("y_size") - common))
-    earlier = F.expr("band > 0 AND exists(sequence(0, band - 1), i -> x_short[i] = y_short[i])")
-    once = ~F.col("y_minor") | (F.col("x_rep") < F.col("y_rep"))
-    pairs = x.join(y, bucket).where((F.col("x_g") != F.col("y_g")) & once & possible & ~earlier)
-    return pairs.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
+    chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK))
+    member = F.struct("rep", "g", *MARKS)
+    blocks = marked.groupBy(*bucket, (F.col("g") != F.col("top.g")).alias("minor"), chunk.alias("chunk"))
+    blocks = blocks.agg(F.collect_list(member).alias("members"))
+    x = blocks.where("minor").select(*bucket, F.col("members").alias("x"))
+    y = blocks.select(*bucket, "minor", F.col("members").alias("y"))
+
+    def compare(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                xs, ys = (Members(batch.column(c)[row].values) for c in ("x", "y"))
+                pairs = [xs.possible(i, ys, batch.column("minor")[row].as_py()) for i in range(len(xs.reps))]
+                left = np.repeat(xs.reps, [len(p) for p in pairs])
+                right = np.concatenate(pairs) if pairs else left
+                columns = [np.minimum(left, right), np.maximum(left, right)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    return x.join(y, bucket).select("x", "minor", "y").mapInArrow(compare, "a long, b long")
+
+
+class Members:
+    """A block of a bucket's members. Bits of equal number are rows of one matrix."""
+
+    def __init__(self, rows: pa.StructArray):
+        def numbers(name: str, absent: int = 0) -> np.ndarray:
+            return rows.field(name).fill_null(absent).to_numpy(zero_copy_only=False)
+
+        self.reps, self.groups, self.sizes = numbers("rep"), numbers("g"), numbers("size")
+        self.commons = numbers("common", -1)  # -1: not known
+        held = rows.field("bits")
+        lengths = held.fill_null(b"").to_pylist()
+        self.words = np.array([len(b) // 8 for b in lengths])  # 0: none
+        self.place = np.zeros(len(lengths), np.int64)
+        self.matrices: dict[int, np.ndarray] = {}
+        for words in set(self.words.tolist()) - {0}:
+            own = np.flatnonzero(self.words == words)
+            self.place[own] = np.arange(len(own))
+            self.matrices[words] = np.frombuffer(b"".join(lengths[i] for i in own), np.uint64).reshape(len(own), words)
+        self.folds: dict[tuple[int, int], np.ndarray] = {}
+
+    def folded(self, words: int, fewer: int) -> np.ndarray:
+        if (words, fewer) not in self.folds:
+            matrix = self.matrices[words]
+            while matrix.shape[1] > fewer:
+                half = matrix.shape[1] // 2
+                matrix = matrix[:, :half] | matrix[:, half:]
+            self.folds[words, fewer] = matrix
+        return self.folds[words, fewer]
+
+    def possible(self, i: int, others: Members, minor: bool) -> np.ndarray:
+        """The reps of ``others`` that member i may be linked with. Two minor members meet once."""
+        common = np.minimum(self.commons[i], others.commons)
+        sizes = self.sizes[i] + others.sizes
+        open_ = (others.groups != self.groups[i]) & ((common < 0) | (100 * common >= PERCENT * (sizes - common)))
+        if minor:
+            open_ &= self.reps[i] < others.reps
+        if self.words[i]:
+            for words in others.matrices:
+                theirs = np.flatnonzero(open_ & (others.words == words))
+                if len(theirs):
+                    fewer = min(words, int(self.words[i]))
+                    mine = self.folded(int(self.words[i]), fewer)[self.place[i]]
+                    rows = others.folded(words, fewer)[others.place[theirs]]
+                    lacking = np.bitwise_count(mine & ~rows).sum(axis=1, dtype=np.int64)
+                    beside = np.bitwise_count(rows & ~mine).sum(axis=1, dtype=np.int64)
+                    shared = np.minimum(self.sizes[i] - lacking, others.sizes[theirs] - beside)
+                    open_[theirs] = 100 * shared >= PERCENT * (sizes[theirs] - shared)
+        return others.reps[open_]
 
 
 def grouped(member: DataFrame, group: DataFrame) -> DataFrame:
@@ -271,29 +355,37 @@ def grouped(member: DataFrame, group: DataFrame) -> DataFrame:
 
 
 def agreeing(pairs: DataFrame, least: DataFrame) -> DataFrame:
-    """Signature verification: pairs with enough equal minima."""
+    """Signature verification: pairs with enough equal minima whose bits allow a link. Near misses of a dense
+    group share most minima and end at the bits, so hardly more than the links leave this step."""
 
     def check(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("ma", "mb"))
             keep = (x == y).sum(axis=1) >= LEAST_AGREEING
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            columns = [batch.column(c) for c in ("bx", "na", "by", "nb")]
+            for row in np.flatnonzero(keep).tolist():
+                bx, na, by, nb = (c[row].as_py() for c in columns)
+                keep[row] = bx is None or by is None or may_link(bx, na, by, nb)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    left = least.select(F.col("rep").alias("a"), F.col("minima").alias("ma"))
-    right = least.select(F.col("rep").alias("b"), F.col("minima").alias("mb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(check, "a long, b long")
+    left = least.select(F.col("rep").alias("a"), F.col("minima").alias("ma"), F.col("n").alias("na"), F.col("bits").alias("bx"))
+    right = least.select(F.col("rep").alias("b"), F.col("minima").alias("mb"), F.col("n").alias("nb"), F.col("bits").alias("by"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb", "na", "nb", "bx", "by")
+    return joined.mapInArrow(check, "a long, b long")
 
 
 def full_sets(documents: DataFrame, candidates: DataFrame, text: str) -> DataFrame:
-    """``doc_id`` and the ``hashes`` of the full set, of the candidates only."""
+    """``doc_id``, the ``hashes`` of the full set and its ``bits``, of the candidates only."""
 
     def hashes(batches):
         worker_state("near-duplicates")
         for part in text_slices(batches):
-            sets = [x.view(np.int64) for x in shingle_sets(part.column("text"))]
+            sets = shingle_sets(part.column("text"))
+            bits = pa.array([marked(x) for x in sets], pa.binary())
+            sets = [x.view(np.int64) for x in sets]
             bounds = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "hashes"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, bits], ["doc_id", "hashes", "bits"])
 
     wanted = documents.select("doc_id", F.col(text).alias("text")).join(candidates, "doc_id", "left_semi")
-    return wanted.mapInArrow(hashes, "doc_id long, hashes array<long>")
+    return wanted.mapInArrow(hashes, "doc_id long, hashes array<long>, bits binary")

@@ -3,8 +3,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
-from logquarry.llm import queries
+from logquarry.llm import near_dedup, queries
+from logquarry.llm.common import stored
 from logquarry.llm.decontaminate import contaminated, decontaminate, infix_distance, passages
 from logquarry.llm.near_dedup import components, near_duplicates
 from logquarry.llm.personal_data import BASE, automaton, iban, luhn, personal_data, spans
@@ -36,6 +38,53 @@ def plain_components(texts):
     return {i: (i, len(sets[i]), root(i), root(i) == i) for i in sets}
 
 
+def test_a_dense_group_of_near_misses(spark, monkeypatch):
+    """Hundreds of texts that are nearly similar enough to each other, and some that are: no link is lost, and
+    hardly more pairs than links pass the check."""
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(160)]
+
+    def changed(words, n):
+        words = list(words)
+        for i in draw.sample(range(len(words) // 8), n):
+            words[8 * i + draw.randrange(3)] = f"x{draw.random()}"
+        return words
+
+    texts = {i: " ".join(changed(base, 4)) for i in range(300)}
+    texts |= {300 + i: " ".join(changed(texts[7 * i].split(), 1)) for i in range(20)}
+    counted = []
+    kept = near_dedup.agreeing
+
+    def counting(pairs, least):
+        passed = stored(kept(pairs, least), "passed")
+        counted.append((pairs.count(), passed.count()))
+        return passed
+
+    monkeypatch.setattr(near_dedup, "agreeing", counting)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_duplicates(frame).collect()
+    assert {r.doc_id: tuple(r) for r in rows} == plain_components(texts)
+    assert len({r.component_id for r in rows}) > 100  # the group doesn't fall into one
+    shingles = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts.values())]
+    similar = [len(x & y) / len(x | y) for i, x in enumerate(shingles) for y in shingles[:i]]
+    assert sum(0.55 < s < 0.75 for s in similar) > 10_000
+    assert sum(p for p, _ in counted) < 10 * len(texts) and sum(n for _, n in counted) < 3 * len(texts)
+
+
+def test_bits_rule_out_no_link():
+    draw = random.Random(2)
+    for _ in range(400):
+        x = {draw.getrandbits(64) for _ in range(draw.randrange(1, 300))}
+        y = set(draw.sample(sorted(x), draw.randrange(len(x) + 1))) | {draw.getrandbits(64) for _ in range(draw.randrange(60))}
+        if y:
+            bits = [near_dedup.marked(np.array(sorted(s), np.uint64)) for s in (x, y)]
+            common = len(x & y)
+            if 100 * common >= 75 * (len(x) + len(y) - common):
+                assert near_dedup.may_link(bits[0], len(x), bits[1], len(y)) and near_dedup.may_link(bits[1], len(y), bits[0], len(x))
+    x, y = (np.array([draw.getrandbits(64) for _ in range(200)], np.uint64) for _ in "xy")
+    assert not near_dedup.may_link(near_dedup.marked(x), 200, near_dedup.marked(y), 200)
+
+
 def test_near_duplicates(spark, texts):
     rows = queries.QUERIES["op9_near_duplicates"](spark, SF).collect()
     assert {tuple(r) for r in rows} == set(plain_components(texts).values())
