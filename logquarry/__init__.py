@@ -27,6 +27,7 @@ from .operators.query import (
     query_all,
 )
 from .plans.ingest import (
+    collect_evidence,
     collect_logs,
     count_in_logs,
     failed_logons_of,
@@ -43,7 +44,7 @@ from .plans.ingest import (
     scan_logs,
     tagged_records,
 )
-from .sources.catalog import default_catalog, expand_patterns, locate_logs
+from .sources.catalog import bodies_of_evidence, default_catalog, expand_patterns, locate_logs
 from .sources.decode import chunk_totals, decode_chunks, decode_evt, decode_units, frame_chunks
 from .sources.files import (
     detect_format,

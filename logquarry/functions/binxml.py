@@ -12,7 +12,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from .values import WSTRING, BadRecord, read_value, utf16_text
+from .values import WSTRING, BadRecord, Typed, read_value, typed_value, utf16_text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -82,11 +82,12 @@ class ChunkDecoder:
     """Decodes the records of one chunk, appending (path, name, attributes, text, is leaf) rows.
 
     Fields are read without a check each; what a token took is checked against the end of its
-    record once it is complete. Reads never leave the chunk.
+    record once it is complete. Reads never leave the chunk. With ``typed``, texts of single values that are no
+    text by type are ``Typed``.
     """
 
-    def __init__(self, chunk: bytes, nodes: list[tuple]):
-        self.buf = chunk
+    def __init__(self, chunk: bytes, nodes: list[tuple], typed: bool = False):
+        self.buf, self.typed, self.nothing = chunk, typed, Typed() if typed else ""
         self.nodes = nodes
         self.names: dict[int, tuple[str, str]] = {}
         self.bodies: dict[int, list | None] = {}
@@ -288,8 +289,11 @@ class ChunkDecoder:
 
     def _value(self, kind: int, pos: int, end: int):
         if kind == VALUE:
-            value, pos = read_value(self.buf, pos + 1, self.buf[pos], None, end)
-            step = (_SPAN, *value, None) if isinstance(value, tuple) else (_TEXT, value or "", None, None)
+            at = pos
+            value, pos = read_value(self.buf, at + 1, self.buf[at], None, end)
+            if self.typed:
+                value = typed_value(value, self.buf, at + 1, self.buf[at], None, end)
+            step = (_SPAN, *value, None) if isinstance(value, tuple) else (_TEXT, self.nothing if value is None else value, None, None)
             return step, pos
         # The declared type that follows the slot number is not needed.
         return (_SLOT, self._uint(pos, 2), kind == CONDITIONAL_SUBSTITUTION, None), pos + 3
@@ -333,8 +337,9 @@ class ChunkDecoder:
                 values.append(utf16_text(buf[values_at : values_at + size]))
                 values_at += size
             else:
-                value, values_at = read_value(buf, values_at, kind, size, end)
-                values.append(value)
+                at = values_at
+                value, values_at = read_value(buf, at, kind, size, end)
+                values.append(typed_value(value, buf, at, kind, size, end) if self.typed else value)
         return (_INSTANCE, steps, values, None), values_at
 
     def _body(self, at: int) -> list[tuple]:
@@ -383,7 +388,7 @@ class ChunkDecoder:
                         work = self.work
                         continue
                     if c is None:
-                        c = ""
+                        c = self.nothing
                 name, label = a
                 if label in ordinals:
                     path = f"{prefix}{label}[{ordinals[label]}]"
@@ -445,7 +450,7 @@ class ChunkDecoder:
                 value = self._slot(slot, values)
                 if value is None and optional:
                     continue
-                if type(value) is not str:
+                if not isinstance(value, str):
                     value = ""
             found.setdefault(name, value)  # the first attribute of a name counts
         return list(found.items())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import json
 import struct
 import sys
 from datetime import date, datetime
@@ -200,6 +201,12 @@ def read_value(buf: bytes, pos: int, kind: int, size: int | None, limit: int):
 
 
 def _read_array(buf: bytes, pos: int, kind: int, size: int | None, limit: int):
+    items, end = array_items(buf, pos, kind, size, limit)
+    return ",".join(item if isinstance(item, str) else "" for item in items), end
+
+
+def array_items(buf: bytes, pos: int, kind: int, size: int | None, limit: int) -> tuple[list, int]:
+    """The items of an array as ``read_value`` gives them, and the position after it."""
     if size is None:
         raise BadRecord("array value without a byte size")
     end = pos + size
@@ -207,15 +214,49 @@ def _read_array(buf: bytes, pos: int, kind: int, size: int | None, limit: int):
         raise BadRecord("value ends beyond its record")
     if kind in (WSTRING, STRING):
         text = (utf16_text if kind == WSTRING else lambda b: b.decode("utf-8", "replace"))(buf[pos:end])
-        return ",".join((text[:-1] if text.endswith("\0") else text).split("\0")) if size else "", end
+        return (text[:-1] if text.endswith("\0") else text).split("\0") if size else [], end
     items = []
     while pos < end:
         item, after = read_value(buf, pos, kind, None, end)
         if after == pos:
             raise BadRecord("array item without bytes")
-        items.append(item if isinstance(item, str) else "")
+        items.append(item)
         pos = after
-    return ",".join(items), end
+    return items, end
+
+
+class Typed(str):
+    """Display text of a value that also has a JSON form: a number, a truth value, null or an array."""
+
+    json = "null"
+
+
+_NUMBERS = (INT8, UINT8, INT16, UINT16, INT32, UINT32, INT64, UINT64, SIZE, REAL32, REAL64)
+
+
+def _json(kind: int, text) -> str:
+    if not isinstance(text, str):  # Null, or elements where a value stands
+        return "null"
+    if kind == BOOL or kind in _NUMBERS and text not in ("NaN", "inf", "-inf"):
+        return text
+    return str(int(text, 16)) if kind in (HEX32, HEX64) else json.dumps(text)
+
+
+def typed_value(value, buf: bytes, pos: int, kind: int, size: int | None, limit: int):
+    """``value``, which ``read_value`` gave for the same bytes, with its JSON form. Texts stay plain."""
+    if isinstance(value, tuple) or kind in (WSTRING, STRING, NULL):
+        return value
+    found = Typed(value)
+    if kind & ARRAY_FLAG:
+        items, _ = array_items(buf, pos, kind & ~ARRAY_FLAG, size, limit)
+        found.json = f"[{','.join(_json(kind & ~ARRAY_FLAG, item) for item in items)}]"
+    else:
+        found.json = _json(kind, value)
+    return found
+
+
+def json_of(text: str) -> str:
+    return text.json if isinstance(text, Typed) else json.dumps(text)
 
 
 def read_uint(buf: bytes, pos: int, width: int, limit: int) -> int:

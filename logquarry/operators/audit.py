@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.decode import chunk_totals, decode_evt
+from ..sources.decode import chunk_totals, evt_totals
 from ..sources.files import (
     EVTX_CHUNK_SIZE,
     EVTX_HEADER_SIZE,
@@ -91,6 +91,6 @@ def evt_audit(files: DataFrame) -> DataFrame:
             F.col("last_record_number") - F.col("first_record_number") + 1,
         ).otherwise(F.lit(0)).alias("records_declared"),
     )
-    read = decode_evt(readable_evt(files).drop("length", "modificationTime"))
-    per_log = read.groupBy("path").agg(F.count("*").alias("records"))
+    counted = evt_totals(readable_evt(files).drop("length", "modificationTime"))
+    per_log = counted.groupBy("path").agg(F.sum("records").alias("records"))
     return logs.join(per_log, "path", "left").withColumn("records", F.coalesce("records", F.lit(0)))

@@ -129,10 +129,18 @@ _EVTX_NULLS = {
 
 
 def map_event(decoded: DataFrame) -> DataFrame:
-    """All record columns of decoded evtx records."""
-    pairs = {"_pairs": f"concat({_EVENT_DATA_PAIRS}, {_USER_DATA_PAIRS})"}
-    mapped = _with_sql(decoded, {**_SYSTEM_COLUMNS, **pairs})
-    return _with_sql(mapped, {"data": _LAST_WINS, **_EVTX_NULLS}).drop("nodes", "_pairs")
+    """All record columns of decoded evtx records, and ``typed_data`` where they were decoded ``typed``: the values of
+    ``data`` as VARIANT, by the types they have in the log. Arrays, numbers, truth values and Null keep them."""
+    both = f"concat({_EVENT_DATA_PAIRS}, {_USER_DATA_PAIRS})"
+    mapped = _with_sql(decoded, {**_SYSTEM_COLUMNS, "_pairs": both})
+    mapped = _with_sql(mapped, {"data": _LAST_WINS, **_EVTX_NULLS})
+    if "typed" in decoded.columns:
+        zipped = "zip_with(nodes, typed, (n, t) -> struct(n.path, n.attrs, n.is_leaf, n.text, t as json))"
+        # Unlike the texts, blank leaves of UserData have no place here either; their nodes are the same.
+        typed = both.replace("filter(nodes,", f"filter({zipped},").replace("n.text as v", "n.json as v")
+        mapped = _with_sql(mapped, {"_pairs": typed})
+        mapped = _with_sql(mapped, {"typed_data": f"transform_values({_LAST_WINS}, (k, v) -> parse_json(v))"}).drop("typed")
+    return mapped.drop("nodes", "_pairs")
 
 
 _EVT_COLUMNS = {

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..operators.enrich import enrich
 from ..operators.query import count_matching
 from ..operators.mapping import RECORD_COLUMNS, map_event, map_evt, map_texts, map_units, record_columns
-from ..sources.catalog import expand_patterns, locate_logs
+from ..sources.catalog import bodies_of_evidence, expand_patterns, locate_logs
 from ..sources.decode import decode_chunks, decode_evt, decode_units
 from ..sources.files import (
+    given_paths,
     held,
     list_below,
     list_roots,
@@ -31,7 +32,7 @@ from ..sources.headers import (
 )
 from ..sources.units import EVT_RANGE, SYSTEM_FIELDS, Wanted, log_ranges, read_failures, read_units
 
-_HOST = "_evidence_host"
+_HOST, _SYSTEM_ROOT = "_evidence_host", "_evidence_system_root"
 _NOT_CARRIED = ("content", "head", "read_error", "modificationTime", "length", "chunk")
 
 
@@ -39,16 +40,17 @@ def _carried(frame: DataFrame) -> list[str]:
     return [c for c in frame.columns if c not in _NOT_CARRIED]
 
 
-def records_of_chunks(chunks: DataFrame) -> DataFrame:
+def records_of_chunks(chunks: DataFrame, typed: bool = False) -> DataFrame:
     """Records of evtx chunks. ``chunks`` has path, format, file_checksum_valid, chunk_index, chunk
-    and whatever else should follow each record."""
+    and whatever else should follow each record. ``typed`` adds ``typed_data``, see ``map_event``."""
     flagged = flag_integrity(chunks).drop("length", "modificationTime")
-    return record_columns(map_event(decode_chunks(flagged)), _carried(flagged))
+    added = ["typed_data"] if typed else []
+    return record_columns(map_event(decode_chunks(flagged, typed)), [*_carried(flagged), *added])
 
 
-def read_evtx(files: DataFrame) -> DataFrame:
+def read_evtx(files: DataFrame, typed: bool = False) -> DataFrame:
     """Records of the evtx files among ``files(path, content, ...)``."""
-    return records_of_chunks(split_chunks(readable_evtx(files)))
+    return records_of_chunks(split_chunks(readable_evtx(files)), typed)
 
 
 def read_evt(files: DataFrame, channel: str | None = None) -> DataFrame:
@@ -237,11 +239,38 @@ def collect_logs(
     """
     listing, root_errors = list_roots(spark, roots)
     patterns, pattern_errors = expand_patterns(catalog, system_root)
+    key = None
     if isinstance(host, Column):
         listing, key = listing.withColumn(_HOST, host), F.col(_HOST)
-    else:
-        key = None
-    heads, tasks = _heads(held(locate_logs(listing, patterns, evidence=key)), bytes_per_task)
+    located = locate_logs(listing, patterns, evidence=key)
+    errors = root_errors.unionByName(pattern_errors)
+    return _collected(located, errors, key if key is not None else host, acquisition, bytes_per_task)
+
+
+def collect_evidence(
+    spark: SparkSession,
+    bodies: Sequence[tuple[str, str, str | None]],
+    catalog: DataFrame,
+    acquisition: str = "ImageRead",
+    bytes_per_task: int = 128 << 20,
+) -> tuple[DataFrame, DataFrame]:
+    """``collect_logs`` for ``bodies`` of evidence (root, host, system root), each with a system root of its own.
+
+    A file belongs to the body with the longest root above it, so one root may lie below another. The bodies are
+    named on the driver, as the roots of any listing are.
+    """
+    rows = [(q, host, system) for root, host, system in bodies for q in given_paths(spark, root)[0]]
+    listing, root_errors = list_roots(spark, [root for root, _, _ in bodies])
+    listing = listing.dropDuplicates(["path"])  # nested roots list a file more than once
+    owned = bodies_of_evidence(listing, spark.createDataFrame(rows, "root string, host string, system_root string"))
+    owned = owned.withColumnsRenamed({"host": _HOST, "system_root": _SYSTEM_ROOT})
+    patterns, pattern_errors = expand_patterns(catalog, by_host=True)
+    located = locate_logs(owned, patterns, evidence=F.col(_HOST), system_root=F.col(_SYSTEM_ROOT)).drop(_SYSTEM_ROOT)
+    errors = root_errors.dropDuplicates(["path"]).unionByName(pattern_errors)
+    return _collected(located, errors, F.col(_HOST), acquisition, bytes_per_task)
+
+
+def _collected(located: DataFrame, found: DataFrame, host, acquisition: str, bytes_per_task: int):
+    heads, tasks = _heads(held(located), bytes_per_task)
     records = records_of(tagged_records(examine(heads, ("evtx",)), None, tasks))
-    errors = root_errors.unionByName(pattern_errors).unionByName(read_errors(heads, ("evtx",)))
-    return enrich(records, F.col(_HOST) if key is not None else host, acquisition), errors
+    return enrich(records, host, acquisition), found.unionByName(read_errors(heads, ("evtx",)))

@@ -32,21 +32,25 @@ def default_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "definition string, pattern string")
 
 
-def expand_patterns(catalog: DataFrame, system_root: str | None = None) -> tuple[DataFrame, DataFrame]:
+def root_folder(system_root: Column) -> Column:
+    """A host's system root as part of a location: lower-case, without its drive; empty where it isn't known."""
+    plain = F.translate(F.lower(F.coalesce(system_root, F.lit(""))), "\\", "/")
+    return F.trim(F.regexp_replace(plain, "^[a-z]:", ""), F.lit("/"))
+
+
+def expand_patterns(
+    catalog: DataFrame, system_root: str | None = None, by_host: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Catalog with ``location`` (lower-case ``/`` path suffix), and errors for what stays unresolved.
 
     The system root token becomes the host's folder without its drive. Without a known one the
-    location matches below any root.
+    location matches below any root. With ``by_host`` the token stays, for ``locate_logs`` to put each host's own in.
     """
-    root = (system_root or "").replace("\\", "/").lower()
-    if len(root) > 1 and root[1] == ":":
-        root = root[2:]
-    root = root.strip("/")
     plain = F.translate(F.lower("pattern"), "\\", "/")
-    resolved = F.replace(plain, F.lit(_ROOT_TOKEN), F.lit(root))
+    resolved = plain if by_host else F.replace(plain, F.lit(_ROOT_TOKEN), root_folder(F.lit(system_root)))
     location = F.ltrim(F.regexp_replace(resolved, "^[a-z]:", ""), F.lit("/"))
     expanded = catalog.withColumn("location", location)
-    unresolved = F.col("location").rlike("%%[^%]+%%")
+    unresolved = F.replace(F.col("location"), F.lit(_ROOT_TOKEN if by_host else ""), F.lit("")).rlike("%%[^%]+%%")
     errors = expanded.where(unresolved).select(
         F.lit(None).cast("string").alias("path"),
         F.lit("locate").alias("stage"),
@@ -64,12 +68,31 @@ def _is_small(patterns: DataFrame) -> bool:
     return probe.rows <= _BROADCAST_PATTERNS and probe.bytes <= _BROADCAST_BYTES
 
 
-def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None = None) -> DataFrame:
+def bodies_of_evidence(listing: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Adds ``host`` and ``system_root`` of the body of evidence a file belongs to: of ``bodies(root, host, system_root)``
+    the one with the longest root that the path lies below. Files below none are left out.
+
+    A path is joined by each of its folders, so nested roots and any number of bodies need no comparison of pairs.
+    """
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    found = listing.select("path", F.explode(above).alias("root")).join(
+        bodies.select(F.rtrim(F.col("root"), F.lit("/")).alias("root"), "host", "system_root"), "root"
+    )
+    longest = F.max(F.struct(F.length("root").alias("n"), "host", "system_root")).alias("body")
+    found = found.groupBy("path").agg(longest).select("path", "body.host", "body.system_root")
+    return listing.join(found, "path")
+
+
+def locate_logs(
+    listing: DataFrame, catalog: DataFrame, evidence: Column | None = None, system_root: Column | None = None
+) -> DataFrame:
     """Listing rows some definition names, with ``definition`` and ``located_by``.
 
     ``catalog`` comes from ``expand_patterns``. A definition's logs are taken from its locations; in
     a body of evidence that has none of them, by the file names the locations end in. ``evidence``
-    tells the bodies of evidence apart (default: the listing is one). Each path appears once, for
+    tells the bodies of evidence apart (default: the listing is one); ``system_root`` is the one of each, where the
+    catalog was expanded ``by_host``. Each path appears once, for
     the first definition by name. The catalog joins by file name, so no pair of rows is compared
     without a common name. It is broadcast if it is known to be small; a larger one is shuffled.
     """
@@ -87,13 +110,16 @@ def locate_logs(listing: DataFrame, catalog: DataFrame, evidence: Column | None
         (evidence if evidence is not None else F.lit("")).alias("_evidence"),
         F.lower(base_name(F.col("path"))).alias("_name"),
         F.concat(F.lit("/"), F.ltrim(lowered, F.lit("/"))).alias("_lower"),
+        root_folder(system_root if system_root is not None else F.lit(None)).alias("_root"),
     )
+    # The folder may be empty: then what follows it begins the location.
+    location = f"ltrim('/', replace(location, '{_ROOT_TOKEN}', _root))"
     matches = named.join(patterns, "_name").select(
         "path",
         "_file",
         "_evidence",
         "definition",
-        F.expr("endswith(_lower, concat('/', location))").alias("_at_location"),
+        F.expr(f"endswith(_lower, concat('/', {location}))").alias("_at_location"),
     )
     placed = matches.where("_at_location").select("_evidence", "definition").distinct()
     placed = placed.withColumn("_placed", F.lit(True))

@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.binxml import ChunkDecoder, frame_records
 from ..functions.evtrecords import Window, evt_records, log_bounds, walk
+from ..functions.values import json_of
 from .storage import open_file, read_range, repeat_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -80,22 +81,24 @@ def node_array(nodes: list[tuple], offsets: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
-def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array):
-    """Batches of (kept columns, record_index, record_id, filetime, nodes, decode_error)."""
+def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array, typed: bool = False):
+    """Batches of (kept columns, record_index, record_id, filetime, nodes, decode_error), and the nodes' ``typed``."""
     found, nodes, offsets, size = [], [], [0], 0
 
     def flush():
         rows, *columns = zip(*found)
         kinds = (pa.int32(), pa.int64(), pa.int64(), _TEXT)
         *headers, errors = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays(
-            [*repeat_rows(keep, rows), *headers, node_array(nodes, offsets), errors],
-            names=[*keep.schema.names, "record_index", "record_id", "filetime", "nodes", "decode_error"],
-        )
+        columns = [*repeat_rows(keep, rows), *headers, node_array(nodes, offsets), errors]
+        names = [*keep.schema.names, "record_index", "record_id", "filetime", "nodes", "decode_error"]
+        if typed:
+            texts = pa.array([json_of(node[3]) for node in nodes], _TEXT)
+            columns, names = [*columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), texts)], [*names, "typed"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     for row in range(len(chunks)):
         chunk = chunks[row].as_py()
-        decoder = ChunkDecoder(chunk, nodes)
+        decoder = ChunkDecoder(chunk, nodes, typed)
         for index, (record_id, ticks, start, end) in enumerate(frame_records(chunk)):
             error = decoder.decode(start, end)
             if record_id > _LARGEST_SIGNED or ticks > _LARGEST_SIGNED:
@@ -161,20 +164,22 @@ def _evt_batch(keep: pa.RecordBatch, row: int, start: int, records: list[tuple])
     )
 
 
-def decode_chunks(chunks: DataFrame) -> DataFrame:
+def decode_chunks(chunks: DataFrame, typed: bool = False) -> DataFrame:
     """Decodes every record of every chunk: (..., record_index, record_id, filetime, nodes,
     decode_error), where ... are all columns of ``chunks`` but the bytes.
 
-    A record that cannot be decoded keeps its row, with ``decode_error`` and no nodes.
+    A record that cannot be decoded keeps its row, with ``decode_error`` and no nodes. ``typed`` adds a column of that name:
+    the text of each node as JSON by the type of its value.
     """
     carried = _carried(chunks, "chunk")
     names = [f.name for f in carried]
 
     def run(batches):
         for batch in batches:
-            yield from _decode_chunk_rows(batch.select(names), batch.column("chunk"))
+            yield from _decode_chunk_rows(batch.select(names), batch.column("chunk"), typed)
 
-    return chunks.mapInArrow(run, T.StructType([*carried, *RECORD_FIELDS, *DECODED_FIELDS]))
+    added = [T.StructField("typed", T.ArrayType(T.StringType()))] if typed else []
+    return chunks.mapInArrow(run, T.StructType([*carried, *RECORD_FIELDS, *DECODED_FIELDS, *added]))
 
 
 def decode_units(units: DataFrame) -> DataFrame:
@@ -272,6 +277,24 @@ def chunk_totals(chunks: DataFrame) -> DataFrame:
     return chunks.mapInArrow(run, T.StructType([*carried, *totals]))
 
 
+def evt_totals(files: DataFrame) -> DataFrame:
+    """(..., records) of legacy logs: the pass over their records without its output."""
+    held = "content" in files.columns
+    carried = _carried(files, "content")
+    names = [f.name for f in carried]
+
+    def run(batches):
+        for batch in batches:
+            contents = batch.column("content") if held else None
+            counts = []
+            for row, path in enumerate(batch.column("path").to_pylist()):
+                data = contents[row].as_py() if held else None
+                counts.append(sum(1 for _ in (evt_records(data) if data is not None else _stored_evt_records(path))))
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(counts, pa.int64())], [*names, "records"])
+
+    return files.mapInArrow(run, T.StructType([*carried, T.StructField("records", T.LongType())]))
+
+
 def decode_evt(files: DataFrame) -> DataFrame:
     """Raw records of legacy logs: (..., record_index, evt struct).
 

@@ -33,7 +33,7 @@ RANGE_CHUNKS = 256  # 16 MiB of log per task unit
 LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
 
 
-def _given(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[str], list[tuple[str, str]]]:
+def given_paths(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[str], list[tuple[str, str]]]:
     """The files and folders that the given paths name, and those that match nothing, each with what is wrong."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     units, missing = [], []
@@ -133,7 +133,7 @@ def list_below(
     spark: SparkSession, path: str | Sequence[str], glob: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``list_logs``, and one error row for each folder below that cannot be listed and each link to a folder."""
-    units, missing = _given(spark, path)
+    units, missing = given_paths(spark, path)
     if missing:
         raise FileNotFoundError(missing[0][1])
     return _listing_and_errors(held(_walk(spark, units, glob)))
@@ -171,7 +171,7 @@ def read_logs(spark: SparkSession, path: str | Sequence[str], glob: str | None =
 def list_roots(spark: SparkSession, roots: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Listing of all roots, and one error row for each root and each folder below that cannot be listed, and for
     each link to a folder."""
-    units, missing = _given(spark, roots)
+    units, missing = given_paths(spark, roots)
     listing, unlisted = _listing_and_errors(held(_walk(spark, units, None)))
     failed = spark.createDataFrame([(root, "locate", reason) for root, reason in missing], ERROR_SCHEMA)
     return listing, failed.unionByName(unlisted)

@@ -16,7 +16,7 @@ import logquarry as lq
 
 from ..functions.binary import filetime_to_timestamp, hex_encode, timestamp_to_filetime, unix_seconds_to_timestamp
 from ..functions.levels import display_event_id, normalise_level
-from .logs import CHANNELS, event_records, events, evt_logs, evtx_logs, write_files
+from .logs import BLOCK, CHANNELS, event_records, events, evt_logs, evtx_logs, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -661,6 +661,55 @@ def p9_typed_values(spark, sf):
     )
 
 
+@check(f"""{EV} SELECT record_id, -(record_id % 30000) || ',0,' || record_id % 7 AS t_int16s, record_id || ',4294967295' AS t_uint32s,
+  'a,' || record_id || ',,b' AS t_texts, '' AS t_none, CAST(record_id AS VARCHAR) AS t_size4,
+  '2024-02-29T' || printf('%02d:%02d', record_id % 24, record_id % 60) || ':07.' || printf('%03d0000Z', record_id % 1000) AS t_systime FROM ev""")
+def p9_render_arrays(spark, sf):
+    """Arrays, dates by their parts and sizes of four bytes, as log viewers show them."""
+    records = lq.read_evtx(evtx_logs(events(spark, sf), "templated", "typed"))
+    names = ("int16s", "uint32s", "texts", "none", "size4", "systime")
+    return records.select("record_id", *[F.col("data")[f"winlog.event_data.{c}"].alias(f"t_{c}") for c in names])
+
+
+_VARIANTS = {
+    "int8": (f"CAST({_N} % 256 - 128 AS BIGINT)", "bigint"),
+    "uint32": (_N, "bigint"),
+    "int64": (f"-{_N} * 1000000007", "bigint"),
+    "real64": ("CAST(cents AS DOUBLE) / 100", "double"),
+    "bool": (f"{_N} % 2 = 1", "boolean"),
+    "binary": (f"'0x' || printf('%08x', {_N})", "string"),
+    "sid": (f"'S-1-5-21-' || {_N}", "string"),
+    "hex32": (_N, "bigint"),
+    "hex64": (_N, "bigint"),
+    "size4": (_N, "bigint"),
+    "ansi": ("props", "string"),
+}
+
+
+@check(f"""{EV} SELECT record_id, {", ".join(f"{sql} AS t_{name}" for name, (sql, _) in _VARIANTS.items())},
+  -(record_id % 30000) AS first, record_id % 7 AS third, 'a,' || record_id AS text, '' AS empty, 'b' AS last,
+  CAST(0 AS BIGINT) AS none, TRUE AS is_null FROM ev""")
+def p9_variant_values(spark, sf):
+    """Values by their types: items with commas stay whole, Null is null."""
+    records = lq.read_evtx(evtx_logs(events(spark, sf), "templated", "typed"), typed=True)
+    value = F.col("typed_data")
+
+    def item(name: str, path: str, kind: str) -> Column:
+        return F.variant_get(value[f"winlog.event_data.{name}"], path, kind)
+
+    return records.select(
+        "record_id",
+        *[item(name, "$", kind).alias(f"t_{name}") for name, (_, kind) in _VARIANTS.items()],
+        item("int16s", "$[0]", "bigint").alias("first"),
+        item("int16s", "$[2]", "bigint").alias("third"),
+        item("texts", "$[0]", "string").alias("text"),
+        item("texts", "$[1]", "string").alias("empty"),
+        item("texts", "$[2]", "string").alias("last"),
+        F.size(item("none", "$", "array<string>")).cast("bigint").alias("none"),
+        F.is_variant_null(value["winlog.event_data.null"]).alias("is_null"),
+    )
+
+
 _ARTIFACT = """'Windows::WinEvt::' || CASE channel WHEN 'Windows PowerShell' THEN 'PowerShell'
   WHEN 'Microsoft-Windows-Sysmon/Operational' THEN 'Sysmon' ELSE channel END"""
 
@@ -719,6 +768,29 @@ def e1_collect_logs(spark, sf):
     return common_names(enriched)
 
 
+@check(f"""{EV}, placed AS (
+  SELECT *, 'Host' || host AS body, CASE host % 3 WHEN 0 THEN 'WinNT' WHEN 1 THEN 'Windows' ELSE 'OS' END AS folder FROM ev
+) SELECT {_COMMON}, body AS artifact_host, {_ARTIFACT} AS artifact_name,
+  CASE WHEN host % 2 = 0 THEN '/evidence/host' || host || '/' ELSE '/evidence/host' || (host - 1) || '/image/' END || folder ||
+    '/System32/winevt/Logs/' || replace(channel, '/', '%4') || '.evtx' AS artifact_path,
+  {_DEFINITION} AS artifact_definition, 'location' AS artifact_located_by FROM placed""")
+def e1_collect_evidence(spark, sf):
+    """Bodies of evidence with system roots of their own, every second one inside another."""
+    files = evtx_logs(events(spark, sf), "templated")
+    host = F.regexp_extract("path", "/evidence/host([0-9]+)/", 1).cast("int")
+    system = F.element_at(F.array(F.lit("WinNT"), F.lit("Windows"), F.lit("OS")), host % 3 + 1)
+    root = F.when(host % 2 == 0, F.concat(F.lit("/evidence/host"), host)).otherwise(F.concat(F.lit("/evidence/host"), host - 1, F.lit("/image")))
+    name = F.substring_index("path", "/", -1)
+    placed = files.withColumn("path", F.concat(root, F.lit("/"), system, F.lit("/System32/winevt/Logs/"), name))
+    folder = stored(spark, placed)
+    hosts = events(spark, sf).agg(F.max("event_id")).first()[0] // BLOCK + 1
+    bodies = [
+        (folder + (f"/evidence/host{h}" if h % 2 == 0 else f"/evidence/host{h - 1}/image"), f"Host{h}", "C:\\" + ("WinNT", "Windows", "OS")[h % 3])
+        for h in range(hosts)
+    ]
+    return common_names(lq.collect_evidence(spark, bodies, lq.default_catalog(spark))[0])
+
+
 @check(f"""{EV} SELECT path, sha256(path) AS source_id, 'ImageRead' AS acquisition, 'Allocated' AS recovery,
   count(*) AS records FROM ev GROUP BY path""")
 def e2_with_provenance(spark, sf):

@@ -173,10 +173,28 @@ def _typed(row) -> El:
         "hex64": Value(0x15, pack("<Q", n)),
         "ansi": Value(0x02, row.props.encode()),
         "null": Value(0x00),
+        "systime": Value(0x12, pack("<8H", 2024, 2, 4, 29, n % 24, n % 60, 7, n % 1000)),
     }
+    for place, (k, value) in enumerate(_sized(row).items(), _FREE_SLOT):
+        values[k] = Slot(place, kind=value.kind)
     return El("EventData", *[El("Data", v, Name=text(k)) for k, v in values.items()])
 
 
+_FREE_SLOT = 8  # the first that TEMPLATE doesn't use
+
+
+def _sized(row) -> dict[str, Value]:
+    """Values that need a declared size: they can only be substitutions."""
+    n, pack = row.record_id, struct.pack
+    return {
+        "int16s": Value(0x85, pack("<3h", -(n % 30000), 0, n % 7)),
+        "uint32s": Value(0x88, pack("<2I", n, 4_294_967_295)),
+        "texts": Value(0x81, f"a,{n}\0\0b\0".encode("utf-16-le")),
+        "none": Value(0x81, b""),
+        "size4": Value(0x10, pack("<I", n)),
+    }
+
+
 def _odd_data(row) -> El:
     """A repeated name, an unnamed Data and the Binary element."""
     return El(
@@ -225,7 +243,8 @@ def _write_log(rows: pd.DataFrame, variant: frozenset) -> bytes:
                     _hostile(w, row.record_id // 50)
                 elif templated:
                     w.buf += b"\x0f\x01\x01\x00"
-                    w.instance(row.channel, TEMPLATE, _instance_values(row, shape(row)))
+                    sized = _sized(row).values() if shape is _typed else ()
+                    w.instance(row.channel, TEMPLATE, [*_instance_values(row, shape(row)), *sized])
                     w.buf.append(0x00)
                 else:
                     w.fragment(_plain(row, shape(row)))

@@ -314,3 +314,66 @@ def test_wide_and_deep_folders_are_listed_by_tasks(spark, store):
     assert listing.count() == len(names) and listing.select("path").distinct().count() == len(names)
     store({"/later.evt": b""})
     assert lq.list_logs(spark, root).count() == len(names) + 1  # nothing of an earlier listing is kept
+
+
+# -- typed values ---------------------------------------------------------------------------------------------
+
+
+def test_values_keep_their_types(spark, store):
+    kinds = {
+        "i": Value(0x07, struct.pack("<i", -5)), "u": Value(0x0A, struct.pack("<Q", 2**64 - 1)), "f": Value(0x0C, struct.pack("<d", 1e300)),
+        "nan": Value(0x0C, struct.pack("<d", float("nan"))), "t": Value(0x0D, struct.pack("<I", 1)), "n": Value(0x00), "s": text('a,"b\\'),
+        "h": Value(0x14, struct.pack("<I", 255)), "g": Value(0x0F, bytes(16)), "a": Value(0x81, "x,y\0\0z\0".encode("utf-16-le")), "e": Value(0x87, b""),
+        "r": Value(0x8B, struct.pack("<2f", 0.5, float("inf"))), "b": Value(0x8D, struct.pack("<2I", 0, 1)), "m": Value(0x8F, bytes(32)),
+    }
+    slots = [El("Data", Slot(8 + i, kind=v.kind), Name=text(k)) for i, (k, v) in enumerate(kinds.items())]
+    data = El("EventData", *slots, El("Data", Name=text("none")))
+    inline = {k: v for k, v in kinds.items() if not v.kind & 0x80}
+    mixed = El("Event", El("System", El("Channel", text("C"))), El("UserData", El("X", text("1"), El("Y", text("2")))))
+
+    def write(writer: ChunkWriter):
+        writer.buf += b"\x0f\x01\x01\x00"
+        values = [text("P"), number(1), Value(0x04, b"\4"), text("C"), text("H"), Value(0x00), data, Value(0x08, struct.pack("<I", 7))]
+        writer.instance("one", TEMPLATE, [*values, *kinds.values()])
+        writer.buf.append(0)
+
+    files = spark.createDataFrame([("/a", bytearray(log_of(write, event("A", El("EventData", *[El("Data", v, Name=text(k)) for k, v in inline.items()])), mixed, UNDECODABLE)))], "path string, content binary")
+    typed = lq.read_evtx(files, typed=True)
+    plain = lq.read_evtx(files)
+    assert typed.drop("typed_data").collect() == plain.collect()
+    rows = typed.orderBy("record_index").collect()
+    for row in rows[:2]:
+        found = {k.rpartition(".")[2]: v.toPython() for k, v in row.typed_data.items()}
+        assert found.pop("K", 7) == 7
+        assert float(found.pop("f")) == 1e300 and int(found.pop("u")) == 2**64 - 1
+        zero = "{00000000-0000-0000-0000-000000000000}"
+        want = {
+            "i": -5, "nan": "NaN", "t": True, "n": None, "s": 'a,"b\\', "h": 255, "g": zero, "a": ["x,y", "", "z"], "e": [],
+            "r": [0.5, "inf"], "b": [False, True], "m": [zero, zero], "none": "",
+        }
+        assert found == (want if row is rows[0] else {k: v for k, v in want.items() if k in inline})
+    assert {k: v.toPython() for k, v in rows[2].typed_data.items()} == {"winlog.user_data.X.Y": "2"}
+    assert rows[3].typed_data == {}
+
+
+# -- bodies of evidence -----------------------------------------------------------------------------------------
+
+
+def test_each_body_has_its_own_system_root(spark, store):
+    log = log_of(event("System"))
+    root = store({
+        "/a/WINNT/System32/winevt/Logs/System.evtx": log, "/a/Windows/System32/winevt/Logs/System.evtx": log,
+        "/a/inner/Windows/System32/winevt/Logs/System.evtx": log, "/ab/copied/System.evtx": log, "/c/X/System32/winevt/Logs/System.evtx": log,
+        "/a/inner/deep/OS/System32/winevt/Logs/System.evtx": log,
+    })
+    bodies = [(f"{root}/a", "A", r"C:\WINNT"), (f"{root}/a/inner", "I", "D:/Windows"), (f"{root}/ab", "B", None), (f"{root}/c/", "C", r"C:\X"), (f"{root}/none", "N", None), (f"{root}/a/inner/deep", "D", r"\OS")]
+    records, errors = lq.collect_evidence(spark, bodies, lq.default_catalog(spark))
+    found = sorted((r["artifact.host"], r["artifact.path"].removeprefix(f"file:{root}"), r["artifact.located_by"]) for r in records.collect())
+    assert found == [
+        ("A", "/a/WINNT/System32/winevt/Logs/System.evtx", "location"),
+        ("B", "/ab/copied/System.evtx", "file_name"),
+        ("C", "/c/X/System32/winevt/Logs/System.evtx", "location"),
+        ("D", "/a/inner/deep/OS/System32/winevt/Logs/System.evtx", "location"),
+        ("I", "/a/inner/Windows/System32/winevt/Logs/System.evtx", "location"),
+    ]
+    assert [(e.stage, "none" in e.message) for e in errors.collect()] == [("locate", True)]
