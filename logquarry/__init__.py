@@ -44,6 +44,7 @@ from .plans.ingest import (
     scan_logs,
     tagged_records,
 )
+from .plans.index import bytes_of, index_logs, indexed_ranges, scan_indexed
 from .sources.catalog import bodies_of_evidence, default_catalog, expand_patterns, locate_logs
 from .sources.decode import chunk_totals, decode_chunks, decode_evt, decode_units, frame_chunks
 from .sources.files import (

@@ -30,7 +30,7 @@ from ..sources.headers import (
     readable_evt,
     readable_evtx,
 )
-from ..sources.units import EVT_RANGE, SYSTEM_FIELDS, Wanted, log_ranges, read_failures, read_units
+from ..sources.units import EVT_RANGE, SYSTEM_FIELDS, UNIT_COLUMNS, Wanted, log_ranges, read_failures, read_units
 
 _HOST, _SYSTEM_ROOT = "_evidence_host", "_evidence_system_root"
 _NOT_CARRIED = ("content", "head", "read_error", "modificationTime", "length", "chunk")
@@ -93,14 +93,27 @@ def tagged_records(
     if channels is not None:
         logs = logs.where((F.col("format") != "evt") | F.col("channel").isin(*channels))
     units = log_ranges(logs, evt_range=evt_range).repartition(partitions or range_partitions(logs.sparkSession))
+    return unit_records(units, columns, channels, event_ids)
+
+
+def unit_records(
+    units: DataFrame,
+    columns: Sequence[str] | None = None,
+    channels: Sequence[str] | None = None,
+    event_ids: Sequence[int] | None = None,
+) -> DataFrame:
+    """``tagged_records`` of units (``log_ranges``)."""
     needed = None
     if columns is not None and _TEXT_COLUMNS.issuperset(columns):
         tested = [*columns, *(["channel"] if channels is not None else []), *(["event_id"] if event_ids is not None else [])]
         needed = [f for f in SYSTEM_FIELDS if f in tested]
     legacy_data = columns is None or not {"strings", "raw_data"}.isdisjoint(columns)
     decoded = read_units(units, Wanted(needed, channels, event_ids, legacy_data))
+    if "channel" not in units.columns:  # modern logs only
+        decoded = decoded.withColumn("channel", F.lit(None).cast("string"))
     mapped = map_units(decoded) if needed is None else map_texts(decoded, needed)
-    records = record_columns(mapped, [*_carried(logs), "read_error"])
+    carried = [c for c in _carried(units) if c not in UNIT_COLUMNS]
+    records = record_columns(mapped, [*carried, "read_error"])
     if channels is not None or event_ids is not None:
         records = records.where(F.col("read_error").isNotNull() | _matches(channels, event_ids))
     if columns is not None:
@@ -166,7 +179,7 @@ def scan_logs(
     number of tasks follows.
     """
     listing, unlisted = list_below(spark, path, glob)
-    heads, tasks = _heads(listing, bytes_per_task)
+    heads, tasks = heads_of_listing(listing, bytes_per_task)
     records = read_stored_records(heads, channel, tasks, columns=columns, channels=channels, event_ids=event_ids)
     return records, unlisted.unionByName(read_errors(heads))
 
@@ -189,7 +202,7 @@ def failed_logons_of(spark: SparkSession, path: str | Sequence[str], glob: str |
     return count_in_logs(spark, path, ["Security"], [4625], glob)
 
 
-def _heads(listing: DataFrame, bytes_per_task: int) -> tuple[DataFrame, int]:
+def heads_of_listing(listing: DataFrame, bytes_per_task: int) -> tuple[DataFrame, int]:
     """Heads of the listed files, read once by as many tasks as their number asks for, and the tasks that their
     bytes ask for."""
     spark = listing.sparkSession
@@ -212,7 +225,7 @@ def ingest_logs(
     One pass over the bytes feeds both: what a task cannot read is a row of its own among the records.
     """
     listing, unlisted = list_below(spark, path, glob)
-    heads, tasks = _heads(listing, bytes_per_task)
+    heads, tasks = heads_of_listing(listing, bytes_per_task)
     tagged = tagged_records(examine(heads), channel, tasks)
     outcome = F.when(F.col("read_error").isNull(), "record").otherwise("failure")
     tagged.withColumn("outcome", outcome).write.partitionBy("outcome").parquet(target)
@@ -271,6 +284,6 @@ def collect_evidence(
 
 
 def _collected(located: DataFrame, found: DataFrame, host, acquisition: str, bytes_per_task: int):
-    heads, tasks = _heads(held(located), bytes_per_task)
+    heads, tasks = heads_of_listing(held(located), bytes_per_task)
     records = records_of(tagged_records(examine(heads, ("evtx",)), None, tasks))
     return enrich(records, host, acquisition), found.unionByName(read_errors(heads, ("evtx",)))

@@ -50,7 +50,7 @@ UNIT_FIELDS = [
     T.StructField("_stop", T.LongType()),  # slot or byte after the unit (NULL: the end of the log)
     T.StructField("_index", T.IntegerType()),  # record_index of the first record of a legacy unit
 ]
-_UNIT = [f.name for f in UNIT_FIELDS]
+UNIT_COLUMNS = [f.name for f in UNIT_FIELDS]
 _PLACE_FIELDS = [
     T.StructField("chunk_index", T.IntegerType()),
     T.StructField("chunk_checksum_valid", T.BooleanType()),
@@ -132,7 +132,7 @@ def evt_stretches(logs: DataFrame, size: int) -> DataFrame:
         kinds = [to_arrow_type(f.dataType) for f in UNIT_FIELDS]
         columns = [pa.array(v, k) for v, k in zip(zip(*units), kinds)] if units else [pa.array([], k) for k in kinds]
         kept = group.select(names).take(pa.array([0] * len(units), pa.int64()))
-        return pa.table([*kept.columns, *columns], names=[*names, *_UNIT])
+        return pa.table([*kept.columns, *columns], names=[*names, *UNIT_COLUMNS])
 
     # A group has the runs of one log: at most 4 GiB / size ranges, in sound logs one run each.
     return looked.groupBy("path").applyInArrow(stitch, T.StructType([*logs.schema.fields, *UNIT_FIELDS]))
@@ -275,7 +275,7 @@ def read_units(units: DataFrame, wanted: Wanted | None = None) -> DataFrame:
     decode_error, ``nodes`` or the texts of the wanted fields, and ``evt`` for legacy records. A unit that
     cannot be read to its end gives the records before, and a row with ``read_error`` and none of a record."""
     wanted = wanted or Wanted(None)
-    kept = [f for f in units.schema.fields if f.name not in (*_UNIT, "length")]
+    kept = [f for f in units.schema.fields if f.name not in (*UNIT_COLUMNS, "length")]
     names = [f.name for f in kept]
     if wanted.fields is None:
         decoded = [f for f in DECODED_FIELDS if f.name == "nodes"]
@@ -288,7 +288,7 @@ def read_units(units: DataFrame, wanted: Wanted | None = None) -> DataFrame:
         cursor = FileCursor()
         for batch in batches:
             rows = _Rows(batch.select(names), added, wanted)
-            columns = [batch.column(n).to_pylist() for n in ("path", "format", "length", *_UNIT)]
+            columns = [batch.column(n).to_pylist() for n in ("path", "format", "length", *UNIT_COLUMNS)]
             for row, (path, kind, length, first, stop, index) in enumerate(zip(*columns)):
                 try:
                     if kind == "evtx":
@@ -312,7 +312,7 @@ def read_failures(units: DataFrame) -> DataFrame:
         cursor = FileCursor()
         for batch in batches:
             found = []
-            columns = [batch.column(n).to_pylist() for n in ("path", "format", "length", *_UNIT)]
+            columns = [batch.column(n).to_pylist() for n in ("path", "format", "length", *UNIT_COLUMNS)]
             for path, kind, length, first, stop, _ in zip(*columns):
                 try:
                     if kind == "evtx":

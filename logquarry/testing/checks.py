@@ -841,6 +841,14 @@ def f1_scan_filtered(spark, sf):
     return plain(lq.scan_logs(spark, folder, channels=["Security", "System"], event_ids=[4625])[0])
 
 
+@check(f"""{EV} SELECT {_RECORD} FROM ev WHERE channel = 'Security' AND event_id = 4625""")
+def f1_scan_indexed(spark, sf):
+    """A second question to the same logs: chunks that a stored index rules out are not read."""
+    folder, table = stored(spark, evtx_logs(events(spark, sf), "templated")), scratch(spark) + "/index"
+    lq.index_logs(spark, folder).write.parquet(table)
+    return plain(lq.scan_indexed(spark, folder, spark.read.parquet(table), channels=["Security"], event_ids=[4625]))
+
+
 @check(f"{EVT} SELECT path, record_index, record_id, level FROM evt WHERE channel = 'Application' AND event_id = 4625")
 def f1_scan_filtered_evt(spark, sf):
     folder = stored(spark, evt_logs(events(spark, sf)))

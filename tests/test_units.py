@@ -66,7 +66,7 @@ def test_a_log_that_becomes_shorter_is_one_error(spark, store):
 def test_one_pass_feeds_records_and_errors(spark, store, tmp_path_factory, monkeypatch):
     root, cut = shortened(store)
     store({"/junk.evtx": b"junk"})
-    heads_of = ingest._heads
+    heads_of = ingest.heads_of_listing
 
     def then_cut(listing, bytes_per_task):
         heads, tasks = heads_of(listing, bytes_per_task)
@@ -74,7 +74,7 @@ def test_one_pass_feeds_records_and_errors(spark, store, tmp_path_factory, monke
         cut()
         return heads, tasks
 
-    monkeypatch.setattr(ingest, "_heads", then_cut)
+    monkeypatch.setattr(ingest, "heads_of_listing", then_cut)
     records, errors = lq.ingest_logs(spark, root, str(tmp_path_factory.mktemp("lake")) + "/t")
     assert records.count() == 66 + 70 + 89 and "read_error" not in records.columns
     assert sorted((short(r.path), r.stage) for r in errors.collect()) == [
@@ -377,3 +377,42 @@ def test_each_body_has_its_own_system_root(spark, store):
         ("I", "/a/inner/Windows/System32/winevt/Logs/System.evtx", "location"),
     ]
     assert [(e.stage, "none" in e.message) for e in errors.collect()] == [("locate", True)]
+
+
+# -- the index of chunks ----------------------------------------------------------------------------------------
+
+
+def test_an_index_leaves_out_chunks(spark, store, tmp_path_factory):
+    def chunk(channel, code, first):
+        return chunk_of(*[event(channel, code=code) for _ in range(3)], first_id=first)
+
+    many = [chunk("Security" if i in (3, 4, 9) else "System", "4625" if i in (4, 7) else "1", 10 * i) for i in range(12)]
+    root = store({"/a.evtx": evtx_file(many), "/b.evtx": evtx_file(many[:2]), "/e.evtx": evtx_file([]), "/u.evtx": log_of(UNDECODABLE), "/junk": b"x"})
+    target = str(tmp_path_factory.mktemp("index")) + "/i"
+    lq.index_logs(spark, root).write.parquet(target)
+    index = spark.read.parquet(target)
+    assert index.count() == 16 and index.where("path like '%a.evtx' and chunk_index = 4").first().event_ids == [4625]
+
+    def found(**wanted):
+        return sorted(tuple(r) for r in lq.scan_indexed(spark, root, index, columns=["record_id", "channel", "event_id"], **wanted).collect())
+
+    def plain(**wanted):
+        return sorted(tuple(r) for r in lq.scan_logs(spark, root, "*.evtx", columns=["record_id", "channel", "event_id"], **wanted)[0].collect())
+
+    for wanted in ({"channels": ["Security"]}, {"event_ids": [4625]}, {"channels": ["Security"], "event_ids": [4625]}, {"event_ids": [0]}, {"channels": [""]}, {"channels": []}, {}):
+        assert found(**wanted) == plain(**wanted)
+    heads = lq.read_heads(lq.list_logs(spark, root))
+    logs = lq.examine(heads.withColumn("t", heads["modificationTime"])).where("problem is null").withColumnRenamed("t", "modificationTime")
+    units = lq.indexed_ranges(logs, index, channels=["Security"])
+    assert sorted((r._first, r._stop) for r in units.collect()) == [(3, 5), (9, 10)]
+    assert lq.bytes_of(units).first().bytes == 3 * 65536
+    # A log that has changed, and a new one, are read whole.
+    store({"/b.evtx": evtx_file([chunk("Security", "4625", 1)]), "/n.evtx": evtx_file([chunk("Security", "4625", 7)])})
+    assert found(channels=["Security"]) == plain(channels=["Security"])
+    assert len(found(channels=["Security"])) == 15
+    whole = lq.scan_indexed(spark, root, index, event_ids=[4625])
+    assert whole.columns == lq.scan_logs(spark, root)[0].columns and whole.count() == 12
+    from builders import FILETIME
+
+    assert lq.scan_indexed(spark, root, index, times=(FILETIME, FILETIME), columns=["record_id"]).count() == len(plain())
+    assert lq.scan_indexed(spark, root, index, times=(FILETIME + 1, FILETIME + 9)).count() == 0
