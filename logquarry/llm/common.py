@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns) -> str:
+    """A column name that none of ``columns`` has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``. Only a local session may go without: it gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

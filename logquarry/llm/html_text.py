@@ -17,9 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_slices
+from .common import text_slices, unused
 
-TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+#: What begins markup: a tag with its name, a comment, or a declaration. Any other ``<`` is text.
+MARK = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)|(!--)|[!?])")
+#: Steps through the attributes of a tag.
+TO_VALUE, VALUE = re.compile(r"[^>=]*"), re.compile(r"=\s*(?:([\"'])|[^\s>]*)")
 #: Elements whose whole content is no text of the page.
 HIDDEN = frozenset(
     "script style noscript template svg iframe object canvas audio video head title select option textarea button datalist".split()
@@ -36,20 +39,30 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 BAD_TAGS = frozenset("nav footer aside form header menu dialog".split())
 ARTICLE = re.compile(r"<article\b", re.I | re.A)
 GOOD_TAGS = frozenset("article main".split())
-BAD_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu|breadcrumbs?|footer|header|masthead|sidebar|side|widget|"
-    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|comments?|disqus|replies|related|recommend\w*|"
-    r"tags|toolbar|login|signup|copyright|pagination|pager|hidden)(?:$|[\s_-])",
-    re.I,
+#: A name is one of boilerplate if it has one of these words, and besides them only words of layout.
+BAD_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising banner banners promo promos promotion sponsor sponsored sponsors nav navbar navigation subnav "
+    "menu menus breadcrumb breadcrumbs footer header masthead sidebar widget widgets cookie cookies consent notice notices popup modal newsletter "
+    "subscribe subscription share sharing social comment comments disqus reply replies related recommend recommended recommendations tags toolbar "
+    "login signup copyright pagination pager hidden".split()
 )
+LAYOUT_WORDS = frozenset(
+    "area article articles bar block bottom box btn button buttons center col column container content div element footer form global group holder "
+    "icon icons id img inline inner item items left link links list main media module outer page panel post posts primary right row secondary "
+    "section site slot story thread title top user wrap wrapper".split()
+)
+#: Elements that hold text themselves: their names say less than those of a container.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre figcaption td th dt dd".split())
 #: Names that tell how a page is laid out, not what an element is.
 LAYOUT = re.compile(r"(?<!\S)(?:(?:no|has|with|without|left|right)-\S+|\S+-(?:open|closed|enabled|disabled|left|right))(?!\S)", re.I)
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|body|main|text)(?:$|[\s_-])", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
-FEATURES = ("bias", "length", "link_share", "sentences", "heading", "paragraph", "list_item", "bad", "good", "outside")
+FEATURES = ("bias", "length", "link_share", "sentences", "heading", "paragraph", "list_item", "misnamed", "bad", "good", "outside")
+#: The last of them tell where a block stands. Labels for training are made of those, so their weights are not trained.
+PLACES = 4
 #: What weights are drawn to where the sample tells nothing.
-PRIOR = np.array([-0.5, 0.4, -3.0, 0.5, 1.0, 1.0, -0.5, -8.0, 2.5, -3.0])
+PRIOR = np.array([-0.5, 0.4, -3.0, 0.5, 1.0, 1.0, -0.5, -2.5, -8.0, 2.5, -3.0])
 #: Cost of telling apart: blocks next to each other, and more so if they have one parent.
 NEXT, SIBLING = 0.3, 0.6
 
@@ -61,16 +74,96 @@ class Block:
     tag: str = ""
     bad: bool = False
     good: bool = False
+    misnamed: bool = False
     linked: int = 0
     text: str = ""
 
 
+class Markup:
+    """Reads tags forward. Nothing is searched for twice, so the time grows with the length of the page alone."""
+
+    def __init__(self, html: str):
+        self.html, self.missing = html, set()
+
+    def find(self, sign: str, at: int) -> int:
+        """Place of ``sign``, or -1; once it was not found, it is nowhere behind either."""
+        if sign in self.missing:
+            return -1
+        place = self.html.find(sign, at)
+        if place < 0:
+            self.missing.add(sign)
+        return place
+
+    def end_tag(self, name: str, at: int) -> int:
+        if name in self.missing:
+            return -1
+        match = END_TAGS[name].search(self.html, at)
+        if match is None:
+            self.missing.add(name)
+            return -1
+        return match.start()
+
+    def attributes_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag; -1 if there is none. A quote counts where a value begins, if it ends."""
+        html, pos = self.html, at
+        while True:
+            pos = TO_VALUE.match(html, pos).end()
+            if pos >= len(html):
+                return self.find(">", at)  # a quote took the rest of the page
+            if html[pos] == ">":
+                return pos
+            value = VALUE.match(html, pos)
+            pos = value.end()
+            if value[1]:
+                close = self.find(value[1], pos)
+                pos = close + 1 if close >= 0 else pos
+
+
+def boilerplate_name(names: str) -> bool:
+    for name in LAYOUT.sub(" ", names).lower().split():
+        words = set(re.findall("[a-z]+", name))
+        if words & BAD_WORDS and words <= BAD_WORDS | LAYOUT_WORDS:
+            return True
+    return False
+
+
+class Open:
+    """The open elements. Where the nearest one of a name is, and the nearest one that is no inline element, is known
+    at any depth."""
+
+    def __init__(self):
+        # Name, number; whether a tag around it is bad, or good; whether a container around it, or a text element, has
+        # a name of boilerplate.
+        self.stack: list[tuple[str, int, bool, bool, bool, bool]] = [("", 0, False, False, False, False)]
+        self.places: dict[str, list[int]] = {}
+        self.boxes = [0]
+
+    def push(self, element: tuple) -> None:
+        depth = len(self.stack)
+        self.places.setdefault(element[0], []).append(depth)
+        if element[0] not in INLINE:
+            self.boxes.append(depth)
+        self.stack.append(element)
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            name = self.stack.pop()[0]
+            self.places[name].pop()
+            if name not in INLINE:
+                self.boxes.pop()
+
+    def close(self, name: str) -> None:
+        """The end tag of ``name``: an inline one never ends what holds it."""
+        places = self.places.get(name)
+        if places and (name not in INLINE or places[-1] > self.boxes[-1]):
+            self.cut(places[-1])
+
+
 def blocks(html: str) -> list[Block]:
     """Text blocks in page order, with what the elements around them say. Any string is read: unknown,
-    unclosed and unmatched tags are taken as they come."""
+    unclosed and unmatched tags are taken as they come; a tag that never ends hides what follows it."""
     found: list[Block] = []
-    # Open elements: name, number, bad by a tag, good, bad by a name.
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    markup, tree = Markup(html), Open()
     lone_article = len(ARTICLE.findall(html)) == 1
     opened = links = 0
     current: Block | None = None
@@ -81,44 +174,44 @@ def blocks(html: str) -> list[Block]:
         if current is None:
             if text.isspace():
                 return
-            depth = len(stack) - 1
-            while depth and stack[depth][0] in INLINE:
-                depth -= 1
-            name, number, *_ = stack[depth]
+            depth, (_, _, bad, good, boxed, misnamed) = tree.boxes[-1], tree.stack[-1]
             # Siblings are blocks of one grandparent: each paragraph is an element of its own.
-            current = Block(parent=stack[max(0, depth - 1)][1], tag=name, bad=stack[-1][2] or stack[-1][4], good=stack[-1][3])
+            parent, tag = tree.stack[max(0, depth - 1)][1], tree.stack[depth][0]
+            current = Block(parent=parent, tag=tag, bad=bad or boxed, good=good, misnamed=misnamed)
             found.append(current)
         current.parts.append(text)
         if links:
             current.linked += len(text)
 
     while at < size:
-        match = TAG.search(html, at)
+        match = MARK.search(html, at)
         if match is None:
             add(unescape(html[at:]))
             break
         if match.start() > at:
             add(unescape(html[at : match.start()]))
-        at = match.end()
         name = match[2]
         if name is None:
+            ending = "-->" if match[3] else ">"
+            # ``<!-->`` is a whole comment.
+            end = markup.find(ending, match.end() - 2 if match[3] else match.end())
+            at = end + len(ending) if end >= 0 else size
             continue
+        end = markup.attributes_end(match.end())
+        if end < 0:
+            break
+        written, at = html[match.end() : end], end + 1
         name = name.lower()
         if match[1]:
             links -= name == "a" and links > 0
             if name not in INLINE:
                 current = None
-            for depth in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
+            tree.close(name)
             continue
         if name in HIDDEN:
-            if name == "head":
-                continue
-            if not match[3].endswith("/"):
-                end = END_TAGS[name].search(html, at)
-                at = end.start() if end else size if name in ("script", "style") else at
+            if name != "head" and not written.endswith("/"):
+                end = markup.end_tag(name, at)
+                at = end if end >= 0 else size if name in ("script", "style") else at
             continue
         if name in VOID:
             if name == "hr":
@@ -128,27 +221,23 @@ def blocks(html: str) -> list[Block]:
             continue
         if name not in INLINE:
             current = None
-            ending = ENDS.get(name, ("p",))
-            for depth in range(len(stack) - 1, max(0, len(stack) - 8), -1):
-                if stack[depth][0] in ending:
-                    del stack[depth:]
-                    break
-                if stack[depth][0] not in INLINE:
-                    break
+            if tree.stack[tree.boxes[-1]][0] in ENDS.get(name, ("p",)):
+                tree.cut(tree.boxes[-1])
         elif name == "a":
             links += 1
         opened += 1
-        _, _, bad, good, misnamed = stack[-1]
-        named = " ".join(x for y in NAMES.findall(match[3]) for x in y if x) if match[3] else ""
+        _, _, bad, good, boxed, misnamed = tree.stack[-1]
+        named = " ".join(x for y in NAMES.findall(written) for x in y if x) if written else ""
         # Names of what is around the page's own article say nothing of it.
         central = not good and (name == "main" or name == "article" and lone_article)
-        misnamed = misnamed and not central
-        if not (central or name in ("html", "body")):
-            misnamed = misnamed or bool(named and BAD_NAMES.search(LAYOUT.sub(" ", named)))
+        boxed = boxed and not central
+        if named and not (central or name in ("html", "body")) and boilerplate_name(named):
+            text_level = name in TEXT_TAGS or name in INLINE
+            boxed, misnamed = boxed or not text_level, misnamed or text_level
         good = good or name in GOOD_TAGS or bool(named and GOOD_NAMES.search(named))
         bad = bad or name in BAD_TAGS
-        if not match[3].endswith("/"):
-            stack.append((name, opened, bad, good, misnamed))
+        if not written.endswith("/"):
+            tree.push((name, opened, bad, good, boxed, misnamed))
     kept = []
     for block in found:
         block.text = " ".join("".join(block.parts).split())
@@ -171,6 +260,7 @@ def features(page: list[Block]) -> np.ndarray:
                 float(block.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
                 float(block.tag in ("p", "blockquote", "pre")),
                 float(block.tag in ("li", "td", "th", "option", "dt", "dd")),
+                float(block.misnamed),
                 float(block.bad),
                 float(block.good),
                 float(central and not block.good),
@@ -179,12 +269,12 @@ def features(page: list[Block]) -> np.ndarray:
     return np.array(rows).reshape(len(rows), len(FEATURES))
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, steps: int = 30, pull: float = 4.0) -> np.ndarray:
-    """Logistic regression, drawn to ``PRIOR`` by ``pull`` (Newton's method)."""
-    weights = PRIOR.copy()
+def fit(rows: np.ndarray, labels: np.ndarray, prior: np.ndarray, steps: int = 30, pull: float = 4.0) -> np.ndarray:
+    """Logistic regression, drawn to ``prior`` by ``pull`` (Newton's method)."""
+    weights = prior.copy()
     for _ in range(steps if len(rows) else 0):
         p = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
-        slope = rows.T @ (p - labels) + pull * (weights - PRIOR)
+        slope = rows.T @ (p - labels) + pull * (weights - prior)
         curve = (rows * (p * (1 - p))[:, None]).T @ rows + pull * np.eye(len(weights))
         step = np.linalg.solve(curve, slope)
         weights = weights - step
@@ -288,9 +378,14 @@ def main_text(html: str | None, weights: np.ndarray = PRIOR) -> str:
     return "\n".join(x.text for x, content in zip(page, cut(page, weights)) if content) if page else ""
 
 
-def trained_weights(pages: DataFrame, sample_pages: int = 256, html: str = "html") -> np.ndarray:
-    """Weights fitted to blocks of at most ``sample_pages`` pages (those of least hash) that their own
-    elements name: inside ``article`` or ``main`` and nothing else, or inside navigation, forms, notices."""
+def trained_weights(pages: DataFrame, sample_pages: int = 256, most_alike: int = 50, html: str = "html") -> np.ndarray:
+    """Weights fitted to blocks of at most ``sample_pages`` pages (those of least hash) that stand inside ``article`` or
+    ``main`` and nothing else, or inside navigation, forms, notices and nothing else.
+
+    Those places make the labels, so only the weights of the text's own features are fitted, and the places keep
+    their ``PRIOR``. Blocks with equal features count ``most_alike`` times at most.
+    """
+    own = len(FEATURES) - PLACES
 
     def rows(batches):
         for part in text_slices(batches, "html"):
@@ -300,30 +395,33 @@ def trained_weights(pages: DataFrame, sample_pages: int = 256, html: str = "html
                     sums: dict[tuple, int] = {}
                     for row, block in zip(features(page).tolist(), page):
                         if block.bad != block.good:
-                            key = (*(round(x, 1) for x in row), float(block.good))
+                            key = (*(round(x, 1) for x in row[:own]), float(block.good))
                             sums[key] = sums.get(key, 0) + 1
                     table = [pa.array([list(k) for k in sums], pa.list_(pa.float64())), pa.array(list(sums.values()), pa.int64())]
                     yield pa.RecordBatch.from_arrays(table, ["row", "n"])
 
-    chosen = pages.select(F.col(html).alias("html")).orderBy(F.xxhash64("html"), "html").limit(sample_pages)
+    chosen = pages.select(F.col(f"`{html}`").alias("html")).orderBy(F.xxhash64("html"), "html").limit(sample_pages)
     found = chosen.mapInArrow(rows, "row array<double>, n long").groupBy("row").agg(F.sum("n").alias("n")).collect()
     found = sorted((tuple(x.row), x.n) for x in found)
-    data = np.array([x for x, _ in found]).reshape(len(found), len(FEATURES) + 1)
-    times = np.array([min(n, 50) for _, n in found], np.int64)
-    return fit(np.repeat(data[:, :-1], times, axis=0), np.repeat(data[:, -1], times))
+    data = np.array([x for x, _ in found]).reshape(len(found), own + 1)
+    times = np.array([min(n, most_alike) for _, n in found], np.int64)
+    fitted = fit(np.repeat(data[:, :-1], times, axis=0), np.repeat(data[:, -1], times), PRIOR[:own])
+    return np.concatenate([fitted, PRIOR[own:]])
 
 
 def extract(pages: DataFrame, weights: np.ndarray | None = None, html: str = "html") -> DataFrame:
     """Each page's columns but the markup, ``text`` and ``n_chars`` (code points). Blocks are joined by line
-    ends. A null or empty page, and one without text, has an empty text."""
+    ends. A null or empty page, and one without text, has an empty text; repeated rows are extracted each, and other columns
+    stay, but for those named ``text`` and ``n_chars``."""
     weights = trained_weights(pages, html=html) if weights is None else weights
-    rest = [f"`{c}`" for c in pages.columns if c not in (html, "text", "n_chars")]
-    given = pages.select(*rest, F.col(f"`{html}`").alias("__html"))
+    rest = [c for c in pages.columns if c not in (html, "text", "n_chars")]
+    held = unused("html", rest)
+    given = pages.select(*[f"`{c}`" for c in rest], F.col(f"`{html}`").alias(held))
 
     def run(batches):
-        for part in text_slices(batches, "__html"):
-            texts = [main_text(x, weights) for x in part.column("__html").to_pylist()]
+        for part in text_slices(batches, held):
+            texts = [main_text(x, weights) for x in part.column(held).to_pylist()]
             columns = [*part.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[:-1], "text", "n_chars"])
 
-    return given.mapInArrow(run, given.drop("__html").schema.add("text", "string").add("n_chars", "long"))
+    return given.mapInArrow(run, given.drop(held).schema.add("text", "string").add("n_chars", "long"))
