@@ -19,10 +19,10 @@ from math import gcd, lcm
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-#: Documents of a block, slots of a cycle at most, and rows that are numbered in one task.
+#: Documents of a block, slots of a cycle at most, and rows that are numbered together.
 BLOCK_DOCUMENTS = 32
 CYCLE = 2_520
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Slots that one row of the plan stands for where the schedule doesn't repeat.
 SEGMENT = 20_000
 #: Sources at most. It bounds what is scheduled on the driver and broadcast: a cycle for each source that ends.
@@ -76,27 +76,29 @@ def schedule(parts: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
     return list(islice(slots_from(parts, dict.fromkeys(parts, 0), 0), sum(parts.values())))
 
 
-def numbered(documents: DataFrame, source: str, order: list[Column]) -> DataFrame:
-    """``__n``: the place of each row in its source, from 0, in an order drawn by hash.
+def numbered(documents: DataFrame, counts: dict[str, int], order: list[Column]) -> DataFrame:
+    """Adds ``n``: the place of each row in its ``source``, from 0, in an order drawn by hash.
 
-    A source is numbered in buckets of about ``BUCKET_ROWS`` rows; the buckets' sizes are summed up. No task
-    has more of one source than a bucket.
+    A source is numbered in buckets of about ``BUCKET_ROWS`` rows, as many as its own ``counts`` ask for; the
+    buckets' sizes are summed up. So a source with most rows has most buckets, and no task more of one than another.
     """
-    buckets = max(1, -(-documents.count() // BUCKET_ROWS))
-    keyed = documents.withColumn("__bucket", F.pmod(F.xxhash64(F.lit("mix"), *order), F.lit(buckets)))
-    sizes = keyed.groupBy(source, "__bucket").agg(F.count("*").alias("__size"))
-    before = F.sum("__size").over(Window.partitionBy(source).orderBy("__bucket")) - F.col("__size")
-    sizes = sizes.select(source, "__bucket", before.alias("__before"))
-    inside = Window.partitionBy(source, "__bucket").orderBy(F.xxhash64(*order), *order)
-    ranked = keyed.withColumn("__in", F.row_number().over(inside) - 1)
-    return ranked.join(sizes, [source, "__bucket"]).withColumn("__n", F.col("__before") + F.col("__in"))
+    spark = documents.sparkSession
+    rows = [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()]
+    # Bounded by MAX_SOURCES rows.
+    buckets = F.broadcast(spark.createDataFrame(rows, "source string, buckets long"))
+    keyed = documents.join(buckets, "source").withColumn("bucket", F.pmod(F.xxhash64(F.lit("mix"), *order), F.col("buckets")))
+    sizes = keyed.groupBy("source", "bucket").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("source").orderBy("bucket")) - F.col("size")
+    sizes = sizes.select("source", "bucket", before.alias("before"))
+    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64(*order), *order)
+    ranked = keyed.withColumn("inside", F.row_number().over(inside) - 1)
+    return ranked.join(sizes, ["source", "bucket"]).withColumn("n", F.col("before") + F.col("inside"))
 
 
 def phases(blocks: dict[str, int], target: dict[str, Fraction], cycle: int):
     """Rows ``(source, phase, from_block, to_block, parts, first_slot, cycle)`` and ``(phase, source, k, release,
-    deadline, slot)``, the latter within a cycle. A phase is as many whole cycles as the source that ends
-    first needs; in its last cycle the slots of ended sources stay empty. The next goes without them.
-    None if the exact cycle of a phase has more than ``cycle`` slots."""
+    deadline, slot)``, the latter within a cycle. A phase ends with the last block of the source that ends first; the
+    next goes without that source. None if the exact cycle of a phase has more than ``cycle`` slots."""
     runs, plans = [], []
     done, first, phase = dict.fromkeys(blocks, 0), 0, 0
     while left := {s: blocks[s] - done[s] for s in sorted(blocks) if blocks[s] > done[s]}:
@@ -104,13 +106,18 @@ def phases(blocks: dict[str, int], target: dict[str, Fraction], cycle: int):
         slots = sum(parts.values())
         if slots > cycle:
             return None
-        cycles = min(-(-n // parts[s]) for s, n in left.items())
-        for s, n in left.items():
-            to = done[s] + min(n, cycles * parts[s])
-            runs.append((s, phase, done[s], to, parts[s], first, slots))
-            done[s] = to
-        plans += [(phase, *x) for x in schedule(parts)]
-        first += cycles * slots
+        plan = schedule(parts)
+        at = {(s, k): slot for s, k, _, _, slot in plan}
+        end = 1 + min((n - 1) // parts[s] * slots + at[s, (n - 1) % parts[s]] for s, n in left.items())
+        whole, rest = divmod(end, slots)
+        ran = {s: whole * n for s, n in parts.items()}
+        for s, _, _, _, slot in plan:
+            ran[s] += slot < rest
+        for s in left:
+            runs.append((s, phase, done[s], done[s] + ran[s], parts[s], first, slots))
+            done[s] += ran[s]
+        plans += [(phase, *x) for x in plan]
+        first += end
         phase += 1
     return runs, plans
 
@@ -137,7 +144,7 @@ def stands(blocks: dict[str, int], target: dict[str, Fraction], every: int) -> I
 
 
 def every_slot(spark: SparkSession, blocks: dict[str, int], target: dict[str, Fraction], every: int) -> DataFrame:
-    """``__source, block, __r, __d, __t`` of all slots, for shares of any cycle. Tasks write them from where
+    """``source, block, r, d, t`` of all slots, for shares of any cycle. Tasks write them from where
     the sources stand each ``every`` slots; the driver keeps no more than that."""
 
     def run(batches):
@@ -148,12 +155,12 @@ def every_slot(spark: SparkSession, blocks: dict[str, int], target: dict[str, Fr
                 rows = islice(slots_from(parts, dict(zip(sources, ran)), at), slots)
                 rows = [(s, before[s] + j, first + r, first + d, first + t) for s, j, r, d, t in rows]
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), [pa.string(), *[pa.int64()] * 4])]
-                yield pa.RecordBatch.from_arrays(columns, ["__source", "block", "__r", "__d", "__t"])
+                yield pa.RecordBatch.from_arrays(columns, ["source", "block", "r", "d", "t"])
 
     schema = "first long, at long, slots long, sources array<string>, done array<long>, ran array<long>"
     given = spark.createDataFrame(list(stands(blocks, target, every)), schema)
     return given.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
-        run, "__source string, block long, __r long, __d long, __t long"
+        run, "source string, block long, r long, d long, t long"
     )
 
 
@@ -166,15 +173,29 @@ def mix(
     cycle: int = CYCLE,
 ) -> DataFrame:
     """Every row with ``block`` (of its source), ``release``, ``deadline``, ``slot`` and ``place`` (in the
-    block). The mix is read by ``slot`` and ``place``; slots of sources that have ended are empty.
+    block). The mix is read by ``slot`` and ``place``; no slot is empty.
 
     ``weights`` are by source; a source that isn't named has the mean of those that are, and without any
     all have the same. A null source counts as an empty one. No row is left out or repeated: where a
-    source ends the mix goes on by the weights of the others (``phases``), and while none ends each has its
-    share of the slots to within one block. ``order`` are the columns that tell rows apart.
+    source ends the mix goes on by the weights of the others, and while none ends each has its
+    share of the slots to within one block. ``order`` are the columns that tell rows apart; equal rows stand next to
+    each other in an order of their own. An empty table gives no rows. Other columns stay, whatever their
+    names, but for those named as the added ones.
     """
-    given = documents.withColumn("__source", F.coalesce(F.col(source).cast("string"), F.lit("")))
-    counts = {r["__source"]: r["count"] for r in given.groupBy("__source").count().limit(MAX_SOURCES + 1).collect()}
+    placed = _placed(documents, weights, source, order, block_documents, cycle)
+    added = ("block", "release", "deadline", "slot", "place")
+    rest = [F.col("row")[c].alias(c) for c in documents.columns if c not in added]
+    return placed.select(*rest, *added)
+
+
+def _placed(documents, weights, source, order, block_documents, cycle) -> DataFrame:
+    """``row`` (all columns of the documents) and the added ones."""
+    keys = [c for c in order or ["doc_id", "text"] if c in documents.columns]
+    given = documents.select(
+        F.struct(*[f"`{c}`" for c in documents.columns]).alias("row"),
+        F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"),
+    )
+    counts = {r["source"]: r["count"] for r in given.groupBy("source").count().limit(MAX_SOURCES + 1).collect()}
     if len(counts) > min(MAX_SOURCES, cycle):
         raise ValueError(f"more than {min(MAX_SOURCES, cycle)} sources")
     # A weight is the number as it is written: 0.1 is a tenth.
@@ -183,35 +204,34 @@ def mix(
     blocks = {s: -(-n // block_documents) for s, n in counts.items()}
     target = {s: named.get(s, mean) for s in counts}
     spark = documents.sparkSession
-    keys = [F.col(c) for c in order or ["doc_id", "text"] if c in documents.columns]
-    placed = numbered(given, "__source", keys).withColumn("block", F.expr(f"__n div {block_documents}"))
+    placed = numbered(given, counts, [F.col("row")[c] for c in keys]).withColumn("block", F.expr(f"n div {block_documents}"))
     if (repeated := phases(blocks, target, cycle)) is None:
-        placed = placed.join(every_slot(spark, blocks, target, SEGMENT), ["__source", "block"])
+        placed = placed.join(every_slot(spark, blocks, target, SEGMENT), ["source", "block"])
         base = F.lit(0)
     else:
         runs, plans = repeated
         # Bounded by MAX_SOURCES: a row for each source and phase, and for each phase and slot of a cycle.
         run = spark.createDataFrame(
-            runs, "__source string, __phase int, __from long, __to long, __parts int, __first long, __cycle int"
+            runs, "source string, phase int, first_block long, end_block long, parts int, first_slot long, cycle int"
         )
-        plan = spark.createDataFrame(plans, "__phase int, __source string, __k long, __r long, __d long, __t long")
-        placed = placed.join(F.broadcast(run), "__source").where("block >= __from and block < __to")
-        placed = placed.withColumn("__k", F.expr("(block - __from) % __parts"))
-        placed = placed.join(F.broadcast(plan), ["__phase", "__source", "__k"])
-        base = F.expr("__first + (block - __from) div __parts * __cycle")
+        plan = spark.createDataFrame(plans, "phase int, source string, k long, r long, d long, t long")
+        placed = placed.join(F.broadcast(run), "source").where("block >= first_block and block < end_block")
+        placed = placed.withColumn("k", F.expr("(block - first_block) % parts"))
+        placed = placed.join(F.broadcast(plan), ["phase", "source", "k"])
+        base = F.expr("first_slot + (block - first_block) div parts * cycle")
     return placed.select(
-        *[f"`{c}`" for c in documents.columns if c not in ("block", "release", "deadline", "slot", "place")],
+        "row",
         "block",
-        (base + F.col("__r")).alias("release"),
-        (base + F.col("__d")).alias("deadline"),
-        (base + F.col("__t")).alias("slot"),
-        (F.col("__n") % block_documents).alias("place"),
+        (base + F.col("r")).alias("release"),
+        (base + F.col("d")).alias("deadline"),
+        (base + F.col("t")).alias("slot"),
+        (F.col("n") % block_documents).alias("place"),
     )
 
 
 def mixed_rows(documents: DataFrame, weights: dict[str, float] | None = None, source: str = "source") -> DataFrame:
-    """The rows of ``documents``, columns as they are, stored in the order of the mix: sorted over the
+    """The rows of ``documents``, all columns as they are, stored in the order of the mix: sorted over the
     whole result, so that files written from it follow each other."""
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = mix(documents, weights, source).repartitionByRange(parts, "slot", "place")
-    return placed.sortWithinPartitions("slot", "place").select(*[f"`{c}`" for c in documents.columns])
+    placed = _placed(documents, weights, source, None, BLOCK_DOCUMENTS, CYCLE).repartitionByRange(parts, "slot", "place")
+    return placed.sortWithinPartitions("slot", "place").select("row.*")
