@@ -7,11 +7,10 @@ Rows get an index, are centred and go into a ``BlockMatrix``; its transpose time
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.common import callMLlibFunc
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.mllib.linalg import DenseMatrix
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stored
@@ -45,10 +44,40 @@ def numbered(frame: DataFrame) -> DataFrame:
     return joined.withColumn("index", F.col("start") + F.col("part_row")).drop("part_file", "part_row", "file", "start")
 
 
-def block_matrix(rows: DataFrame, block_rows: int) -> BlockMatrix:
-    """From ``index, centred``."""
-    vectors = rows.select("index", array_to_vector("centred").alias("vector"))
-    return IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "vector")).toBlockMatrix(block_rows, WIDTH)
+def block_matrix(rows: DataFrame, block_rows: int, dims: int) -> BlockMatrix:
+    """From ``index, centred``: row ``index`` of the matrix is ``centred``, rows that are not there are 0.
+
+    Rows are shuffled once, as they are, and packed where they arrive; ``IndexedRowMatrix.toBlockMatrix`` would send a
+    pair of objects for every single entry.
+    """
+
+    def pack(key, group):
+        values = np.zeros((block_rows, dims), order="F")
+        entries = group.column("centred").combine_chunks().flatten().to_numpy().reshape(-1, dims)
+        values[group.column("index").to_numpy() - key[0].as_py() * block_rows] = entries
+        return pa.table([pa.array([key[0].as_py()]), pa.array([values.tobytes(order="F")], pa.binary())], ["block", "entries"])
+
+    def cut(row):
+        values = np.frombuffer(row.entries).reshape((block_rows, dims), order="F")
+        for j, at in enumerate(range(0, dims, WIDTH)):
+            part = values[:, at : at + WIDTH]
+            yield (row.block, j), DenseMatrix(*part.shape, part.flatten(order="F"))
+
+    numbered_rows = rows.withColumn("block", F.call_function("div", F.col("index"), F.lit(block_rows)))
+    blocks = numbered_rows.groupBy("block").applyInArrow(pack, "block long, entries binary")
+    return BlockMatrix(blocks.rdd.flatMap(cut), block_rows, min(WIDTH, dims))
+
+
+def whole_rows(matrix: BlockMatrix) -> DataFrame:
+    """``at, w`` of all rows of a matrix that is one block wide."""
+    height = matrix.rowsPerBlock
+
+    def spread(block):
+        (i, _), part = block
+        for k, row in enumerate(part.toArray().tolist()):
+            yield i * height + k, row
+
+    return matrix.blocks.flatMap(spread).toDF("at long, w array<double>")
 
 
 def cross_product(matrix: BlockMatrix) -> np.ndarray:
@@ -56,6 +85,7 @@ def cross_product(matrix: BlockMatrix) -> np.ndarray:
     all of them would meet in the one task of each block of the result."""
     java = matrix._java_matrix_wrapper._java_model
     parts = -(-java.numRowBlocks() // TOGETHER)
+    # The option to divide them has no Python form.
     product = matrix.transpose()._java_matrix_wrapper.call("multiply", java, parts)
     return BlockMatrix(product, matrix.colsPerBlock, matrix.colsPerBlock).toLocalMatrix().toArray()
 
@@ -128,19 +158,20 @@ def whiten(
     held = most["count"]
     least, largest = (max(size // (8 * dims), 1) for size in (LEAST_BYTES, MOST_BYTES))
     block_rows = min(max(least, held // BLOCKS), largest)
-    fitted = block_matrix(fit.withColumn("away", away).select("index", centred.alias("centred")), block_rows)
+    fitted = block_matrix(fit.withColumn("away", away).select("index", centred.alias("centred")), block_rows, dims)
+    fitted.persist(StorageLevel.MEMORY_AND_DISK)  # four products read it; lost blocks are packed again
     covariance = cross_product(fitted) / n
     values, directions = components(covariance, count)
     if not len(values):
         return spark.createDataFrame([], RESULT)
-    projection = local_blocks(spark, directions / np.sqrt(values), WIDTH)
+    projection = local_blocks(spark, directions / np.sqrt(values), min(WIDTH, dims))
     again = cross_product(fitted.multiply(projection)) / n
+    fitted._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = float(np.abs(again - np.eye(len(values))).max())
 
     rows = rows.withColumn("away", away)
-    projected = block_matrix(rows.select("index", centred.alias("centred")), block_rows).multiply(projection)
-    indexed = callMLlibFunc("getIndexedRows", projected.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
-    whitened = stored(indexed.select(F.col("index").alias("at"), vector_to_array("vector").alias("w")), "whitened")
+    projected = block_matrix(rows.select("index", centred.alias("centred")), block_rows, dims).multiply(projection)
+    whitened = stored(whole_rows(projected), "whitened")
     squares = F.transform("away", lambda v: v.cast("decimal(19,0)") * v.cast("decimal(19,0)"))
     deviation = F.aggregate(squares, F.lit(0).cast("decimal(38,0)"), lambda a, b: (a + b).cast("decimal(38,0)"))
     shares = F.array(*[F.lit(float(v / np.trace(covariance))) for v in values])
