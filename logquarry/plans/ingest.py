@@ -209,7 +209,8 @@ def heads_of_listing(listing: DataFrame, bytes_per_task: int) -> tuple[DataFrame
     files, size = listing.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     # An explicit number: the planner would merge these few bytes into one task.
     spread = listing.repartition(max(1, min(files, max(range_partitions(spark), files // 64))))
-    return held(read_heads(spread)), max(spark.sparkContext.defaultParallelism, -(-int(size) // bytes_per_task))
+    # Logs differ in size, so a few tasks a core keep all cores busy.
+    return held(read_heads(spread)), max(3 * spark.sparkContext.defaultParallelism, -(-int(size) // bytes_per_task))
 
 
 def ingest_logs(

@@ -226,10 +226,7 @@ def read_heads(listing: DataFrame) -> DataFrame:
 
 
 def held(frame: DataFrame) -> DataFrame:
-    """The rows, worked out once: as a checkpoint where the session names a folder for them, else kept by the
-    executors, which work lost ones out again."""
-    if frame.sparkSession.sparkContext.getCheckpointDir() is not None:
-        return frame.checkpoint()
+    """The rows of a listing or of heads, worked out once and kept by the executors; lost ones are worked out again."""
     return frame.persist()
 
 
