@@ -12,6 +12,8 @@ from math import log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import unused
+
 #: The white space that ends words, and the characters that count as symbols.
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -207,10 +209,14 @@ def quality(documents: DataFrame, labels: DataFrame, sample_rows: int = 4096) ->
 
     ``kept`` is false if the base fails (fewer than 50 words, or more than half of them in repeated
     windows), else the verdict of the list learned from ``labels`` (``doc_id``, ``quality`` 0 or 1) of at
-    most ``sample_rows`` rows. Without labels no rule is learned. Null texts fail the base.
+    most ``sample_rows`` rows. Without labels no rule is learned. Null texts fail the base. Repeated rows are judged
+    each, a null ``doc_id`` stays; columns named as the added ones are replaced, all others stay.
     """
     rules = learn(labelled_statistics(documents, labels, sample_rows))
-    added = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *FEATURES}
-    given = documents.select(*[f"`{c}`" for c in documents.columns if c not in added])
-    scored = statistics(given).withColumn("base_failed", base_failed())
-    return scored.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *FEATURES]
+    rest = [c for c in documents.columns if c not in (*measures, "base_failed", "kept", "text")]
+    # The other columns travel as one, so that no name of theirs meets one of the statistics.
+    own = F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(None).cast("int").alias(unused("nothing", rest)))
+    scored = statistics(documents.select(own.alias("given"), "text")).withColumn("base_failed", base_failed())
+    scored = scored.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    return scored.select(*[F.col("given")[c].alias(c) for c in rest], *measures, "base_failed", "kept")

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Split, per_text, text_slices, worker_state
+from .common import Split, per_text, text_slices, unused, worker_state
 
 #: Entries of the broadcast table, and of the summary each task gives towards it.
 TABLE_SIZE = 32_768
@@ -66,7 +66,7 @@ def frequent_lengths(documents: DataFrame, model_path: str, text: str = "text")
         )
 
     frequent = (
-        documents.select(F.col(text).alias("text"))
+        documents.select(F.col(f"`{text}`").alias("text"))
         .mapInArrow(summaries, "piece string, n long")
         .groupBy("piece")
         .agg(F.sum("n").alias("n"))
@@ -89,11 +89,12 @@ def count_tokens(
     path = model_path or public_tokenizers.path("piece_bpe_32k.model")
     table = documents.sparkSession.sparkContext.broadcast(frequent_lengths(documents, path, text))
     rest = [c for c in documents.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
+    held = unused("text", rest)
 
     def count(batches):
         processor, first, second = _processor(path), table.value, worker_state("token counts").setdefault(f"lengths {path}", {})
-        for part in text_slices(batches, "__text"):
-            texts = part.column("__text").fill_null("")
+        for part in text_slices(batches, held):
+            texts = part.column(held).fill_null("")
             whole = _whole(texts)
             split = _pre_tokens(pc.if_else(pa.array(whole), "", texts))
             if len(second) > CACHE_SIZE:
@@ -115,6 +116,6 @@ def count_tokens(
                 [*part.schema.names[:-1], "n_bytes", "n_tokens", "over_limit"],
             )
 
-    given = documents.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias("__text"))
-    schema = given.drop("__text").schema.add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
+    given = documents.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias(held))
+    schema = given.drop(held).schema.add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
     return given.mapInArrow(count, schema)

@@ -3,15 +3,19 @@
 import html as entities
 import random
 import re
+import time
 from collections import Counter
 from fractions import Fraction
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from logquarry.llm import mixing, queries
 from logquarry.llm.common import stored
-from logquarry.llm.html_text import PRIOR, blocks, cut, extract, features, main_text, maximum_flow
+from logquarry.llm.html_text import PLACES, PRIOR, blocks, cut, extract, features, main_text, maximum_flow, trained_weights
 from logquarry.llm.mixing import mix, mixed_rows, schedule, shares
+from logquarry.llm.quality_rules import quality
+from logquarry.llm.token_counts import count_tokens
 
 from .conftest import SF
 
@@ -61,7 +65,51 @@ def test_names_around_the_article():
     assert main_text(cards) == "It is one. It is two."
 
 
+def test_names_inside_the_article():
+    """Whole names count, and those of a text element little."""
+    rest = "<p>And more of it. So it is.</p>"
+    for named in ("<div class='side-effects'>{}</div>", "<div class='social-studies'>{}</div>", "<p class=social>{}", "<section id=footnotes>{}</section>"):
+        text = "It is one. It is two, which is long enough for a text."
+        assert main_text(f"<article>{named.format(f'<p>{text}</p>' if '<p' not in named else text)}{rest}</article>") == f"{text}\nAnd more of it. So it is."
+    for named in ("post-comments", "comment-list", "cookie-notice", "related-posts", "ad-slot", "Share-Buttons", "comments"):
+        assert main_text(f"<article>{rest}<div class='x {named}'><p>Nice one. I like it. Very much. Indeed so.</p></div></article>") == "And more of it. So it is."
+
+
+ARTICLE_TEXT = "<article><p>It is one. It is two.</p></article>"
+
+
+def test_tags_that_are_left_open_or_broken():
+    assert main_text("<nav>" + "<b>" * 70 + "</nav>" + ARTICLE_TEXT) == "It is one. It is two."
+    assert main_text("<aside>" + "<span>" * 65 + "x</aside>" + ARTICLE_TEXT) == "It is one. It is two."
+    assert main_text("<article><p>" + "<i>" * 20 + "It is one. It is two.<p>And three. Four.</article>") == "It is one. It is two.\nAnd three. Four."
+    assert main_text("<article><p title=it's>It is one. It is two.</p><p>That's all of it. Yes.</p></article>") == "It is one. It is two.\nThat's all of it. Yes."
+    assert main_text('<article><p title="x>It is one. It is two.</p></article>') == "It is one. It is two."
+    assert main_text('<article><p class="a"b">It is one. It is two.</p></article>') == "It is one. It is two."
+    assert main_text("<article><p title='a>b' id=x data-y = \"c>d\">It is one. It is two.</p></article>") == "It is one. It is two."
+    assert main_text("<!-->" + ARTICLE_TEXT + "<!--->" + "<!-- > x -->") == "It is one. It is two."
+    assert main_text(ARTICLE_TEXT + "<p class=") == main_text(ARTICLE_TEXT + "<!-- x") == "It is one. It is two."
+
+
+@pytest.mark.parametrize(
+    "part", ['<a "b"', "<a ", "<button>", '<a q="', "<a q='>\" ", "<li><b><i>", "<!--", "<", "<a =", "&", "<select>", "</b><i>", "<b><div></i>", "<p class=ad>"]
+)
+def test_malformed_pages_take_time_by_their_length(part):
+    """A megabyte of it: a second or so, where a pattern that looks twice would take half an hour."""
+    started = time.process_time()
+    main_text(part * (1_000_000 // len(part)))
+    assert time.process_time() - started < 20
+
+
+def test_weights_are_fitted_to_the_texts_alone(spark):
+    """Where a block stands makes its label, so those weights stay what they were."""
+    weights = trained_weights(spark.read.parquet(f"{SF}/pages.parquet"))
+    assert weights[-PLACES:].tolist() == PRIOR[-PLACES:].tolist() and weights[:-PLACES].tolist() != PRIOR[:-PLACES].tolist()
+
+
 def test_extract_odd_pages(spark):
+    named = spark.createDataFrame([(1, PAGE, "a", "b", "c")], "page_id long, html string, html_ string, __html string, HTML__ string")
+    (row,) = extract(named).collect()
+    assert (row.html_, row["__html"], row["HTML__"], row.n_chars) == ("a", "b", "c", len(main_text(PAGE)))
     odd = spark.createDataFrame([(1, None, 5, 6), (1, "", 5, 6), (2, PAGE, 5, 6)], "page_id long, html string, text int, n_chars int")
     assert sorted(r.n_chars for r in extract(odd).collect()) == [0, 0, len(main_text(PAGE))]
     assert extract(odd.limit(0)).count() == 0
@@ -139,6 +187,33 @@ def test_mix(spark, documents, frame):
     assert mixed_rows(odd).columns == odd.columns and mixed_rows(odd).count() == 4
 
 
+def test_both_schedules_are_one(spark):
+    """Where the exact cycle is short, it is repeated; written slot by slot, the mix is the same."""
+    rows = spark.range(700).selectExpr("id doc_id", "case when id % 9 < 5 then 'a' when id % 9 < 7 then 'b' else 'c' end source")
+    got = [sorted(mix(rows, {"a": 1, "b": 2, "c": 0.5}, "source", ["doc_id"], 3, cycle).collect()) for cycle in (2520, 3)]
+    assert got[0] == got[1]
+    slots = {r.slot for r in got[0]}
+    assert slots == set(range(len(slots)))  # no slot is empty
+
+
+def test_columns_of_any_name_stay(spark):
+    names = "slot place block release n row source_ bucket buckets before inside k r d t phase parts cycle first_slot size __n __t __text __w kept given n_words".split()
+    schema = "doc_id long, source string, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = spark.createDataFrame([(i, "ab"[i % 2], f"t{i} " * 60, *[f"{n}{i}" for n in names]) for i in range(5)], schema)
+    want = sorted(tuple(r) for r in rows.collect())
+    assert sorted(tuple(r) for r in mixed_rows(rows).collect()) == want
+    mixed = mix(rows)
+    assert set(mixed.columns) == set(rows.columns) | {"deadline"} and {r.slot for r in mixed.collect()} == {0, 1}
+    assert sorted(r.bucket for r in mixed.collect()) == [f"bucket{i}" for i in range(5)]
+    counted = count_tokens(rows.withColumn("text_", F.lit("x"))).collect()
+    assert sorted(r["__text"] for r in counted) == [f"__text{i}" for i in range(5)] and {r.text_ for r in counted} == {"x"}
+    judged = quality(rows, spark.createDataFrame([], "doc_id long, quality int"))
+    assert sorted(r["__w"] for r in judged.collect()) == [f"__w{i}" for i in range(5)] and {r.n_words for r in judged.collect()} == {60}
+    kept = corpus_pipeline.quality_rules(spark, rows, SF)
+    assert kept.columns == rows.columns
+    assert {tuple(r) for r in kept.collect()} <= set(want)
+
+
 def test_slots_follow_the_unrounded_weights(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SEGMENT", 700)  # several rows of the plan
     uneven = {"a": 0.1234567, "b": 1.7071068, "c": 3.1415926, "d": 0.9}
