@@ -15,6 +15,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import stored
+
 SECRET_WORDS = r"(?i)(token|secret|passw|api.?key|access.?key|private|credential|auth(?!or(?!i))|bearer|login|pwd)"
 HARMLESS_WORDS = r"(?i)(sha1|sha256|md5|checksum|commit|revision|uuid|guid|etag|digest|example|sample|dummy)"
 # Repeated groups are of one character each: Java matches those in a loop, any others by recursion.
@@ -201,7 +203,8 @@ def scan(
     themselves that ``labelled_findings`` labels. That forest goes by the value and the words beside it, not by
     what made the labels (``LABELLING``); findings labelled as no secrets stay that. With findings of one
     kind only no forest is trained, and a candidate is a secret if it is assigned to the name of one."""
-    found = features(candidates(documents, text))
+    # Searched once: both the training and the scoring read what is stored.
+    found = stored(features(candidates(documents, text)), "candidates")
     columns = FEATURES if labelled is not None else [c for c in FEATURES if c not in LABELLING]
     model = train(labelled_findings(found) if labelled is None else labelled, forest, columns)
     if model is None:
