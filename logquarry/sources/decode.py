@@ -55,6 +55,7 @@ EVT_TYPE = T.StructType(
 
 _TEXT = pa.string()
 _ROWS_PER_BATCH = 4096
+_NODES_PER_BATCH = 1 << 14
 _WORK_PER_BATCH = 1 << 26  # bounds the memory of a batch of unusually large records
 _BYTES_PER_BATCH = 1 << 25
 _LARGEST_SIGNED = (1 << 63) - 1
@@ -108,7 +109,7 @@ def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array, typed: bool = Fal
             found.append((row, index, record_id, ticks, error))
             offsets.append(len(nodes))
             size += decoder.work_done
-            if len(found) >= _ROWS_PER_BATCH or size > _WORK_PER_BATCH:
+            if len(found) >= _ROWS_PER_BATCH or len(nodes) >= _NODES_PER_BATCH or size > _WORK_PER_BATCH:
                 yield flush()
                 nodes.clear()
                 found, offsets, size = [], [0], 0

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import struct
 import sys
+from collections import namedtuple
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions.binary import timestamp_to_filetime
 from ..functions.levels import normalise_level
 from ..sources.storage import resolve
-from .writer import ChunkWriter, El, Slot, Value, evt_file, evt_record, evtx_file, sid_bytes, text
+from .writer import ChunkWriter, El, Filled, Hole, Slot, Value, evt_file, evt_record, evtx_file, sid_bytes, text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -109,15 +109,18 @@ TEMPLATE = El(
 )
 
 
-def _bodies(row) -> El:
-    return El(
-        "EventData",
-        El("Data", text(row.cents), Name=text("cents")),
-        El("Data", text(row.props), Name=text("props")),
-    )
+def _text_bytes(value: str) -> bytes:
+    return text(value).standalone()
+
+
+_BODIES = El("EventData", El("Data", Hole(0), Name=text("cents")), El("Data", Hole(1), Name=text("props")))
 
 
-def _plain(row, event_data: El) -> El:
+def _bodies(row) -> Filled:
+    return Filled(_BODIES, [_text_bytes(row.cents), _text_bytes(row.props)])
+
+
+def _plain(row, event_data: Filled) -> El:
     security = {} if row.user_sid is None else {"UserID": text(row.user_sid)}
     return El(
         "Event",
@@ -135,7 +138,7 @@ def _plain(row, event_data: El) -> El:
     )
 
 
-def _instance_values(row, event_data: El) -> list:
+def _instance_values(row, event_data: Filled) -> list:
     sid = Value(0x00) if row.user_sid is None else Value(0x13, sid_bytes(row.user_sid))
     return [
         text(row.provider),
@@ -149,61 +152,71 @@ def _instance_values(row, event_data: El) -> list:
     ]
 
 
-def _typed(row) -> El:
-    """One Data per value type, all derived from the record id and its time."""
-    n, pack = row.record_id, struct.pack
-    values = {
-        "int8": Value(0x03, pack("<b", n % 256 - 128)),
-        "uint8": Value(0x04, pack("<B", n % 256)),
-        "int16": Value(0x05, pack("<h", -(n % 30000))),
-        "uint16": Value(0x06, pack("<H", n % 65536)),
-        "int32": Value(0x07, pack("<i", -n)),
-        "uint32": Value(0x08, pack("<I", n)),
-        "int64": Value(0x09, pack("<q", -n * 1_000_000_007)),
-        "uint64": Value(0x0A, pack("<Q", n * 1_000_000_007)),
-        "real32": Value(0x0B, pack("<f", n / 4)),
-        "real64": Value(0x0C, pack("<d", int(row.cents) / 100)),
-        "bool": Value(0x0D, pack("<I", n % 2)),
-        "binary": Value(0x0E, pack(">I", n)),
-        "guid": Value(0x0F, pack("<IHH8s", n, n % 65536, 7, bytes(range(8)))),
-        "size": Value(0x10, pack("<Q", n)),
-        "filetime": Value(0x11, pack("<Q", row.filetime)),
-        "sid": Value(0x13, sid_bytes(f"S-1-5-21-{n}")),
-        "hex32": Value(0x14, pack("<I", n)),
-        "hex64": Value(0x15, pack("<Q", n)),
-        "ansi": Value(0x02, row.props.encode()),
-        "null": Value(0x00),
-        "systime": Value(0x12, pack("<8H", 2024, 2, 4, 29, n % 24, n % 60, 7, n % 1000)),
-    }
-    for place, (k, value) in enumerate(_sized(row).items(), _FREE_SLOT):
-        values[k] = Slot(place, kind=value.kind)
-    return El("EventData", *[El("Data", v, Name=text(k)) for k, v in values.items()])
-
-
 _FREE_SLOT = 8  # the first that TEMPLATE doesn't use
+# Values that need a declared size: they can only be substitutions.
+_SIZED = {"int16s": 0x85, "uint32s": 0x88, "texts": 0x81, "none": 0x81, "size4": 0x10}
+_INLINE = ["int8", "uint8", "int16", "uint16", "int32", "uint32", "int64", "uint64", "real32", "real64", "bool", "binary",
+           "guid", "size", "filetime", "sid", "hex32", "hex64", "ansi", "null", "systime"]
+_TYPED = El(
+    "EventData",
+    *[El("Data", Hole(place), Name=text(k)) for place, k in enumerate(_INLINE)],
+    *[El("Data", Slot(place, kind=kind), Name=text(k)) for place, (k, kind) in enumerate(_SIZED.items(), _FREE_SLOT)],
+)
 
 
-def _sized(row) -> dict[str, Value]:
-    """Values that need a declared size: they can only be substitutions."""
+def _typed(row) -> Filled:
+    """One Data per value type, all derived from the record id and its time."""
+    n, pack, ansi = row.record_id, struct.pack, row.props.encode()
+    return Filled(_TYPED, [
+        pack("<Bb", 0x03, n % 256 - 128),
+        pack("<BB", 0x04, n % 256),
+        pack("<Bh", 0x05, -(n % 30000)),
+        pack("<BH", 0x06, n % 65536),
+        pack("<Bi", 0x07, -n),
+        pack("<BI", 0x08, n),
+        pack("<Bq", 0x09, -n * 1_000_000_007),
+        pack("<BQ", 0x0A, n * 1_000_000_007),
+        pack("<Bf", 0x0B, n / 4),
+        pack("<Bd", 0x0C, int(row.cents) / 100),
+        pack("<BI", 0x0D, n % 2),
+        pack("<BI", 0x0E, 4) + pack(">I", n),
+        pack("<BIHH8s", 0x0F, n, n % 65536, 7, bytes(range(8))),
+        pack("<BQ", 0x10, n),
+        pack("<BQ", 0x11, row.filetime),
+        b"\x13" + sid_bytes(f"S-1-5-21-{n}"),
+        pack("<BI", 0x14, n),
+        pack("<BQ", 0x15, n),
+        pack("<BH", 0x02, len(ansi)) + ansi,
+        b"\x00",
+        pack("<B8H", 0x12, 2024, 2, 4, 29, n % 24, n % 60, 7, n % 1000),
+    ])
+
+
+def _sized(row) -> list[Value]:
     n, pack = row.record_id, struct.pack
-    return {
-        "int16s": Value(0x85, pack("<3h", -(n % 30000), 0, n % 7)),
-        "uint32s": Value(0x88, pack("<2I", n, 4_294_967_295)),
-        "texts": Value(0x81, f"a,{n}\0\0b\0".encode("utf-16-le")),
-        "none": Value(0x81, b""),
-        "size4": Value(0x10, pack("<I", n)),
-    }
+    data = [
+        pack("<3h", -(n % 30000), 0, n % 7),
+        pack("<2I", n, 4_294_967_295),
+        f"a,{n}\0\0b\0".encode("utf-16-le"),
+        b"",
+        pack("<I", n),
+    ]
+    return [Value(kind, each) for kind, each in zip(_SIZED.values(), data)]
+
+
+_ODD_DATA = El(
+    "EventData",
+    El("Data", text("first"), Name=text("A")),
+    El("Data", Hole(0)),
+    El("Data", Hole(1), Name=text("A")),
+    El("Binary", Hole(2)),
+)
 
 
-def _odd_data(row) -> El:
+def _odd_data(row) -> Filled:
     """A repeated name, an unnamed Data and the Binary element."""
-    return El(
-        "EventData",
-        El("Data", text("first"), Name=text("A")),
-        El("Data", text(row.props)),
-        El("Data", text(row.cents), Name=text("A")),
-        El("Binary", Value(0x0E, struct.pack(">I", row.record_id))),
-    )
+    binary = Value(0x0E, struct.pack(">I", row.record_id)).standalone()
+    return Filled(_ODD_DATA, [_text_bytes(row.props), _text_bytes(row.cents), binary])
 
 
 def _hostile(writer: ChunkWriter, number: int):
@@ -223,15 +236,25 @@ def _hostile(writer: ChunkWriter, number: int):
     buf.append(0x00)
 
 
-def _write_log(rows: pd.DataFrame, variant: frozenset) -> bytes:
-    rows = rows.sort_values("record_id")
+def _rows(group: pa.Table, order: str) -> list[tuple]:
+    """The rows of one log by their ids."""
+    group = group.sort_by(order)
+    return list(map(namedtuple("Row", group.column_names)._make, zip(*(c.to_pylist() for c in group.columns))))
+
+
+def _file(path: str, log: bytes) -> pa.Table:
+    columns = [pa.array([path], pa.string()), pa.array([len(log)], pa.int64()), pa.array([log], pa.binary())]
+    return pa.table(columns, names=["path", "length", "content"])
+
+
+def _write_log(rows: list[tuple], variant: frozenset) -> bytes:
     templated = "templated" in variant
     shape = _typed if "typed" in variant else _odd_data if "odd_data" in variant else _bodies
     chunks = []
     per_chunk = PER_CHUNK // 3 if "typed" in variant else PER_CHUNK
     for start in range(0, len(rows), per_chunk):
         writer, number = ChunkWriter(), start // per_chunk
-        group = list(rows.iloc[start : start + per_chunk].itertuples(index=False))
+        group = rows[start : start + per_chunk]
         for position, row in enumerate(group):
 
             def content(w, row=row):
@@ -243,7 +266,7 @@ def _write_log(rows: pd.DataFrame, variant: frozenset) -> bytes:
                     _hostile(w, row.record_id // 50)
                 elif templated:
                     w.buf += b"\x0f\x01\x01\x00"
-                    sized = _sized(row).values() if shape is _typed else ()
+                    sized = _sized(row) if shape is _typed else ()
                     w.instance(row.channel, TEMPLATE, [*_instance_values(row, shape(row)), *sized])
                     w.buf.append(0x00)
                 else:
@@ -254,7 +277,7 @@ def _write_log(rows: pd.DataFrame, variant: frozenset) -> bytes:
         chunks.append(writer.finish(start + 1, "bad_checksums" in variant and number % 2 == 1))
     if "unwritten" in variant:
         chunks.append(bytes(65536))
-    log = evtx_file(chunks, int(rows.record_id.iloc[-1]) + 1, flags=1 if "dirty" in variant else 0,
+    log = evtx_file(chunks, rows[-1].record_id + 1, flags=1 if "dirty" in variant else 0,
                     bad_checksum="bad_header" in variant)
     return log[:-30_000] if "cut" in variant else log
 
@@ -271,12 +294,11 @@ def evtx_logs(events: DataFrame, *variant: str) -> DataFrame:
         timestamp_to_filetime("cast(ts as timestamp)").alias("filetime"),
     )
 
-    def encode(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.astype({"user_sid": object}).where(group.notna(), None)
-        log = _write_log(group, options)
-        return pd.DataFrame({"path": [group.path.iloc[0]], "length": [len(log)], "content": [log]})
+    def encode(group: pa.Table) -> pa.Table:
+        rows = _rows(group, "record_id")
+        return _file(rows[0].path, _write_log(rows, options))
 
-    return _spread(rows).groupBy("path").applyInPandas(encode, FILES_SCHEMA)
+    return _spread(rows).groupBy("path").applyInArrow(encode, FILES_SCHEMA)
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -309,9 +331,9 @@ def evt_logs(events: DataFrame, *variant: str) -> DataFrame:
         F.unix_seconds(F.date_trunc("second", F.col("ts").cast("timestamp"))).alias("seconds"),
     )
 
-    def encode(group: pd.DataFrame) -> pd.DataFrame:
-        records = []
-        for row in group.sort_values("event_id").itertuples(index=False):
+    def encode(group: pa.Table) -> pa.Table:
+        rows, records = _rows(group, "event_id"), []
+        for row in rows:
             n = row.event_id
             bad = "bad_signature" in options and n % 100 == 0
             records.append(
@@ -324,11 +346,11 @@ def evt_logs(events: DataFrame, *variant: str) -> DataFrame:
                     0 if bad else 0x654C664C,
                 )
             )
-        first = int(group.event_id.min())
+        first = rows[0].event_id
         log = evt_file(records, first, 2, start=4096, end=48) if "wrapped" in options else evt_file(records, first)
-        return pd.DataFrame({"path": [group.path.iloc[0]], "length": [len(log)], "content": [log]})
+        return _file(rows[0].path, log)
 
-    return _spread(rows).groupBy("path").applyInPandas(encode, FILES_SCHEMA)
+    return _spread(rows).groupBy("path").applyInArrow(encode, FILES_SCHEMA)
 
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:

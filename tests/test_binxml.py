@@ -298,3 +298,77 @@ def test_damaged_bytes_never_break_the_chunk(changes):
     for _, error, nodes in decode(bytes(chunk)):
         assert (error is None) == bool(nodes)
         assert all(isinstance(shown, str) for _, _, _, shown, _ in nodes)
+
+
+def typed_logs(count=40):
+    """Chunks of records with one Data per value type, the last one cut inside."""
+    from collections import namedtuple
+
+    from logquarry.testing.logs import _write_log
+
+    names = "record_id code channel provider level_text computer user_sid cents props k filetime"
+    row = namedtuple("Row", names)
+    rows = [
+        row(n, 4624, "Security", "p", "3", "H", None, str(n * 37), "x" * (n % 5), str(n), FILETIME + n) for n in range(count)
+    ]
+    log = _write_log(rows, frozenset(("templated", "typed")))
+    return [log[at : at + 65536] for at in range(4096, len(log), 65536)]
+
+
+@pytest.mark.parametrize("typed", [False, True])
+def test_fragments_of_one_shape_are_parsed_once_a_chunk(typed, monkeypatch):
+    from logquarry.functions.binxml import ChunkDecoder
+    from logquarry.functions.values import json_of
+
+    def decoded(chunk):
+        nodes, elements = [], []
+        decoder = ChunkDecoder(chunk, nodes, typed)
+        parse = decoder._element
+        decoder._element = lambda *given: elements.append(1) or parse(*given)
+        errors = [decoder.decode(start, end) for _, _, start, end in frame_records(chunk)]
+        return errors, [(*node, json_of(node[3])) for node in nodes], len(elements)
+
+    chunks = typed_logs()
+    found = [decoded(chunk) for chunk in chunks]
+    monkeypatch.setattr(ChunkDecoder, "_fill_shape", lambda self, span, values, frame: self._steps(*span, False))
+    plain = [decoded(chunk) for chunk in chunks]
+    assert [f[:2] for f in found] == [p[:2] for p in plain]
+    assert all(f[2] * 4 < p[2] for f, p in zip(found, plain))
+
+
+@given(st.lists(st.tuples(st.text(max_size=4), st.integers(-128, 127), st.booleans()), min_size=3, max_size=12), st.integers(0, 400))
+@settings(max_examples=60, deadline=None)
+def test_shapes_change_nothing_in_odd_or_damaged_fragments(items, damage):
+    from logquarry.functions.binxml import ChunkDecoder
+
+    def body(value, number, extra):
+        more = [El("X", text(value))] if extra else []
+        return El("D", El("A", text(value), n=text("a")), El("B", Value(0x03, struct.pack("<b", number))), *more)
+
+    shell = El("Event", Slot(0, kind=0x21))
+    chunk = bytearray(chunk_of(*[instance(shell, body(*item)) for item in items]))
+    chunk[512 + damage * 2] ^= damage & 0xFF
+
+    def run():
+        nodes = []
+        decoder = ChunkDecoder(bytes(chunk), nodes)
+        return [decoder.decode(start, end) for _, _, start, end in frame_records(bytes(chunk))], nodes
+
+    found, used = run(), ChunkDecoder._fill_shape
+    ChunkDecoder._fill_shape = lambda self, span, values, frame: self._steps(*span, False)
+    try:
+        assert found == run()
+    finally:
+        ChunkDecoder._fill_shape = used
+
+
+def test_batches_of_decoded_records_are_bounded_by_their_nodes():
+    import pyarrow as pa
+
+    from logquarry.sources import decode as sources
+
+    chunks = pa.array(typed_logs(1200))
+    keep = pa.RecordBatch.from_arrays([pa.array(range(len(chunks)))], names=["chunk_index"])
+    batches = list(sources._decode_chunk_rows(keep, chunks))
+    assert sum(b.num_rows for b in batches) == 1200 and len(batches) > 1
+    assert all(len(b.column("nodes").flatten()) < 20_000 for b in batches)
