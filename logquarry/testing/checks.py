@@ -19,6 +19,8 @@ from ..functions.levels import display_event_id, normalise_level
 from .logs import BLOCK, CHANNELS, event_records, events, evt_logs, evtx_logs, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Log bytes a Python worker gets at once: with Spark's 64 MiB its memory grows with the bytes of a task up to there.
+BATCH_BYTES = "4m"
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -27,6 +29,7 @@ def check(sql: str | None = None):
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
             return function(spark, sf_dir)
 
         QUERIES[function.__name__] = run

@@ -25,3 +25,16 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["event_count"]
+
+
+def test_queries_hand_log_bytes_to_python_in_small_batches(spark):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    QUERIES["a2_event_count_unknown"](spark, SF)
+    chunks = spark.range(0, 400, 1, 1).selectExpr("cast(repeat('x', 65536) as binary) as chunk")
+    found = [row.size for row in chunks.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 400 * 65536 and max(found) < 5 << 20
