@@ -16,6 +16,7 @@ import logquarry as lq
 
 from ..functions.binary import filetime_to_timestamp, hex_encode, timestamp_to_filetime, unix_seconds_to_timestamp
 from ..functions.levels import display_event_id, normalise_level
+from ..sources.files import held
 from .logs import BLOCK, CHANNELS, event_records, events, evt_logs, evtx_logs, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -812,7 +813,8 @@ def e3_mismatched_attribution(spark, sf):
     )
     patterns, _ = lq.expand_patterns(lq.default_catalog(spark), r"C:\Windows")
     host = F.regexp_extract("path", "^/evidence/([^/]+)/", 1)
-    located = lq.locate_logs(planted.select("path"), patterns, evidence=host)
+    # Locating reads its listing more than once: the names are kept, so the logs are not written anew for each.
+    located = lq.locate_logs(held(planted.select("path")), patterns, evidence=host)
     records = lq.read_evtx(planted.join(located, "path"))
     return lq.mismatched_attribution(records).select("path", "record_id", "channel", "definition", "channel_definition")
 

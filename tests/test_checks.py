@@ -38,3 +38,24 @@ def test_queries_hand_log_bytes_to_python_in_small_batches(spark):
     chunks = spark.range(0, 400, 1, 1).selectExpr("cast(repeat('x', 65536) as binary) as chunk")
     found = [row.size for row in chunks.mapInArrow(sizes, "size long").collect()]
     assert sum(found) > 400 * 65536 and max(found) < 5 << 20
+
+
+# Passes over the writer of logs that a query needs: e3 asks for the names of the logs first.
+PASSES = {"e3_mismatched_attribution": 2}
+
+
+@pytest.mark.parametrize("name", list(PASSES))
+def test_logs_are_not_written_more_often_than_needed(spark, con, monkeypatch, tmp_path, name):
+    from logquarry.testing import logs
+
+    write, marks = logs._write_log, str(tmp_path / "marks")
+
+    def noted(rows, variant):
+        with open(marks, "ab") as out:
+            out.write(b".")
+        return write(rows, variant)
+
+    monkeypatch.setattr(logs, "_write_log", noted)
+    QUERIES[name](spark, SF).collect()
+    written = con.sql("SELECT count(*) FROM (SELECT DISTINCT event_id // 3000, event_type FROM events)").fetchall()[0][0]
+    assert (tmp_path / "marks").stat().st_size == PASSES[name] * written
