@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources.decode import chunk_totals, evt_totals
 from ..sources.files import (
     EVTX_CHUNK_SIZE,
     EVTX_HEADER_SIZE,
     EVT_HEADER_SIZE,
-    heads_of,
     range_partitions,
     slot_count,
-    split_chunks,
 )
-from ..sources.headers import evt_log_headers, evtx_log_headers, examine, readable_evt, readable_evtx, slot_states
+from ..sources.headers import evt_log_headers, evtx_log_headers, examine, readable_evt, slot_states
 from ..sources.units import log_ranges, slot_totals
 
 
@@ -24,38 +22,47 @@ def audit_slots(heads: DataFrame, slots: DataFrame) -> DataFrame:
     The decode pass returns two numbers per chunk, which are summed on the map side first.
     """
     states = slot_states(slots.select("path", "chunk_index", "chunk"))
+    return _declared_against(heads, _counted(states).groupBy("path").agg(*_slot_sums()))
+
+
+def _counted(states: DataFrame) -> DataFrame:
     # Slots never written travel without their bytes: they hold no records.
-    totals = chunk_totals(
-        states.withColumn("chunk", F.when(F.col("is_written"), F.col("chunk")).otherwise(F.lit(b"")))
-    )
-    per_log = totals.groupBy("path").agg(
+    return chunk_totals(states.withColumn("chunk", F.when(F.col("is_written"), F.col("chunk")).otherwise(F.lit(b""))))
+
+
+def _slot_sums() -> list[Column]:
+    return [
         F.count_if("is_written").alias("slots_parsed"),
         F.count_if(~F.col("is_written")).alias("slots_skipped"),
         F.sum("records").alias("records"),
         F.sum("decode_errors").alias("decode_errors"),
-    )
-    return _declared_against(heads, per_log)
+    ]
 
 
 _COUNTED = ("slots_parsed", "slots_skipped", "records", "decode_errors")
 
 
-def _declared_against(heads: DataFrame, per_log: DataFrame) -> DataFrame:
-    declared = evtx_log_headers(heads)
+def _declared(headers: DataFrame, *carried: str) -> DataFrame:
     length = F.col("length")
     tail = F.pmod(length - EVTX_HEADER_SIZE, F.lit(EVTX_CHUNK_SIZE))
-    logs = declared.select(
+    return headers.select(
         "path",
         F.col("chunk_count").alias("chunk_count_declared"),
         slot_count(length).alias("slots_by_length"),
         tail.alias("truncated_bytes"),
         "is_dirty",
         "is_full",
+        *carried,
     )
-    joined = logs.join(per_log, "path", "left")
-    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in _COUNTED}).withColumn(
-        "is_incomplete", F.col("chunk_count_declared") > F.col("slots_parsed")
-    )
+
+
+def _declared_against(heads: DataFrame, per_log: DataFrame) -> DataFrame:
+    joined = _declared(evtx_log_headers(heads)).join(per_log, "path", "left")
+    return _with_incomplete(joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in _COUNTED}))
+
+
+def _with_incomplete(audit: DataFrame) -> DataFrame:
+    return audit.withColumn("is_incomplete", F.col("chunk_count_declared") > F.col("slots_parsed"))
 
 
 def audit_stored(heads: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -70,8 +77,18 @@ def audit_stored(heads: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def log_audit(files: DataFrame) -> DataFrame:
-    """Audit of the evtx logs among in-memory ``files``."""
-    return audit_slots(heads_of(files), split_chunks(readable_evtx(files)))
+    """Audit of the evtx logs among in-memory ``files``, in one pass over them: what a log declares follows its slots. A
+    log without any has one empty slot that counts nowhere."""
+    logs = _declared(evtx_log_headers(files.withColumn("_bytes", F.col("content"))), "_bytes")
+    declared = [c for c in logs.columns if c != "_bytes"]
+    last = F.greatest(F.col("slots_by_length"), F.lit(1)) - 1
+    slots = logs.select(*declared, "_bytes", F.explode(F.sequence(F.lit(0), last)).alias("chunk_index"))
+    start = F.col("chunk_index") * EVTX_CHUNK_SIZE + (EVTX_HEADER_SIZE + 1)
+    chunk = F.substring("_bytes", start, F.lit(EVTX_CHUNK_SIZE))
+    states = slot_states(slots.select(*declared, chunk.alias("chunk"))).withColumn(
+        "is_written", F.when(F.col("slots_by_length") > 0, F.col("is_written"))
+    )
+    return _with_incomplete(_counted(states).groupBy(*declared).agg(*_slot_sums()))
 
 
 def evt_audit(files: DataFrame) -> DataFrame:
