@@ -321,9 +321,11 @@ def s8_frame_records_until_broken(spark, sf):
 SELECT 'evtx' AS format, path, chunk_index, record_index, record_id, event_id, "timestamp", channel, level FROM ev
 UNION ALL SELECT 'evt', path, 0, record_index, record_id, event_id, "timestamp", channel, level FROM evt""")
 def s9_log_files_union(spark, sf):
-    """One DataFrame over both formats; the files that are no logs do not stop the others."""
-    files = mixed_files(spark, sf)
-    return both_formats(lq.log_files_union(lq.read_evtx(files), lq.read_evt(files)))
+    """One DataFrame over both formats; the files that are no logs do not stop the others. Each format reads all files,
+    so they are stored first."""
+    files = lq.read_logs(spark, stored(spark, mixed_files(spark, sf)))
+    records = lq.log_files_union(lq.read_evtx(files), lq.read_evt(files))
+    return both_formats(records.withColumn("path", below(F.col("path"))))
 
 
 def both_formats(records: DataFrame) -> DataFrame:
@@ -1054,8 +1056,10 @@ def t1_stream_hidden_names(spark, sf):
 @check(EV_RECORDS)
 def t1_stream_growing_logs(spark, sf):
     """Logs whose last chunks are written after a first run: every record arrives once."""
-    files, target = evtx_logs(events(spark, sf), "templated"), scratch(spark)
-    folder = scratch(spark)
+    files = lq.read_logs(spark, stored(spark, evtx_logs(events(spark, sf), "templated"))).select(
+        below(F.col("path")).alias("path"), "content"
+    )
+    folder, target = scratch(spark), scratch(spark)
     half = F.expr("4096 + 65536 * ((octet_length(content) - 4096) div 65536 div 2)")
     for content in (F.substring("content", F.lit(1), half.cast("int")), F.col("content")):
         write_files(files.withColumn("content", content), folder).count()

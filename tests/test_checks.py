@@ -41,7 +41,7 @@ def test_queries_hand_log_bytes_to_python_in_small_batches(spark):
 
 
 # Passes over the writer of logs that a query needs: e3 asks for the names of the logs first.
-PASSES = {"e3_mismatched_attribution": 2, "h6_log_audit": 1}
+PASSES = {"e3_mismatched_attribution": 2, "h6_log_audit": 1, "s9_log_files_union": 1, "t1_stream_growing_logs": 1}
 
 
 @pytest.mark.parametrize("name", list(PASSES))
