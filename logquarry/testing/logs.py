@@ -109,46 +109,71 @@ TEMPLATE = El(
 )
 
 
-def _text_bytes(value: str) -> bytes:
-    return text(value).standalone()
+class Known(dict):
+    """The texts of one log as values, each made once."""
+
+    def __missing__(self, value: str) -> Value:
+        self[value] = made = text(value)
+        return made
+
+
+class KnownBytes(dict):
+    """The same as bytes with the type code ahead."""
+
+    def __missing__(self, value: str) -> bytes:
+        self[value] = made = text(value).standalone()
+        return made
 
 
 _BODIES = El("EventData", El("Data", Hole(0), Name=text("cents")), El("Data", Hole(1), Name=text("props")))
 
 
-def _bodies(row) -> Filled:
-    return Filled(_BODIES, [_text_bytes(row.cents), _text_bytes(row.props)])
+def _bodies(row, texts: KnownBytes) -> Filled:
+    return Filled(_BODIES, [texts[row.cents], texts[row.props]])
 
 
-def _plain(row, event_data: Filled) -> El:
-    security = {} if row.user_sid is None else {"UserID": text(row.user_sid)}
+def _plain_document(body: El, first: int, **security) -> El:
+    """A whole event around its data; ``first`` is the number of its first own value."""
+    provider, code, level, channel, computer, k = map(Hole, range(first, first + 6))
     return El(
         "Event",
         El(
             "System",
-            El("Provider", Name=text(row.provider)),
-            El("EventID", text(str(row.code))),
-            El("Level", text(row.level_text)),
-            El("Channel", text(row.channel)),
-            El("Computer", text(row.computer)),
+            El("Provider", Name=provider),
+            El("EventID", code),
+            El("Level", level),
+            El("Channel", channel),
+            El("Computer", computer),
             El("Security", **security),
         ),
-        event_data,
-        El("UserData", El("EventXML", El("K", text(row.k)))),
+        body,
+        El("UserData", El("EventXML", El("K", k))),
     )
 
 
-def _instance_values(row, event_data: Filled) -> list:
+def _plain_documents(body: El, first: int) -> tuple[El, El]:
+    """Without and with a user."""
+    return _plain_document(body, first), _plain_document(body, first, UserID=Hole(first + 6))
+
+
+def _plain(row, event_data: Filled, documents: tuple[El, El], texts: KnownBytes) -> Filled:
+    values = [row.provider, str(row.code), row.level_text, row.channel, row.computer, row.k]
+    if row.user_sid is not None:
+        values.append(row.user_sid)
+    return Filled(documents[row.user_sid is not None], [*event_data.values, *[texts[v] for v in values]])
+
+
+def _instance_values(row, event_data: Filled, texts: Known) -> list:
     sid = Value(0x00) if row.user_sid is None else Value(0x13, sid_bytes(row.user_sid))
     return [
-        text(row.provider),
-        Value(0x06, struct.pack("<H", row.code)),
+        texts[row.provider],
+        Value(0x06, row.code.to_bytes(2, "little")),
         Value(0x04, bytes([int(row.level_text)])),
-        text(row.channel),
-        text(row.computer),
+        texts[row.channel],
+        texts[row.computer],
         sid,
         event_data,
-        text(row.k),
+        texts[row.k],
     ]
 
 
@@ -164,7 +189,7 @@ _TYPED = El(
 )
 
 
-def _typed(row) -> Filled:
+def _typed(row, _texts: KnownBytes) -> Filled:
     """One Data per value type, all derived from the record id and its time."""
     n, pack, ansi = row.record_id, struct.pack, row.props.encode()
     return Filled(_TYPED, [
@@ -213,10 +238,16 @@ _ODD_DATA = El(
 )
 
 
-def _odd_data(row) -> Filled:
+def _odd_data(row, texts: KnownBytes) -> Filled:
     """A repeated name, an unnamed Data and the Binary element."""
     binary = Value(0x0E, struct.pack(">I", row.record_id)).standalone()
-    return Filled(_ODD_DATA, [_text_bytes(row.props), _text_bytes(row.cents), binary])
+    return Filled(_ODD_DATA, [texts[row.props], texts[row.cents], binary])
+
+
+# Whole events around their data: the document without a user, and with one.
+_PLAIN_BODIES, _PLAIN_TYPED, _PLAIN_ODD = (
+    _plain_documents(body, count) for body, count in ((_BODIES, 2), (_TYPED, len(_INLINE)), (_ODD_DATA, 3))
+)
 
 
 def _hostile(writer: ChunkWriter, number: int):
@@ -239,7 +270,14 @@ def _hostile(writer: ChunkWriter, number: int):
 def _rows(group: pa.Table, order: str) -> list[tuple]:
     """The rows of one log by their ids."""
     group = group.sort_by(order)
-    return list(map(namedtuple("Row", group.column_names)._make, zip(*(c.to_pylist() for c in group.columns))))
+    return list(map(namedtuple("Row", group.column_names)._make, zip(*map(_items, group.columns))))
+
+
+def _items(column: pa.ChunkedArray) -> list:
+    # Integers with a null among them would become floats.
+    if column.null_count and not pa.types.is_string(column.type):
+        return column.to_pylist()
+    return column.to_numpy().tolist()
 
 
 def _file(path: str, log: bytes) -> pa.Table:
@@ -249,7 +287,12 @@ def _file(path: str, log: bytes) -> pa.Table:
 
 def _write_log(rows: list[tuple], variant: frozenset) -> bytes:
     templated = "templated" in variant
-    shape = _typed if "typed" in variant else _odd_data if "odd_data" in variant else _bodies
+    shape, documents = _bodies, _PLAIN_BODIES
+    if "typed" in variant:
+        shape, documents = _typed, _PLAIN_TYPED
+    elif "odd_data" in variant:
+        shape, documents = _odd_data, _PLAIN_ODD
+    texts, values = KnownBytes(), Known()
     chunks = []
     per_chunk = PER_CHUNK // 3 if "typed" in variant else PER_CHUNK
     for start in range(0, len(rows), per_chunk):
@@ -267,10 +310,10 @@ def _write_log(rows: list[tuple], variant: frozenset) -> bytes:
                 elif templated:
                     w.buf += b"\x0f\x01\x01\x00"
                     sized = _sized(row) if shape is _typed else ()
-                    w.instance(row.channel, TEMPLATE, [*_instance_values(row, shape(row)), *sized])
+                    w.instance(row.channel, TEMPLATE, [*_instance_values(row, shape(row, texts), values), *sized])
                     w.buf.append(0x00)
                 else:
-                    w.fragment(_plain(row, shape(row)))
+                    w.fragment(_plain(row, shape(row, texts), documents, texts))
 
             broken = "broken_frames" in variant and number == 1 and position == len(group) - 1
             writer.record(row.record_id, row.filetime, content, broken)

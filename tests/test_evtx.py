@@ -226,3 +226,29 @@ def test_typed_values(spark):
     wrong = records.select(*[lq.typed_value("t", k).alias(k) for k in ("signed", "unsigned", "float", "bool", "binary", "date")])
     assert set(wrong.first()) == {None}
     assert records.select(lq.typed_value("it's", "text").alias("v")).first().v is None
+
+
+def test_plain_logs_are_written_from_the_bytes_between_their_values(monkeypatch):
+    from collections import namedtuple
+
+    from logquarry.testing import logs
+
+    names = "record_id filetime code channel provider level_text computer user_sid cents props k"
+    row, calls, element = namedtuple("Row", names), [], ChunkWriter.element
+    rows = [
+        row(n, 10**17 + n, 4624, "System", f"provider-{'x' * (n % 3)}", "4", f"HOST{n}", f"S-1-5-21-{n}" if n % 11 else None, str(7**(n % 9)), "{}", "1")
+        for n in range(1, 61)
+    ]
+    monkeypatch.setattr(ChunkWriter, "element", lambda *given, **named: (calls.append(1), element(*given, **named)))
+    for variant in ((), ("odd_data",), ("templated",)):
+        calls.clear()
+        log = logs._write_log(rows, frozenset(variant))
+        assert len(calls) < 100
+
+        def whole(self, part):
+            self.values, self.cuts = part.values, []
+            self.element(part.document)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(ChunkWriter, "filled", whole)
+            assert logs._write_log(rows, frozenset(variant)) == log
