@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.binary import FILETIME_EPOCH_MICROS
+from ..functions.layouts import BINARY as _BINARY, DATA as _DATA, SYSTEM as _SYSTEM, USER_DATA as _USER_DATA
 from ..functions.levels import level_sql, parse_unsigned_sql
-from ..sources.units import SYSTEM_FIELDS, TEXT
+from ..sources.decode import SYSTEM_FIELDS, TEXT
 
 RECORD_COLUMNS = [
     "record_id", "event_id", "timestamp", "filetime", "provider", "channel", "computer", "level",
@@ -20,11 +21,6 @@ RECORD_COLUMNS = [
     "file_checksum_valid", "chunk_checksum_valid", "decode_error",
 ]
 
-_SYSTEM = "Event[0]/System[0]/"
-_DATA = "Event[0]/EventData[0]/Data["
-_BINARY = "Event[0]/EventData[0]/Binary[0]"
-_USER_DATA = "Event[0]/UserData[0]/"
-
 
 def _node(element: str, attribute: str | None) -> str:
     """Text or attribute of one System child; NULL if there is none. Compiles to one array lookup."""
@@ -143,6 +139,13 @@ def map_event(decoded: DataFrame) -> DataFrame:
     return mapped.drop("nodes", "_pairs")
 
 
+def map_data(decoded: DataFrame) -> DataFrame:
+    """As ``map_event`` of records decoded ``typed``, from those of ``decode_data``."""
+    columns = _system_columns(lambda field: f"`{TEXT}{field}`") | _EVTX_NULLS
+    columns["typed_data"] = "map_from_arrays(map_keys(data), transform(json, v -> parse_json(v)))"
+    return _with_sql(decoded, columns).drop("json", *[TEXT + f for f in SYSTEM_FIELDS])
+
+
 _EVT_COLUMNS = {
     "chunk_index": "0",
     "record_id": "evt.record_number",

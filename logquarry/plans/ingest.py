@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..operators.enrich import enrich
 from ..operators.query import count_matching
-from ..operators.mapping import RECORD_COLUMNS, map_event, map_evt, map_texts, map_units, record_columns
+from ..operators.mapping import RECORD_COLUMNS, map_data, map_event, map_evt, map_texts, map_units, record_columns
 from ..sources.catalog import bodies_of_evidence, expand_patterns, locate_logs
-from ..sources.decode import decode_chunks, decode_evt, decode_units
+from ..sources.decode import decode_chunks, decode_data, decode_evt, decode_units
 from ..sources.files import (
     given_paths,
     held,
@@ -44,8 +44,9 @@ def records_of_chunks(chunks: DataFrame, typed: bool = False) -> DataFrame:
     """Records of evtx chunks. ``chunks`` has path, format, file_checksum_valid, chunk_index, chunk
     and whatever else should follow each record. ``typed`` adds ``typed_data``, see ``map_event``."""
     flagged = flag_integrity(chunks).drop("length", "modificationTime")
-    added = ["typed_data"] if typed else []
-    return record_columns(map_event(decode_chunks(flagged, typed)), [*_carried(flagged), *added])
+    if typed:
+        return record_columns(map_data(decode_data(flagged)), [*_carried(flagged), "typed_data"])
+    return record_columns(map_event(decode_chunks(flagged)), _carried(flagged))
 
 
 def read_evtx(files: DataFrame, typed: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.binxml import ChunkDecoder, frame_records
 from ..functions.evtrecords import Window, evt_records, log_bounds, walk
+from ..functions.layouts import SYSTEM, DataDecoder, Known
 from ..functions.values import json_of
 from .storage import open_file, read_range, repeat_rows
 
@@ -33,6 +34,16 @@ RECORD_FIELDS = [
     T.StructField("record_id", T.LongType()),
     T.StructField("filetime", T.LongType()),
 ]
+#: System fields that can be read by themselves: column, element, attribute.
+SYSTEM_FIELDS = {
+    "event_id": ("EventID", None),
+    "channel": ("Channel", None),
+    "computer": ("Computer", None),
+    "level": ("Level", None),
+    "provider": ("Provider", "Name"),
+    "user_sid": ("Security", "UserID"),
+}
+TEXT = "_text_"  # prefix of the columns that hold their texts
 DECODED_FIELDS = [
     T.StructField("nodes", NODE_TYPE),
     T.StructField("decode_error", T.StringType()),
@@ -101,12 +112,7 @@ def _decode_chunk_rows(keep: pa.RecordBatch, chunks: pa.Array, typed: bool = Fal
         chunk = chunks[row].as_py()
         decoder = ChunkDecoder(chunk, nodes, typed)
         for index, (record_id, ticks, start, end) in enumerate(frame_records(chunk)):
-            error = decoder.decode(start, end)
-            if record_id > _LARGEST_SIGNED or ticks > _LARGEST_SIGNED:
-                error = error or f"header value out of range: id {record_id}, time {ticks}"
-                record_id = record_id if record_id <= _LARGEST_SIGNED else None
-                ticks = ticks if ticks <= _LARGEST_SIGNED else None
-            found.append((row, index, record_id, ticks, error))
+            found.append((row, *_header(index, record_id, ticks, decoder.decode(start, end))))
             offsets.append(len(nodes))
             size += decoder.work_done
             if len(found) >= _ROWS_PER_BATCH or len(nodes) >= _NODES_PER_BATCH or size > _WORK_PER_BATCH:
@@ -183,6 +189,66 @@ def decode_chunks(chunks: DataFrame, typed: bool = False) -> DataFrame:
     return chunks.mapInArrow(run, T.StructType([*carried, *RECORD_FIELDS, *DECODED_FIELDS, *added]))
 
 
+def decode_data(chunks: DataFrame) -> DataFrame:
+    """Records of chunks as ``decode_chunks`` gives them, with what ``map_event`` asks of their nodes instead of these: the
+    texts of the System fields, ``data``, and ``json``, the JSON forms of its values in the same order."""
+    carried = _carried(chunks, "chunk")
+    names = [f.name for f in carried]
+    fields = [(f"{SYSTEM}{element}[0]", attribute) for element, attribute in SYSTEM_FIELDS.values()]
+    added = [
+        *RECORD_FIELDS,
+        T.StructField("decode_error", T.StringType()),
+        *[T.StructField(TEXT + f, T.StringType()) for f in SYSTEM_FIELDS],
+        T.StructField("data", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("json", T.ArrayType(T.StringType())),
+    ]
+    kinds = [to_arrow_type(f.dataType) for f in added[:-2]]
+
+    def decoded(keep: pa.RecordBatch, chunks: pa.Array, known: Known):
+        found, offsets, size = [], [0], 0
+        data = keys, texts, jsons = [], [], []
+
+        def flush():
+            rows, *columns = zip(*found)
+            columns = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+            starts, items = pa.array(offsets, pa.int32()), pa.array(keys, _TEXT)
+            columns.append(pa.MapArray.from_arrays(starts, items, pa.array(texts, _TEXT)))
+            columns.append(pa.ListArray.from_arrays(starts, pa.array(jsons, _TEXT)))
+            return pa.RecordBatch.from_arrays([*repeat_rows(keep, rows), *columns], [*names, *[f.name for f in added]])
+
+        for row in range(len(chunks)):
+            chunk = chunks[row].as_py()
+            decoder = DataDecoder(chunk, fields, known, *data)
+            for index, (record_id, ticks, start, end) in enumerate(frame_records(chunk)):
+                system, error = decoder.record(start, end)
+                found.append((row, *_header(index, record_id, ticks, error), *system))
+                offsets.append(len(keys))
+                size += decoder.work_done
+                if len(found) >= _ROWS_PER_BATCH or len(keys) >= _NODES_PER_BATCH or size > _WORK_PER_BATCH:
+                    yield flush()
+                    for items in data:
+                        items.clear()
+                    found, offsets, size = [], [0], 0
+        if found:
+            yield flush()
+
+    def run(batches):
+        known = Known()
+        for batch in batches:
+            yield from decoded(batch.select(names), batch.column("chunk"), known)
+
+    return chunks.mapInArrow(run, T.StructType([*carried, *added]))
+
+
+def _header(index: int, record_id: int, ticks: int, error: str | None) -> tuple:
+    """Position, id, time and error of a record; ids and times that a column can't hold are none."""
+    if record_id > _LARGEST_SIGNED or ticks > _LARGEST_SIGNED:
+        error = error or f"header value out of range: id {record_id}, time {ticks}"
+        record_id = record_id if record_id <= _LARGEST_SIGNED else None
+        ticks = ticks if ticks <= _LARGEST_SIGNED else None
+    return index, record_id, ticks, error
+
+
 def decode_units(units: DataFrame) -> DataFrame:
     """Both formats in one pass: chunks of evtx files and whole evt files, both in ``chunk``, told apart
     by ``format``. Gives the columns of ``decode_chunks`` and ``evt``; each format leaves the other's NULL.

@@ -19,24 +19,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.binxml import ChunkDecoder, frame_records
 from ..functions.evtrecords import Window, chains, log_bounds, walk
-from .decode import DECODED_FIELDS, EVT_TYPE, RECORD_FIELDS, evt_struct, node_array
+from .decode import DECODED_FIELDS, EVT_TYPE, RECORD_FIELDS, SYSTEM_FIELDS, TEXT, evt_struct, node_array
 from .files import EVTX_CHUNK_SIZE, EVTX_HEADER_SIZE, RANGE_CHUNKS, range_partitions, slot_count
 from .headers import CHUNK_HEADER_SIZE, EVTX_CHUNK_MAGIC_HEX
 from .storage import FileCursor, repeat_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: System fields that can be read by themselves: column, element, attribute.
-SYSTEM_FIELDS = {
-    "event_id": ("EventID", None),
-    "channel": ("Channel", None),
-    "computer": ("Computer", None),
-    "level": ("Level", None),
-    "provider": ("Provider", "Name"),
-    "user_sid": ("Security", "UserID"),
-}
-TEXT = "_text_"  # prefix of the columns that hold their texts
-
 _STEP_CHUNKS = 64  # read at once
 _ROWS_PER_BATCH = 4096
 _WORK_PER_BATCH = 1 << 26
