@@ -17,7 +17,7 @@ import logquarry as lq
 from ..functions.binary import filetime_to_timestamp, hex_encode, timestamp_to_filetime, unix_seconds_to_timestamp
 from ..functions.levels import display_event_id, normalise_level
 from ..sources.files import held
-from .logs import BLOCK, CHANNELS, event_records, events, evt_logs, evtx_logs, write_files
+from .logs import BLOCK, CHANNELS, event_records, events, evt_logs, evtx_logs, grow_files, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Log bytes a Python worker gets at once: with Spark's 64 MiB its memory grows with the bytes of a task up to there.
@@ -1055,14 +1055,28 @@ def t1_stream_hidden_names(spark, sf):
 
 @check(EV_RECORDS)
 def t1_stream_growing_logs(spark, sf):
-    """Logs whose last chunks are written after a first run: every record arrives once."""
-    files = lq.read_logs(spark, stored(spark, evtx_logs(events(spark, sf), "templated"))).select(
-        below(F.col("path")).alias("path"), "content"
+    """Logs whose last chunks are written after a first run: every record arrives once. Logs are written once, in two
+    parts: what they grow by waits in a folder named by its place in them."""
+    base, target = scratch(spark), scratch(spark)
+    folder, later = f"{base}/drop", f"{base}/later"
+    logs = evtx_logs(events(spark, sf), "templated").withColumn(
+        "at", F.expr("cast(4096 + 65536 * ((octet_length(content) - 4096) div 65536 div 2) as int)")
     )
-    folder, target = scratch(spark), scratch(spark)
-    half = F.expr("4096 + 65536 * ((octet_length(content) - 4096) div 65536 div 2)")
-    for content in (F.substring("content", F.lit(1), half.cast("int")), F.col("content")):
-        write_files(files.withColumn("content", content), folder).count()
+    parts = logs.select(F.expr("""inline(array(
+      struct('/drop' || path as path, substring(content, 1, at) as content),
+      struct('/later/' || at || path as path, substring(content, at + 1) as content)))"""))
+
+    def ingest():
         for query in lq.stream_logs(lq.watch_logs(spark, folder, target + "/seen"), target, target + "/checkpoint"):
             query.awaitTermination()
+
+    write_files(parts, base).count()
+    ingest()
+    growth = lq.read_logs(spark, later).select(
+        below(F.col("path")).alias("path"),
+        F.regexp_extract("path", "/later/([0-9]+)/evidence/", 1).cast("int").alias("at"),
+        "content",
+    )
+    grow_files(growth, folder).count()
+    ingest()
     return plain(spark.read.parquet(target + "/records"))

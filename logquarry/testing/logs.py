@@ -7,12 +7,13 @@ import sys
 from collections import namedtuple
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.binary import timestamp_to_filetime
 from ..functions.levels import normalise_level
-from ..sources.storage import resolve
+from ..sources.storage import open_file, read_range, resolve
 from .writer import ChunkWriter, El, Filled, Hole, Slot, Value, evt_file, evt_record, evtx_file, sid_bytes, text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,6 +27,8 @@ CHANNELS = {
     "purchase": "Microsoft-Windows-Sysmon/Operational",
     "signup": "Windows PowerShell",
 }
+_BLOCK = 4096  # of local file systems
+_ZEROS = bytes(_BLOCK)
 FILES_SCHEMA = "path string, length bigint, content binary"
 
 
@@ -404,11 +407,48 @@ def write_files(files: DataFrame, folder: str) -> DataFrame:
             written = []
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 target = f"{folder.rstrip('/')}/{path.lstrip('/')}"
-                system, location = resolve(target)
-                system.create_dir(location.rpartition("/")[0], recursive=True)
-                with system.open_output_stream(location) as out:
-                    out.write(content.as_buffer())
+                _write_file(target, content.as_buffer())
                 written.append(target)
             yield pa.RecordBatch.from_arrays([pa.array(written, pa.string())], names=["path"])
 
     return files.select("path", "content").mapInArrow(run, "path string")
+
+
+def grow_files(parts: DataFrame, folder: str) -> DataFrame:
+    """Puts ``content`` behind the first ``at`` bytes of the files under ``folder`` and lists them. A file is replaced as
+    a whole, from a folder beside it, so a task may run again."""
+
+    def run(batches):
+        for batch in batches:
+            grown = []
+            for path, at, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                target, made = (f"{place.rstrip('/')}/{path.lstrip('/')}" for place in (folder, f"{folder.rstrip('/')}-growing"))
+                with open_file(target) as file:
+                    first = read_range(file, 0, at)
+                if len(first) < at:
+                    raise OSError(f"{target} has {len(first)} bytes of {at}")
+                _write_file(made, first + content.as_py())
+                resolve(target)[0].move(resolve(made)[1], resolve(target)[1])
+                grown.append(target)
+            yield pa.RecordBatch.from_arrays([pa.array(grown, pa.string())], names=["path"])
+
+    return parts.select("path", "at", "content").mapInArrow(run, "path string")
+
+
+def _write_file(target: str, content):
+    """Chunks are zeros behind their last record. Local files leave out whole blocks of these, so they take no disk."""
+    system, location = resolve(target)
+    system.create_dir(location.rpartition("/")[0], recursive=True)
+    if not isinstance(system, fs.LocalFileSystem):
+        with system.open_output_stream(location) as out:
+            out.write(content)
+        return
+    data, start = bytes(content), 0
+    with open(location, "wb") as out:
+        for at in range(0, len(data) + _BLOCK, _BLOCK):
+            if at >= len(data) or data.startswith(_ZEROS, at):
+                if start < at:
+                    out.seek(start)
+                    out.write(data[start:at])
+                start = at + _BLOCK
+        out.truncate(len(data))
