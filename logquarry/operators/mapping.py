@@ -142,8 +142,10 @@ def map_event(decoded: DataFrame) -> DataFrame:
 def map_data(decoded: DataFrame) -> DataFrame:
     """As ``map_event`` of records decoded ``typed``, from those of ``decode_data``."""
     columns = _system_columns(lambda field: f"`{TEXT}{field}`") | _EVTX_NULLS
-    columns["typed_data"] = "map_from_arrays(map_keys(data), transform(json, v -> parse_json(v)))"
-    return _with_sql(decoded, columns).drop("json", *[TEXT + f for f in SYSTEM_FIELDS])
+    # An array is parsed at once; its items are the same as if each was parsed by itself.
+    values = "if(jsons is null, cast(parse_json(json) as array<variant>), transform(jsons, v -> parse_json(v)))"
+    columns["typed_data"] = f"map_from_arrays(map_keys(data), {values})"
+    return _with_sql(decoded, columns).drop("json", "jsons", *[TEXT + f for f in SYSTEM_FIELDS])
 
 
 _EVT_COLUMNS = {

@@ -69,6 +69,7 @@ _ROWS_PER_BATCH = 4096
 _NODES_PER_BATCH = 1 << 14
 _WORK_PER_BATCH = 1 << 26  # bounds the memory of a batch of unusually large records
 _BYTES_PER_BATCH = 1 << 25
+_WORK_OF_ARRAY = 1 << 20  # a VARIANT has 16 MiB, and JSON at most six characters for one
 _LARGEST_SIGNED = (1 << 63) - 1
 
 
@@ -191,7 +192,8 @@ def decode_chunks(chunks: DataFrame, typed: bool = False) -> DataFrame:
 
 def decode_data(chunks: DataFrame) -> DataFrame:
     """Records of chunks as ``decode_chunks`` gives them, with what ``map_event`` asks of their nodes instead of these: the
-    texts of the System fields, ``data``, and ``json``, the JSON forms of its values in the same order."""
+    texts of the System fields, ``data``, and the JSON forms of its values in the same order: as one array in ``json``, or, where
+    that would be large, each by itself in ``jsons``."""
     carried = _carried(chunks, "chunk")
     names = [f.name for f in carried]
     fields = [(f"{SYSTEM}{element}[0]", attribute) for element, attribute in SYSTEM_FIELDS.values()]
@@ -200,20 +202,22 @@ def decode_data(chunks: DataFrame) -> DataFrame:
         T.StructField("decode_error", T.StringType()),
         *[T.StructField(TEXT + f, T.StringType()) for f in SYSTEM_FIELDS],
         T.StructField("data", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("json", T.ArrayType(T.StringType())),
+        T.StructField("json", T.StringType()),
+        T.StructField("jsons", T.ArrayType(T.StringType())),
     ]
-    kinds = [to_arrow_type(f.dataType) for f in added[:-2]]
+    kinds = [to_arrow_type(f.dataType) for f in added[:-3]]
 
     def decoded(keep: pa.RecordBatch, chunks: pa.Array, known: Known):
         found, offsets, size = [], [0], 0
         data = keys, texts, jsons = [], [], []
+        arrays, singles = [], []
 
         def flush():
             rows, *columns = zip(*found)
             columns = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
-            starts, items = pa.array(offsets, pa.int32()), pa.array(keys, _TEXT)
-            columns.append(pa.MapArray.from_arrays(starts, items, pa.array(texts, _TEXT)))
-            columns.append(pa.ListArray.from_arrays(starts, pa.array(jsons, _TEXT)))
+            items = pa.array(keys, _TEXT), pa.array(texts, _TEXT)
+            columns.append(pa.MapArray.from_arrays(pa.array(offsets, pa.int32()), *items))
+            columns += pa.array(arrays, _TEXT), pa.array(singles, pa.list_(_TEXT))
             return pa.RecordBatch.from_arrays([*repeat_rows(keep, rows), *columns], [*names, *[f.name for f in added]])
 
         for row in range(len(chunks)):
@@ -224,9 +228,13 @@ def decode_data(chunks: DataFrame) -> DataFrame:
                 found.append((row, *_header(index, record_id, ticks, error), *system))
                 offsets.append(len(keys))
                 size += decoder.work_done
+                small = decoder.work_done < _WORK_OF_ARRAY
+                arrays.append(f"[{','.join(jsons)}]" if small else None)
+                singles.append(None if small else jsons.copy())
+                jsons.clear()
                 if len(found) >= _ROWS_PER_BATCH or len(keys) >= _NODES_PER_BATCH or size > _WORK_PER_BATCH:
                     yield flush()
-                    for items in data:
+                    for items in (*data, arrays, singles):
                         items.clear()
                     found, offsets, size = [], [0], 0
         if found:

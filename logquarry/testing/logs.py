@@ -120,6 +120,14 @@ class Known(dict):
         return made
 
 
+class KnownSids(dict):
+    """The same of users."""
+
+    def __missing__(self, value: str) -> Value:
+        self[value] = made = Value(0x13, sid_bytes(value))
+        return made
+
+
 class KnownBytes(dict):
     """The same as bytes with the type code ahead."""
 
@@ -166,8 +174,8 @@ def _plain(row, event_data: Filled, documents: tuple[El, El], texts: KnownBytes)
     return Filled(documents[row.user_sid is not None], [*event_data.values, *[texts[v] for v in values]])
 
 
-def _instance_values(row, event_data: Filled, texts: Known) -> list:
-    sid = Value(0x00) if row.user_sid is None else Value(0x13, sid_bytes(row.user_sid))
+def _instance_values(row, event_data: Filled, texts: Known, sids: KnownSids) -> list:
+    sid = Value(0x00) if row.user_sid is None else sids[row.user_sid]
     return [
         texts[row.provider],
         Value(0x06, row.code.to_bytes(2, "little")),
@@ -192,6 +200,9 @@ _TYPED = El(
 )
 
 
+_AUTHORITY = (5).to_bytes(6, "big")
+
+
 def _typed(row, _texts: KnownBytes) -> Filled:
     """One Data per value type, all derived from the record id and its time."""
     n, pack, ansi = row.record_id, struct.pack, row.props.encode()
@@ -211,7 +222,7 @@ def _typed(row, _texts: KnownBytes) -> Filled:
         pack("<BIHH8s", 0x0F, n, n % 65536, 7, bytes(range(8))),
         pack("<BQ", 0x10, n),
         pack("<BQ", 0x11, row.filetime),
-        b"\x13" + sid_bytes(f"S-1-5-21-{n}"),
+        pack("<BBB6sII", 0x13, 1, 2, _AUTHORITY, 21, n),
         pack("<BI", 0x14, n),
         pack("<BQ", 0x15, n),
         pack("<BH", 0x02, len(ansi)) + ansi,
@@ -295,7 +306,7 @@ def _write_log(rows: list[tuple], variant: frozenset) -> bytes:
         shape, documents = _typed, _PLAIN_TYPED
     elif "odd_data" in variant:
         shape, documents = _odd_data, _PLAIN_ODD
-    texts, values = KnownBytes(), Known()
+    texts, values, sids = KnownBytes(), Known(), KnownSids()
     chunks = []
     per_chunk = PER_CHUNK // 3 if "typed" in variant else PER_CHUNK
     for start in range(0, len(rows), per_chunk):
@@ -313,7 +324,7 @@ def _write_log(rows: list[tuple], variant: frozenset) -> bytes:
                 elif templated:
                     w.buf += b"\x0f\x01\x01\x00"
                     sized = _sized(row) if shape is _typed else ()
-                    w.instance(row.channel, TEMPLATE, [*_instance_values(row, shape(row, texts), values), *sized])
+                    w.instance(row.channel, TEMPLATE, [*_instance_values(row, shape(row, texts), values, sids), *sized])
                     w.buf.append(0x00)
                 else:
                     w.fragment(_plain(row, shape(row, texts), documents, texts))
