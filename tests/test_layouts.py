@@ -110,3 +110,11 @@ def test_data_by_its_document_where_names_are_values(spark):
         {"k0": "0", "k": "z"}, {"k1": "1", "k": "z"}, {"k": "z"}, {"k3": "3", "k": "z"}, {},
     ]
     assert [row.channel for row in found] == ["", "", "", "", "A"]
+
+
+def test_large_data_is_parsed_value_by_value(spark):
+    many = El("Event", El("EventData", *[El("Data", Slot(0), Name=text(f"k{i}")) for i in range(600)]))
+    files = spark.createDataFrame([("/a", bytearray(log_of(*[templated(many, text(c * size)) for c, size in zip('a"b', (2000, 1900, 3))])))], "path string, content binary")
+    rows = lq.read_evtx(files, typed=True).orderBy("record_index").collect()
+    for row, value in zip(rows, ("a" * 2000, '"' * 1900, "bbb")):
+        assert {k: v.toPython() for k, v in row.typed_data.items()} == row.data == {f"winlog.event_data.k{i}": value for i in range(600)}
